@@ -19,6 +19,19 @@ def as_double(c):
     return as_column(c).cast("double")
 
 
+def epoch_seconds(df, c):
+    """Seconds since 1970 as double from a timestamp or a number column.
+
+    Timestamps without time zone are measured without the session time zone.
+    """
+    kind = df.select(as_column(c).alias("c")).schema["c"].dataType.typeName()
+    if kind == "timestamp_ntz":
+        gap = as_column(c) - F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+        parts = (("DAY", 86400), ("HOUR", 3600), ("MINUTE", 60), ("SECOND", 1))
+        return sum((F.extract(F.lit(u), gap).cast("double") * s for u, s in parts), F.lit(0.0))
+    return as_column(c).cast("double")
+
+
 def wrap_int32(c):
     """Low 32 bits as a signed int, without the ANSI overflow error."""
     low = as_column(c).cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF))

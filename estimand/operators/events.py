@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import Window as W, functions as F
 
-from estimand.functions.columns import as_column
+from estimand.functions.columns import as_column, epoch_seconds
 from estimand.plans.prefix import sorted_partials
 
 
@@ -27,7 +27,7 @@ def window_funnel(df, user, ts, window, steps, tie=(), slices=8):
     length = float(window) * slices
     k, keys = len(steps), [f"_k{i}" for i in range(len(tie))]
     rows = df.select(
-        F.col(user), as_column(ts).cast("double").alias("_t"), *[F.col(c).alias(n) for c, n in zip(tie, keys)],
+        F.col(user), epoch_seconds(df, ts).alias("_t"), *[F.col(c).alias(n) for c, n in zip(tie, keys)],
         *_step_flags(steps),
     ).where(F.col(user).isNotNull() & F.col("_t").isNotNull())
     home = F.floor(F.col("_t") / length)
