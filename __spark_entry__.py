@@ -41,7 +41,7 @@ def t(spark, sf, name):
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def rounded(df, **digits):
+def rounded(df, /, **digits):
     """Select columns by name; a number rounds, None keeps."""
     return df.select(*[F.col(c) if d is None else F.round(F.col(c), d).alias(c) for c, d in digits.items()])
 
@@ -79,7 +79,7 @@ EXPT = """expt AS (
 def norm_cdf(z):
     """Standard normal CDF in SQL: 0.5 + pdf * sum z^(2k+1) / (2k+1)!!, |z| < 12."""
     series_sum = (
-        "list_sum(list_transform(range(0, 300), k -> exp((2*k+1)*ln(greatest(abs({z}), 1e-300)) "
+        "list_sum(list_transform(range(0, 300), lambda k: exp((2*k+1)*ln(greatest(abs({z}), 1e-300)) "
         "- (lgamma(2*k+2) - k*ln(2.0) - lgamma(k+1)))))"
     ).format(z=z)
     return (
@@ -128,8 +128,8 @@ def _(spark, sf):
 
 
 @query("io_null_fill", """
-SELECT lang, COUNT(*) AS n, SUM(CAST(COALESCE(quality, 0) AS BIGINT)) AS quality,
-       SUM(CAST(COALESCE(toxic, 0) AS BIGINT)) AS toxic
+SELECT lang, COUNT(*) AS n, CAST(SUM(COALESCE(quality, 0)) AS BIGINT) AS quality,
+       CAST(SUM(COALESCE(toxic, 0)) AS BIGINT) AS toxic
 FROM documents LEFT JOIN labels USING (doc_id) GROUP BY lang""")
 def _(spark, sf):
     joined = t(spark, sf, "documents").select("doc_id", "lang").join(t(spark, sf, "labels"), "doc_id", "left")
@@ -138,7 +138,7 @@ def _(spark, sf):
 
 
 @query("io_multi_source_union_read", """
-SELECT kind, COUNT(*) AS n, SUM(k) AS total FROM (
+SELECT kind, COUNT(*) AS n, CAST(SUM(k) AS BIGINT) AS total FROM (
   SELECT 'customer' AS kind, c_custkey AS k FROM customer UNION ALL SELECT 'supplier', s_suppkey FROM supplier) GROUP BY kind""")
 def _(spark, sf):
     a = t(spark, sf, "customer").select(F.lit("customer").alias("kind"), F.col("c_custkey").alias("k"))
@@ -162,7 +162,7 @@ def _(spark, sf):
 
 
 @query("table_describe", """
-SELECT column_name AS "column", CASE data_type WHEN 'VARCHAR' THEN 'string' ELSE lower(data_type) END AS type
+SELECT column_name AS "column", CASE column_type WHEN 'VARCHAR' THEN 'string' ELSE lower(column_type) END AS type
 FROM (DESCRIBE SELECT c_custkey, c_name, c_acctbal FROM customer)""")
 def _(spark, sf):
     return tables.describe(t(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal"))
@@ -200,7 +200,7 @@ def _(spark, sf):
 
 @query("case_chain", """
 SELECT score, COUNT(*) AS n FROM (
-  SELECT CASE WHEN l_quantity < 10 THEN 1.5 WHEN l_discount > 0.05 THEN -2.0 END AS score FROM lineitem) GROUP BY score""")
+  SELECT CASE WHEN l_quantity < 10 THEN 1.5::DOUBLE WHEN l_discount > 0.05 THEN -2.0 END AS score FROM lineitem) GROUP BY score""")
 def _(spark, sf):
     score = fx.case_chain([("l_quantity < 10", 1.5), ("l_discount > 0.05", -2.0)])
     return t(spark, sf, "lineitem").groupBy(score.alias("score")).agg(F.count(F.lit(1)).alias("n"))
@@ -669,7 +669,7 @@ def ks_sql(value, second, table, alternative):
     d = {"two-sided": "GREATEST(hi, -lo)", "less": "-lo", "greater": "hi"}[alternative]
     z = "(SQRT(n1 * n2 / (n1 + n2)) * d)"
     if alternative == "two-sided":
-        p = f"2 * list_sum(list_transform(range(1, 101), k -> (CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END) * exp(-2.0*k*k*{z}*{z})))"
+        p = f"2 * list_sum(list_transform(range(1, 101), lambda k: (CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END) * exp(-2.0*k*k*{z}*{z})))"
     else:
         m, n = "GREATEST(n1, n2)", "LEAST(n1, n2)"
         p = f"exp(-2*{z}*{z} - 2*{z}*({m} + 2*{n}) / SQRT({m}*{n}*({m}+{n})) / 3.0)"
@@ -1147,9 +1147,9 @@ root AS (SELECT {sums} FROM src), cells AS (
 walk AS (SELECT feature, value, y1/n1 - y0/n0 AS tau, ROW_NUMBER() OVER o AS rank, COUNT(*) OVER (PARTITION BY feature) AS vals,
   {', '.join(f'SUM({c}) OVER o AS l_{c}' for c in ('y1', 'q1', 'n1', 'y0', 'q0', 'n0'))} FROM cells
   WINDOW o AS (PARTITION BY feature ORDER BY y1/n1 - y0/n0 DESC, value ROWS UNBOUNDED PRECEDING)),
-both AS (SELECT walk.*, root.*, {', '.join(f'{c} - l_{c} AS r_{c}' for c in ('y1', 'q1', 'n1', 'y0', 'q0', 'n0'))} FROM walk, root),
+pair AS (SELECT walk.*, root.*, {', '.join(f'{c} - l_{c} AS r_{c}' for c in ('y1', 'q1', 'n1', 'y0', 'q0', 'n0'))} FROM walk, root),
 cand AS (SELECT feature, value, rank, tau, CASE WHEN rank < vals AND l_n0 > 100 AND l_n1 > 100 AND l_n0 + l_n1 > 0.001*(n1+n0)
-  AND n1 + n0 - l_n0 - l_n1 > 0.001*(n1+n0) THEN {e('l_')} + {e('r_')} - {e('')} END AS gain FROM both)"""
+  AND n1 + n0 - l_n0 - l_n1 > 0.001*(n1+n0) THEN {e('l_')} + {e('r_')} - {e('')} END AS gain FROM pair)"""
 
 
 @query("tree_split_search", f"""

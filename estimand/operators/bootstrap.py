@@ -23,6 +23,7 @@ MAX_REPLICATES = 1000
 MAX_SAMPLE = 10_000_000_000
 ROWS_PER_BUCKET = 250_000
 SUPER = 1024
+MIN_BUCKETS = 64  # fixed, so that results do not depend on the cluster
 
 
 def row_census(df, key, buckets, bucket=None):
@@ -41,18 +42,22 @@ def _sample_size(sample, total):
     return int(sample)
 
 
-def _draw_rows(rng, count, copies, cumulative):
-    """How often each distinct row is drawn among ``count`` draws."""
-    total = int(cumulative[-1])
-    if count > 20 * len(copies) or total > 4 * len(copies) + 1_000_000:
-        return rng.multinomial(count, copies / total).astype(float)
-    picks = rng.integers(0, total, size=count)
-    if total != len(copies):
-        picks = np.searchsorted(cumulative, picks, side="right")
-    return np.bincount(picks, minlength=len(copies)).astype(float)
+def _row_drawer(copies):
+    """Function (rng, count) -> how often each distinct row is drawn."""
+    total = int(copies.sum())
+    # one entry per original row; only worth holding while copies are few
+    slots = np.repeat(np.arange(len(copies)), copies) if total <= 4 * len(copies) + 1_000_000 else None
 
+    def draw(rng, count):
+        if slots is None or count > 20 * len(copies):
+            return rng.multinomial(count, copies / total).astype(float)
+        picks = rng.integers(0, total, size=count, dtype=np.int32)
+        return np.bincount(slots[picks], minlength=len(copies)).astype(float)
 
-def bootstrap_moments(df, cols, sample, bs_num, seed=0, index=None, where=None):
+    return draw
+
+
+def bootstrap_moments(df, cols, sample, bs_num, seed=0, index=None, where=None, rows_per_bucket=ROWS_PER_BUCKET):
     """Moments per replicate: (replicate[, _index], n, mean, comoment).
 
     ``sample`` is a row count or a ratio (float).  ``index`` keeps groups apart
@@ -74,55 +79,40 @@ def bootstrap_moments(df, cols, sample, bs_num, seed=0, index=None, where=None):
         raise ValueError("nothing to resample")
     center = np.array([center_row[n] for n in names])
     size = _sample_size(sample, total)
-    buckets = max(8, -(-total // ROWS_PER_BUCKET))
+    buckets = max(MIN_BUCKETS, -(-total // rows_per_bucket))
 
     distinct = rows.groupBy(*names, "_index", "_flag").agg(F.count(F.lit(1)).alias("_copies"))
     distinct = distinct.withColumn("_bucket", stable_bucket([*names, "_index", "_flag"], buckets, seed))
 
+    # draws per super-bucket, on the driver; with few buckets these are the buckets
+    single = buckets <= SUPER
     census = distinct.groupBy("_bucket").agg(F.sum("_copies").alias("rows"))
     census = census.withColumn("_super", F.pmod("_bucket", F.lit(SUPER)))
     supers = {r["_super"]: r["rows"] for r in census.groupBy("_super").agg(F.sum("rows").alias("rows")).collect()}
     order = sorted(supers)
     weights = np.array([supers[s] for s in order], dtype=float)
-    per_super = {
-        s: draws for s, draws in zip(order, np.array([
-            np.random.default_rng([seed, r]).multinomial(size, weights / weights.sum()) for r in range(bs_num)
-        ]).T.tolist())
-    }
-
-    def allocate(key, pdf):
-        pdf = pdf.sort_values("_bucket")
-        share = pdf["rows"].to_numpy(dtype=float)
-        draws = [
-            np.random.default_rng([seed, r, int(key[0]), 1]).multinomial(c, share / share.sum())
-            for r, c in enumerate(per_super[int(key[0])])
-        ]
-        return pd.DataFrame({"_bucket": pdf["_bucket"].to_numpy(), "draws": list(np.array(draws).T.astype("int64"))})
-
-    plan = census.groupBy("_super").applyInPandas(allocate, "_bucket int, draws array<bigint>")
+    share = weights / weights.sum()
+    drawn = np.array([np.random.default_rng([seed, r]).multinomial(size, share) for r in range(bs_num)])
+    per_super = dict(zip(order, drawn.T))
 
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
     sums = [f"s{i}" for i in range(k)]
     products = [f"q{i}_{j}" for i, j in pairs]
 
-    def resample(key, data, alloc):
-        if not len(data) or not len(alloc):
-            return pd.DataFrame(columns=["replicate", "_index", "n", *sums, *products])
+    def resample(bucket, data, draws):
         data = data.sort_values([*names, "_index", "_flag"], kind="stable")
         copies = data["_copies"].to_numpy(dtype=np.int64)
-        cumulative = np.cumsum(copies)
+        draw = _row_drawer(copies)
         x = data[names].to_numpy(dtype=float) - center
         features = np.column_stack([np.ones(len(x)), x, *[x[:, i] * x[:, j] for i, j in pairs]])
         keep = data["_flag"].to_numpy(dtype=bool)
         idx = data["_index"].to_numpy()
         masks = [(g, keep & (idx == g)) for g in np.unique(idx[keep])]
-        out = []
-        draws = alloc["draws"].iloc[0]
+        out = [pd.DataFrame(columns=["replicate", "_index", "n", *sums, *products])] if not masks else []
         for start in range(0, bs_num, 16):
             chunk = range(start, min(start + 16, bs_num))
             w = np.vstack([
-                _draw_rows(np.random.default_rng([seed, r, int(key[0]), 2]), int(draws[r]), copies, cumulative)
-                for r in chunk
+                draw(np.random.default_rng([seed, r, bucket, 2]), int(draws[r])) for r in chunk
             ])
             for g, mask in masks:
                 table = w[:, mask] @ features[mask]
@@ -130,10 +120,25 @@ def bootstrap_moments(df, cols, sample, bs_num, seed=0, index=None, where=None):
                 frame.insert(0, "_index", int(g))
                 frame.insert(0, "replicate", list(chunk))
                 out.append(frame)
-        return pd.concat(out) if out else pd.DataFrame(columns=["replicate", "_index", "n", *sums, *products])
+        return pd.concat(out)
 
     schema = "replicate int, _index bigint, n double, " + ", ".join(f"{c} double" for c in [*sums, *products])
-    parts = distinct.groupBy("_bucket").cogroup(plan.groupBy("_bucket")).applyInPandas(resample, schema)
+    if single:
+        parts = distinct.groupBy("_bucket").applyInPandas(
+            lambda key, data: resample(int(key[0]), data, per_super[int(key[0])]), schema)
+    else:
+        def allocate(key, pdf):
+            pdf = pdf.sort_values("_bucket")
+            inner = pdf["rows"].to_numpy(dtype=float)
+            draws = np.array([
+                np.random.default_rng([seed, r, int(key[0]), 1]).multinomial(c, inner / inner.sum())
+                for r, c in enumerate(per_super[int(key[0])])
+            ])
+            return pd.DataFrame({"_bucket": pdf["_bucket"].to_numpy(), "draws": list(draws.T.astype("int64"))})
+
+        plan = census.groupBy("_super").applyInPandas(allocate, "_bucket int, draws array<bigint>")
+        parts = distinct.groupBy("_bucket").cogroup(plan.groupBy("_bucket")).applyInPandas(
+            lambda key, data, alloc: resample(int(key[0]), data, alloc["draws"].iloc[0]), schema)
     by = ["replicate"] + (["_index"] if index is not None else [])
     merged = parts.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ["n", *sums, *products]]).where("n > 0")
     mean = [F.lit(float(c)) + F.col(s) / F.col("n") for c, s in zip(center, sums)]

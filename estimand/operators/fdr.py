@@ -1,8 +1,21 @@
 """Benjamini-Hochberg adjustment."""
 
+import numpy as np
 from pyspark.sql import Window as W, functions as F
 
 
+def q_values(p):
+    """The same adjustment for a short list of p-values on the driver."""
+    p = np.asarray(p, dtype=float)
+    order = np.argsort(p, kind="stable")[: int(np.sum(~np.isnan(p)))]
+    m = len(order)
+    q = np.full(len(p), np.nan)
+    if m:
+        raw = p[order] * m / np.arange(1, m + 1)
+        q[order] = np.minimum(1.0, np.minimum.accumulate(raw[::-1])[::-1])
+    return q
+
+
 def fdr_adjust(df, p_cols, by=()):
     """Add a q-value per p column: min over larger p of p * m / rank.
 

@@ -1,10 +1,12 @@
 """Honest causal tree grown level by level.
 
-Per level one aggregation counts every (node, feature, value) cell of all open
-nodes together; splits are found with windows over those cells, and only the
-winning split of each node (at most 2**depth rows) reaches the driver.  Node
-membership is a CASE expression over the input columns, so no row is rewritten
-between levels.
+Features are categories or quantile bins, so rows with equal features and arm
+are first collapsed to (n, sum, sum of squares) whenever that shrinks the table
+a lot; all levels then work on the collapsed rows.  Per level one aggregation
+counts every (node, feature, value) cell of all open nodes together, windows
+over the cells find the splits, and one row per node and feature reaches the
+driver.  Node membership is a CASE expression over the features, so no row is
+rewritten between levels.
 """
 
 import math
@@ -14,16 +16,17 @@ from pyspark.sql import Window as W, functions as F
 
 from estimand.functions import dist
 from estimand.functions.columns import TREE_QUANTILES, as_column, bin_labels, cut_bins, split_random
-from estimand.operators.fdr import fdr_adjust
+from estimand.operators.fdr import q_values
 from estimand.plans.moments import Moments, merge_all
 
 NUMERIC = ("byte", "short", "integer", "long", "float", "double", "decimal")
 MIN_ARM = 100
+COLLAPSE_FACTOR = 20  # collapse when it leaves at most 1/20 of the rows
 SUMS = ("y1", "y1_sq", "n1", "y0", "y0_sq", "n0")
 
 
-def validate_inputs(df, Y, T, X, needcut_X=()):
-    """Required arguments, columns, types, and T in {0, 1}; raises ValueError."""
+def check_columns(df, Y, T, X, needcut_X=()):
+    """Required arguments, columns and types; raises ValueError."""
     for name, value in (("Y", Y), ("T", T), ("X", X)):
         if not value:
             raise ValueError(f"missing {name}")
@@ -35,100 +38,105 @@ def validate_inputs(df, Y, T, X, needcut_X=()):
         for c in cols:
             if types[c] not in NUMERIC:
                 raise ValueError(f"{role} column {c} must be numeric")
-    seen = {r[0] for r in df.select(T).distinct().limit(3).collect()}
-    if not seen:
+
+
+def check_arms(n1, n0, other):
+    if not n1 + n0 + other:
         raise ValueError("the input is empty")
-    if seen != {0, 1}:
+    if other or not n1 or not n0:
         raise ValueError("the treatment must take the values 0 and 1")
 
 
-def cell_sums(df, node, features):
+def validate_inputs(df, Y, T, X, needcut_X=()):
+    """``check_columns`` plus a look at the data: non-empty, T in {0, 1}."""
+    check_columns(df, Y, T, X, needcut_X)
+    t = F.col(T)
+    got = df.agg(F.count_if(t == 1).alias("n1"), F.count_if(t == 0).alias("n0"),
+                 F.count_if(~t.isin(0, 1)).alias("other")).first()
+    check_arms(got["n1"], got["n0"], got["other"])
+
+
+def unit_rows(df, names):
+    """Rows as one-row groups: features, _t, n, s = y, q = y^2."""
+    return df.select(*names, "_t", F.expr("1L AS _n"), F.expr("_y AS _s"), F.expr("_y * _y AS _q"))
+
+
+def cell_sums(groups, node, features):
     """Arm sums per (node, feature, value); nulls of a feature form no cell.
 
-    The pseudo feature '' carries the node totals.
+    ``groups`` holds _t, _n, _s, _q per (group of) rows.  The pseudo feature ''
+    carries the node totals.
     """
     cells = F.array(
         F.struct(F.lit("").alias("feature"), F.lit("").alias("value")),
         *[F.struct(F.lit(name).alias("feature"), col.cast("string").alias("value")) for name, col in features.items()],
     )
-    arm1, arm0 = F.col("_t") == 1, F.col("_t") == 0
-    y = F.col("_y")
-    return (
-        df.select(node.alias("node"), "_t", "_y", F.inline(cells))
-        .where(F.col("node").isNotNull() & F.col("value").isNotNull())
-        .groupBy("node", "feature", "value")
-        .agg(
-            F.sum(F.when(arm1, y).otherwise(0.0)).alias("y1"),
-            F.sum(F.when(arm1, y * y).otherwise(0.0)).alias("y1_sq"),
-            F.count_if(arm1).alias("n1"),
-            F.sum(F.when(arm0, y).otherwise(0.0)).alias("y0"),
-            F.sum(F.when(arm0, y * y).otherwise(0.0)).alias("y0_sq"),
-            F.count_if(arm0).alias("n0"),
-            F.var_samp(F.when(arm1, y)).alias("var1"),
-            F.var_samp(F.when(arm0, y)).alias("var0"),
-        )
-    )
+    long = groups.select(node.alias("node"), "_t", "_n", "_s", "_q", F.inline(cells)).where(
+        "node is not null and value is not null")
+    return long.groupBy("node", "feature", "value").agg(*[
+        F.expr(f"sum(if(_t = {i}, {c}, {zero}))").alias(name)
+        for i in (1, 0)
+        for c, zero, name in (("_s", "0D", f"y{i}"), ("_q", "0D", f"y{i}_sq"), ("_n", "0L", f"n{i}"))
+    ])
 
 
-def _effect(y1, y1_sq, n1, y0, y0_sq, n0):
-    """E = tau^2 n / 2 - n (v1 / n1 + v0 / n0) with plug-in variances."""
-    m1, m0 = y1 / n1, y0 / n0
-    v1, v0 = y1_sq / n1 - m1 * m1, y0_sq / n0 - m0 * m0
-    tau, n = m1 - m0, n1 + n0
-    return 0.5 * tau * tau * n - n * (v1 / n1 + v0 / n0)
+def effect_sql(p=""):
+    """E = tau^2 n / 2 - n (v1 / n1 + v0 / n0) with plug-in variances, over
+    columns with prefix ``p``."""
+    m1, m0 = f"{p}y1 / {p}n1", f"{p}y0 / {p}n0"
+    v1, v0 = f"({p}y1_sq / {p}n1 - ({m1}) * ({m1}))", f"({p}y0_sq / {p}n0 - ({m0}) * ({m0}))"
+    n = f"({p}n1 + {p}n0)"
+    return f"(0.5D * power({m1} - {m0}, 2) * {n} - {n} * ({v1} / {p}n1 + {v0} / {p}n0))"
 
 
-def split_candidates(cells, impurity, total, min_ratio, min_arm=MIN_ARM):
+def node_totals(cells):
+    """{node: row of arm sums and E} of all nodes in a cell table."""
+    both = "if(n1 > 0 and n0 > 0, " + effect_sql() + ", null) AS effect"
+    return {r["node"]: r for r in cells.where("feature = ''").selectExpr("node", *SUMS, both).collect()}
+
+
+def split_candidates(cells, parents, total, min_ratio, min_arm=MIN_ARM):
     """Prefixes of the values ordered by effect, with their gain.
 
-    ``cells`` is a ``cell_sums`` table, ``impurity`` maps a node to E of the
-    parent (None: computed from the node totals), ``total`` the training rows.
-    Returns node, feature, value, rank, tau, gain (NULL where a size rule fails)
-    and the left / right effects.
+    ``cells`` is a ``cell_sums`` table, ``parents`` maps each node to be split to
+    (rows, E of the node), ``total`` is the number of training rows.  Returns
+    node, feature, value, rank, tau, the left / right effects and gain (NULL
+    where a size rule fails).
     """
-    totals = cells.where("feature = ''").select(
-        "node", (F.col("n1") + F.col("n0")).alias("node_n"),
-        F.when((F.col("n1") > 0) & (F.col("n0") > 0), _effect(*[F.col(c) for c in SUMS])).alias("_e"),
-    )
-    known = [(int(k), float(v)) for k, v in (impurity or {}).items() if v is not None]
-    if known:
-        parent = F.coalesce(F.create_map(*[F.lit(x) for kv in known for x in kv])[F.col("node")], F.col("_e"))
-    else:
-        parent = F.col("_e")
-    # one row per open node
-    totals = totals.select("node", "node_n", parent.alias("parent"))
-    usable = cells.where("feature <> '' and n1 > 0 and n0 > 0").withColumn(
-        "tau", F.col("y1") / F.col("n1") - F.col("y0") / F.col("n0")
-    )
-    part = W.partitionBy("node", "feature")
-    order = part.orderBy(F.col("tau").desc(), "value")
-    upto = order.rowsBetween(W.unboundedPreceding, 0)
-    walked = usable.select(
-        "node", "feature", "value", "tau",
-        F.row_number().over(order).alias("rank"), F.count(F.lit(1)).over(part).alias("values"),
-        *[F.sum(c).over(upto).alias(f"l_{c}") for c in SUMS], *[F.sum(c).over(part).alias(f"a_{c}") for c in SUMS],
-    ).join(F.broadcast(totals), "node")
-    left = [F.col(f"l_{c}") for c in SUMS]
-    right = [F.col(f"a_{c}") - F.col(f"l_{c}") for c in SUMS]
-    left_n = F.col("l_n1") + F.col("l_n0")
+    table = F.create_map(*[F.lit(x) for node, (n, e) in parents.items() for x in (node, F.struct(
+        F.lit(n).alias("n"), F.lit(e).cast("double").alias("e")))])
+    usable = cells.where("feature <> '' and n1 > 0 and n0 > 0").where(F.col("node").isin(list(parents))).selectExpr(
+        "*", "y1 / n1 - y0 / n0 AS tau")
+    part = "PARTITION BY node, feature"
+    upto = f"({part} ORDER BY tau DESC, value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    walked = usable.selectExpr(
+        "node", "feature", "value", "tau", f"row_number() OVER ({part} ORDER BY tau DESC, value) AS rank",
+        f"count(1) OVER ({part}) AS values",
+        *[f"sum({c}) OVER {upto} AS l_{c}" for c in SUMS], *[f"sum({c}) OVER ({part}) AS a_{c}" for c in SUMS],
+    ).withColumn("parent", table[F.col("node")])
+    floor = float(min_ratio * total)
     allowed = (
-        (F.col("rank") < F.col("values")) & (F.col("l_n0") > min_arm) & (F.col("l_n1") > min_arm)
-        & (left_n > F.lit(min_ratio * total)) & (F.col("node_n") - left_n > F.lit(min_ratio * total))
-    )
-    return walked.select(
-        "node", "feature", "value", "rank", "tau",
-        F.when(allowed, _effect(*left)).alias("left_effect"), F.when(allowed, _effect(*right)).alias("right_effect"),
-        F.when(allowed, _effect(*left) + _effect(*right) - F.col("parent")).alias("gain"),
+        f"rank < values and l_n0 > {min_arm} and l_n1 > {min_arm} and l_n1 + l_n0 > {floor}D "
+        f"and parent.n - l_n1 - l_n0 > {floor}D"
     )
+    split = walked.selectExpr("node", "feature", "value", "rank", "tau", "parent", f"{allowed} AS allowed",
+                              *[f"l_{c}" for c in SUMS], *[f"a_{c} - l_{c} AS r_{c}" for c in SUMS])
+    scored = split.selectExpr(
+        "node", "feature", "value", "rank", "tau", "parent",
+        f"if(allowed, {effect_sql('l_')}, null) AS left_effect",
+        f"if(allowed, {effect_sql('r_')}, null) AS right_effect")
+    return scored.selectExpr("node", "feature", "value", "rank", "tau", "left_effect", "right_effect",
+                             "left_effect + right_effect - parent.e AS gain")
 
 
 def tree_split_search(df, Y, T, features, min_ratio=0.001, total=None):
     """All root-level split candidates of ``df`` (features: name -> column)."""
     work = df.select(as_column(Y).cast("double").alias("_y"), as_column(T).cast("int").alias("_t"),
                      *[as_column(e).alias(n) for n, e in features.items()])
-    total = work.count() if total is None else total
-    cells = cell_sums(work, F.lit(1), {n: F.col(n) for n in features})
-    return split_candidates(cells, None, total, min_ratio)
+    cells = cell_sums(unit_rows(work, list(features)), F.lit(1), {n: F.col(n) for n in features})
+    root = node_totals(cells)[1]
+    n = root["n1"] + root["n0"]
+    return split_candidates(cells, {1: (n, root["effect"])}, n if total is None else total, min_ratio)
 
 
 @dataclass
@@ -152,7 +160,8 @@ NODE_SCHEMA = (
     "rule string, gain double, impurity double, ratio double, prediction double, treated_count bigint, "
     "control_count bigint, treated_avg double, control_avg double, treated_std double, control_std double, "
     + ", ".join(
-        f"est_point{i} double, std{i} double, pvalue{i} double, zvalue{i} double, lower{i} double, upper{i} double"
+        f"est_point{i} double, std{i} double, pvalue{i} double, zvalue{i} double, lower{i} double, upper{i} double, "
+        f"qvalue{i} double"
         for i in range(1, 5)
     )
 )
@@ -208,7 +217,7 @@ class CausalTree:
 
     def fit(self, df, Y, T, X, needcut_X=(), key=None, split=None):
         X, needcut_X = list(dict.fromkeys(X)), list(dict.fromkeys(needcut_X))
-        validate_inputs(df, Y, T, X, needcut_X)
+        check_columns(df, Y, T, X, needcut_X)
         if split is None and not key:
             raise ValueError("give key columns (or a split expression) for the honest split")
         self.spark = df.sparkSession
@@ -219,42 +228,58 @@ class CausalTree:
         flag = as_column(split).cast("int") if split is not None else split_random(key, self.seed)
         work = df.select(
             F.col(Y).cast("double").alias("_y"), F.col(T).cast("int").alias("_t"), flag.alias("_test"),
-            *[e.cast("string").alias(n) for n, e in self.features.items()],
+            *[e.alias(n) for n, e in self.features.items()],
         ).dropna(subset=["_y", "_t", "_test"])
         self._cols = {n: F.col(f"`{n}`") for n in self.features}
-        self._overall(work)
-        self._grow(work.where("_test = 0"))
-        self._estimate(work.where("_test = 1"))
+        shrinks = self._overall(work)
+        # effects and variances do not change under a shift; sums of squares keep their digits
+        centered = work.withColumn("_y", F.col("_y") - F.lit(float(self.center)))
+        groups = unit_rows(centered, ["_test", *self._cols.values()])
+        if shrinks:
+            groups = groups.groupBy("_test", "_t", *self._cols.values()).agg(
+                F.sum("_n").alias("_n"), F.sum("_s").alias("_s"), F.sum("_q").alias("_q")).persist()
+        self._grow(groups.where("_test = 0"))
+        self._estimate(groups.where("_test = 1"))
+        if shrinks:
+            groups.unpersist()
         return self
 
     def _edges(self, df, needcut):
         """De-duplicated quantiles of all numeric features in one pass."""
         if not needcut:
             return {}
-        row = df.agg(*[F.percentile_approx(c, list(TREE_QUANTILES), 100_000).alias(c) for c in needcut]).first()
+        row = df.agg(*[F.percentile_approx(c, list(TREE_QUANTILES), 10_000).alias(c) for c in needcut]).first()
         return {c: sorted({float(v) for v in (row[c] or [0.0])}) for c in needcut}
 
     def _overall(self, work):
-        """Sizes, pooled ATE and the ATE of the estimation half."""
-        got = {(r["_test"], r["_t"]): (r["n"], r["s"]) for r in work.groupBy("_test", "_t").agg(
-            F.count(F.lit(1)).alias("n"), F.sum("_y").alias("s")).collect()}
-        for t in (0, 1):
-            if (0, t) not in got or (1, t) not in got:
-                raise ValueError("both halves need rows of both arms")
-        self.train_n = got[0, 0][0] + got[0, 1][0]
-        self.test_n = got[1, 0][0] + got[1, 1][0]
-        arm = {t: (got[0, t][0] + got[1, t][0], got[0, t][1] + got[1, t][1]) for t in (0, 1)}
+        """Sizes, pooled ATE, ATE of the estimation half; whether collapsing equal
+        feature rows pays (their number is estimated in the same scan)."""
+        t, y, test = F.col("_t"), F.col("_y"), F.col("_test")
+        cells = {(h, a): (test == h) & (t == a) for h in (0, 1) for a in (0, 1)}
+        row = work.agg(
+            *[F.count_if(c).alias(f"n{h}{a}") for (h, a), c in cells.items()],
+            *[F.sum(F.when(c, y).otherwise(0.0)).alias(f"s{h}{a}") for (h, a), c in cells.items()],
+            F.count_if(~t.isin(0, 1)).alias("other"),
+            F.approx_count_distinct(F.xxhash64("_test", "_t", *self._cols.values())).alias("distinct"),
+        ).first()
+        n = {k: row[f"n{k[0]}{k[1]}"] for k in cells}
+        s = {k: row[f"s{k[0]}{k[1]}"] for k in cells}
+        check_arms(n[0, 1] + n[1, 1], n[0, 0] + n[1, 0], row["other"])
+        if not all(n.values()):
+            raise ValueError("both halves need rows of both arms")
+        self.train_n, self.test_n = n[0, 0] + n[0, 1], n[1, 0] + n[1, 1]
+        arm = {a: (n[0, a] + n[1, a], s[0, a] + s[1, a]) for a in (0, 1)}
         self.ate_pooled = arm[1][1] / arm[1][0] - arm[0][1] / arm[0][0]
-        self.ate_estimation = got[1, 1][1] / got[1, 1][0] - got[1, 0][1] / got[1, 0][0]
-        # effects and variances do not change under a shift; sums of squares keep their digits
+        self.ate_estimation = s[1, 1] / n[1, 1] - s[1, 0] / n[1, 0]
         self.center = (arm[0][1] + arm[1][1]) / (arm[0][0] + arm[1][0])
+        return row["distinct"] * COLLAPSE_FACTOR <= self.train_n + self.test_n
 
     def _membership(self, nodes):
         """Deepest node of a row as a CASE expression over the features."""
         def walk(node):
             if node.is_leaf:
                 return F.lit(node.node_id)
-            value = self._cols[node.feature]
+            value = self._cols[node.feature].cast("string")
             left, right = nodes[2 * node.node_id], nodes[2 * node.node_id + 1]
             return (
                 F.when(value.isin(node.left_values), walk(left))
@@ -264,28 +289,25 @@ class CausalTree:
         return walk(nodes[1])
 
     def _grow(self, train):
-        train = train.withColumn("_y", F.col("_y") - F.lit(float(self.center)))
         nodes = {1: Node(1, 0, ())}
         open_nodes, gains = [1], {}
         for _ in range(self.depth):
             member = self._membership(nodes)
-            scope = F.when(member.isin(open_nodes), member)
-            cells = cell_sums(train, scope, self._cols).persist()
+            cells = cell_sums(train, F.when(member.isin(open_nodes), member), self._cols).persist()
             splits = self._split_level(cells, {n: nodes[n].impurity for n in open_nodes}, gains)
             cells.unpersist()
-            next_open = []
+            open_nodes = []
             for s in splits:
                 node = nodes[s["node"]]
                 node.feature, node.gain = s["feature"], s["gain"]
-                node.left_values, node.right_values = sorted(s["left"]), sorted(s["right"] or [])
+                node.left_values, node.right_values = sorted(s["left"]), sorted(s["right"])
                 if node.impurity is None:
                     node.impurity = s["left_effect"] + s["right_effect"] - s["gain"]
                 for child, op, effect in ((2 * node.node_id, "in", s["left_effect"]),
                                           (2 * node.node_id + 1, "not in", s["right_effect"])):
                     rule = (node.feature, op, node.left_values)
                     nodes[child] = Node(child, node.level + 1, (*node.path, rule), effect)
-                    next_open.append(child)
-            open_nodes = next_open
+                    open_nodes.append(child)
             if not open_nodes:
                 break
         self.nodes_by_id = nodes
@@ -293,47 +315,60 @@ class CausalTree:
 
     def _split_level(self, cells, impurity, gains):
         """Best split per open node; adds positive gains to the importances."""
-        stats = cells.where("feature = ''")
-        # stop rules: too small, or no variance in an arm
-        alive = stats.where(
-            (F.col("n1") + F.col("n0") >= F.lit(self.min_ratio * self.train_n))
-            & (F.col("n1") > 0) & (F.col("n0") > 0)
-            & ~F.coalesce(F.col("var1") == 0, F.lit(False)) & ~F.coalesce(F.col("var0") == 0, F.lit(False))
-        ).select("node")
-        usable = cells.join(F.broadcast(alive), "node")
-        candidates = split_candidates(usable, impurity, self.train_n, self.min_ratio, self.min_arm)
-        positive = candidates.where("gain > 0")
-        for r in positive.groupBy("feature").agg(F.sum("gain").alias("gain")).collect():
-            gains[r["feature"]] = gains.get(r["feature"], 0.0) + r["gain"]
-        best = positive.groupBy("node").agg(F.max_by(
-            F.struct("feature", F.col("rank").alias("cut"), F.col("gain").alias("best_gain"),
-                     F.col("left_effect").alias("e_left"), F.col("right_effect").alias("e_right")),
-            F.struct("gain", "feature", F.negate("rank")),
-        ).alias("b")).select("node", "b.*")
-        # back to the values of the winning feature only
-        return (
-            candidates.join(F.broadcast(best), ["node", "feature"])
-            .groupBy("node", "feature")
-            .agg(
-                F.collect_list(F.when(F.col("rank") <= F.col("cut"), F.col("value"))).alias("left"),
-                F.collect_list(F.when(F.col("rank") > F.col("cut"), F.col("value"))).alias("right"),
-                F.first("best_gain").alias("gain"), F.first("e_left").alias("left_effect"),
-                F.first("e_right").alias("right_effect"),
+        parents = {}
+        for node, r in node_totals(cells).items():
+            n = r["n1"] + r["n0"]
+            # stop rules: too small, an empty arm, or no variance in an arm
+            flat = any(
+                r[f"n{i}"] == 0 or (r[f"n{i}"] > 1 and r[f"y{i}_sq"] - r[f"y{i}"] ** 2 / r[f"n{i}"] <= 1e-12 * r[f"y{i}_sq"])
+                for i in (0, 1)
             )
-            .orderBy("node").collect()
-        )
+            if not flat and n >= self.min_ratio * self.train_n:
+                parents[node] = (n, r["effect"] if impurity[node] is None else impurity[node])
+        if not parents:
+            return []
+        candidates = split_candidates(cells, parents, self.train_n, self.min_ratio, self.min_arm)
+        # one row per node and feature
+        top = candidates.where("gain > 0").groupBy("node", "feature").agg(
+            F.sum("gain").alias("total"),
+            F.expr("max_by(struct(gain, tau, value, left_effect, right_effect), struct(gain, -rank))").alias("best"),
+        ).collect()
+        best = {}
+        for r in sorted(top, key=lambda r: (r["node"], r["feature"])):
+            gains[r["feature"]] = gains.get(r["feature"], 0.0) + r["total"]
+            if r["node"] not in best or r["best"]["gain"] > best[r["node"]]["best"]["gain"]:
+                best[r["node"]] = r
+        if not best:
+            return []
+        # categories of the winners: left of the cut in (effect desc, value) order
+        tau = F.col("y1") / F.col("n1") - F.col("y0") / F.col("n0")
+        is_left, won = F.lit(None).cast("boolean"), F.lit(False)
+        for node, r in best.items():
+            b = r["best"]
+            mine = (F.col("node") == node) & (F.col("feature") == r["feature"])
+            won = won | mine
+            cut = F.lit(b["tau"])
+            is_left = F.when(mine, (tau > cut) | ((tau == cut) & (F.col("value") <= b["value"]))).otherwise(is_left)
+        values = cells.where("n1 > 0 and n0 > 0").where(won).select("node", "value", is_left.alias("left")).collect()
+        out = []
+        for node, r in sorted(best.items()):
+            sides = {side: [v["value"] for v in values if v["node"] == node and v["left"] == side] for side in (True, False)}
+            b = r["best"]
+            out.append({"node": node, "feature": r["feature"], "gain": b["gain"], "left_effect": b["left_effect"],
+                        "right_effect": b["right_effect"], "left": sides[True], "right": sides[False]})
+        return out
 
     def _estimate(self, test):
         """Arm moments per deepest node, merged upwards on the driver."""
         rows = test.groupBy(self._membership(self.nodes_by_id).alias("node"), "_t").agg(
-            F.count(F.lit(1)).alias("n"), F.avg("_y").alias("mean"),
-            (F.var_pop("_y") * F.count(F.lit(1))).alias("m2"),
-        ).collect()
+            F.sum("_n").alias("n"), F.sum("_s").alias("s"), F.sum("_q").alias("q")).collect()
         parts = {}
         for r in rows:
+            mean = r["s"] / r["n"]
+            m = Moments(r["n"], [mean + self.center], [[max(0.0, r["q"] - r["s"] * mean)]])
             node = r["node"]
             while node >= 1:
-                parts.setdefault((node, r["_t"]), []).append(Moments(r["n"], [r["mean"]], [[r["m2"]]]))
+                parts.setdefault((node, r["_t"]), []).append(m)
                 node //= 2
         out = []
         for node_id in sorted(self.nodes_by_id):
@@ -349,6 +384,10 @@ class CausalTree:
                 row["ratio"] = (m1.n + m0.n) / self.test_n
                 row.update(node_inference(m1, m0, self.ate_estimation, node_id == 1))
             out.append(row)
+        for i in range(1, 5):
+            p = [math.nan if r.get(f"pvalue{i}") is None else r[f"pvalue{i}"] for r in out]
+            for r, q in zip(out, q_values(p)):
+                r[f"qvalue{i}"] = None if math.isnan(q) else float(q)
         self._rows = out
 
     def _labels(self, feature, values):
@@ -371,8 +410,7 @@ class CausalTree:
     def nodes(self):
         """One row per node: split, sizes, four effect scales, q-values."""
         names = [f.split()[0] for f in NODE_SCHEMA.split(", ")]
-        table = self.spark.createDataFrame([tuple(r.get(n) for n in names) for r in self._rows], NODE_SCHEMA)
-        return fdr_adjust(table, {f"pvalue{i}": f"qvalue{i}" for i in range(1, 5)})
+        return self.spark.createDataFrame([tuple(r.get(n) for n in names) for r in self._rows], NODE_SCHEMA)
 
     def feature_importance(self):
         rows = [(f, float(g)) for f, g in self.importance.items()]

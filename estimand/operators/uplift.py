@@ -25,7 +25,7 @@ def lift_gain_curve(df, ite, y, t, key, k=1000, discrete=True):
     n = center["n"]
     if not n:
         raise ValueError("no complete rows")
-    placed = prefix_sum(rows, [F.col("_ite").desc(), *names], ["_one"])
+    placed = prefix_sum(rows, [F.col("_ite").desc(), *names], ["_one"], keep=["_y", "_t"])
     bucket = F.floor(F.col("_one_before") * F.lit(k) / F.lit(n)).cast("int") + 1
     if discrete:
         treated, y0 = F.col("_t") == 1, 0.0

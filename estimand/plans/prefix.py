@@ -42,17 +42,19 @@ def sorted_partials(df, order, fn, schema):
     return ranged.mapInPandas(fn, schema)
 
 
-def prefix_sum(df, order, values):
+def prefix_sum(df, order, values, keep=None):
     """Add ``<v>_before``: the sum of ``v`` over all rows ordered before this one.
 
+    ``keep`` limits the other columns carried along (default all).
     ``order`` must identify rows (ties would be ordered arbitrarily).  The
     sorted partitions are checkpointed, so partition numbers are data and not a
     property of one attempt; per-partition totals (one row each) are broadcast.
     """
+    kept = list(dict.fromkeys([*(df.columns if keep is None else keep), *values]))
     ranged = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .withColumn("_pid", F.spark_partition_id())
+        .select(*kept, F.spark_partition_id().alias("_pid"))
     )
     fixed = reliable_checkpoint(ranged)
     totals = fixed.groupBy("_pid").agg(*[F.sum(v).cast("double").alias(f"_t_{v}") for v in values])
@@ -65,7 +67,7 @@ def prefix_sum(df, order, values):
     local = fixed.mapInPandas(_running(values), schema)
     joined = local.join(F.broadcast(offsets), "_pid")
     return joined.select(
-        *df.columns, *[(F.col(f"_l_{v}") + F.col(f"_o_{v}")).alias(f"{v}_before") for v in values]
+        *kept, *[(F.col(f"_l_{v}") + F.col(f"_o_{v}")).alias(f"{v}_before") for v in values]
     )
 
 

@@ -77,13 +77,17 @@ def export_csv(df, path, cap=CSV_EXPORT_CAP, mode="errorifexists"):
 
 
 def size_guard(df, max_rows=MAX_ROWS, max_files=MAX_FILES, max_bytes=MAX_BYTES):
-    """Raise when a transfer exceeds the row, file or (planned) byte limit."""
-    files = df.inputFiles()
-    if len(files) > max_files:
-        raise ValueError(f"{len(files)} files exceed the limit of {max_files}")
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    if files and size > max_bytes:
-        raise ValueError(f"{size} bytes exceed the limit of {max_bytes}")
+    """Raise when a transfer exceeds the row, file or byte limit.
+
+    Files and bytes are only known for frames read straight from files.
+    """
+    if "_metadata" not in df.columns and df.inputFiles():
+        files = df.select("_metadata.file_path", "_metadata.file_size").distinct()
+        seen = files.agg(F.count(F.lit(1)).alias("n"), F.sum("file_size").alias("size")).first()
+        if seen["n"] > max_files:
+            raise ValueError(f"{seen['n']} files exceed the limit of {max_files}")
+        if (seen["size"] or 0) > max_bytes:
+            raise ValueError(f"{seen['size']} bytes exceed the limit of {max_bytes}")
     rows = df.count()
     if rows > max_rows:
         raise ValueError(f"{rows} rows exceed the limit of {max_rows}")
