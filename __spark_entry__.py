@@ -239,8 +239,8 @@ SELECT CAST(FLOOR(score * 5) AS BIGINT) + 1 AS bin, CAST(COUNT(*) AS VARCHAR) AS
 FROM (SELECT o_totalprice / (SELECT MAX(o_totalprice) + 1 FROM orders) AS score, o_orderdate FROM orders) GROUP BY 1""")
 def _(spark, sf):
     o = t(spark, sf, "orders")
-    top = F.broadcast(o.agg((F.max("o_totalprice") + 1).alias("top")))
-    binned = o.join(top).withColumn("bin", F.floor(F.col("o_totalprice") / F.col("top") * 5).cast("bigint") + 1)
+    top = o.agg(F.max("o_totalprice") + 1).scalar()
+    binned = o.withColumn("bin", F.floor(F.col("o_totalprice") / top * 5).cast("bigint") + 1)
     return binned.groupBy("bin").agg(
         F.count(F.lit(1)).cast("string").alias("n_text"),
         F.max(F.col("o_orderdate").cast("date")).cast("string").alias("last_day"))
@@ -305,9 +305,8 @@ WITH m AS (SELECT AVG(o_totalprice) AS mean FROM orders)
 SELECT o_orderkey, ROUND(o_totalprice - (SELECT mean FROM m), 4) AS centered FROM orders""")
 def _(spark, sf):
     o = t(spark, sf, "orders")
-    # one row by construction
-    model = F.broadcast(o.agg(F.avg("o_totalprice").alias("mean")))
-    return o.join(model).select("o_orderkey", F.round(F.col("o_totalprice") - F.col("mean"), 4).alias("centered"))
+    model = o.agg(F.avg("o_totalprice")).scalar()
+    return o.select("o_orderkey", F.round(F.col("o_totalprice") - model, 4).alias("centered"))
 
 
 @query("number_source", """

@@ -60,10 +60,7 @@ def categorical_iv(df, category, tag):
     t = as_column(tag).cast("int")
     counts = df.select(as_column(category).cast("string").alias("category"), t.alias("t")).dropna().groupBy(
         "category").agg(F.count_if(F.col("t") == 1).alias("n1"), F.count_if(F.col("t") == 0).alias("n0"))
-    totals = counts.agg(F.sum("n1").alias("all1"), F.sum("n0").alias("all0"))
-    # a one-row table
-    both = counts.join(F.broadcast(totals))
-    d1 = F.try_divide(F.col("n1").cast("double"), F.col("all1").cast("double"))
-    d0 = F.try_divide(F.col("n0").cast("double"), F.col("all0").cast("double"))
+    d1 = F.try_divide(F.col("n1").cast("double"), counts.agg(F.sum("n1").cast("double")).scalar())
+    d0 = F.try_divide(F.col("n0").cast("double"), counts.agg(F.sum("n0").cast("double")).scalar())
     woe = F.when((F.col("n1") > 0) & (F.col("n0") > 0), F.log(d1 / d0))
-    return both.select("category", "n1", "n0", woe.alias("woe"), ((d1 - d0) * woe).alias("iv"))
+    return counts.select("category", "n1", "n0", woe.alias("woe"), ((d1 - d0) * woe).alias("iv"))
