@@ -8,6 +8,7 @@ from estimand.functions import dist
 from estimand.functions.columns import as_column, as_double
 from estimand.operators.ttest import check_alternative
 from estimand.plans.finalize import finalize, pack
+from estimand.plans.moments import moments
 
 TWO_SAMPLE_SCHEMA = "statistic double, df double, p_value double, lower double, upper double"
 
@@ -107,13 +108,15 @@ def anova(df, value, group):
 def corr_covar_matrix(df, cols):
     """Covariance and correlation of every pair i <= j of ``cols``, one scan."""
     k = len(cols)
-    picked = df.select(*[as_double(c).alias(f"_x{i}") for i, c in enumerate(cols)]).dropna()
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    at = {pair: F.col("comoment")[p] for p, pair in enumerate(pairs)}
+    n = F.col("n")
     cells = [
         F.struct(
             F.lit(str(cols[i])).alias("x"), F.lit(str(cols[j])).alias("y"),
-            F.covar_samp(f"_x{i}", f"_x{j}").alias("covar_samp"), F.covar_pop(f"_x{i}", f"_x{j}").alias("covar_pop"),
-            F.corr(f"_x{i}", f"_x{j}").alias("corr"),
+            F.try_divide(at[i, j], n - 1).alias("covar_samp"), F.try_divide(at[i, j], n).alias("covar_pop"),
+            F.try_divide(at[i, j], F.sqrt(at[i, i]) * F.sqrt(at[j, j])).alias("corr"),
         )
-        for i in range(k) for j in range(i, k)
+        for i, j in pairs
     ]
-    return picked.agg(F.array(*cells).alias("c")).select(F.inline("c"))
+    return moments(df, cols).select(F.inline(F.array(*cells)))

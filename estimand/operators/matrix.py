@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from estimand.functions.columns import as_double
 from estimand.plans.finalize import by_schema, finalize
-from estimand.plans.moments import invert, select_by
+from estimand.plans.moments import NATIVE_PRODUCTS, invert, moments, select_by
 
 
 def matrix_multiplication(df, cols, inverse=False, weighted=False, by=()):
@@ -21,9 +21,16 @@ def matrix_multiplication(df, cols, inverse=False, weighted=False, by=()):
     k = len(xs)
     if not k:
         raise ValueError("needs at least one column")
-    picked = df.select(*by, *[x.alias(f"_x{i}") for i, x in enumerate(xs)]).dropna(subset=[f"_x{i}" for i in range(k)])
-    products = [F.sum(F.col(f"_x{i}") * F.col(f"_x{j}")) for i in range(k) for j in range(i, k)]
-    agg = picked.groupBy(*by).agg(F.array(*products).alias("products"))
+    if k <= NATIVE_PRODUCTS:
+        names = [f"_x{i}" for i in range(k)]
+        picked = df.select(*by, *[x.alias(n) for x, n in zip(xs, names)]).dropna(subset=names)
+        products = [F.sum(F.col(f"_x{i}") * F.col(f"_x{j}")) for i in range(k) for j in range(i, k)]
+        agg = picked.groupBy(*by).agg(F.array(*products).alias("products"))
+    else:
+        n, mean = F.col("n"), F.col("mean")
+        pairs = [(i, j) for i in range(k) for j in range(i, k)]
+        agg = moments(df, xs, by).select(*by, F.array(*[
+            F.col("comoment")[p] + n * mean[i] * mean[j] for p, (i, j) in enumerate(pairs)]).alias("products"))
 
     def fn(row):
         upper = row["products"]

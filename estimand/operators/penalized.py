@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from estimand.functions.columns import as_double
 from estimand.functions.formula import read_model
-from estimand.plans.moments import collect_moments, invert
+from estimand.plans.moments import NATIVE_PRODUCTS, collect_moments, invert
 
 OPTIMIZERS = ("SGD", "Momentum", "Nesterov", "Adam", "Lasso")
 
@@ -191,13 +191,18 @@ def sgd_logistic(df, formula, l2=0.5, optimizer=None, lr=1.0, iterations=25, pos
         p = F.lit(1.0) / (F.lit(1.0) + F.exp(-eta))
         work = rows.select(*[col.alias(f"z{i}") for i, col in enumerate(z)], (F.col("_y") - p).alias("r"),
                            (p * (1 - p)).alias("v"))
-        sums = [F.sum(F.col("r") * F.col(f"z{i}")) for i in range(k + 1)]
-        if curvature:
-            sums += [F.sum(F.col("v") * F.col(f"z{i}") * F.col(f"z{j}")) for i in range(k + 1) for j in range(i, k + 1)]
+        names = [f"z{i}" for i in range(k + 1)]
+        sums = [F.sum(F.col("r") * F.col(c)) for c in names]
+        wide = k + 1 > NATIVE_PRODUCTS - 2
+        if curvature and not wide:
+            sums += [F.sum(F.col("v") * F.col(names[i]) * F.col(names[j])) for i in range(k + 1) for j in range(i, k + 1)]
         got = np.array(work.agg(F.array(*sums).alias("a")).first()["a"], dtype=float) / n
         g = got[:k + 1]
         if not curvature:
             return g, None
+        if wide:
+            root = F.sqrt("v")
+            return g, collect_moments(work, [root * F.col(c) for c in names])[()].raw() / n
         h = np.zeros((k + 1, k + 1))
         h[np.triu_indices(k + 1)] = got[k + 1:]
         return g, h + np.triu(h, 1).T

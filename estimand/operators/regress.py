@@ -10,7 +10,9 @@ from estimand.functions import dist
 from estimand.functions.columns import as_double
 from estimand.functions.formula import read_model
 from estimand.plans.finalize import by_schema, finalize
-from estimand.plans.moments import Moments, collect_moments, invert, moments, select_by, weighted
+from estimand.plans.moments import (
+    NATIVE_PRODUCTS, Moments, collect_moments, invert, moments, select_by, weighted,
+)
 
 INTERCEPT = "(Intercept)"
 OLS_SCHEMA = (
@@ -210,6 +212,9 @@ def predict(df, formula, train=None, interval=None, level=0.95, weight=None, bia
 def score_products(df, design, residual):
     """Sum of e^2 x_i x_j (the middle of an HC0 sandwich) as a k x k array."""
     k = len(design)
+    if k > NATIVE_PRODUCTS:
+        e = as_double(residual)
+        return collect_moments(df, [e * as_double(x) for x in design])[()].raw()
     picked = df.select(
         as_double(residual).alias("_e"), *[as_double(x).alias(f"_x{i}") for i, x in enumerate(design)]
     ).dropna()

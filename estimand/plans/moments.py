@@ -7,12 +7,21 @@ where raw sums of squares would cancel.
 """
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from estimand.functions.columns import as_column, as_double
 
 MOMENT_FIELDS = "n bigint, mean array<double>, comoment array<double>"
 
+# Built-in covariances hold four buffer fields per pair; six columns (97 fields)
+# still fit the default limit of 100 fields of whole-stage code generation.
+NATIVE_COLUMNS = 6
+# Plain sums of products hold one field per pair: twelve columns.
+NATIVE_PRODUCTS = 12
+MERGE_SLOTS = 64
+MAX_HELD_GROUPS = 10_000
+
 
 def moment_columns(k):
     """Aggregates over columns _m0.._m{k-1}."""
@@ -29,10 +38,59 @@ def moments(df, cols, by=(), required=()):
     Rows with a null in any of ``cols`` (or ``required`` group columns) are
     dropped first: complete-case deletion, not pairwise.
     """
-    by = list(by)
+    by, k = list(by), len(cols)
     picked = df.select(*by, *[as_double(c).alias(f"_m{i}") for i, c in enumerate(cols)])
-    picked = picked.dropna(subset=[f"_m{i}" for i in range(len(cols))] + list(required))
-    return picked.groupBy(*by).agg(*moment_columns(len(cols)))
+    picked = picked.dropna(subset=[f"_m{i}" for i in range(k)] + list(required))
+    if k <= NATIVE_COLUMNS:
+        return picked.groupBy(*by).agg(*moment_columns(k))
+    return _block_moments(picked, by, k)
+
+
+def _block_moments(picked, by, k):
+    """Moments of many columns: k^2 / 2 aggregate buffers exceed the field limit
+    of whole-stage code generation, so each task reduces its Arrow batches to
+    centred moments with matrix products and only moment rows are shuffled.
+
+    The rows of one group (one per task) are merged in two steps.
+    """
+    types = {f.name: f.dataType.simpleString() for f in picked.schema.fields}
+    keys = "".join(f"`{b}` {types[b]}, " for b in by)
+    xs, upper = [f"_m{i}" for i in range(k)], np.triu_indices(k)
+
+    def as_rows(found):
+        return pd.DataFrame(
+            [[*key, m.n, m.mean.tolist(), m.comoment[upper].tolist()] for key, m in found.items()],
+            columns=[*by, "n", "mean", "comoment"])
+
+    def reduce_batches(batches):
+        found = {}
+        for pdf in batches:
+            groups = pdf.groupby(by, dropna=False, sort=False) if by else [((), pdf)]
+            for key, part in groups:
+                x = part[xs].to_numpy(dtype=float)
+                center = x.mean(axis=0)
+                d = x - center
+                m = Moments(len(x), center, d.T @ d)
+                key = tuple(None if v is None or v != v else v for v in key)
+                found[key] = found[key].merge(m) if key in found else m
+            if len(found) > MAX_HELD_GROUPS:
+                yield as_rows(found)
+                found = {}
+        if found:
+            yield as_rows(found)
+
+    def combine(pdf):
+        out = pdf.iloc[:1].copy()
+        m = merge_all([Moments(n, a, c) for n, a, c in zip(pdf["n"], pdf["mean"], pdf["comoment"])])
+        out["n"], out["mean"] = m.n, [m.mean.tolist()]
+        out["comoment"] = [m.comoment[upper].tolist()]
+        return out
+
+    partial = picked.mapInPandas(reduce_batches, keys + MOMENT_FIELDS).withColumn(
+        "_slot", F.pmod(F.spark_partition_id(), F.lit(MERGE_SLOTS)))
+    once = partial.groupBy(*by, "_slot").applyInPandas(
+        lambda pdf: combine(pdf), keys + MOMENT_FIELDS + ", _slot int")
+    return once.groupBy(*by).applyInPandas(lambda pdf: combine(pdf.drop(columns="_slot")), keys + MOMENT_FIELDS)
 
 
 def weighted(cols, weight):

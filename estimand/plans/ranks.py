@@ -25,12 +25,11 @@ def ranked(df, groups, order, key, hot_rows=HOT_ROWS):
     order_by = [F.col(o) if isinstance(o, str) else o for o in order] + [F.col(k) for k in key]
     plain = W.partitionBy(*groups).orderBy(*order_by)
     sizes = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_size"))
-    # only groups above hot_rows can be hot; the exact limit needs the total
-    total = df.count()
-    limit = max(hot_rows, total // MAX_HOT_GROUPS)
-    hot = sizes.where(F.col("_size") > limit).select(*groups).collect() if total > limit else []
-    if not hot:
+    seen = sizes.agg(F.sum("_size").alias("total"), F.max("_size").alias("top")).first()
+    limit = max(hot_rows, (seen["total"] or 0) // MAX_HOT_GROUPS)
+    if (seen["top"] or 0) <= limit:
         return df.withColumn("rank", F.row_number().over(plain).cast("bigint"))
+    hot = sizes.where(F.col("_size") > limit).select(*groups).collect()
 
     spark = df.sparkSession
     hot_df = F.broadcast(spark.createDataFrame(hot, df.select(*groups).schema))

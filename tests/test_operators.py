@@ -120,6 +120,45 @@ def test_given_sandwich_matrices(sample):
     assert got == pytest.approx(robust, rel=1e-9)
 
 
+@pytest.mark.parametrize("by", [[], ["x2", "label"]])
+def test_wide_moments_match_native(sample, monkeypatch, by):
+    from estimand.plans import moments as pm
+
+    df, _ = sample
+    df = df.withColumn("label", F.when(F.col("id") % 5 != 0, (F.col("id") % 3).cast("string")))
+    cols = ["y", "x1", "x1 * w", "if(id % 50 = 0, null, w)", "y + w"]
+    native = {k: m for k, m in pm.collect_moments(df.dropna(subset=["label"]), cols, by).items()}
+    monkeypatch.setattr(pm, "NATIVE_COLUMNS", 2)
+    wide = pm.collect_moments(df.dropna(subset=["label"]), cols, by)
+    assert set(wide) == set(native)
+    for k in native:
+        assert wide[k].n == native[k].n
+        np.testing.assert_allclose(wide[k].mean, native[k].mean, rtol=1e-10)
+        np.testing.assert_allclose(wide[k].comoment, native[k].comoment, rtol=1e-8, atol=1e-8)
+    if by:
+        # a null group key stays a group
+        assert len(pm.moments(df, cols, by).collect()) > len(native)
+
+
+def test_wide_regression(spark):
+    rng = np.random.default_rng(21)
+    k = 20
+    x = rng.normal(100, 1, (3000, k))
+    beta = rng.normal(0, 1, k)
+    pdf = pd.DataFrame(x, columns=[f"v{i}" for i in range(k)])
+    pdf["y"] = x @ beta + 3 + rng.normal(0, 0.1, 3000)
+    df = spark.createDataFrame(pdf).repartition(5)
+    model = regress.fit_linear(df, "y ~ " + " + ".join(pdf.columns[:-1]))
+    want = np.linalg.lstsq(np.c_[x, np.ones(3000)], pdf.y, rcond=None)[0]
+    np.testing.assert_allclose(model.fit.coef, want, rtol=1e-6)
+    design = np.c_[x, np.ones(3000)]
+    e = pdf.y.to_numpy() - design @ want
+    middle = regress.score_products(df, model._design(None), F.col("y") - model.column())
+    np.testing.assert_allclose(middle, (design * e[:, None]).T @ (design * e[:, None]), rtol=1e-5)
+    rows = matrix.matrix_multiplication(df, list(pdf.columns[:-1])).orderBy("row_index").collect()
+    np.testing.assert_allclose([r["values"] for r in rows], x.T @ x, rtol=1e-10)
+
+
 def test_negative_weight(sample):
     df, _ = sample
     with pytest.raises(Exception, match="non-negative"):
