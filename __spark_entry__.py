@@ -1426,6 +1426,43 @@ def _(spark, sf):
     return series.interval_length_sum(t(spark, sf, "events"), "event_id", "event_id + 1 + floor(value)")
 
 
+# Stock aggregates that Spark has built in.
+
+
+@query("registry_statistics", """
+SELECT l_returnflag, ROUND(SUM(l_extendedprice * l_quantity) / SUM(l_quantity), 4) AS avg_weighted,
+  ROUND(REGR_SLOPE(l_extendedprice, l_tax), 4) AS slope, ROUND(REGR_INTERCEPT(l_extendedprice, l_tax), 4) AS intercept,
+  ROUND(STDDEV_SAMP(l_quantity), 8) AS std, MIN(l_quantity) AS lo, MAX(l_quantity) AS hi,
+  BIT_AND(l_linenumber) AS b_and, BIT_OR(l_linenumber) AS b_or, BIT_XOR(l_linenumber) AS b_xor,
+  COUNT(DISTINCT l_suppkey) AS uniq, CASE WHEN COUNT(DISTINCT l_returnflag) = 1 THEN MAX(l_returnflag) END AS single
+FROM lineitem GROUP BY 1""")
+def _(spark, sf):
+    return t(spark, sf, "lineitem").groupBy("l_returnflag").agg(*[F.expr(e) for e in (
+        "round(sum(l_extendedprice * l_quantity) / sum(l_quantity), 4) AS avg_weighted",
+        "round(regr_slope(l_extendedprice, l_tax), 4) AS slope",
+        "round(regr_intercept(l_extendedprice, l_tax), 4) AS intercept",
+        "round(stddev_samp(l_quantity), 8) AS std", "min(l_quantity) AS lo", "max(l_quantity) AS hi",
+        "bit_and(l_linenumber) AS b_and", "bit_or(l_linenumber) AS b_or", "bit_xor(l_linenumber) AS b_xor",
+        "count(DISTINCT l_suppkey) AS uniq",
+        "CASE WHEN count(DISTINCT l_returnflag) = 1 THEN max(l_returnflag) END AS single")])
+
+
+@query("registry_sum_map", """
+SELECT l_returnflag, l_linenumber AS key, SUM(l_quantity) AS total FROM lineitem GROUP BY 1, 2""")
+def _(spark, sf):
+    # one (key -> sum) map per group, opened again for comparison; seven keys
+    sums = t(spark, sf, "lineitem").groupBy("l_returnflag", "l_linenumber").agg(F.sum("l_quantity").alias("total"))
+    maps = sums.groupBy("l_returnflag").agg(F.map_from_entries(F.collect_list(F.struct("l_linenumber", "total"))).alias("m"))
+    return maps.select("l_returnflag", F.explode("m").alias("key", "total"))
+
+
+@query("registry_top_k", """
+SELECT l_suppkey, COUNT(*) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, l_suppkey LIMIT 5""")
+def _(spark, sf):
+    n = t(spark, sf, "lineitem").groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
+    return n.orderBy(F.col("n").desc(), "l_suppkey").limit(5)
+
+
 STEPS = ["event_type = 'view'", "event_type = 'click'", "event_type = 'purchase'"]
 
 

@@ -37,9 +37,11 @@ def _match(df, arm, labels, order, key, hot_rows):
     strata = (
         strata.join(F.broadcast(slices), "_slice")
         .withColumn("_start", F.col("_start") + F.coalesce(F.sum("_pairs").over(inside), F.lit(0)))
+        .withColumn("_arm", F.explode(F.array(F.lit(1), F.lit(-1))))
         .drop("_slice")
     )
-    placed = ranked(rows, [*names, "_arm"], order, key, hot_rows).join(strata, names, "left")
+    # joined on the columns the ranks are partitioned by: the rows are not shuffled again
+    placed = ranked(rows, [*names, "_arm"], order, key, hot_rows).join(strata, [*names, "_arm"], "left")
     index = F.when(F.col("rank") <= F.col("_pairs"), F.col("_arm") * (F.col("_start") + F.col("rank")))
     matched = placed.select(*df.columns, F.coalesce(index, F.lit(0)).cast("bigint").alias("match_index"))
     rest = base.where(~usable).select(*df.columns, F.lit(0).cast("bigint").alias("match_index"))
