@@ -81,12 +81,12 @@ def bootstrap_moments(df, cols, sample, bs_num, seed=0, index=None, where=None,
     size = _sample_size(sample, total)
     buckets = max(MIN_BUCKETS, -(-total // rows_per_bucket))
 
-    distinct = rows.groupBy(*names, "_index", "_flag").agg(F.count(F.lit(1)).alias("_copies"))
-    distinct = distinct.withColumn("_bucket", stable_bucket([*names, "_index", "_flag"], buckets, seed))
+    hashed = rows.withColumn("_bucket", stable_bucket([*names, "_index", "_flag"], buckets, seed))
+    distinct = hashed.groupBy(*names, "_index", "_flag", "_bucket").agg(F.count(F.lit(1)).alias("_copies"))
 
     # draws per super-bucket, on the driver; with few buckets these are the buckets
     single = buckets <= SUPER
-    census = distinct.groupBy("_bucket").agg(F.sum("_copies").alias("rows"))
+    census = hashed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("rows"))
     census = census.withColumn("_super", F.pmod("_bucket", F.lit(SUPER)))
     supers = {r["_super"]: r["rows"] for r in census.groupBy("_super").agg(F.sum("rows").alias("rows")).collect()}
     order = sorted(supers)

@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from estimand.functions.columns import as_column, as_double
-from estimand.plans.prefix import prefix_sum
+from estimand.plans.prefix import global_position
 
 
 def lift_gain_curve(df, ite, y, t, key, k=1000, discrete=True):
@@ -19,14 +19,14 @@ def lift_gain_curve(df, ite, y, t, key, k=1000, discrete=True):
     names = [f"_k{i}" for i in range(len(key))]
     rows = df.select(
         as_double(ite).alias("_ite"), as_double(y).alias("_y"), as_double(t).alias("_t"),
-        *[as_column(c).alias(n) for c, n in zip(key, names)], F.lit(1).alias("_one"),
+        *[as_column(c).alias(n) for c, n in zip(key, names)],
     ).dropna()
     center = rows.agg(F.count(F.lit(1)).alias("n"), F.avg("_t").alias("t"), F.avg("_y").alias("y")).first()
     n = center["n"]
     if not n:
         raise ValueError("no complete rows")
-    placed = prefix_sum(rows, [F.col("_ite").desc(), *names], ["_one"], keep=["_y", "_t"])
-    bucket = F.floor(F.col("_one_before") * F.lit(k) / F.lit(n)).cast("int") + 1
+    placed = global_position(rows, [F.col("_ite").desc(), *names], keep=["_y", "_t"])
+    bucket = F.expr(f"position * {int(k)}L div {n}L").cast("int") + 1
     if discrete:
         treated, y0 = F.col("_t") == 1, 0.0
         sums = {

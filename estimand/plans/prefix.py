@@ -8,30 +8,59 @@ value that holds a third of the rows is still one row, or many splittable ones.
 
 import os
 import tempfile
+import uuid
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Window as W, functions as F
 
 
-def reliable_checkpoint(df):
-    """``checkpoint()`` in the cluster's shared folder.
-
-    ``spark.checkpoint.dir`` of the session wins; a temporary folder is used
-    only where nothing is configured (local tests).
-    """
-    spark = df.sparkSession
+def shared_folder(spark):
+    """The cluster's checkpoint folder: ``spark.checkpoint.dir`` of the session;
+    a temporary folder only where nothing is configured (local tests)."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+        shared = spark.conf.get("spark.checkpoint.dir", None)
         if not shared:
             if not sc.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
             shared = os.path.join(tempfile.gettempdir(), "estimand-checkpoints")
         sc.setCheckpointDir(shared)
+    return sc.getCheckpointDir()
+
+
+def reliable_checkpoint(df):
+    """``checkpoint()`` in the shared folder; keeps partitions and their order."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stored(df):
+    """Parquet copy in the shared folder: later reads prune columns."""
+    path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def global_position(df, order, keep=None):
+    """Add ``position``: the number of rows ordered before this one.
+
+    ``order`` must identify rows.  Rows are range-partitioned and sorted; the
+    partition and index of a row (``monotonically_increasing_id``) are stored
+    with it, and the row counts of earlier partitions are broadcast (one row
+    per partition).
+    """
+    kept = list(df.columns if keep is None else keep)
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    fixed = stored(ranged.select(*kept, F.monotonically_increasing_id().alias("_mid")))
+    fixed = fixed.withColumn("_pid", F.shiftright("_mid", 33))
+    upto = W.partitionBy(F.lit(0)).orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)
+    starts = fixed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_pid", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_start"))
+    inside = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
+    return fixed.join(F.broadcast(starts), "_pid").select(*kept, (F.col("_start") + inside).alias("position"))
+
+
 def sorted_partials(df, order, fn, schema):
     """Range-partition by ``order``, sort, and map each partition to partials.
 

@@ -1,13 +1,13 @@
 """Row numbers within groups that may be hot.
 
-A plain window sorts a whole group in one task.  Groups larger than a limit are
-cut into ordered slices first: the window then runs per (group, slice) and the
-rank is the local row number plus the number of rows in earlier slices.
+A plain window sorts a whole group in one task.  Rows of groups larger than a
+limit are sorted globally by (group, order) in range partitions instead; the
+rank is the global position minus that of the first row of the group.
 """
 
 from pyspark.sql import Window as W, functions as F
 
-from estimand.plans.prefix import reliable_checkpoint
+from estimand.plans.prefix import global_position
 
 HOT_ROWS = 2_000_000
 MAX_HOT_GROUPS = 10_000
@@ -18,8 +18,7 @@ def ranked(df, groups, order, key, hot_rows=HOT_ROWS):
 
     ``key`` columns identify rows.  A group counts as hot when it exceeds
     max(hot_rows, n / 10,000) rows, so there are at most 10,000 hot groups and
-    the broadcast list of them is bounded.  Within hot groups the slices are
-    the range partitions of (order, key), which splits repeated order values
+    the broadcast lists of them are bounded.  Repeated order values are split
     by key.
     """
     order_by = [F.col(o) if isinstance(o, str) else o for o in order] + [F.col(k) for k in key]
@@ -37,23 +36,12 @@ def ranked(df, groups, order, key, hot_rows=HOT_ROWS):
     cold_rows = df.join(hot_df, same, "left_anti").withColumn("rank", F.row_number().over(plain).cast("bigint"))
     hot_rows_df = df.join(hot_df, same, "left_semi")
 
-    # range partitions of (order, key); the partition number is stored before use
-    sliced = reliable_checkpoint(
-        hot_rows_df.repartitionByRange(*order_by).withColumn("_slice", F.spark_partition_id())
-    )
-    per_slice = W.partitionBy(*groups, "_slice").orderBy(*order_by)
-    earlier = W.partitionBy(*groups).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        sliced.groupBy(*groups, "_slice")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_offset", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-        .drop("_rows")
-    )
-    numbered = sliced.withColumn("_local", F.row_number().over(per_slice)).alias("n")
-    offsets = offsets.alias("o")
-    on = [F.col(f"n.{g}").eqNullSafe(F.col(f"o.{g}")) for g in groups]
-    on.append(F.col("n._slice") == F.col("o._slice"))
-    hot_ranked = numbered.join(offsets, on, "inner").select(
-        *[F.col(f"n.{c}") for c in df.columns], (F.col("_local") + F.col("_offset")).cast("bigint").alias("rank")
-    )
+    # hot groups lie next to each other in one global order, cut wherever a
+    # partition is full; the list of group starts is as short as that of hot groups
+    placed = global_position(hot_rows_df, [*[F.col(g) for g in groups], *order_by])
+    starts = placed.groupBy(*groups).agg(F.min("position").alias("_first")).alias("s")
+    placed = placed.alias("p")
+    on = [F.col(f"p.{g}").eqNullSafe(F.col(f"s.{g}")) for g in groups]
+    hot_ranked = placed.join(F.broadcast(starts), on).select(
+        *[F.col(f"p.{c}") for c in df.columns], (F.col("position") - F.col("_first") + 1).alias("rank"))
     return cold_rows.unionByName(hot_ranked)
