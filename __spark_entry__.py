@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -22,6 +23,8 @@ from estimand.operators import (  # noqa: E402
 )
 from estimand.operators.groupset import group_set  # noqa: E402
 from estimand.plans.moments import moments  # noqa: E402
+from estimand.plans.prefix import shared_folder  # noqa: E402
+from estimand.plans.ranks import ranked  # noqa: E402
 from estimand.sources import files, jdbc, tables  # noqa: E402
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,6 +149,44 @@ def _(spark, sf):
     return jdbc.read_union([a, b]).groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.sum("k").alias("total"))
 
 
+def _scratch(spark, kind):
+    return f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+
+
+@query("io_export_table", "SELECT COUNT(*) AS n, ROUND(SUM(o_totalprice), 2) AS total FROM orders")
+def _(spark, sf):
+    path = _scratch(spark, "export")
+    tables.export_table(t(spark, sf, "orders"), path)
+    return files.read_parquet(spark, path).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
+@query("io_partition_list_read", """
+SELECT l_returnflag, COUNT(*) AS n, SUM(l_quantity) AS qty FROM lineitem WHERE l_returnflag IN ('A', 'N') GROUP BY 1""")
+def _(spark, sf):
+    path = _scratch(spark, "parts")
+    t(spark, sf, "lineitem").select("l_quantity", "l_returnflag").write.partitionBy("l_returnflag").parquet(path)
+    return files.read_partitions(spark, path, "l_returnflag", ["A", "N"]).groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("qty"))
+
+
+@query("io_read_columnar_text", "SELECT event_type, COUNT(*) AS n, ROUND(SUM(value), 2) AS total FROM events GROUP BY 1")
+def _(spark, sf):
+    path = _scratch(spark, "orc")
+    t(spark, sf, "events").select("event_type", "value").write.orc(path)
+    return files.read_columnar_text(spark, path, "orc", glob="*.orc").groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total"))
+
+
+@query("io_csv_import", """
+SELECT c_mktsegment, COUNT(*) AS n, CAST(SUM(c_custkey) AS BIGINT) AS keys, ROUND(SUM(c_acctbal), 2) AS balance FROM customer GROUP BY 1""")
+def _(spark, sf):
+    path = _scratch(spark, "csv")
+    t(spark, sf, "customer").write.option("header", True).csv(path)
+    return files.import_csv(spark, path, {"c_custkey": int, "c_acctbal": float}).groupBy("c_mktsegment").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("c_custkey").alias("keys"), F.round(F.sum("c_acctbal"), 2).alias("balance"))
+
+
 @query("io_size_guard", "SELECT COUNT(*) AS n FROM orders")
 def _(spark, sf):
     return files.size_guard(t(spark, sf, "orders")).agg(F.count(F.lit(1)).alias("n"))
@@ -344,6 +385,17 @@ def _(spark, sf):
         "c_custkey", F.coalesce("n", F.lit(0)).alias("orders"))
 
 
+@query("join_colocated", """
+SELECT o_orderstatus, COUNT(*) AS n, ROUND(SUM(l_quantity), 2) AS qty FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1""")
+def _(spark, sf):
+    # both sides partitioned by the key once; the join and any later grouping by it reuse that
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    o = t(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), "o_orderstatus").repartition(n, "k")
+    li = t(spark, sf, "lineitem").select(F.col("l_orderkey").alias("k"), "l_quantity").repartition(n, "k")
+    return o.join(li, "k").groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("l_quantity"), 2).alias("qty"))
+
+
 @query("join_small_stats", """
 WITH s AS (SELECT n_nationkey, COUNT(*) AS suppliers FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY 1)
 SELECT n_name, COUNT(*) AS customers, MAX(suppliers) AS suppliers
@@ -360,9 +412,9 @@ def _(spark, sf):
 @query("agg_basic", """
 SELECT l_returnflag, COUNT(l_extendedprice) AS cnt, ROUND(AVG(l_extendedprice), 4) AS mean,
        ROUND(SUM(l_extendedprice), 2) AS total, ROUND(VAR_SAMP(l_extendedprice), 2) AS var
-FROM lineitem WHERE l_orderkey % 2 = 1 GROUP BY 1""")
+FROM lineitem WHERE l_tax > 0 GROUP BY 1""")
 def _(spark, sf):
-    return line(spark, sf).where("arm = 1").groupBy("l_returnflag").agg(
+    return line(spark, sf).where("l_tax > 0").groupBy("l_returnflag").agg(
         F.count("l_extendedprice").alias("cnt"), F.round(F.avg("l_extendedprice"), 4).alias("mean"),
         F.round(F.sum("l_extendedprice"), 2).alias("total"), F.round(F.var_samp("l_extendedprice"), 2).alias("var"))
 
@@ -414,8 +466,6 @@ def _(spark, sf):
 SELECT c_mktsegment, COUNT(*) AS n, COUNT(*) AS top, COUNT(*) * (COUNT(*) + 1) // 2 AS total
 FROM customer GROUP BY c_mktsegment""")
 def _(spark, sf):
-    from estimand.plans.ranks import ranked
-
     c = t(spark, sf, "customer")
     r = ranked(c, ["c_mktsegment"], [F.xxhash64(F.lit(1), "c_custkey")], ["c_custkey"])
     return r.groupBy("c_mktsegment").agg(
@@ -427,8 +477,6 @@ SELECT c_custkey, CAST(FLOOR((c_acctbal + 1000.0) / 11000.0 * 5) AS BIGINT) + 1
   ROW_NUMBER() OVER (PARTITION BY CAST(FLOOR((c_acctbal + 1000.0) / 11000.0 * 5) AS BIGINT) ORDER BY c_acctbal, c_custkey) AS rn
 FROM customer""")
 def _(spark, sf):
-    from estimand.plans.ranks import ranked
-
     c = match_customer(spark, sf).withColumn("bin", F.floor(F.col("score") * 5).cast("bigint") + 1)
     return ranked(c, ["bin"], ["c_acctbal"], ["c_custkey"]).select("c_custkey", "bin", F.col("rank").alias("rn"))
 

@@ -79,6 +79,13 @@ class _Reader:
         raise ValueError(f"unsupported metric formula element: {ast.unparse(node)}")
 
 
+def _parse(text):
+    try:
+        return ast.parse(text.strip(), mode="eval")
+    except SyntaxError:
+        raise ValueError(f"cannot read metric {text!r}; pass SQL expressions through args as x1..xn") from None
+
+
 def _terms(node):
     if isinstance(node, ast.BinOp) and isinstance(node.op, ast.Add):
         return _terms(node.left) + _terms(node.right)
@@ -93,10 +100,9 @@ def read_metric(g, args=None, cuped=None):
     are the covariates.
     """
     reader = _Reader(args)
-    metrics = [Metric(reader.read(ast.parse(g, mode="eval")))]
+    metrics = [Metric(reader.read(_parse(g)))]
     if cuped:
-        text = re.sub(r"^\s*[xX]\s*=", "", cuped)
-        for term in _terms(ast.parse(text.strip(), mode="eval").body):
+        for term in _terms(_parse(re.sub(r"^\s*[xX]\s*=", "", cuped)).body):
             metrics.append(Metric(reader.read(term)))
     if not reader.columns:
         raise ValueError("metric formula uses no column")

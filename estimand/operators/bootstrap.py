@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from estimand.functions.columns import as_column, as_double, stable_bucket
 from estimand.functions.formula import read_metric
-from estimand.operators.regress import ols_from_moments, read_model, solve
+from estimand.operators.regress import LinearModel, ols_from_moments, read_model, solve
 from estimand.operators.ttest import TTEST_SCHEMA, MetricStats, t_tail, ttest_2samp_from_moments
 from estimand.plans.finalize import finalize
 from estimand.plans.moments import Moments
@@ -180,8 +180,6 @@ def bootstrap_ols(df, formula, sample, bs_num, bias=True, seed=0, where=None):
 
 def bootstrap_predict(df, formula, sample, bs_num, replicate, bias=True, seed=0, train=None, xs=None):
     """Predict every row of ``df`` with the coefficients of one replicate."""
-    from estimand.operators.regress import LinearModel
-
     y, terms = read_model(formula)
     if not 0 <= replicate < bs_num:
         raise ValueError("replicate is out of range")

@@ -18,6 +18,13 @@ from estimand.plans.moments import NATIVE_PRODUCTS, collect_moments, invert
 
 OPTIMIZERS = ("SGD", "Momentum", "Nesterov", "Adam", "Lasso")
 
+# Fixed values of the update rules.
+MOMENTUM_KEEP = 0.1
+NESTEROV_KEEP = 0.9
+ADAM_BETA1 = 0.9
+ADAM_BETA2 = 0.999
+ADAM_EPS = 1e-6
+
 
 def soft(v, limit):
     return np.sign(v) * np.maximum(0.0, np.abs(v) - limit)
@@ -79,7 +86,7 @@ class Updater:
     memory: dict = field(default_factory=dict)
 
     def look_ahead(self, w):
-        return w + 0.9 * self.memory.get("v", 0.0) if self.name == "Nesterov" else w
+        return w + NESTEROV_KEEP * self.memory.get("v", 0.0) if self.name == "Nesterov" else w
 
     def apply(self, w, gradient):
         self.step += 1
@@ -88,14 +95,16 @@ class Updater:
         if self.name == "Lasso":
             return soft(w + self.lr * gradient, self.lr * self.penalty)
         if self.name in ("Momentum", "Nesterov"):
-            keep = 0.1 if self.name == "Momentum" else 0.9
+            keep = MOMENTUM_KEEP if self.name == "Momentum" else NESTEROV_KEEP
             v = keep * self.memory.get("v", np.zeros_like(w)) + self.lr * gradient
             self.memory["v"] = v
             return w + v
-        a = 0.9 * self.memory.get("a", np.zeros_like(w)) + 0.1 * gradient
-        q = 0.999 * self.memory.get("q", np.zeros_like(w)) + 0.001 * gradient**2
+        zero = np.zeros_like(w)
+        a = ADAM_BETA1 * self.memory.get("a", zero) + (1 - ADAM_BETA1) * gradient
+        q = ADAM_BETA2 * self.memory.get("q", zero) + (1 - ADAM_BETA2) * gradient**2
         self.memory.update(a=a, q=q)
-        return w + self.lr * a / (1 - 0.9**self.step) / (np.sqrt(q / (1 - 0.999**self.step)) + 1e-6)
+        fair_a, fair_q = a / (1 - ADAM_BETA1**self.step), q / (1 - ADAM_BETA2**self.step)
+        return w + self.lr * fair_a / (np.sqrt(fair_q) + ADAM_EPS)
 
 
 class PenalizedModel:

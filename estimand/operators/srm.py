@@ -6,7 +6,9 @@ from estimand.functions import dist
 from estimand.functions.columns import as_column, as_double
 from estimand.plans.finalize import finalize
 
+# Group limit and the smallest usable total, expectation, statistic.
 MAX_GROUPS = 1000
+TINY = 1e-6
 
 
 def chi_square(observed, ratios):
@@ -16,13 +18,13 @@ def chi_square(observed, ratios):
     if not observed:
         return None, None, "the table is empty"
     total_ratio, total = sum(ratios), sum(observed)
-    if abs(total_ratio) <= 1e-6:
+    if abs(total_ratio) <= TINY:
         return None, None, "the ratios must not sum to zero"
     expected = [r / total_ratio * total for r in ratios]
-    if min(expected) <= 1e-6:
+    if min(expected) <= TINY:
         return None, None, "expected counts must be positive"
     chi2 = sum((o - e) ** 2 / e for o, e in zip(observed, expected))
-    if chi2 <= 1e-6:
+    if chi2 <= TINY:
         return None, None, "chi-square is zero"
     return chi2, dist.chi2_sf(chi2, len(observed) - 1), None
 

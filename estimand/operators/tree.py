@@ -20,7 +20,9 @@ from estimand.operators.fdr import q_values
 from estimand.plans.moments import Moments, merge_all
 
 NUMERIC = ("byte", "short", "integer", "long", "float", "double", "decimal")
+# Smallest left arm of a split, normal quantile of node intervals.
 MIN_ARM = 100
+Z_INTERVAL = 1.96
 COLLAPSE_FACTOR = 20  # collapse when it leaves at most 1/20 of the rows
 SUMS = ("y1", "y1_sq", "n1", "y0", "y0_sq", "n0")
 
@@ -193,15 +195,15 @@ def node_inference(m1, m0, ate, is_root):
     e1, e2 = y1 - y0, y1 - y0 - ate
     e3, e4 = y1 / y0 - 1, (y1 - ate) / y0 - 1
     z1, z2 = ratio(e1, std), ratio(e2, std)
-    scale(1, e1, z1, 1.96 * std)
-    scale(2, e2, z2, 1.96 * std)
-    scale(3, e3, z1, 1.96 * std * ratio(e3, e1))
+    scale(1, e1, z1, Z_INTERVAL * std)
+    scale(2, e2, z2, Z_INTERVAL * std)
+    scale(3, e3, z1, Z_INTERVAL * std * ratio(e3, e1))
     if is_root:
         # the root is its own baseline
         out["est_point2"] = 0.0
         scale(4, 0.0, z2, 0.0)
     else:
-        scale(4, e4, z2, 1.96 * std * ratio(e4, e2))
+        scale(4, e4, z2, Z_INTERVAL * std * ratio(e4, e2))
     return out
 
 

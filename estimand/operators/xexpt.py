@@ -12,7 +12,7 @@ from estimand.operators.ttest import adjusted_pair, normal_p
 from estimand.plans.finalize import finalize
 from estimand.plans.moments import Moments
 
-BUCKETS = 128
+BUCKETS = 128  # fixed value: the top seven hash bits
 SCHEMA = (
     "group0 string, group1 string, numerator0 double, numerator1 double, "
     "denominator0 double, denominator1 double, numerator_pre0 double, numerator_pre1 double, "
