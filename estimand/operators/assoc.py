@@ -29,7 +29,9 @@ def categorical_assoc(df, a, b):
         # sum n log(n / nb): the conditional entropy of a given b, times -N
         F.sum(n * (log_n - F.log("nb"))).alias("h_cond"),
         F.sum(n * (F.log("na"))).alias("h_a"),
-        F.count_distinct("a").cast("double").alias("r"), F.count_distinct("b").cast("double").alias("c"),
+    ).select(
+        "*", rows.agg(F.count(F.lit(1)).cast("double")).scalar().alias("r"),
+        cols.agg(F.count(F.lit(1)).cast("double")).scalar().alias("c"),
     )
     phi2 = F.greatest(F.col("s") - 1, F.lit(0.0))
     total = F.col("n")

@@ -105,8 +105,8 @@ def split_candidates(cells, parents, total, min_ratio, min_arm=MIN_ARM):
     node, feature, value, rank, tau, the left / right effects and gain (NULL
     where a size rule fails).
     """
-    table = F.create_map(*[F.lit(x) for node, (n, e) in parents.items() for x in (node, F.struct(
-        F.lit(n).alias("n"), F.lit(e).cast("double").alias("e")))])
+    table = "map(" + ", ".join(
+        f"{node}, named_struct('n', {n}L, 'e', double('{float(e)!r}'))" for node, (n, e) in parents.items()) + ")"
     usable = cells.where("feature <> '' and n1 > 0 and n0 > 0").where(F.col("node").isin(list(parents))).selectExpr(
         "*", "y1 / n1 - y0 / n0 AS tau")
     part = "PARTITION BY node, feature"
@@ -115,7 +115,7 @@ def split_candidates(cells, parents, total, min_ratio, min_arm=MIN_ARM):
         "node", "feature", "value", "tau", f"row_number() OVER ({part} ORDER BY tau DESC, value) AS rank",
         f"count(1) OVER ({part}) AS values",
         *[f"sum({c}) OVER {upto} AS l_{c}" for c in SUMS], *[f"sum({c}) OVER ({part}) AS a_{c}" for c in SUMS],
-    ).withColumn("parent", table[F.col("node")])
+    ).selectExpr("*", f"{table}[node] AS parent")
     floor = float(min_ratio * total)
     allowed = (
         f"rank < values and l_n0 > {min_arm} and l_n1 > {min_arm} and l_n1 + l_n0 > {floor}D "
@@ -256,12 +256,11 @@ class CausalTree:
     def _overall(self, work):
         """Sizes, pooled ATE, ATE of the estimation half; whether collapsing equal
         feature rows pays (their number is estimated in the same scan)."""
-        t, y, test = F.col("_t"), F.col("_y"), F.col("_test")
-        cells = {(h, a): (test == h) & (t == a) for h in (0, 1) for a in (0, 1)}
+        cells = [(half, arm) for half in (0, 1) for arm in (0, 1)]
         row = work.agg(
-            *[F.count_if(c).alias(f"n{h}{a}") for (h, a), c in cells.items()],
-            *[F.sum(F.when(c, y).otherwise(0.0)).alias(f"s{h}{a}") for (h, a), c in cells.items()],
-            F.count_if(~t.isin(0, 1)).alias("other"),
+            *[F.expr(f"count_if(_test = {h} and _t = {a}) AS n{h}{a}") for h, a in cells],
+            *[F.expr(f"sum(if(_test = {h} and _t = {a}, _y, 0D)) AS s{h}{a}") for h, a in cells],
+            F.expr("count_if(_t not in (0, 1)) AS other"),
             F.approx_count_distinct(F.xxhash64("_test", "_t", *self._cols.values())).alias("distinct"),
         ).first()
         n = {k: row[f"n{k[0]}{k[1]}"] for k in cells}
@@ -292,11 +291,11 @@ class CausalTree:
 
     def _grow(self, train):
         nodes = {1: Node(1, 0, ())}
-        open_nodes, gains = [1], {}
+        open_nodes, gains, totals = [1], {}, None
         for _ in range(self.depth):
             member = self._membership(nodes)
             cells = cell_sums(train, F.when(member.isin(open_nodes), member), self._cols).persist()
-            splits = self._split_level(cells, {n: nodes[n].impurity for n in open_nodes}, gains)
+            splits, totals = self._split_level(cells, {n: nodes[n].impurity for n in open_nodes}, gains, totals)
             cells.unpersist()
             open_nodes = []
             for s in splits:
@@ -315,10 +314,14 @@ class CausalTree:
         self.nodes_by_id = nodes
         self.importance = gains
 
-    def _split_level(self, cells, impurity, gains):
-        """Best split per open node; adds positive gains to the importances."""
+    def _split_level(self, cells, impurity, gains, totals):
+        """Best split per open node; adds positive gains to the importances.
+
+        ``totals`` of the open nodes are counted at the root and follow from the
+        parent's winning feature below it; returns the splits and those totals.
+        """
         parents = {}
-        for node, r in node_totals(cells).items():
+        for node, r in (node_totals(cells) if totals is None else totals).items():
             n = r["n1"] + r["n0"]
             # stop rules: too small, an empty arm, or no variance in an arm
             flat = any(
@@ -328,7 +331,7 @@ class CausalTree:
             if not flat and n >= self.min_ratio * self.train_n:
                 parents[node] = (n, r["effect"] if impurity[node] is None else impurity[node])
         if not parents:
-            return []
+            return [], {}
         candidates = split_candidates(cells, parents, self.train_n, self.min_ratio, self.min_arm)
         # one row per node and feature
         top = candidates.where("gain > 0").groupBy("node", "feature").agg(
@@ -341,7 +344,7 @@ class CausalTree:
             if r["node"] not in best or r["best"]["gain"] > best[r["node"]]["best"]["gain"]:
                 best[r["node"]] = r
         if not best:
-            return []
+            return [], {}
         # categories of the winners: left of the cut in (effect desc, value) order
         tau = F.col("y1") / F.col("n1") - F.col("y0") / F.col("n0")
         is_left, won = F.lit(None).cast("boolean"), F.lit(False)
@@ -351,14 +354,23 @@ class CausalTree:
             won = won | mine
             cut = F.lit(b["tau"])
             is_left = F.when(mine, (tau > cut) | ((tau == cut) & (F.col("value") <= b["value"]))).otherwise(is_left)
-        values = cells.where("n1 > 0 and n0 > 0").where(won).select("node", "value", is_left.alias("left")).collect()
-        out = []
+        # values seen in one arm only have no effect: they go right, but are no category
+        one_arm = (F.col("n1") == 0) | (F.col("n0") == 0)
+        values = cells.where(won).select("node", "value", one_arm.alias("one_arm"), *SUMS,
+                                         F.when(one_arm, F.lit(False)).otherwise(is_left).alias("left")).collect()
+        out, below = [], {}
         for node, r in sorted(best.items()):
-            sides = {side: [v["value"] for v in values if v["node"] == node and v["left"] == side] for side in (True, False)}
+            sides = {side: [v for v in values if v["node"] == node and v["left"] == side] for side in (True, False)}
+            for child, side in ((2 * node, True), (2 * node + 1, False)):
+                below[child] = {c: sum(v[c] for v in sides[side]) for c in SUMS}
             b = r["best"]
-            out.append({"node": node, "feature": r["feature"], "gain": b["gain"], "left_effect": b["left_effect"],
-                        "right_effect": b["right_effect"], "left": sides[True], "right": sides[False]})
-        return out
+            out.append({
+                "node": node, "feature": r["feature"], "gain": b["gain"],
+                "left_effect": b["left_effect"], "right_effect": b["right_effect"],
+                "left": [v["value"] for v in sides[True]],
+                "right": [v["value"] for v in sides[False] if not v["one_arm"]],
+            })
+        return out, below
 
     def _estimate(self, test):
         """Arm moments per deepest node, merged upwards on the driver."""
