@@ -7,6 +7,7 @@ moments, prefix sums and finalizers.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 import uuid
@@ -1559,6 +1560,24 @@ def _(spark, sf):
 # ---- contract ---------------------------------------------------------------------------------
 
 
+def _add_llm():
+    """Queries of the optional subpackage and of the corpus pipeline, where their files are there."""
+    if importlib.util.find_spec("estimand.llm") is not None:
+        from estimand.llm import queries as llm
+
+        _QUERIES.update(llm.QUERIES)
+        _ORACLES.update(llm.ORACLES)
+        if importlib.util.find_spec("corpus_pipeline") is not None:
+            import corpus_pipeline
+
+            _QUERIES["pipeline"] = corpus_pipeline.run
+            if corpus_pipeline.ORACLE_SQL is not None:
+                _ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
+_add_llm()
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Two-sample delta-method t-test of price per line between order arms."""
     return ttest.ttest_2samp(expt_order(spark, "/root/testdata/sf0.001"), "avg(num)/avg(den)", "arm")
