@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from estimand.llm import secret_scan
+from estimand.llm import best_fit, packed_ids, secret_scan
 
 QUERIES, ORACLES = {}, {}
 
@@ -23,3 +23,14 @@ def t(spark, sf, name):
 @query("op9_secret_scan")
 def op9_secret_scan(spark, sf):
     return secret_scan.digest(secret_scan.scan(t(spark, sf, "documents")))
+
+
+@query("op2_best_fit_packing")
+def op2_best_fit_packing(spark, sf):
+    packed = best_fit.pack_documents(t(spark, sf, "documents"))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "bins", "bound")
+
+
+@query("op10_packed_ids")
+def op10_packed_ids(spark, sf):
+    return packed_ids.pack_ids(t(spark, sf, "documents")).withColumnRenamed("keys", "doc_ids")

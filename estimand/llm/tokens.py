@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 #: Entries of the segment cache kept between blocks; others are encoded anew, so the bound changes no result.
 CACHE_ENTRIES = 300_000
 #: Bytes of text that are encoded together.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 SPACE = r"[\s\p{Z}\x{0b}\x{85}\x{1c}-\x{1f}]"
 #: Segments that can't be encoded apart: empty ones, white space at an end (but for one line break before), special strings.
 ODD = rf"\A\n?\z|\A\n{SPACE}|\A[^\S\n]|\A[\p{{Z}}\x{{0b}}\x{{85}}\x{{1c}}-\x{{1f}}]|{SPACE}\z|<\|"
