@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from estimand.llm import best_fit, packed_ids, secret_scan
+from estimand.llm import best_fit, jaccard_join, packed_ids, secret_scan
 
 QUERIES, ORACLES = {}, {}
 
@@ -34,3 +34,8 @@ def op2_best_fit_packing(spark, sf):
 @query("op10_packed_ids")
 def op10_packed_ids(spark, sf):
     return packed_ids.pack_ids(t(spark, sf, "documents")).withColumnRenamed("keys", "doc_ids")
+
+
+@query("op6_jaccard_join")
+def op6_jaccard_join(spark, sf):
+    return jaccard_join.classes(t(spark, sf, "documents"), n=4, percent=85)

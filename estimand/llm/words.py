@@ -42,8 +42,10 @@ def powers(base, n):
     up, down = _POWERS.get(base, (None, None))
     if up is None or len(up) < n:
         size = max(n, 1 << 12)
-        up, down = (np.cumprod(np.concatenate([[1], np.full(size - 1, b, np.uint64)]).astype(np.uint64), dtype=np.uint64)
-                    for b in (base, pow(base, -1, 1 << 64)))
+        up, down = np.full(size, base, np.uint64), np.full(size, pow(base, -1, 1 << 64), np.uint64)
+        for x in (up, down):
+            x[0] = 1
+            np.cumprod(x, out=x)
         _POWERS[base] = up, down
     return up[:n], down[:n]
 
