@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from estimand.llm import best_fit, jaccard_join, packed_ids, secret_scan
+from pyspark.sql import functions as F
+
+from estimand.llm import best_fit, jaccard_join, packed_ids, secret_scan, superkmer
 
 QUERIES, ORACLES = {}, {}
 
@@ -39,3 +41,9 @@ def op10_packed_ids(spark, sf):
 @query("op6_jaccard_join")
 def op6_jaccard_join(spark, sf):
     return jaccard_join.classes(t(spark, sf, "documents"), n=4, percent=85)
+
+
+@query("op8_superkmer_dedup")
+def op8_superkmer_dedup(spark, sf):
+    kept = superkmer.remove_repeats(t(spark, sf, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
