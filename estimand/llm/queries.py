@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from pyspark.sql import functions as F
 
-from estimand.llm import best_fit, jaccard_join, packed_ids, secret_scan, superkmer
+from estimand.llm import best_fit, decontaminate, jaccard_join, packed_ids, secret_scan, superkmer
 
 QUERIES, ORACLES = {}, {}
 
@@ -47,3 +47,8 @@ def op6_jaccard_join(spark, sf):
 def op8_superkmer_dedup(spark, sf):
     kept = superkmer.remove_repeats(t(spark, sf, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op1_spaced_seed_decontamination")
+def op1_spaced_seed_decontamination(spark, sf):
+    return decontaminate.overlaps(t(spark, sf, "documents"), t(spark, sf, "benchmark"))
