@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from pyspark.sql import functions as F
 
-from estimand.llm import best_fit, decontaminate, jaccard_join, packed_ids, secret_scan, superkmer
+from estimand.llm import best_fit, decontaminate, jaccard_join, linear, packed_ids, quality, secret_scan, superkmer
 
 QUERIES, ORACLES = {}, {}
 
@@ -52,3 +52,10 @@ def op8_superkmer_dedup(spark, sf):
 @query("op1_spaced_seed_decontamination")
 def op1_spaced_seed_decontamination(spark, sf):
     return decontaminate.overlaps(t(spark, sf, "documents"), t(spark, sf, "benchmark"))
+
+
+@query("op7_quality_classifier")
+def op7_quality_classifier(spark, sf):
+    docs = t(spark, sf, "documents").select("doc_id", "text")
+    found = quality.score(docs, quality.fit(docs, t(spark, sf, "labels")))
+    return found.select("doc_id", linear.held_out("doc_id").alias("held_out"), "score", "predicted")
