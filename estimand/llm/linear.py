@@ -1,8 +1,8 @@
 """Sparse linear models trained by follow-the-regularised-leader updates, in shards whose states are averaged.
 
-The sample is dealt into a fixed number of shards; in every round each shard
-makes one pass from the common state and returns what it changed, and the mean
-change is the next common state.  The state has a fixed size (the hashed
+The sample is dealt into shards of a few thousand rows; in every round each shard
+makes one pass from the common state and returns what it changed; each coordinate
+moves by the mean change over the shards that touched it.  The state has a fixed size (the hashed
 dimension), so it may go through the driver; rows never do.
 """
 
@@ -14,7 +14,7 @@ from estimand.llm import words
 from estimand.plans.prefix import stored
 
 BITS = 18
-SHARDS = 8
+SHARD_ROWS = 5_000
 
 
 def hashed(h, salt, bits=BITS):
@@ -72,16 +72,16 @@ def logistic_step(state, y, at, x):
     state.update(at, x, p - y)
 
 
-def trained(sample, state, step, rounds=4, shards=SHARDS):
+def trained(sample, state, step, rounds=4):
     """Fit ``state`` to stored rows (row_hash long, y, at array<int>, x array<double>); ``step(state, y, at, x)`` makes one update."""
-    rows = sample.withColumn("shard", F.pmod("row_hash", F.lit(shards)))
+    rows = sample.withColumn("shard", F.pmod("row_hash", F.lit(max(1, round(sample.count() / SHARD_ROWS)))))
     sc = sample.sparkSession.sparkContext
     for r in range(rounds):
         common = sc.broadcast(state.packed())
 
-        change = rows.groupBy("shard").applyInArrow(_shard(state, step, common, r), "i long, d double").groupBy("i").agg(F.sum("d").alias("d")).toArrow()
+        change = rows.groupBy("shard").applyInArrow(_shard(state, step, common, r), "i long, d double").groupBy("i").agg(F.avg("d").alias("d")).toArrow()
         flat = state.packed()
-        flat[change.column("i").to_numpy()] += change.column("d").to_numpy() / shards
+        flat[change.column("i").to_numpy()] += change.column("d").to_numpy()
         state.unpack(flat)
         common.unpersist()
     return state

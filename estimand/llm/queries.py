@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from pyspark.sql import functions as F
 
-from estimand.llm import best_fit, decontaminate, jaccard_join, linear, packed_ids, quality, secret_scan, superkmer
+from estimand.llm import best_fit, decontaminate, jaccard_join, linear, packed_ids, quality, secret_scan, superkmer, toxicity
 
 QUERIES, ORACLES = {}, {}
 
@@ -59,3 +59,9 @@ def op7_quality_classifier(spark, sf):
     docs = t(spark, sf, "documents").select("doc_id", "text")
     found = quality.score(docs, quality.fit(docs, t(spark, sf, "labels")))
     return found.select("doc_id", linear.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
+@query("op4_toxicity")
+def op4_toxicity(spark, sf):
+    docs = t(spark, sf, "documents").select("doc_id", "text")
+    return toxicity.score(docs, toxicity.fit(docs, t(spark, sf, "labels")))
