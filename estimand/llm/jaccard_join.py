@@ -1,19 +1,20 @@
 """Exact Jaccard join of shingle sets in the metric space of Jaccard distances.
 
 1. Sets.  Each text becomes its set of shingle hashes; equal sets are one class.
-2. Blocks.  Unrelated texts are all at distance 1, where the triangle inequality
+2. Families.  Unrelated texts are all at distance 1, where the triangle inequality
    says nothing, so the space is first cut where no link can cross: the hash range
    is sliced so finely that two linked sets must agree on a whole non-empty slice
-   (a pigeonhole count of the elements in which they may differ).  Sets that agree
-   on a slice share a block; blocks with equal members are one.
-3. Regions.  In a block pivots are drawn and all distances to them computed.
-   Members linked to a pivot are joined to it; a block whose members are all
-   connected is done.  The others fall to the Voronoi region of their nearest
-   pivot, boundary members also to the regions in the window that the triangle
-   inequality allows (distance <= nearest + 2 r), and regions are joined in the
-   same way with more pivots until they are small enough to compare all pairs
-   that are not yet connected.
-Nothing is capped: a block that pivots can't separate ends with every member as a pivot.
+   (a pigeonhole count of the elements in which they may differ).  A family holds
+   the classes that are connected by agreeing slices, linked or not.
+3. Pivots.  A family that fits a task is joined there: a pivot's distances to all
+   members give its links, the distances to the first pivots give windows outside
+   which no link is possible, and connected members are never compared again.
+4. Regions.  A larger family gets pivots by an ordinary join.  Its members fall to
+   the Voronoi regions of their nearest pivots; pairs of regions whose distances
+   to some pivot differ by more than the radius are dropped, the members of the
+   largest connected part are compared with the others only, and each remaining
+   pair of regions is joined as in 3.
+Nothing is capped: what pivots can't separate is compared in full, in pairs of regions.
 """
 
 import numpy as np
@@ -25,8 +26,12 @@ from estimand.llm.bitmap import bitmap, inside
 from estimand.llm.components import components
 from estimand.plans.prefix import stored
 
-#: Members up to which all unconnected pairs of a region are compared.
-LEAF = 16
+#: A family up to this many members and set elements is joined in one task (some 30 MB); regions hold half of it.
+LEAF_MEMBERS, LEAF_ITEMS = 2_000, 4_000_000
+#: Pivots of a larger family.
+PIVOTS = 16
+#: Pivots whose distances to all members are kept as windows.
+WINDOWS = 4
 GROWTH = 1.6
 _MASK = np.uint64((1 << 48) - 1)
 
@@ -128,7 +133,7 @@ def _signatures(docs, text, key, n, percent):
 
 
 def _wanted_sets(docs, text, n, wanted):
-    """(cid, n, items) of the classes in ``wanted`` (cid, s1, s2, n): texts are hashed again and those outside the bitmap stay where they are."""
+    """(s1, s2, items) of the sets whose s1 may be in ``wanted``: texts are hashed again, a set once in each task."""
     filled, shift = bitmap(wanted, "s1")
 
     def run(batches):
@@ -137,87 +142,120 @@ def _wanted_sets(docs, text, n, wanted):
             for part in words.blocks(batch, text):
                 t, h = _sets(part.column(text), n)
                 size, s1, s2 = _signed(t, h, part.num_rows)
-                hit = np.flatnonzero((size > 0) & inside(filled.value, shift, s1))
-                hit = np.array([i for i in hit.tolist() if s1[i] not in seen], np.int64)
-                seen.update(s1[hit].tolist())
+                hit = np.flatnonzero((size > 0) & inside(filled.value, shift, s1)) if part.num_rows else np.zeros(0, np.int64)
+                new = []
+                for i in hit.tolist():
+                    if s1[i] not in seen:
+                        seen.add(s1[i])
+                        new.append(i)
+                hit = np.array(new, np.int64)
                 begin, end = np.searchsorted(t, hit), np.searchsorted(t, hit, "right")
                 items = h.view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(s1[hit].view(np.int64)), pa.array(s2[hit].view(np.int64)), pa.array([items[a:b] for a, b in zip(begin, end)], pa.list_(pa.int64()))],
                     names=["s1", "s2", "items"])
 
-    found = docs.select(F.col(text)).mapInArrow(run, "s1 long, s2 long, items array<long>")
-    found = found.join(wanted, ["s1", "s2"])
-    first = found.withColumn("_r", F.row_number().over(W.partitionBy("cid").orderBy("s2"))).where("_r = 1")
-    return first.select("cid", "n", "items")
+    return docs.select(F.col(text)).mapInArrow(run, "s1 long, s2 long, items array<long>")
 
 
-def _measured(pairs, sets):
-    """(a, b, d, linked-ready counts) for distinct pairs: exact intersection and union sizes."""
-    left = sets.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("items").alias("xa"))
-    right = sets.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("items").alias("xb"))
-    both = pairs.join(left, "a").join(right, "b")
-    common = F.size(F.array_intersect("xa", "xb")).cast("long")
-    return both.select("a", "b", common.alias("common"), (F.col("na") + F.col("nb") - common).alias("union"))
+def _linked(sets, label, percent):
+    """Index pairs that connect what links connect; ``label`` tells which members are connected already."""
+    m = len(sets)
+    size = np.array([len(x) for x in sets])
+    start = np.cumsum(size) - size
+    flat = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    mark = np.zeros(int(flat.max()) + 1, bool)
+    label, alive = np.unique(label, return_inverse=True)[1], np.ones(m, bool)
+    radius = 1 - percent / 100 + 1e-9
+    known, out = [], []
+    while True:
+        count = np.bincount(label[alive], minlength=m)
+        if (count > 0).sum() < 2:
+            return out
+        p = int(np.flatnonzero(alive & (label == np.where(count > 0, count, m + 1).argmin()))[0])
+        near = alive & (label != label[p])
+        for d in known:
+            near &= np.abs(d - d[p]) <= radius
+        alive[p] = False
+        if len(known) >= WINDOWS and not near.any():
+            continue
+        own = flat[start[p] : start[p] + size[p]]
+        mark[own] = True
+        common = np.add.reduceat(mark[flat], start)
+        mark[own] = False
+        union = size + size[p] - common
+        if len(known) < WINDOWS:
+            known.append(1 - common / union)
+        for x in np.flatnonzero(near & (100 * common >= percent * union)).tolist():
+            if label[x] != label[p]:
+                out.append((p, x))
+                label[label == label[x]] = label[p]
+
+
+def _joined(percent):
+    """Links (a, b) of sorted rows (leaf, cid, comp, items); a class met twice counts once."""
+
+    def solve(table):
+        cid, first = np.unique(table.column("cid").to_numpy(), return_index=True)
+        if len(cid) < 2:
+            return []
+        table = table.take(pa.array(first))
+        items = table.column("items").combine_chunks()
+        cut, flat = np.asarray(items.offsets), np.asarray(items.values)
+        sets = [flat[a:b] for a, b in zip(cut, cut[1:])]
+        return [(int(cid[a]), int(cid[b])) for a, b in _linked(sets, table.column("comp").to_numpy(), percent)]
 
+    def run(batches):
+        held, last, out = [], None, []
+        for batch in batches:
+            leaf = batch.column("leaf").to_numpy()
+            edges = np.append(np.flatnonzero(np.diff(leaf, prepend=leaf[:1] - 1)), len(leaf))
+            for a, b in zip(edges, edges[1:]):
+                if held and leaf[a] != last:
+                    out += solve(pa.Table.from_batches(held))
+                    held = []
+                held.append(batch.slice(a, b - a))
+                last = leaf[a]
+        if held:
+            out += solve(pa.Table.from_batches(held))
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-def _ordered(pairs):
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+    return run
 
 
-def _unique_blocks(blocks):
-    """Blocks with at least two members, one of those with equal members."""
-    mark = blocks.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.sum(F.xxhash64("cid").cast("decimal(38,0)")).alias("h"), F.min("cid").alias("lo"), F.max("cid").alias("hi"))
-    kept = mark.where("m > 1").groupBy("m", "h", "lo", "hi").agg(F.min("key").alias("key"))
-    return blocks.join(kept.select("key", "m"), "key")
+def _leaf_links(rows, percent):
+    dealt = rows.select("leaf", "cid", "comp", "items").repartition("leaf").sortWithinPartitions("leaf")
+    return dealt.mapInArrow(_joined(percent), "a long, b long")
 
 
-def links(blocks, sets, percent):
-    """Links (a, b) that connect all classes connected by links at ``percent``; ``blocks`` (key, cid) hold every possible pair."""
+def _region_links(members, percent):
+    """Links of the families too large for a task; ``members`` (family, cid, n, items) are stored, a class once."""
     radius = 1 - percent / 100 + 1e-9
-    blocks = stored(_unique_blocks(blocks).select("key", "cid", "m"))
-    sizes = sets.select("cid", "n")
-    label, edges, pivots = None, None, 1
-    while True:
-        held = blocks if label is None else blocks.join(label.select(F.col("node").alias("cid"), "comp"), "cid", "left")
-        held = held.withColumn("comp", F.col("cid") if label is None else F.coalesce("comp", "cid"))
-        split = held.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-        held = stored(held.join(split, "key"))
-        if not held.head(1):
-            return edges if edges is not None else held.select(F.col("cid").alias("a"), F.col("cid").alias("b")).limit(0)
-        small = held.where(F.col("m") <= LEAF) if label is not None else held.limit(0)
-        large = held.where(F.col("m") > LEAF) if label is not None else held
-        draw = [F.min_by("cid", F.xxhash64("cid", F.lit(j), F.lit(pivots))).alias(f"p{j}") for j in range(min(pivots, 64))]
-        chosen = large.groupBy("key").agg(*draw).select("key", F.explode(F.array_distinct(F.array(*[f"p{j}" for j in range(len(draw))]))).alias("pivot"))
-        chosen = stored(chosen)
-        stars = large.join(chosen, "key").select("key", "cid", "pivot")
-        other = small.select("key", F.col("cid").alias("b"), F.col("comp").alias("cb"))
-        leaf = small.join(other, "key").where("cid < b and comp <> cb").select(F.col("cid").alias("a"), "b").distinct()
-        n = sizes.select(F.col("cid").alias("a"), F.col("n").alias("na")), sizes.select(F.col("cid").alias("b"), F.col("n").alias("nb"))
-        leaf = leaf.join(n[0], "a").join(n[1], "b").where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b")
-        pairs = _ordered(stars.select(F.col("cid").alias("a"), F.col("pivot").alias("b")).unionByName(leaf))
-        found = stored(_measured(pairs, sets))
-        near = found.where(f"100 * common >= {percent} * union").select("a", "b")
-        edges = near if edges is None else edges.unionByName(near)
-        label = components(edges)
-        if pivots == 1:
-            blocks = held.select("key", "cid", "m")
-        else:
-            blocks = _regions(stars, chosen, found, radius)
-        pivots *= 4
-
-
-def _regions(stars, chosen, found, radius):
-    """Members that are no pivots, in the Voronoi region of their nearest pivot and in those of its window."""
-    distance = 1 - F.col("common") / F.col("union")
-    way = found.select(F.col("a").alias("cid"), F.col("b").alias("pivot"), distance.alias("d"))
-    back = found.select(F.col("b").alias("cid"), F.col("a").alias("pivot"), distance.alias("d"))
-    rest = stars.join(chosen.select("key", F.col("pivot").alias("cid")), ["key", "cid"], "left_anti")
-    measured = rest.join(way.unionByName(back), ["cid", "pivot"])
-    home = measured.groupBy("key", "cid").agg(F.min(F.struct("d", "pivot")).alias("home"))
-    spread = measured.join(home, ["key", "cid"]).where(
-        (F.col("pivot") == F.col("home.pivot")) | ((F.col("pivot") < F.col("home.pivot")) & (F.col("d") <= F.col("home.d") + 2 * radius)))
-    return stored(_unique_blocks(spread.select(F.xxhash64("key", "pivot").alias("key"), "cid")).select("key", "cid", "m"))
+    draw = [F.min_by("cid", F.xxhash64("cid", F.lit(j))).alias(f"p{j}") for j in range(PIVOTS)]
+    chosen = members.groupBy("family").agg(*draw).select("family", F.posexplode(F.array(*[f"p{j}" for j in range(PIVOTS)])).alias("j", "pivot"))
+    sets = members.select(F.col("cid").alias("pivot"), F.col("n").alias("pn"), F.col("items").alias("pitems"))
+    pivots = chosen.join(sets, "pivot")
+    common = F.size(F.array_intersect("items", "pitems")).cast("long")
+    far = members.join(pivots, "family").select("family", "cid", "j", "pivot", common.alias("common"), (F.col("n") + F.col("pn") - common).alias("union"))
+    far = stored(far.withColumn("d", 1 - F.col("common") / F.col("union")))
+    stars = far.where((F.col("cid") != F.col("pivot")) & (100 * F.col("common") >= percent * F.col("union"))).select(F.col("cid").alias("a"), F.col("pivot").alias("b")).distinct()
+    label = components(stars)
+    place = far.groupBy("family", "cid").agg(F.min(F.struct("d", "j")).alias("home"), F.array_sort(F.collect_list(F.struct("j", "d"))).alias("ds"))
+    place = place.join(label.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+    most = place.groupBy("family", "comp").count().groupBy("family").agg(F.max(F.struct("count", "comp")).alias("most"), F.sum("count").alias("m"))
+    weight = members.groupBy("family").agg(F.sum("n").alias("items"))
+    parts = F.greatest(F.ceil(2 * F.col("m") / LEAF_MEMBERS), F.ceil(2 * F.col("items") / LEAF_ITEMS))
+    place = place.join(most, "family").join(weight, "family").select(
+        "family", "cid", "comp", "ds", (F.col("comp") == F.col("most.comp")).alias("main"), F.col("home.j").alias("j"), parts.alias("parts"))
+    place = stored(place.withColumn("region", F.xxhash64("family", "main", "j", F.pmod(F.xxhash64("cid"), "parts"))))
+    bounds = [f(F.element_at("ds", j + 1)["d"]).alias(f"{a}{j}") for j in range(PIVOTS) for a, f in (("lo", F.min), ("hi", F.max))]
+    regions = place.groupBy("family", "region", "main").agg(*bounds)
+    other = regions.select("family", *[F.col(c).alias(f"o_{c}") for c in regions.columns if c != "family"])
+    apart = " or ".join(f"lo{j} > o_hi{j} + {radius} or o_lo{j} > hi{j} + {radius}" for j in range(PIVOTS))
+    pairs = regions.join(other, "family").where("region <= o_region and not (main and o_main)").where(f"not ({apart})")
+    pairs = pairs.select(F.xxhash64("region", "o_region").alias("leaf"), F.explode(F.array_distinct(F.array("region", "o_region"))).alias("region"))
+    rows = pairs.join(place.select("region", "cid", "comp"), "region").join(members.select("cid", "items"), "cid")
+    return stars.unionByName(stored(_leaf_links(rows, percent)))
 
 
 def classes(docs, text="text", key="doc_id", n=5, percent=80):
@@ -235,14 +273,21 @@ def classes(docs, text="text", key="doc_id", n=5, percent=80):
     groups = stored(full.groupBy("s1", "s2").agg(F.min("rid").alias("cid"), F.min(key).alias("low"), F.first("n_shingles").alias("n")))
     over = W.partitionBy("key")
     keyed = signed.where(F.size("keys") > 0).select(F.explode("keys").alias("key"), "rid")
-    keyed = keyed.withColumns({"_lo": F.min("rid").over(over), "_hi": F.max("rid").over(over)}).where("_lo < _hi").select("key", "rid")
-    to_class = full.join(groups, ["s1", "s2"]).select("rid", "cid")
-    blocks = stored(keyed.join(to_class, "rid").select("key", "cid").distinct())
-    candidates = blocks.groupBy("key").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi")).where("lo < hi").select("key")
-    blocks = blocks.join(candidates, "key")
-    wanted = stored(groups.join(blocks.select("cid").distinct(), "cid").select("cid", "s1", "s2", "n"))
-    sets = stored(_wanted_sets(docs, text, n, wanted))
-    label = components(links(blocks, sets, percent))
+    keyed = keyed.withColumns({"_lo": F.min("rid").over(over), "_hi": F.max("rid").over(over)}).where("_lo < _hi")
+    near = stored(keyed.select(F.col("_lo").alias("a"), F.col("rid").alias("b")).where("a <> b").distinct())
+    cid = full.join(groups, ["s1", "s2"]).select("rid", "cid")
+    near = near.join(cid.select(F.col("rid").alias("a"), F.col("cid").alias("ca")), "a").join(cid.select(F.col("rid").alias("b"), F.col("cid").alias("cb")), "b")
+    family = components(near.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    wanted = groups.join(family.select(F.col("node").alias("cid"), F.col("comp").alias("family")), "cid")
+    sizes = wanted.groupBy("family").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("items"))
+    wanted = stored(wanted.join(sizes, "family").select("cid", "s1", "s2", "n", "family", ((F.col("m") > LEAF_MEMBERS) | (F.col("items") > LEAF_ITEMS)).alias("large")))
+    found = _wanted_sets(docs, text, n, wanted).join(wanted, ["s1", "s2"])
+    usual = found.where("not large").select(F.col("family").alias("leaf"), "cid", F.col("cid").alias("comp"), "items")
+    links = stored(_leaf_links(usual, percent))
+    if wanted.where("large").head(1):
+        members = found.where("large").groupBy("family", "cid", "n").agg(F.first("items").alias("items"))
+        links = links.unionByName(_region_links(stored(members), percent))
+    label = components(links)
     named = groups.join(label.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     lowest = named.groupBy("comp").agg(F.min("low").alias("component_id"))
     by_set = named.join(lowest, "comp").select("s1", "s2", "component_id")
