@@ -29,7 +29,10 @@ CHUNK_BYTES = 4 << 20
 
 
 def _super_kmers(w, size, seed):
-    """(first window, number of windows, minimiser, text) of every super-k-mer; a window has the number of its first word."""
+    """(first window, number of windows, minimiser, text) of every super-k-mer; a window has the number of its first word.
+
+    Least hashes are small numbers, so minimisers are mixed again to fill the range of the bitmap evenly.
+    """
     n = len(w)
     first = w.windows(size)
     if not len(first):
@@ -49,7 +52,7 @@ def _super_kmers(w, size, seed):
     cuts = -(-count // MOST_WINDOWS)
     start = np.repeat(new, cuts) + (np.arange(cuts.sum()) - np.repeat(np.cumsum(cuts) - cuts, cuts)) * MOST_WINDOWS
     count = np.diff(np.append(start, len(first)))
-    return first[start], count, low[start], text[start]
+    return first[start], count, words.mix(low[start]), text[start]
 
 
 def _minimisers(rows, size, seed):
