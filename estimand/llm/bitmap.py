@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 MIN_BITS, MAX_BITS, PER_HASH = 16, 26, 16
 
 
-def bitmap(hashes, column, max_bits=MAX_BITS):
-    """(broadcast array of uint64, shift): hash h is in if bit h >> shift is set.  At most 2^max_bits bits (8 MB)."""
+def bitmap(hashes, column, per_hash=PER_HASH, max_bits=MAX_BITS):
+    """(broadcast array of uint64, shift): hash h is in if bit h >> shift is set.
+
+    At most 2^max_bits bits (8 MB); below that, other hashes pass at a rate of one in ``per_hash`` or less.
+    """
     rows = hashes.count()
-    bits = min(max_bits, max(MIN_BITS, (PER_HASH * rows).bit_length()))
+    bits = min(max_bits, max(MIN_BITS, (per_hash * rows).bit_length()))
     place = F.shiftrightunsigned(F.col(column), 64 - bits)
     words = hashes.groupBy(F.shiftright(place, 6).alias("w")).agg(
         F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned({column}, {64 - bits}) & 63 as int))")).alias("v"))

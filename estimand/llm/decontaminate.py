@@ -135,7 +135,7 @@ def overlaps(docs, items, text="text", key="doc_id", item_text="text", item_key=
     test = stored(items.select(F.col(item_key).alias("item_key"), F.col(item_text).alias("item_text")).where("item_text is not null")
                   .withColumn("_item", F.xxhash64("item_key", "item_text")).dropDuplicates(["_item"]))
     seeds = stored(_item_seeds(test, "item_text", masks))
-    filled, shift = bitmap(seeds.select("seed").distinct(), "seed")
+    filled, shift = bitmap(seeds.select("seed").distinct(), "seed", per_hash=4096)
     found = stored(_stretches(docs, text, key, masks, filled, shift, context))
     hits = found.select("sid", F.explode("seeds").alias("s")).select("sid", "s.seed", F.col("s.at").alias("d_at"))
     lines = hits.join(seeds, "seed").select("sid", "item", (F.col("d_at") - F.col("at")).alias("diagonal")).distinct()
