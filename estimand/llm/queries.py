@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from pyspark.sql import functions as F
 
-from estimand.llm import best_fit, decontaminate, jaccard_join, linear, packed_ids, quality, secret_scan, superkmer, toxicity
+from estimand.llm import best_fit, decontaminate, hnsw, jaccard_join, linear, packed_ids, quality, secret_scan, superkmer, toxicity
 
 QUERIES, ORACLES = {}, {}
 
@@ -65,3 +65,8 @@ def op7_quality_classifier(spark, sf):
 def op4_toxicity(spark, sf):
     docs = t(spark, sf, "documents").select("doc_id", "text")
     return toxicity.score(docs, toxicity.fit(docs, t(spark, sf, "labels")))
+
+
+@query("op3_hnsw_search")
+def op3_hnsw_search(spark, sf):
+    return hnsw.nearest(t(spark, sf, "embeddings"))
