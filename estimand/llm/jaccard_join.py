@@ -27,7 +27,7 @@ from estimand.llm.components import components
 from estimand.plans.prefix import stored
 
 #: A family up to this many members and set elements is joined in one task (some 30 MB); regions hold half of it.
-LEAF_MEMBERS, LEAF_ITEMS = 2_000, 4_000_000
+LEAF_MEMBERS, LEAF_ITEMS = 10_000, 4_000_000
 #: Pivots of a larger family.
 PIVOTS = 16
 #: Pivots whose distances to all members are kept as windows.
@@ -133,7 +133,7 @@ def _signatures(docs, text, key, n, percent):
 
 
 def _wanted_sets(docs, text, n, wanted):
-    """(s1, s2, items) of the sets whose s1 may be in ``wanted``: texts are hashed again, a set once in each task."""
+    """(s1, s2, items) of the sets whose s1 may be in ``wanted``: texts are hashed again, a set once in each task; six bytes an element."""
     filled, shift = bitmap(wanted, "s1")
 
     def run(batches):
@@ -150,12 +150,27 @@ def _wanted_sets(docs, text, n, wanted):
                         new.append(i)
                 hit = np.array(new, np.int64)
                 begin, end = np.searchsorted(t, hit), np.searchsorted(t, hit, "right")
-                items = h.view(np.int64)
+                raw = h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(s1[hit].view(np.int64)), pa.array(s2[hit].view(np.int64)), pa.array([items[a:b] for a, b in zip(begin, end)], pa.list_(pa.int64()))],
+                    [pa.array(s1[hit].view(np.int64)), pa.array(s2[hit].view(np.int64)), pa.array([raw[a:b].tobytes() for a, b in zip(begin, end)], pa.binary())],
                     names=["s1", "s2", "items"])
 
-    return docs.select(F.col(text)).mapInArrow(run, "s1 long, s2 long, items array<long>")
+    return docs.select(F.col(text)).mapInArrow(run, "s1 long, s2 long, items binary")
+
+
+def _unpacked(raw):
+    """The set elements, from six bytes each."""
+    raw = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    out = np.zeros((len(raw), 8), np.uint8)
+    out[:, :6] = raw
+    return out.view("<u8").ravel()
+
+
+def _as_arrays(batches):
+    for batch in batches:
+        items = [_unpacked(x).view(np.int64) for x in batch.column("items").to_pylist()]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("family", "cid", "n")), pa.array(items, pa.list_(pa.int64())), batch.column("items")],
+                                         names=["family", "cid", "n", "elements", "items"])
 
 
 def _linked(sets, label, percent):
@@ -200,9 +215,7 @@ def _joined(percent):
         if len(cid) < 2:
             return []
         table = table.take(pa.array(first))
-        items = table.column("items").combine_chunks()
-        cut, flat = np.asarray(items.offsets), np.asarray(items.values)
-        sets = [flat[a:b] for a, b in zip(cut, cut[1:])]
+        sets = [_unpacked(x) for x in table.column("items").to_pylist()]
         return [(int(cid[a]), int(cid[b])) for a, b in _linked(sets, table.column("comp").to_numpy(), percent)]
 
     def run(batches):
@@ -229,13 +242,13 @@ def _leaf_links(rows, percent):
 
 
 def _region_links(members, percent):
-    """Links of the families too large for a task; ``members`` (family, cid, n, items) are stored, a class once."""
+    """Links of the families too large for a task; ``members`` (family, cid, n, elements, items) are stored, a class once."""
     radius = 1 - percent / 100 + 1e-9
     draw = [F.min_by("cid", F.xxhash64("cid", F.lit(j))).alias(f"p{j}") for j in range(PIVOTS)]
     chosen = members.groupBy("family").agg(*draw).select("family", F.posexplode(F.array(*[f"p{j}" for j in range(PIVOTS)])).alias("j", "pivot"))
-    sets = members.select(F.col("cid").alias("pivot"), F.col("n").alias("pn"), F.col("items").alias("pitems"))
+    sets = members.select(F.col("cid").alias("pivot"), F.col("n").alias("pn"), F.col("elements").alias("pitems"))
     pivots = chosen.join(sets, "pivot")
-    common = F.size(F.array_intersect("items", "pitems")).cast("long")
+    common = F.size(F.array_intersect("elements", "pitems")).cast("long")
     far = members.join(pivots, "family").select("family", "cid", "j", "pivot", common.alias("common"), (F.col("n") + F.col("pn") - common).alias("union"))
     far = stored(far.withColumn("d", 1 - F.col("common") / F.col("union")))
     stars = far.where((F.col("cid") != F.col("pivot")) & (100 * F.col("common") >= percent * F.col("union"))).select(F.col("cid").alias("a"), F.col("pivot").alias("b")).distinct()
@@ -282,11 +295,14 @@ def classes(docs, text="text", key="doc_id", n=5, percent=80):
     sizes = wanted.groupBy("family").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("items"))
     wanted = stored(wanted.join(sizes, "family").select("cid", "s1", "s2", "n", "family", ((F.col("m") > LEAF_MEMBERS) | (F.col("items") > LEAF_ITEMS)).alias("large")))
     found = _wanted_sets(docs, text, n, wanted).join(wanted, ["s1", "s2"])
+    beyond = bool(wanted.where("large").head(1))
+    found = stored(found) if beyond else found
     usual = found.where("not large").select(F.col("family").alias("leaf"), "cid", F.col("cid").alias("comp"), "items")
     links = stored(_leaf_links(usual, percent))
-    if wanted.where("large").head(1):
+    if beyond:
         members = found.where("large").groupBy("family", "cid", "n").agg(F.first("items").alias("items"))
-        links = links.unionByName(_region_links(stored(members), percent))
+        members = stored(members.mapInArrow(_as_arrays, "family long, cid long, n long, elements array<long>, items binary"))
+        links = links.unionByName(_region_links(members, percent))
     label = components(links)
     named = groups.join(label.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     lowest = named.groupBy("comp").agg(F.min("low").alias("component_id"))
