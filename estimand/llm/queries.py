@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from pyspark.sql import functions as F
 
-from estimand.llm import best_fit, decontaminate, hnsw, jaccard_join, linear, packed_ids, quality, secret_scan, superkmer, toxicity
+from estimand.llm import best_fit, decontaminate, hnsw, jaccard_join, linear, packed_ids, quality, revisit, secret_scan, superkmer, toxicity
 
 QUERIES, ORACLES = {}, {}
 
@@ -70,3 +70,60 @@ def op4_toxicity(spark, sf):
 @query("op3_hnsw_search")
 def op3_hnsw_search(spark, sf):
     return hnsw.nearest(t(spark, sf, "embeddings"))
+
+
+def captures(pages):
+    """Records made of the pages: each is one full response, later (for some also earlier) visited again.
+
+    Times, validators and headers follow from the page's number and content.
+    Every third page is seen again changed, every fifth without an entity tag.
+    """
+    p, tag = F.col("page_id"), F.concat(F.lit('"'), F.md5("html"), F.lit('"'))
+    base, day = p * 7919 % 100000, F.concat(F.lit("day "), p % 50)
+    header = lambda *kv: F.create_map(*[F.lit(x) if isinstance(x, str) else x for x in kv])
+    record = lambda number, kind, ts, etag, modified, headers: F.struct(
+        (p * 4 + number).alias("record_id"), F.lit(kind).alias("kind"), "url", ts.alias("ts"), etag.alias("etag"), modified.alias("last_modified"), headers.alias("headers"))
+    none = F.lit(None).cast("string")
+    made = F.array(
+        record(0, "response", base, F.when(p % 7 != 0, tag), day, header("content-type", "text/html", "content-length", F.length("html").cast("string"), "date", base.cast("string"), "vary", "accept")),
+        record(1, "revisit", base + 50 + p % 500, F.concat(F.lit("W/"), tag), none, header("date", (base + 50).cast("string"), "cache-control", "max-age=60", "content-length", "0")),
+        record(2, "revisit", base + 1000, F.concat(F.lit('"'), p.cast("string"), F.lit('"')), day, header("date", "never", "expires", "0")),
+        record(3, "revisit", base - 10, none, F.concat(F.lit("day "), p % 25), header("etag", "new", "server", "other")))
+    wanted = F.filter(made, lambda r: (r["record_id"] % 4 < 2) | ((r["record_id"] % 4 == 2) & (p % 3 == 0)) | ((r["record_id"] % 4 == 3) & (p % 5 == 0)))
+    return pages.select("page_id", "url", "html").select(F.inline(wanted))
+
+
+OP5_SQL = r"""
+WITH p AS (SELECT page_id AS p, url, '"' || md5(html) || '"' AS tag, page_id * 7919 % 100000 AS base, 'day ' || (page_id % 50) AS day, length(html) AS n FROM pages),
+recs AS (
+  SELECT p * 4 AS record_id, 'response' AS kind, url, base AS ts, CASE WHEN p % 7 <> 0 THEN tag END AS etag, day AS last_modified,
+         MAP {'content-type': 'text/html', 'content-length': CAST(n AS VARCHAR), 'date': CAST(base AS VARCHAR), 'vary': 'accept'} AS headers FROM p
+  UNION ALL SELECT p * 4 + 1, 'revisit', url, base + 50 + p % 500, 'W/' || tag, NULL,
+         MAP {'date': CAST(base + 50 AS VARCHAR), 'cache-control': 'max-age=60', 'content-length': '0'} FROM p
+  UNION ALL SELECT p * 4 + 2, 'revisit', url, base + 1000, '"' || p || '"', day, MAP {'date': 'never', 'expires': '0'} FROM p WHERE p % 3 = 0
+  UNION ALL SELECT p * 4 + 3, 'revisit', url, base - 10, NULL, 'day ' || (p % 25), MAP {'etag': 'new', 'server': 'other'} FROM p WHERE p % 5 = 0),
+bare AS (SELECT *, regexp_replace(regexp_replace(url, '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS b FROM recs),
+parts AS (SELECT *, regexp_extract(b, '^[^/?]*') AS host FROM bare),
+rests AS (SELECT *, substr(b, length(host) + 1) AS rest FROM parts),
+asked AS (SELECT *, array_to_string(list_sort(list_filter(string_split(regexp_extract(rest, '\?(.*)$', 1), '&'),
+    lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|ref|fbclid|gclid)='))), '&') AS q FROM rests),
+canon AS (SELECT *, regexp_replace(regexp_replace(lower(host), ':(80|443)$', ''), '^(www|m)\.', '')
+    || regexp_replace(regexp_extract(rest, '^[^?]*'), '/+$', '') || CASE WHEN q <> '' THEN '?' || q ELSE '' END AS canonical FROM asked),
+met AS (SELECT v.record_id, v.canonical, v.ts, v.etag, v.last_modified, v.headers, r.record_id AS refers_to, r.etag AS r_etag, r.last_modified AS r_modified, r.headers AS r_headers,
+    ROW_NUMBER() OVER (PARTITION BY v.record_id ORDER BY r.ts DESC NULLS LAST, r.record_id DESC NULLS LAST) AS k
+  FROM canon v LEFT JOIN canon r ON v.canonical = r.canonical AND r.kind = 'response' AND r.ts < v.ts WHERE v.kind = 'revisit'),
+judged AS (SELECT *, CASE WHEN refers_to IS NULL THEN 'no_response'
+    WHEN etag IS NOT NULL AND r_etag IS NOT NULL THEN CASE WHEN replace(etag, 'W/', '') = replace(r_etag, 'W/', '') THEN 'matched' ELSE 'etag_mismatch' END
+    WHEN last_modified IS NOT NULL AND r_modified IS NOT NULL THEN CASE WHEN last_modified = r_modified THEN 'matched' ELSE 'modified' END
+    ELSE 'unchecked' END AS status FROM met WHERE k = 1),
+fields AS (SELECT *, ['cache-control', 'content-location', 'date', 'etag', 'expires', 'last-modified', 'vary'] AS permitted FROM judged)
+SELECT record_id, canonical, ts, refers_to, status, CASE WHEN status IN ('matched', 'unchecked') THEN array_to_string(list_sort(list_concat(
+    list_transform(list_filter(map_entries(headers), lambda e: list_contains(permitted, e.key)), lambda e: e.key || '=' || e.value),
+    list_transform(list_filter(map_entries(r_headers), lambda e: NOT (list_contains(permitted, e.key) AND list_contains(map_keys(headers), e.key))), lambda e: e.key || '=' || e.value))), ';') END AS headers
+FROM fields
+"""
+@query("op5_revisit_resolution", OP5_SQL)
+def op5_revisit_resolution(spark, sf):
+    found = revisit.resolve(captures(t(spark, sf, "pages")))
+    listed = F.array_join(F.array_sort(F.transform(F.map_entries("merged"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ";")
+    return found.select("record_id", "canonical", "ts", "refers_to", "status", listed.alias("headers"))
