@@ -309,3 +309,16 @@ def classes(docs, text="text", key="doc_id", n=5, percent=80):
     by_set = named.join(lowest, "comp").select("s1", "s2", "component_id")
     return rows.join(by_set, ["s1", "s2"], "left").select(
         key, "n_shingles", F.when(F.col("n_shingles") == 0, F.col(key)).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def keep_one(docs, text="text", key="doc_id", n=5, percent=80):
+    """Rows of ``docs`` with one row of each class of linked texts: that of the smallest key (then of the smallest hash of its text).
+
+    Rows that repeat key and text stay once.  Rows without words are linked with
+    nothing, so all different ones stay.  The columns keep their names and order.
+    """
+    own = F.struct(F.col(key).isNull().alias("n"), F.col(key).alias("k"), F.xxhash64(text).alias("h"))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), own.alias("_key"), F.col(text).alias("_text"))
+    kept = classes(whole.select("_key", "_text"), "_text", "_key", n, percent).where("_key = component_id").select("_key").distinct()
+    rows = whole.select("_row", "_key").join(kept, "_key").groupBy("_key").agg(F.first("_row").alias("_row"))
+    return rows.select(*[F.col("_row")[c].alias(c) for c in docs.columns])
