@@ -72,14 +72,12 @@ def logistic_step(state, y, at, x):
     state.update(at, x, p - y)
 
 
-def trained(sample, state, step, rounds=4):
-    """Fit ``state`` to stored rows (row_hash long, y, at array<int>, x array<double>); ``step(state, y, at, x)`` makes one update."""
-    rows = sample.withColumn("shard", F.pmod("row_hash", F.lit(max(1, round(sample.count() / SHARD_ROWS)))))
-    sc = sample.sparkSession.sparkContext
+def trained(shards, state, step, rounds=4):
+    """Fit ``state`` to stored shards; ``step(state, y, at, x)`` makes one update.  Nothing is shuffled but the changes."""
+    sc = shards.sparkSession.sparkContext
     for r in range(rounds):
         common = sc.broadcast(state.packed())
-
-        change = rows.groupBy("shard").applyInArrow(_shard(state, step, common, r), "i long, d double").groupBy("i").agg(F.avg("d").alias("d")).toArrow()
+        change = shards.mapInArrow(_shard(state, step, common, r), "i long, d double").groupBy("i").agg(F.avg("d").alias("d")).toArrow()
         flat = state.packed()
         flat[change.column("i").to_numpy()] += change.column("d").to_numpy()
         state.unpack(flat)
@@ -90,16 +88,16 @@ def trained(sample, state, step, rounds=4):
 def _shard(state, step, common, round_no):
     """One pass over a shard from the common state: the coordinates it changed."""
 
-    def run(table):
-        table = table.sort_by("row_hash")
-        own = _like(state, common.value)
-        at, x, y = table.column("at").combine_chunks(), table.column("x").combine_chunks(), table.column("y").to_numpy()
-        cut, at, x = np.asarray(at.offsets), np.asarray(at.values), np.asarray(x.values)
-        for i in np.random.default_rng(round_no).permutation(len(y)):
-            step(own, y[i], at[cut[i] : cut[i + 1]], x[cut[i] : cut[i + 1]])
-        change = own.packed() - common.value
-        moved = np.flatnonzero(change)
-        return pa.table({"i": pa.array(moved), "d": pa.array(change[moved])})
+    def run(batches):
+        for shard in (row for batch in batches for row in batch.to_pylist()):
+            own = _like(state, common.value)
+            y, cut = np.frombuffer(shard["y"]), np.frombuffer(shard["cut"], np.int64)
+            at, x = np.frombuffer(shard["at"], np.int32), np.frombuffer(shard["x"], np.float32)
+            for i in np.random.default_rng(round_no).permutation(len(y)):
+                step(own, y[i], at[cut[i] : cut[i + 1]], x[cut[i] : cut[i + 1]])
+            change = own.packed() - common.value
+            moved = np.flatnonzero(change)
+            yield pa.RecordBatch.from_arrays([pa.array(moved), pa.array(change[moved])], names=["i", "d"])
 
     return run
 
@@ -126,18 +124,30 @@ def held_out(key):
 
 
 def featurised(sample, features):
-    """Stored feature rows of a bounded sample; ``features(texts)`` gives offsets, feature numbers and values."""
+    """Stored shards of a bounded sample (row_hash, text, y), a row each: labels, offsets, features and values as packed numbers.
+
+    ``features(texts)`` gives offsets, feature numbers and values.
+    """
+    shards = max(1, round(sample.count() / SHARD_ROWS))
 
     def run(batches):
         for batch in batches:
             for part in words.blocks(batch):
                 cut, at, x = features(part.column("text"))
-                cut = pa.array(cut.astype(np.int32))
+                at, x = at.astype(np.int32), x.astype(np.float32)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("row_hash"), part.column("y"), pa.ListArray.from_arrays(cut, pa.array(at.astype(np.int32))), pa.ListArray.from_arrays(cut, pa.array(x))],
+                    [part.column("row_hash"), part.column("y"), *(pa.array([v[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary()) for v in (at, x))],
                     names=["row_hash", "y", "at", "x"])
 
-    return stored(sample.mapInArrow(run, "row_hash long, y double, at array<int>, x array<double>"))
+    def gather(table):
+        table = table.sort_by("row_hash")
+        at = table.column("at").to_pylist()
+        cut = np.cumsum([0, *(len(a) // 4 for a in at)])
+        return pa.table({"y": [table.column("y").to_numpy().astype(float).tobytes()], "cut": [cut.astype(np.int64).tobytes()],
+                         "at": pa.array([b"".join(at)], pa.binary()), "x": pa.array([b"".join(table.column("x").to_pylist())], pa.binary())})
+
+    rows = sample.mapInArrow(run, "row_hash long, y double, at binary, x binary").withColumn("shard", F.pmod("row_hash", F.lit(shards)))
+    return stored(rows.groupBy("shard").applyInArrow(gather, "y binary, cut binary, at binary, x binary"))
 
 
 def scored(docs, text, keep, features, weights, outputs, finish):
