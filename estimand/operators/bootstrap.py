@@ -19,8 +19,6 @@ from estimand.operators.ttest import TTEST_SCHEMA, MetricStats, t_tail, ttest_2s
 from estimand.plans.finalize import finalize
 from estimand.plans.moments import Moments
 
-MAX_REPLICATES = 1000
-MAX_SAMPLE = 10_000_000_000
 ROWS_PER_BUCKET = 250_000
 SUPER = 1024
 MIN_BUCKETS = 64  # fixed, so that results do not depend on the cluster
@@ -37,8 +35,8 @@ def _sample_size(sample, total):
         if not 0.0 <= sample <= 1.0:
             raise ValueError("the ratio must be in [0, 1]")
         return int(sample * total)
-    if not 0 <= sample <= MAX_SAMPLE:
-        raise ValueError(f"sample_num must be at most {MAX_SAMPLE}")
+    if sample < 0:
+        raise ValueError("sample_num must not be negative")
     return int(sample)
 
 
@@ -63,8 +61,8 @@ def bootstrap_moments(df, cols, sample, bs_num, seed=0, index=None, where=None,
     ``sample`` is a row count or a ratio (float).  ``index`` keeps groups apart
     and ``where`` restricts the statistic; both apply after resampling.
     """
-    if not 1 <= bs_num <= MAX_REPLICATES:
-        raise ValueError(f"bs_num must be in [1, {MAX_REPLICATES}]")
+    if bs_num < 1:
+        raise ValueError("bs_num must be at least 1")
     k = len(cols)
     names = [f"_x{i}" for i in range(k)]
     group = as_column(index).cast("bigint") if index is not None else F.lit(0).cast("bigint")

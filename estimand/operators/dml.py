@@ -1,5 +1,8 @@
 """Double machine learning with cross-fitted least-squares nuisances."""
 
+from functools import reduce
+from operator import and_
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -194,4 +197,6 @@ class NonParamDML:
         """Attach the cell effect to every row (the cell table stays small)."""
         keyed = df.withColumns({f"_c_{n}": as_column(e) for n, e in self.cells.items()})
         table = self.effects.select(*[F.col(n).alias(f"_c_{n}") for n in self.cells], F.col("effect").alias(name))
-        return keyed.join(table, [f"_c_{n}" for n in self.cells], "left").drop(*[f"_c_{n}" for n in self.cells])
+        table = table.withColumnsRenamed({f"_c_{n}": f"_t_{n}" for n in self.cells})
+        same = reduce(and_, [F.col(f"_c_{n}").eqNullSafe(F.col(f"_t_{n}")) for n in self.cells])
+        return keyed.join(table, same, "left").drop(*[f"{p}{n}" for n in self.cells for p in ("_c_", "_t_")])

@@ -8,7 +8,8 @@ from estimand.functions.columns import as_column, as_double
 def group_set(df, y, treatment, groups, names=None):
     """cnt, sum, sum2 of ``y`` per (name, treatment 0/1, group_key).
 
-    ``groups`` are integer expressions, grouped independently.  Both arms are
+    ``groups`` are grouped independently; keys are bigint if all are whole-number
+    expressions, else their text.  Both arms are
     always present (zeros when empty); rows with another treatment value only
     make their group key appear.
     """
@@ -17,8 +18,11 @@ def group_set(df, y, treatment, groups, names=None):
         raise ValueError("needs at least one grouping column and one name per column")
     picked = df.select(
         as_double(y).alias("_y"), as_column(treatment).cast("bigint").alias("_t"),
-        *[as_column(g).cast("bigint").alias(f"_g{i}") for i, g in enumerate(groups)],
+        *[as_column(g).alias(f"_g{i}") for i, g in enumerate(groups)],
     ).dropna()
+    kinds = {picked.schema[f"_g{i}"].dataType.simpleString() for i in range(len(groups))}
+    kind = "bigint" if kinds <= {"tinyint", "smallint", "int", "bigint"} else "string"
+    picked = picked.withColumns({f"_g{i}": F.col(f"_g{i}").cast(kind) for i in range(len(groups))})
     keys = F.array(*[
         F.struct(F.lit(n).alias("name"), F.col(f"_g{i}").alias("group_key")) for i, n in enumerate(names)
     ])

@@ -56,7 +56,8 @@ def iv_2sls(df, formula, robust=False, by=()):
             except ValueError:
                 if not by:
                     raise
-                return
+                # no variance at all: the second stage gives null results for this group
+                m2 = Moments(row["n"], np.zeros(k), np.zeros((k, k)))
             upper = m2.comoment[np.triu_indices(k)]
             yield {**row, "n": m2.n, "mean": m2.mean.tolist(), "comoment": upper.tolist()}
 

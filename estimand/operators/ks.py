@@ -10,9 +10,9 @@ from estimand.operators.ttest import check_alternative
 from estimand.plans.finalize import finalize
 from estimand.plans.prefix import partial_frame, sorted_partials
 
-METHODS = ("auto", "exact", "asymp", "asymptotic")
-EXACT_LIMIT = 10_000
-TIE = 1e-7
+METHODS = ("exact", "asymp", "asymptotic")
+#: Cells of the lattice that the exact method may walk (n1 * n2); beyond it raises.
+EXACT_CELLS = 10**9
 
 
 def exact_p(d, n1, n2, two_sided):
@@ -58,13 +58,9 @@ def asymptotic_p(d, n1, n2, two_sided):
     return 2.0 * sum((-1) ** (k - 1) * math.exp(-2.0 * k * k * z * z) for k in range(1, 21))
 
 
-def ks_p_value(d, n1, n2, alternative="two-sided", method="auto"):
-    if method == "auto":
-        method = "exact" if max(n1, n2) <= EXACT_LIMIT else "asymptotic"
-    elif method == "exact":
-        g = math.gcd(n1, n2)
-        if n1 // g >= (2**31 - 1) / (n2 // g):
-            method = "asymptotic"
+def ks_p_value(d, n1, n2, alternative="two-sided", method="asymptotic"):
+    if method == "exact" and n1 * n2 > EXACT_CELLS:
+        raise ValueError(f"the exact method walks n1 * n2 cells, at most {EXACT_CELLS}; use method='asymptotic'")
     fn = exact_p if method == "exact" else asymptotic_p
     return min(1.0, max(0.0, fn(d, n1, n2, alternative == "two-sided")))
 
@@ -76,7 +72,6 @@ def _gap_partials(n1, n2):
         first = None
         c1 = c2 = 0
         high, low = -math.inf, math.inf
-        pending = None  # (value, gap) of the last row, open until the next value is known
         for pdf in batches:
             if not len(pdf):
                 continue
@@ -86,23 +81,19 @@ def _gap_partials(n1, n2):
             k2 = c2 + np.cumsum(pdf["c2"].to_numpy())
             c1, c2 = int(k1[-1]), int(k2[-1])
             gap = k1 / n1 - k2 / n2
-            closed = np.append(np.diff(v) >= TIE, False)
-            if pending is not None and v[0] - pending[0] >= TIE:
-                high, low = max(high, pending[1]), min(low, pending[1])
-            if closed.any():
-                high, low = max(high, gap[closed].max()), min(low, gap[closed].min())
-            pending = (v[-1], gap[-1])
-        if pending is not None:
-            high, low = max(high, pending[1]), min(low, pending[1])
+            high, low = max(high, gap.max()), min(low, gap.min())
+        if first is not None:
             yield partial_frame(first=first, c1=c1, c2=c2, high=float(high), low=float(low))
 
     return run
 
 
-def ks_test(df, value, is_second, alternative="two-sided", method="auto"):
+def ks_test(df, value, is_second, alternative="two-sided", method="asymptotic"):
     """(d_statistic, p_value) of ``value`` between is_second = 0 and 1.
 
-    Values are reduced to counts per arm first, so a dominant value costs one
+    Values tie if they are equal as doubles, so D does not depend on the number
+    of partitions.  ``exact`` is chosen by the caller and raises where its work
+    is too large.  Values are reduced to counts per arm first, so a dominant value costs one
     row; the counts are range-partitioned and each task reports the extremes of
     its part of F1 - F2.  Only one row per partition meets in the finalizer.
     """

@@ -41,8 +41,8 @@ def _match(df, arm, labels, order, key, hot_rows):
         .drop("_slice")
     )
     # joined on the columns the ranks are partitioned by: the rows are not shuffled again
-    placed = ranked(rows, [*names, "_arm"], order, key, hot_rows).join(strata, [*names, "_arm"], "left")
-    index = F.when(F.col("rank") <= F.col("_pairs"), F.col("_arm") * (F.col("_start") + F.col("rank")))
+    placed = ranked(rows, [*names, "_arm"], order, key, hot_rows, name="_rank").join(strata, [*names, "_arm"], "left")
+    index = F.when(F.col("_rank") <= F.col("_pairs"), F.col("_arm") * (F.col("_start") + F.col("_rank")))
     matched = placed.select(*df.columns, F.coalesce(index, F.lit(0)).cast("bigint").alias("match_index"))
     rest = base.where(~usable).select(*df.columns, F.lit(0).cast("bigint").alias("match_index"))
     return matched.unionByName(rest)

@@ -40,8 +40,13 @@ def matrix_multiplication(df, cols, inverse=False, weighted=False, by=()):
         m[np.triu_indices(k)] = upper
         m = m + np.triu(m, 1).T
         if inverse:
-            m = invert(m, "product")
+            try:
+                m = invert(m, "product")
+            except ValueError:
+                if not by:
+                    raise
+                m = [None] * k
         for i in range(k):
-            yield {**row, "row_index": i + 1, "values": [float(v) for v in m[i]]}
+            yield {**row, "row_index": i + 1, "values": None if m[i] is None else [float(v) for v in m[i]]}
 
     return finalize(agg, fn, by_schema(df, by) + "row_index int, values array<double>")

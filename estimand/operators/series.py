@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Window as W, functions as F
 
 from estimand.functions.columns import as_column, as_double
@@ -17,7 +18,7 @@ def _segments(keys):
     change[0] = True
     for c in keys.columns:
         v = keys[c].to_numpy()
-        change[1:] |= v[1:] != v[:-1]
+        change[1:] |= (v[1:] != v[:-1]) & ~(pd.isna(v[1:]) & pd.isna(v[:-1]))
     return np.flatnonzero(change)
 
 
@@ -29,7 +30,7 @@ def delta_sum(df, value, order, by):
     ``order`` columns must identify rows inside a group.
     """
     rows = df.select(*by, *[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)],
-                     as_double(value).alias("_v")).dropna()
+                     as_double(value).alias("_v")).dropna(subset=["_v", *[f"_o{i}" for i in range(len(order))]])
     keys = [f"_o{i}" for i in range(len(order))]
     types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
 
@@ -85,16 +86,16 @@ def moving(df, value, size, order, by, key=(), kind="sum", hot_rows=HOT_ROWS):
     """
     if kind not in ("sum", "avg"):
         raise ValueError("kind must be 'sum' or 'avg'")
-    placed = ranked(df, by, order, list(key), hot_rows)
+    placed = ranked(df, by, order, list(key), hot_rows, name="_rank")
     block = max(hot_rows, 2 * size)
-    home = F.floor((F.col("rank") - 1) / F.lit(block))
-    spill = F.col("rank") - home * F.lit(block) > F.lit(block - size + 1)
+    home = F.floor((F.col("_rank") - 1) / F.lit(block))
+    spill = F.col("_rank") - home * F.lit(block) > F.lit(block - size + 1)
     blocks = F.when(spill, F.array(home, home + 1)).otherwise(F.array(home))
     halo = placed.withColumn("_home", home).withColumn("_block", F.explode(blocks))
-    w = W.partitionBy(*by, "_block").orderBy("rank").rowsBetween(-(size - 1), 0)
+    w = W.partitionBy(*by, "_block").orderBy("_rank").rowsBetween(-(size - 1), 0)
     total = F.sum(as_double(value)).over(w)
     out = halo.withColumn(f"moving_{kind}", total if kind == "sum" else total / F.lit(float(size)))
-    return out.where(F.col("_home") == F.col("_block")).drop("_home", "_block", "rank")
+    return out.where(F.col("_home") == F.col("_block")).drop("_home", "_block", "_rank")
 
 
 def exponential_moving_average(df, value, time, half_life, by):

@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 from estimand.functions import dist
 from estimand.functions.columns import as_column, as_double
 from estimand.plans.finalize import finalize
+from estimand.plans.prefix import stored
 
-# Group limit and the smallest usable total, expectation, statistic.
-MAX_GROUPS = 1000
+# Fixed value: the smallest usable total, expectation, statistic.
 TINY = 1e-6
 
 
@@ -41,16 +41,18 @@ def srm(df, value, group, ratios):
         .groupBy("groupname")
         .agg(F.sum("_v").alias("f_obs"))
     )
-    # one more than allowed, so that too many groups is noticed without a big array
-    packed = (
-        sums.orderBy("groupname").limit(MAX_GROUPS + 1).coalesce(1)
-        .agg(F.sort_array(F.collect_list(F.struct("groupname", "f_obs"))).alias("cells"))
-    )
+    sums = stored(sums)
+    found = sums.limit(len(ratios) + 1).count()
+    if found > len(ratios):
+        reason = chi_square([1.0] * found, list(range(len(ratios))))[2]
+        none = F.lit(None).cast("double")
+        return sums.select(F.col("groupname").cast("string").alias("groupname"), "f_obs", none.alias("ratio"), none.alias("chisquare"),
+                           none.alias("p_value"), F.lit(reason).alias("message"))
+    # as many cells at most as the caller has ratios
+    packed = sums.agg(F.sort_array(F.collect_list(F.struct("groupname", "f_obs"))).alias("cells"))
 
     def fn(row):
         cells = list(row["cells"])
-        if len(cells) > MAX_GROUPS:
-            raise ValueError(f"more than {MAX_GROUPS} groups")
         if isinstance(ratios, dict):
             named = {str(k): float(v) for k, v in ratios.items()}
             wanted = [named[str(c["groupname"])] for c in cells if str(c["groupname"]) in named]

@@ -177,11 +177,6 @@ def node_inference(m1, m0, ate, is_root):
         "prediction": y1 - y0, "treated_count": m1.n, "control_count": m0.n, "treated_avg": y1, "control_avg": y0,
         "treated_std": math.sqrt(v1), "control_std": math.sqrt(v0),
     }
-    if y1 == 0 or y0 == 0:
-        for i in range(1, 5):
-            out.update({f"est_point{i}": 0.0, f"std{i}": 0.0, f"pvalue{i}": 1.0, f"zvalue{i}": 0.0,
-                        f"lower{i}": 0.0, f"upper{i}": 0.0})
-        return out
     std = math.sqrt(v1 / m1.n + v0 / m0.n)
 
     def scale(i, est, z, half):
@@ -193,7 +188,8 @@ def node_inference(m1, m0, ate, is_root):
         return a / b if b else math.nan
 
     e1, e2 = y1 - y0, y1 - y0 - ate
-    e3, e4 = y1 / y0 - 1, (y1 - ate) / y0 - 1
+    # without a control mean the relative scales have no value
+    e3, e4 = ratio(y1, y0) - 1, ratio(y1 - ate, y0) - 1
     z1, z2 = ratio(e1, std), ratio(e2, std)
     scale(1, e1, z1, Z_INTERVAL * std)
     scale(2, e2, z2, Z_INTERVAL * std)

@@ -4,6 +4,7 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from estimand.functions import dist
 from estimand.functions.columns import as_column
@@ -15,7 +16,6 @@ ALTERNATIVES = ("two-sided", "less", "greater")
 TTEST_SCHEMA = (
     "estimate double, stderr double, t_statistic double, p_value double, lower double, upper double"
 )
-MAX_INDEXES = 100
 
 
 def check_alternative(alternative):
@@ -131,7 +131,13 @@ def ttest_1samp(df, g, alternative="two-sided", mu=0.0, alpha=0.05, cuped=None,
             return
         m = Moments.of(row)
         s = MetricStats.of(m, metrics)
-        theta = s.theta() if len(metrics) > 1 else np.zeros(0)
+        try:
+            theta = s.theta() if len(metrics) > 1 else np.zeros(0)
+        except ValueError:
+            if not by:
+                raise
+            yield dict(row)
+            return
         stderr = float(np.sqrt(s.adjusted_var(theta)))
         yield {**row, **t_tail(float(s.values[0]) - mu, stderr, m.n, alternative, alpha)}
 
@@ -140,7 +146,12 @@ def ttest_1samp(df, g, alternative="two-sided", mu=0.0, alpha=0.05, cuped=None,
 
 def _indexed_moments(df, columns, index, by):
     df, by = select_by(df, by)
-    df = df.withColumn("_index", as_column(index).cast("bigint"))
+    df = df.withColumn("_index", as_column(index))
+    if df.schema["_index"].dataType.simpleString() in ("double", "float") or df.schema["_index"].dataType.simpleString().startswith("decimal"):
+        whole = F.col("_index").cast("bigint")
+        df = df.withColumn("_index", F.when(F.col("_index") == whole, whole).when(
+            F.col("_index").isNotNull(), F.raise_error(F.lit("the index must hold whole numbers")).cast("bigint")))
+    df = df.withColumn("_index", F.col("_index").cast("bigint"))
     return df, by, moments(df, columns, [*by, "_index"], required=["_index"])
 
 
@@ -163,29 +174,37 @@ def ttest_2samp_from_moments(df, agg, by, metrics, alternative="two-sided", alph
                 raise ValueError("at least 2 groups are required: the index must contain 0 and 1")
             yield dict(row)
             return
-        yield {**row, **two_sample(groups[0], groups[1], metrics, alternative, alpha)}
+        try:
+            tested = two_sample(groups[0], groups[1], metrics, alternative, alpha)
+        except ValueError:
+            if not by:
+                raise
+            tested = {}
+        yield {**row, **tested}
 
     return finalize(packed, fn, by_schema(df, by) + TTEST_SCHEMA)
 
 
 def ttests_2samp(df, g, index, alternative="two-sided", alpha=0.05, cuped=None, args=None, by=()):
-    """All pairs of up to 100 index values; one-sided tests also swap the pair."""
+    """All pairs of index values; one-sided tests also swap the pair."""
     check_alternative(alternative)
     columns, metrics = read_metric(g, args, cuped)
     df, by, agg = _indexed_moments(df, columns, index, by)
-    packed = pack(agg, by, "_index", ["n", "mean", "comoment"], MAX_INDEXES)
+    fields = ["_index", "n", "mean", "comoment"]
+    left = agg.select(*by, *[F.col(f).alias(f"a_{f}") for f in fields])
+    right = agg.select(*[F.col(b).alias(f"b_{b}") for b in by], *[F.col(f).alias(f"b_{f}") for f in fields])
+    order = F.col("a__index") < F.col("b__index") if alternative == "two-sided" else F.col("a__index") != F.col("b__index")
+    for b in by:
+        order = order & F.col(b).eqNullSafe(F.col(f"b_{b}"))
 
     def fn(row):
-        cells = row["cells"]
-        if len(cells) > MAX_INDEXES:
-            raise ValueError(f"more than {MAX_INDEXES} index values")
-        groups = [(c["key"], Moments.of(c)) for c in cells]
-        for i, (ka, ma) in enumerate(groups):
-            for kb, mb in groups[i + 1:]:
-                yield {**row, "control": ka, "treatment": kb,
-                       **two_sample(ma, mb, metrics, alternative, alpha)}
-                if alternative != "two-sided":
-                    yield {**row, "control": kb, "treatment": ka,
-                           **two_sample(mb, ma, metrics, alternative, alpha)}
-
-    return finalize(packed, fn, by_schema(df, by) + "control bigint, treatment bigint, " + TTEST_SCHEMA)
+        one, two = (Moments.of({f: row[f"{p}_{f}"] for f in fields}) for p in "ab")
+        try:
+            tested = two_sample(one, two, metrics, alternative, alpha)
+        except ValueError:
+            if not by:
+                raise
+            tested = {}
+        yield {**row, "control": row["a__index"], "treatment": row["b__index"], **tested}
+
+    return finalize(left.join(right, order), fn, by_schema(df, by) + "control bigint, treatment bigint, " + TTEST_SCHEMA)

@@ -1,7 +1,11 @@
 """Turning a few aggregated rows into typed result rows."""
 
-import pandas as pd
+import math
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 
@@ -11,19 +15,25 @@ def finalize(agg: DataFrame, fn, schema):
     The columns of ``schema`` come back typed; a row costs one Arrow record, so
     this belongs after a groupBy, never before it.
     """
-    names = StructType.fromDDL(schema).names if isinstance(schema, str) else schema.names
-    inputs = agg.columns
+    wanted = to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
     def run(batches):
-        for pdf in batches:
-            rows = []
-            for values in zip(*[pdf[c] for c in inputs]):
-                rows.extend(fn(dict(zip(inputs, values))))
-            yield pd.DataFrame.from_records(
-                [[r.get(n) for n in names] for r in rows], columns=names
-            ).astype(object)
-
-    return agg.mapInPandas(run, schema)
+        for batch in batches:
+            rows = [r for values in batch.to_pylist() for r in fn({k: _cell(v) for k, v in values.items()})]
+            yield pa.RecordBatch.from_pylist([{n: None if _missing(r.get(n)) else r.get(n) for n in wanted.names} for r in rows], schema=wanted)
+
+    return agg.mapInArrow(run, schema)
+
+
+def _cell(v):
+    """Arrays of numbers as NumPy arrays; keys stay exact (a whole number beside nulls is no float)."""
+    if isinstance(v, list) and v and all(x is None or isinstance(x, (int, float)) for x in v):
+        return np.array([math.nan if x is None else x for x in v])
+    return v
+
+
+def _missing(v):
+    return v is None or isinstance(v, float) and math.isnan(v)
 
 
 def pack(agg, by, key, fields, limit):

@@ -42,8 +42,8 @@ def stored(df):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def global_position(df, order, keep=None):
-    """Add ``position``: the number of rows ordered before this one.
+def global_position(df, order, keep=None, name="position"):
+    """Add ``name``: the number of rows ordered before this one.
 
     ``order`` must identify rows.  Rows are range-partitioned and sorted; the
     partition and index of a row (``monotonically_increasing_id``) are stored
@@ -58,7 +58,7 @@ def global_position(df, order, keep=None):
     starts = fixed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).select(
         "_pid", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_start"))
     inside = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
-    return fixed.join(F.broadcast(starts), "_pid").select(*kept, (F.col("_start") + inside).alias("position"))
+    return fixed.join(F.broadcast(starts), "_pid").select(*kept, (F.col("_start") + inside).alias(name))
 
 
 def sorted_partials(df, order, fn, schema):

@@ -13,35 +13,37 @@ HOT_ROWS = 2_000_000
 MAX_HOT_GROUPS = 10_000
 
 
-def ranked(df, groups, order, key, hot_rows=HOT_ROWS):
-    """Add ``rank``: 1-based position by (order, key) inside each group.
+def ranked(df, groups, order, key, hot_rows=HOT_ROWS, name="rank"):
+    """Add ``name``: 1-based position by (order, key) inside each group.
 
     ``key`` columns identify rows.  A group counts as hot when it exceeds
     max(hot_rows, n / 10,000) rows, so there are at most 10,000 hot groups and
     the broadcast lists of them are bounded.  Repeated order values are split
     by key.
     """
+    if name in df.columns:
+        raise ValueError(f"the frame has a column {name} already; choose another name")
     order_by = [F.col(o) if isinstance(o, str) else o for o in order] + [F.col(k) for k in key]
     plain = W.partitionBy(*groups).orderBy(*order_by)
     sizes = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_size"))
     seen = sizes.agg(F.sum("_size").alias("total"), F.max("_size").alias("top")).first()
     limit = max(hot_rows, (seen["total"] or 0) // MAX_HOT_GROUPS)
     if (seen["top"] or 0) <= limit:
-        return df.withColumn("rank", F.row_number().over(plain).cast("bigint"))
+        return df.withColumn(name, F.row_number().over(plain).cast("bigint"))
     hot = sizes.where(F.col("_size") > limit).select(*groups).collect()
 
     spark = df.sparkSession
     hot_df = F.broadcast(spark.createDataFrame(hot, df.select(*groups).schema))
     same = [df[g].eqNullSafe(hot_df[g]) for g in groups]
-    cold_rows = df.join(hot_df, same, "left_anti").withColumn("rank", F.row_number().over(plain).cast("bigint"))
+    cold_rows = df.join(hot_df, same, "left_anti").withColumn(name, F.row_number().over(plain).cast("bigint"))
     hot_rows_df = df.join(hot_df, same, "left_semi")
 
     # hot groups lie next to each other in one global order, cut wherever a
     # partition is full; the list of group starts is as short as that of hot groups
-    placed = global_position(hot_rows_df, [*[F.col(g) for g in groups], *order_by])
-    starts = placed.groupBy(*groups).agg(F.min("position").alias("_first")).alias("s")
+    placed = global_position(hot_rows_df, [*[F.col(g) for g in groups], *order_by], name="_position")
+    starts = placed.groupBy(*groups).agg(F.min("_position").alias("_first")).alias("s")
     placed = placed.alias("p")
     on = [F.col(f"p.{g}").eqNullSafe(F.col(f"s.{g}")) for g in groups]
     hot_ranked = placed.join(F.broadcast(starts), on).select(
-        *[F.col(f"p.{c}") for c in df.columns], (F.col("position") - F.col("_first") + 1).alias("rank"))
+        *[F.col(f"p.{c}") for c in df.columns], (F.col("_position") - F.col("_first") + 1).alias(name))
     return cold_rows.unionByName(hot_ranked)

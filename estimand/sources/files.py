@@ -4,30 +4,9 @@ from pyspark.sql import functions as F
 
 from estimand.functions.columns import null_fill
 
-CSV_EXPORT_CAP = 1_000_000
-MAX_ROWS = 1_500_000_000
-MAX_FILES = 3600
-MAX_BYTES = 50 * 1024**3
-
 # Column type names accepted by the CSV importer.
 CSV_TYPES = {int: "bigint", float: "double", str: "string"}
 
-# Warehouse column type to Spark type.
-TYPE_MAP = {
-    "Int64": "bigint", "Int32": "int", "Int8": "int", "UInt8": "int", "UInt32": "bigint", "UInt64": "bigint",
-    "Float64": "double", "Float32": "float", "String": "string", "Date": "date", "DateTime": "timestamp",
-}
-
-
-def spark_type(name):
-    """Spark type of a warehouse type; Nullable(T) is unwrapped, others raise."""
-    if name.startswith("Nullable(") and name.endswith(")"):
-        name = name[len("Nullable("):-1]
-    if name not in TYPE_MAP:
-        raise ValueError(f"unsupported column type {name}")
-    return TYPE_MAP[name]
-
-
 def read_parquet(spark, path):
     return spark.read.parquet(path)
 
@@ -69,28 +48,27 @@ def import_csv(spark, path, columns, header=True):
     ])
 
 
-def export_csv(df, path, cap=CSV_EXPORT_CAP, mode="errorifexists"):
-    """Header plus all rows in one file; refuses more than ``cap`` rows."""
-    if df.limit(cap + 1).count() > cap:
-        raise ValueError(f"more than {cap} rows; export to Parquet instead")
-    df.coalesce(1).write.mode(mode).option("header", True).csv(path)
+def export_csv(df, path, mode="errorifexists"):
+    """All rows as CSV, one file with a header for each partition."""
+    df.write.mode(mode).option("header", True).csv(path)
 
 
-def size_guard(df, max_rows=MAX_ROWS, max_files=MAX_FILES, max_bytes=MAX_BYTES):
-    """Raise when a transfer exceeds the row, file or byte limit.
+def size_guard(df, max_rows=None, max_files=None, max_bytes=None):
+    """Raise when a transfer exceeds a limit that the caller sets; without limits nothing is counted.
 
     Files and bytes are only known for frames read straight from files.
     """
-    if "_metadata" not in df.columns and df.inputFiles():
+    if (max_files is not None or max_bytes is not None) and "_metadata" not in df.columns and df.inputFiles():
         files = df.select("_metadata.file_path", "_metadata.file_size").distinct()
         seen = files.agg(F.count(F.lit(1)).alias("n"), F.sum("file_size").alias("size")).first()
-        if seen["n"] > max_files:
+        if max_files is not None and seen["n"] > max_files:
             raise ValueError(f"{seen['n']} files exceed the limit of {max_files}")
-        if (seen["size"] or 0) > max_bytes:
+        if max_bytes is not None and (seen["size"] or 0) > max_bytes:
             raise ValueError(f"{seen['size']} bytes exceed the limit of {max_bytes}")
-    rows = df.count()
-    if rows > max_rows:
-        raise ValueError(f"{rows} rows exceed the limit of {max_rows}")
+    if max_rows is not None:
+        rows = df.count()
+        if rows > max_rows:
+            raise ValueError(f"{rows} rows exceed the limit of {max_rows}")
     return df
 
 

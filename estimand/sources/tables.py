@@ -2,8 +2,6 @@
 
 from pyspark.sql import functions as F
 
-MATERIALIZE_BELOW = 1_000_000
-
 
 def write_bucketed(df, table, bucket_column, num_buckets, partition_column=None, sort_column=None, mode="errorifexists"):
     """Table hashed by ``bucket_column``: equal keys share a bucket file, so
@@ -38,12 +36,8 @@ def retain_days(df, days=14, column="day_"):
 
 
 def create_view(spark, name, select, table, where=None, group_by=None, limit=None, bucket_column=None,
-                num_buckets=None, materialize=None):
-    """View over one table; stored as a table when small or asked for.
-
-    ``materialize`` True / False decides; None stores results of at most one
-    million rows when ``bucket_column`` is in the result.
-    """
+                num_buckets=None, materialize=False):
+    """View over one table; ``materialize`` stores its rows as a table, bucketed if ``bucket_column`` is given."""
     df = spark.table(table) if isinstance(table, str) else table
     if where:
         df = df.where(where)
@@ -58,8 +52,6 @@ def create_view(spark, name, select, table, where=None, group_by=None, limit=Non
         df = df.limit(limit)
     if bucket_column and bucket_column not in df.columns:
         raise ValueError(f"bucket column {bucket_column} is not in the view")
-    if materialize is None:
-        materialize = bool(bucket_column) and df.limit(MATERIALIZE_BELOW + 1).count() <= MATERIALIZE_BELOW
     if not materialize:
         df.createOrReplaceTempView(name)
     elif bucket_column:
