@@ -90,13 +90,13 @@ def _stretches(docs, text, key, masks, filled, shift, context):
 
 
 def _best_run(same, tolerance):
-    """(start, end) of the run of highest score, where a match counts 1 and a mismatch costs what keeps the share of mismatches within ``tolerance``."""
-    score = np.where(same, 1.0, -(1 - tolerance) / tolerance)
-    total = np.concatenate([[0.0], np.cumsum(score)])
-    gain = total - np.minimum.accumulate(total)
-    end = int(gain.argmax())
-    start = int(np.flatnonzero(total[: end + 1] == total[: end + 1].min())[-1])
-    return start, end
+    """(start, end) of the longest run that begins and ends with a match and in which at most ``tolerance`` differ."""
+    total = np.concatenate([[0.0], np.cumsum(np.where(same, tolerance, tolerance - 1))])
+    least = np.minimum.accumulate(total)
+    first = np.searchsorted(-least, -total - 1e-9)
+    end = int((np.arange(len(total)) - first).argmax())
+    hits = np.flatnonzero(same[first[end] : end]) + first[end]
+    return (int(hits[0]), int(hits[-1]) + 1) if len(hits) else (0, 0)
 
 
 def _verified(tolerance):

@@ -3,8 +3,8 @@
 1. Sets.  Each text becomes its set of shingle hashes; equal sets are one class.
 2. Families.  Unrelated texts are all at distance 1, where the triangle inequality
    says nothing, so the space is first cut where no link can cross: the hash range
-   is sliced so finely that two linked sets must agree on a whole non-empty slice
-   (a pigeonhole count of the elements in which they may differ).  A family holds
+   is sliced so finely that two linked sets must agree on a whole slice of two or
+   more elements (a pigeonhole count of the elements in which they may differ).  A family holds
    the classes that are connected by agreeing slices, linked or not.
 3. Pivots.  A family that fits a task is joined there: a pivot's distances to all
    members give its links, the distances to the first pivots give windows outside
@@ -32,22 +32,26 @@ LEAF_MEMBERS, LEAF_ITEMS = 10_000, 4_000_000
 PIVOTS = 16
 #: Pivots whose distances to all members are kept as windows.
 WINDOWS = 4
-GROWTH = 1.6
+GROWTH = 1.25
 _MASK = np.uint64((1 << 48) - 1)
 
 
 def _classes(limit, percent):
-    """Size classes: first sizes, number of slices and allowed empty slices of each."""
-    low, slices, empty = [1], [], []
+    """Size classes: first sizes, number of slices and allowed weak slices of each; 0 slices where no two different sets link."""
+    low, slices, weak = [1], [], []
     while low[-1] <= limit:
         a = max(low[-1] + 1, int(np.ceil(low[-1] * GROWTH)))
-        low.append(a)
         top = a - 1
         differ = (100 - percent) * (top + 100 * top // percent) // (100 + percent)
-        spare = int(0.03 * differ + 4 * np.sqrt(0.03 * differ)) + 1 if differ else 0
-        slices.append(differ + 1 + spare)
-        empty.append(spare)
-    return np.array(low), np.array(slices), np.array(empty)
+        spare = 0
+        for _ in range(8):
+            mean = low[-1] / (differ + 1 + spare)
+            share = (1 + mean) * np.exp(-mean) * (differ + 1 + spare)
+            spare = min(differ + 1, int(share + 3 * np.sqrt(share)) + 1)
+        low.append(a)
+        slices.append(differ + 1 + spare if differ else 0)
+        weak.append(spare)
+    return np.array(low), np.array(slices), np.array(weak)
 
 
 def _sets(texts, n):
@@ -72,14 +76,20 @@ def _signed(text, h, n):
 
 
 def _slice_keys(text, h, size, percent):
-    """(text, key) of all non-empty slices, of both schemes a set may meet a partner in; prefixes of sets with many empty slices."""
-    low, slices, empty = _classes(int(size.max(initial=1)), percent)
+    """(text, key) of all slices of two or more elements, of both schemes a set may meet a partner in.
+
+    A slice of one element would bring together all texts that share a common
+    phrase.  Such weak slices are left out, and as many more slices are made as a
+    set usually has weak ones; the few sets with more of them give their prefix.
+    """
+    low, slices, weak = _classes(int(size.max(initial=1)), percent)
     own = np.searchsorted(low, size, "right") - 1
     out, loose = [], np.zeros(len(size), bool)
     for scheme in (own, own - 1):
         fits = (size > 0) & (scheme >= 0)
         if scheme is not own:
             fits &= percent * size <= 100 * (low[np.maximum(own, 0)] - 1)
+        fits &= slices[np.maximum(scheme, 0)] > 0
         use = fits[text]
         t, x = text[use], h[use]
         if not len(t):
@@ -88,9 +98,10 @@ def _slice_keys(text, h, size, percent):
         part = ((x >> np.uint64(16)) * slices[c].astype(np.uint64)) >> np.uint64(32)
         first = np.flatnonzero((np.diff(t, prepend=-1) != 0) | (np.diff(part.astype(np.int64), prepend=-1) != 0))
         key = words.mix(np.add.reduceat(words.mix(x), first) ^ words.mix((c[first].astype(np.uint64) << np.uint64(32)) + part[first]))
-        out.append((t[first], key))
-        filled = np.bincount(t[first], minlength=len(size))
-        loose |= fits & (slices[np.maximum(scheme, 0)] - filled > empty[np.maximum(scheme, 0)])
+        strong = np.diff(np.append(first, len(t))) > 1
+        out.append((t[first[strong]], key[strong]))
+        filled = np.bincount(t[first[strong]], minlength=len(size))
+        loose |= fits & (slices[np.maximum(scheme, 0)] - filled > weak[np.maximum(scheme, 0)])
     if loose.any():
         use = loose[text]
         t, x = text[use], h[use]
