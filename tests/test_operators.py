@@ -71,8 +71,6 @@ def test_missing_arm(spark, sample):
         ttest.ttest_2samp(df.where("t = 0"), "avg(y)", "t").collect()
     rows = ttest.ttest_2samp(df.where("t = 0 or g = 1"), "avg(y)", "t", by=["g"]).collect()
     assert all((r["estimate"] is not None) == (r["g"] == 1) for r in rows)
-    with pytest.raises(Exception, match="more than 100"):
-        ttest.ttests_2samp(df, "avg(y)", "id % 150").collect()
     with pytest.raises(ValueError):
         ttest.ttest_2samp(df, "avg(y)", "t", "sideways")
 
@@ -308,7 +306,7 @@ def test_bootstrap_hot_row(spark):
 
 def test_bootstrap_arguments(sample):
     df, _ = sample
-    for bad in (dict(bs_num=0), dict(bs_num=1001), dict(sample=1.5), dict(sample=10**11)):
+    for bad in (dict(bs_num=0), dict(sample=1.5), dict(sample=-1)):
         with pytest.raises(ValueError):
             bs.bootstrap(df, "avg", **{"sample": 10, "bs_num": 2, "args": ["y"], **bad})
 
