@@ -203,9 +203,58 @@ def _(spark, sf):
     return view
 
 
+@query("io_csv_export", "SELECT COUNT(*) AS n, ROUND(SUM(o_totalprice), 2) AS total FROM orders")
+def _(spark, sf):
+    path = _scratch(spark, "csv-out")
+    files.export_csv(t(spark, sf, "orders").select("o_orderkey", "o_totalprice"), path)
+    return files.import_csv(spark, path, {"o_totalprice": float}).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
+def _table(spark, name):
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return name
+
+
+@query("io_bucketed_write", "SELECT o_custkey, COUNT(*) AS n, ROUND(SUM(o_totalprice), 2) AS total FROM orders GROUP BY 1")
+def _(spark, sf):
+    name = _table(spark, f"estimand_bucketed_{uuid.uuid4().hex}")
+    tables.write_bucketed(t(spark, sf, "orders"), name, "o_custkey", 8, sort_column="o_custkey")
+    return spark.table(name).groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
+@query("io_create_table_auto", "SELECT s_nationkey, 2 * COUNT(*) AS n FROM supplier GROUP BY 1")
+def _(spark, sf):
+    name = _table(spark, f"estimand_auto_{uuid.uuid4().hex}")
+    for _i in range(2):
+        tables.append_auto(t(spark, sf, "supplier"), name, add_day=True)
+    return tables.retain_days(spark.table(name)).groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("view_drop", "SELECT COUNT(*) AS n, FALSE AS view_exists FROM part WHERE p_size > 10")
+def _(spark, sf):
+    df = tables.create_view(spark, "estimand_dropped_view", ["p_size"], t(spark, sf, "part"), where="p_size > 10")
+    tables.drop_view(spark, "estimand_dropped_view")
+    return df.agg(F.count(F.lit(1)).alias("n"), F.lit(spark.catalog.tableExists("estimand_dropped_view")).alias("view_exists"))
+
+
+@query("partition_drop", "SELECT o_orderstatus, COUNT(*) AS n FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1")
+def _(spark, sf):
+    name = _table(spark, f"estimand_parts_{uuid.uuid4().hex}")
+    t(spark, sf, "orders").select("o_orderkey", "o_orderstatus").write.partitionBy("o_orderstatus").saveAsTable(name)
+    tables.drop_partition(spark, name, "o_orderstatus", "F")
+    return spark.table(name).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("table_peek", "SELECT LEAST(COUNT(*), 10) AS n, MIN(o_orderstatus) AS lowest, MAX(o_orderstatus) AS highest FROM orders WHERE o_orderstatus = 'O'")
+def _(spark, sf):
+    return files.peek(t(spark, sf, "orders"), "o_orderstatus", ["O"]).agg(
+        F.count(F.lit(1)).alias("n"), F.min("o_orderstatus").alias("lowest"), F.max("o_orderstatus").alias("highest"))
+
+
 @query("table_describe", """
-SELECT column_name AS "column", CASE column_type WHEN 'VARCHAR' THEN 'string' ELSE lower(column_type) END AS type
-FROM (DESCRIBE SELECT c_custkey, c_name, c_acctbal FROM customer)""")
+SELECT 'c_custkey' AS "column", 'bigint' AS type, COUNT(c_custkey) AS filled FROM customer
+UNION ALL SELECT 'c_name', 'string', COUNT(c_name) FROM customer UNION ALL SELECT 'c_acctbal', 'double', COUNT(c_acctbal) FROM customer""")
 def _(spark, sf):
     return tables.describe(t(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal"))
 

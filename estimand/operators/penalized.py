@@ -42,8 +42,8 @@ def _descend(s, r, penalty, scale, tol=1e-12, sweeps=10_000):
             b[j] = soft(r[j] - s[j] @ b + s[j, j] * old, penalty / 2) / s[j, j]
             change = max(change, abs(b[j] - old) * math.sqrt(s[j, j]))
         if change <= tol * scale:
-            break
-    return b
+            return b
+    raise ValueError(f"coordinate descent has not converged in {sweeps} sweeps")
 
 
 def lasso_fit(m, penalty, shrink_bias=True):
@@ -110,8 +110,8 @@ class Updater:
 class PenalizedModel:
     """x weights then the bias; predicts with native columns."""
 
-    def __init__(self, terms, coef, link="identity"):
-        self.terms, self.coef, self.link = list(terms), np.asarray(coef, float), link
+    def __init__(self, terms, coef, link="identity", converged=True):
+        self.terms, self.coef, self.link, self.converged = list(terms), np.asarray(coef, float), link, converged
 
     def column(self, xs=None):
         xs = self.terms if xs is None else list(xs)
@@ -135,12 +135,13 @@ def _check_optimizer(optimizer):
         raise ValueError(f"optimizer must be one of {OPTIMIZERS}")
 
 
-def sgd_linear(df, formula, lr=1.0, l2=0.5, optimizer=None, iterations=1000):
+def sgd_linear(df, formula, lr=1.0, l2=0.5, optimizer=None, iterations=1000, tol=1e-9):
     """Squared-loss linear fit; targets and features on their own scale.
 
     Without ``optimizer`` the fixed point is solved directly: ridge with
     penalty ``l2``.  With one, ``iterations`` full-batch steps of its update
-    rule run over the moment matrix, still after a single scan.
+    rule run over the moment matrix, still after a single scan; ``converged``
+    of the result tells whether the last step was below ``tol``.
     """
     _check_optimizer(optimizer)
     y, xs = read_model(formula)
@@ -154,11 +155,15 @@ def sgd_linear(df, formula, lr=1.0, l2=0.5, optimizer=None, iterations=1000):
     shrink = np.append(np.full(k, 0.0 if optimizer == "Lasso" else l2), 0.0)
     rule, w = Updater(optimizer, lr, l2), np.zeros(k + 1)
     for _ in range(iterations):
-        at = rule.look_ahead(w)
+        at, before = rule.look_ahead(w), w
         w = rule.apply(w, 2 * (cross - gram @ at) - 2 * shrink * at)
         if not np.all(np.isfinite(w)):
             raise ValueError(f"{optimizer} diverged with lr={lr}; lower it or scale the features")
-    return PenalizedModel(xs, w)
+    return PenalizedModel(xs, w, converged=_settled(w, before, tol))
+
+
+def _settled(w, before, tol):
+    return bool(np.max(np.abs(w - before)) <= tol * max(1.0, np.max(np.abs(w))))
 
 
 def lasso(df, formula, penalty, shrink_bias=True):
@@ -173,6 +178,8 @@ def sgd_logistic(df, formula, l2=0.5, optimizer=None, lr=1.0, iterations=25, pos
     Newton steps on the mean log-loss + l2 * |b|^2; every step is one
     aggregation of k gradient and k^2/2 curvature sums.  ``optimizer`` runs its
     update rule on the aggregated gradient instead; "Lasso" shrinks by ``l2``.
+    Newton's method raises if it has not converged; with an update rule the
+    result's ``converged`` tells.
     """
     _check_optimizer(optimizer)
     y, xs = read_model(formula)
@@ -221,15 +228,19 @@ def sgd_logistic(df, formula, l2=0.5, optimizer=None, lr=1.0, iterations=25, pos
         rule = Updater(optimizer, lr, l2)
         decay = np.append(np.full(k, 0.0 if optimizer == "Lasso" else 2 * l2), 0.0)
         for _ in range(iterations):
-            at = rule.look_ahead(w)
+            at, before = rule.look_ahead(w), w
             g, _h = aggregate(at, False)
             w = rule.apply(w, g - decay * at)
-        return PenalizedModel(xs, w, "logistic")
+            if _settled(w, before, tol):
+                return PenalizedModel(xs, w, "logistic")
+        return PenalizedModel(xs, w, "logistic", converged=False)
     for _ in range(iterations):
         g, h = aggregate(w, True)
         move = np.linalg.solve(h + np.diag(penalty) + 1e-12 * np.eye(k + 1), g - penalty * w)
         w = w + move * min(1.0, 5.0 / max(1e-300, np.max(np.abs(move))))
         if np.max(np.abs(move)) < tol:
             break
+    else:
+        raise ValueError(f"Newton's method has not converged in {iterations} iterations")
     slope = w[:-1] / scale
     return PenalizedModel(xs, np.append(slope, w[-1] - slope @ mean), "logistic")

@@ -10,15 +10,14 @@ from pyspark.sql import Window as W, functions as F
 from estimand.plans.prefix import global_position
 
 HOT_ROWS = 2_000_000
-MAX_HOT_GROUPS = 10_000
 
 
 def ranked(df, groups, order, key, hot_rows=HOT_ROWS, name="rank"):
     """Add ``name``: 1-based position by (order, key) inside each group.
 
     ``key`` columns identify rows.  A group counts as hot when it exceeds
-    max(hot_rows, n / 10,000) rows, so there are at most 10,000 hot groups and
-    the broadcast lists of them are bounded.  Repeated order values are split
+    ``hot_rows`` rows, whatever the size of the table; the list of hot groups is
+    a table and stays on the executors.  Repeated order values are split
     by key.
     """
     if name in df.columns:
@@ -26,15 +25,10 @@ def ranked(df, groups, order, key, hot_rows=HOT_ROWS, name="rank"):
     order_by = [F.col(o) if isinstance(o, str) else o for o in order] + [F.col(k) for k in key]
     plain = W.partitionBy(*groups).orderBy(*order_by)
     sizes = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_size"))
-    seen = sizes.agg(F.sum("_size").alias("total"), F.max("_size").alias("top")).first()
-    limit = max(hot_rows, (seen["total"] or 0) // MAX_HOT_GROUPS)
-    if (seen["top"] or 0) <= limit:
+    if (sizes.agg(F.max("_size")).first()[0] or 0) <= hot_rows:
         return df.withColumn(name, F.row_number().over(plain).cast("bigint"))
-    hot = sizes.where(F.col("_size") > limit).select(*groups).collect()
-
-    spark = df.sparkSession
-    hot_df = F.broadcast(spark.createDataFrame(hot, df.select(*groups).schema))
-    same = [df[g].eqNullSafe(hot_df[g]) for g in groups]
+    hot_df = sizes.where(F.col("_size") > hot_rows).select(*[F.col(g).alias(f"_hot{i}") for i, g in enumerate(groups)])
+    same = [F.col(g).eqNullSafe(F.col(f"_hot{i}")) for i, g in enumerate(groups)]
     cold_rows = df.join(hot_df, same, "left_anti").withColumn(name, F.row_number().over(plain).cast("bigint"))
     hot_rows_df = df.join(hot_df, same, "left_semi")
 
@@ -44,6 +38,6 @@ def ranked(df, groups, order, key, hot_rows=HOT_ROWS, name="rank"):
     starts = placed.groupBy(*groups).agg(F.min("_position").alias("_first")).alias("s")
     placed = placed.alias("p")
     on = [F.col(f"p.{g}").eqNullSafe(F.col(f"s.{g}")) for g in groups]
-    hot_ranked = placed.join(F.broadcast(starts), on).select(
+    hot_ranked = placed.join(starts, on).select(
         *[F.col(f"p.{c}") for c in df.columns], (F.col("_position") - F.col("_first") + 1).alias(name))
     return cold_rows.unionByName(hot_ranked)
