@@ -5,7 +5,8 @@
    says nothing, so the space is first cut where no link can cross: the hash range
    is sliced so finely that two linked sets must agree on a whole slice of two or
    more elements (a pigeonhole count of the elements in which they may differ).  A family holds
-   the classes that are connected by agreeing slices, linked or not.
+   the classes that are connected by agreeing slices, linked or not; a family too
+   large for a task is cut again by pairs of agreeing slices.
 3. Pivots.  A family that fits a task is joined there: a pivot's distances to all
    members give its links, the distances to the first pivots give windows outside
    which no link is possible, and connected members are never compared again.
@@ -103,18 +104,78 @@ def _slice_keys(text, h, size, percent):
         filled = np.bincount(t[first[strong]], minlength=len(size))
         loose |= fits & (slices[np.maximum(scheme, 0)] - filled > weak[np.maximum(scheme, 0)])
     if loose.any():
-        use = loose[text]
-        t, x = text[use], h[use]
-        begin = np.flatnonzero(np.diff(t, prepend=-1))
-        rank = np.arange(len(t)) - np.repeat(begin, np.diff(np.append(begin, len(t))))
-        prefix = rank < size[t] - -(-percent * size[t] // 100) + 1
-        out.append((t[prefix], words.mix(x[prefix] ^ np.uint64(0xC0FF << 48))))
+        out.append(_prefixes(text, h, size, percent, loose))
+    return _by_text(out)
+
+
+def _prefixes(text, h, size, percent, loose):
+    """(text, key) of the smallest elements of the loose sets: linked sets share one of them."""
+    use = loose[text]
+    t, x = text[use], h[use]
+    begin = np.flatnonzero(np.diff(t, prepend=-1))
+    rank = np.arange(len(t)) - np.repeat(begin, np.diff(np.append(begin, len(t))))
+    prefix = rank < size[t] - -(-percent * size[t] // 100) + 1
+    return t[prefix], words.mix(x[prefix] ^ np.uint64(0xC0FF << 48))
+
+
+def _by_text(out):
     text = np.concatenate([o[0] for o in out]) if out else np.zeros(0, np.int64)
     key = np.concatenate([o[1] for o in out]) if out else np.zeros(0, np.uint64)
     order = np.argsort(text, kind="stable")
     return text[order], key[order]
 
 
+def _bundles(limit, percent):
+    """As ``_classes``, for bundles of four slices: differences, bundles and allowed empty slices of each size class."""
+    low, _, _ = _classes(limit, percent)
+    bundles, empty = [], []
+    for first, after in zip(low, low[1:]):
+        top = after - 1
+        differ = (100 - percent) * (top + 100 * top // percent) // (100 + percent)
+        count = differ // 3 + 1
+        for _ in range(64):
+            share = 4 * count * np.exp(-first / (4 * count))
+            if 3 * count - differ - 1 >= share + 3 * np.sqrt(share):
+                break
+            count += max(1, count // 20)
+        bundles.append(count if differ else 0)
+        empty.append(3 * count - differ - 1)
+    return low, np.array(bundles), np.array(empty)
+
+
+def _bundle_keys(text, h, size, percent):
+    """(text, key) of all pairs of non-empty slices in one bundle.
+
+    With more slices than differences and bundles together, two linked sets agree
+    on two slices of some bundle: a stronger sign than one slice, for more keys.
+    """
+    low, bundles, empty = _bundles(int(size.max(initial=1)), percent)
+    own = np.searchsorted(low, size, "right") - 1
+    out, loose = [], np.zeros(len(size), bool)
+    for scheme in (own, own - 1):
+        fits = (size > 0) & (scheme >= 0)
+        if scheme is not own:
+            fits &= percent * size <= 100 * (low[np.maximum(own, 0)] - 1)
+        fits &= bundles[np.maximum(scheme, 0)] > 0
+        use = fits[text]
+        t, x = text[use], h[use]
+        if not len(t):
+            continue
+        c = scheme[t]
+        part = (((x >> np.uint64(16)) * (4 * bundles[c]).astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
+        first = np.flatnonzero((np.diff(t, prepend=-1) != 0) | (np.diff(part, prepend=-1) != 0))
+        one = words.mix(np.add.reduceat(words.mix(x), first) ^ words.mix((c[first].astype(np.uint64) << np.uint64(32)) + part[first].astype(np.uint64)))
+        t, bundle = t[first], part[first] // 4
+        for step in (1, 2, 3):
+            pair = np.flatnonzero((t[step:] == t[:-step]) & (bundle[step:] == bundle[:-step]))
+            out.append((t[pair], words.mix(one[pair] + np.uint64(3) * one[pair + step])))
+        filled = np.bincount(t, minlength=len(size))
+        loose |= fits & (4 * bundles[np.maximum(scheme, 0)] - filled > empty[np.maximum(scheme, 0)])
+    if loose.any():
+        out.append(_prefixes(text, h, size, percent, loose))
+    return _by_text(out)
+
+
 def _signatures(docs, text, key, n, percent):
     """(rid, key, n_shingles, s1, s2, keys): keys are left out where the task has met the same set before."""
     kind = docs.schema[key].dataType.simpleString()
@@ -169,6 +230,31 @@ def _wanted_sets(docs, text, n, wanted):
     return docs.select(F.col(text)).mapInArrow(run, "s1 long, s2 long, items binary")
 
 
+def _refined(docs, text, n, percent, members):
+    """(cid, family) after cutting the families of stored ``members`` (cid, s1, s2, family) again by pairs of slices."""
+    filled, shift = bitmap(members, "s1")
+
+    def run(batches):
+        seen = set()
+        for batch in batches:
+            for part in words.blocks(batch, text):
+                t, h = _sets(part.column(text), n)
+                size, s1, s2 = _signed(t, h, part.num_rows)
+                new = np.zeros(part.num_rows, bool)
+                for i in np.flatnonzero((size > 0) & inside(filled.value, shift, s1)).tolist() if part.num_rows else []:
+                    new[i] = s1[i] not in seen
+                    seen.add(s1[i])
+                owner, keys = _bundle_keys(t[new[t]], h[new[t]], np.where(new, size, 0), percent)
+                take = pa.array(owner)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(s1.view(np.int64)).take(take), pa.array(s2.view(np.int64)).take(take), pa.array(keys.view(np.int64))], names=["s1", "s2", "key"])
+
+    keyed = docs.select(F.col(text)).mapInArrow(run, "s1 long, s2 long, key long").join(members, ["s1", "s2"])
+    over = W.partitionBy("key", "family")
+    near = keyed.select("key", "family", "cid").withColumn("_lo", F.min("cid").over(over)).where("_lo < cid").select(F.col("_lo").alias("a"), F.col("cid").alias("b"))
+    return components(stored(near.distinct())).select(F.col("node").alias("cid"), F.col("comp").alias("family"))
+
+
 def _unpacked(raw):
     """The set elements, from six bytes each."""
     raw = np.frombuffer(raw, np.uint8).reshape(-1, 6)
@@ -282,6 +368,14 @@ def _region_links(members, percent):
     return stars.unionByName(stored(_leaf_links(rows, percent)))
 
 
+def _sized(groups, family):
+    """Stored classes (cid, s1, s2, n, family, large) of the given families."""
+    wanted = groups.join(family, "cid")
+    sizes = wanted.groupBy("family").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("items"))
+    large = (F.col("m") > LEAF_MEMBERS) | (F.col("items") > LEAF_ITEMS)
+    return stored(wanted.join(sizes, "family").select("cid", "s1", "s2", "n", "family", large.alias("large")))
+
+
 def classes(docs, text="text", key="doc_id", n=5, percent=80):
     """One row for each row of ``docs``: key, ``n_shingles`` and ``component_id``, the smallest key reachable by links.
 
@@ -302,9 +396,11 @@ def classes(docs, text="text", key="doc_id", n=5, percent=80):
     cid = full.join(groups, ["s1", "s2"]).select("rid", "cid")
     near = near.join(cid.select(F.col("rid").alias("a"), F.col("cid").alias("ca")), "a").join(cid.select(F.col("rid").alias("b"), F.col("cid").alias("cb")), "b")
     family = components(near.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-    wanted = groups.join(family.select(F.col("node").alias("cid"), F.col("comp").alias("family")), "cid")
-    sizes = wanted.groupBy("family").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("items"))
-    wanted = stored(wanted.join(sizes, "family").select("cid", "s1", "s2", "n", "family", ((F.col("m") > LEAF_MEMBERS) | (F.col("items") > LEAF_ITEMS)).alias("large")))
+    wanted = _sized(groups, family.select(F.col("node").alias("cid"), F.col("comp").alias("family")))
+    members = wanted.where("large").select("cid", "s1", "s2", "family")
+    if members.head(1):
+        finer = _refined(docs, text, n, percent, members)
+        wanted = stored(wanted.where("not large").unionByName(_sized(groups, finer)))
     found = _wanted_sets(docs, text, n, wanted).join(wanted, ["s1", "s2"])
     beyond = bool(wanted.where("large").head(1))
     found = stored(found) if beyond else found

@@ -88,8 +88,9 @@ def test_slices_never_miss_a_link():
         for percent in (80, 85):
             if not np.array_equal(a, b) and 100 * common >= percent * (len(a) + len(b) - common):
                 text, h = np.repeat([0, 1], [len(a), len(b)]), np.concatenate([a, b])
-                owner, keys = jaccard_join._slice_keys(text, h, np.array([len(a), len(b)]), percent)
-                assert set(keys[owner == 0].tolist()) & set(keys[owner == 1].tolist())
+                for cut in (jaccard_join._slice_keys, jaccard_join._bundle_keys):
+                    owner, keys = cut(text, h, np.array([len(a), len(b)]), percent)
+                    assert set(keys[owner == 0].tolist()) & set(keys[owner == 1].tolist())
 
 
 def test_joins_on_odd_rows(spark, odd, none):
