@@ -1611,7 +1611,7 @@ def _(spark, sf):
 
 def _add_llm():
     """Queries of the optional subpackage and of the corpus pipeline, where their files are there."""
-    if importlib.util.find_spec("estimand.llm") is not None:
+    if importlib.util.find_spec("estimand.llm") is not None and importlib.util.find_spec("estimand.llm.queries") is not None:
         from estimand.llm import queries as llm
 
         _QUERIES.update(llm.QUERIES)
