@@ -352,12 +352,17 @@ def _region_links(members, percent):
     label = components(stars)
     place = far.groupBy("family", "cid").agg(F.min(F.struct("d", "j")).alias("home"), F.array_sort(F.collect_list(F.struct("j", "d"))).alias("ds"))
     place = place.join(label.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-    most = place.groupBy("family", "comp").count().groupBy("family").agg(F.max(F.struct("count", "comp")).alias("most"), F.sum("count").alias("m"))
-    weight = members.groupBy("family").agg(F.sum("n").alias("items"))
-    parts = F.greatest(F.ceil(2 * F.col("m") / LEAF_MEMBERS), F.ceil(2 * F.col("items") / LEAF_ITEMS))
-    place = place.join(most, "family").join(weight, "family").select(
-        "family", "cid", "comp", "ds", (F.col("comp") == F.col("most.comp")).alias("main"), F.col("home.j").alias("j"), parts.alias("parts"))
-    place = stored(place.withColumn("region", F.xxhash64("family", "main", "j", F.pmod(F.xxhash64("cid"), "parts"))))
+    most = place.groupBy("family", "comp").count().groupBy("family").agg(F.max(F.struct("count", "comp")).alias("most"))
+    size = lambda: [F.count(F.lit(1)).alias("m"), F.sum("n").alias("items")]
+    parts = F.greatest(F.ceil(2 * F.col("m") / LEAF_MEMBERS), F.ceil(2 * F.col("items") / LEAF_ITEMS)).alias("parts")
+    place = place.join(members.select("cid", "n"), "cid").join(most.select("family", "most"), "family").select(
+        "family", "cid", "n", "comp", "ds", (F.col("comp") == F.col("most.comp")).alias("main"), F.col("home.j").alias("j"))
+    # no more regions than the family needs: homes share them, and an overfull one is split
+    whole = members.groupBy("family").agg(*size()).select("family", parts)
+    place = place.join(whole, "family").withColumn("home", F.pmod(F.col("j"), F.col("parts"))).drop("parts", "j")
+    full = place.groupBy("family", "main", "home").agg(*size()).select("family", "main", "home", parts)
+    place = place.join(full, ["family", "main", "home"])
+    place = stored(place.withColumn("region", F.xxhash64("family", "main", "home", F.pmod(F.xxhash64("cid"), "parts"))))
     bounds = [f(F.element_at("ds", j + 1)["d"]).alias(f"{a}{j}") for j in range(PIVOTS) for a, f in (("lo", F.min), ("hi", F.max))]
     regions = place.groupBy("family", "region", "main").agg(*bounds)
     other = regions.select("family", *[F.col(c).alias(f"o_{c}") for c in regions.columns if c != "family"])
