@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from estimand.llm import linear, words
 from estimand.plans.prefix import stored
 
-SAMPLE = 8_000
+SAMPLE = 20_000
 GRADES = 3
 STEMS = (4, 5, 6)
 #: Toxic texts are the rarer class, which pulls their probability down.

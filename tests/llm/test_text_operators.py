@@ -263,6 +263,15 @@ def test_toxicity_on_held_out_rows(spark):
     assert test.toxic[test.y == 1].mean() > 0.7 and test.toxic[test.y == 0].mean() < 0.02
 
 
+def test_toxicity_learns_from_20_000_rows(spark, monkeypatch):
+    sizes = []
+    monkeypatch.setattr(linear, "featurised", lambda sample, _: sizes.append(sample.count()))
+    monkeypatch.setattr(linear, "trained", lambda *_: None)
+    df = spark.range(30_000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"), (F.col("id") % 8 == 0).cast("int").alias("toxic"))
+    toxicity.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    assert sizes == [20_000]
+
+
 def test_held_out_rule_and_bound(spark):
     import zlib
 
