@@ -1,6 +1,6 @@
 """Secret scan with a battery of randomness tests, in built-in functions only.
 
-Named patterns give the base spans.  Other long tokens are tested for
+Named patterns give the base spans.  The long parts of other tokens are tested for
 randomness: chi-squared uniformity over the alphabet of the inferred encoding,
 runs above and below the middle of that alphabet, and serial correlation.
 The three p-values are combined (Fisher); within each encoding and band of
@@ -21,7 +21,10 @@ ASSIGN_VALUE = 6
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
-#: Encodings tried in this order: name, pattern of the whole token without padding, alphabet.
+#: Parts of a token that are tested: the longest runs of each alphabet, with the padding behind them.  A key of any of the
+#: encodings is such a run, whatever name, path or prefix of other characters stands before it.
+PARTS = [r"[A-Za-z0-9]{20,}=*", r"[A-Za-z0-9+/]{20,}=*", r"[A-Za-z0-9_-]{20,}=*"]
+#: Encodings tried in this order: name, pattern of the whole part without padding, alphabet.
 ENCODINGS = [
     ("hex", "^([0-9a-f]+|[0-9A-F]+)$", "0123456789abcdef"),
     ("base32", "^[A-Z2-7]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
@@ -63,8 +66,15 @@ def normal_tail(z):
     return F.lit(1.0) / (F.lit(1.0) + F.exp(z * 1.5976 + z * z * z * 0.07056))
 
 
+def _parts(token):
+    """The parts of one token, each span once."""
+    found = [F.transform(placed(token["text"], p, F.regexp_extract_all(token["text"], F.lit(p), F.lit(0))), lambda s: F.struct(
+        (token["start"] + s["start"]).alias("start"), (token["start"] + s["end"]).alias("end"), s["text"].alias("text"))) for p in PARTS]
+    return F.array_distinct(F.concat(*found))
+
+
 def _tested(token):
-    """Struct (start, end, encoding, band, step) of one token; null where no encoding fits or it does not mix letters and digits."""
+    """Struct (start, end, encoding, body) of one part; one of the encodings always fits."""
     body = F.regexp_replace(token["text"], "=+$", "")
     encoding = F.coalesce(*[F.when(body.rlike(p), F.lit(i)) for i, (_, p, _) in enumerate(ENCODINGS)])
     return F.struct(
@@ -133,9 +143,9 @@ def scan(docs, text="text", keep=("doc_id",), q=0.05):
     """Spans of likely secrets of every row: ``keep`` columns, ``base`` and ``spans`` (arrays of start, end, rank of kind).
 
     Positions are code points, the end exclusive.  A null or empty text has no
-    spans; equal rows give equal rows.  Tokens of 20 or more characters that
-    overlap no base span are tested if they have at least two letters and two
-    digits.  Extra columns of the input may have any name: only ``keep`` is carried.
+    spans; equal rows give equal rows.  All parts of 20 or more characters that
+    overlap no base span are tested, with or without digits; spans of nested parts
+    may overlap.  Extra columns of the input may have any name: only ``keep`` is carried.
     """
     t = F.coalesce(F.col(text), F.lit(""))
     named = F.lower(F.col("_t"))
@@ -155,10 +165,8 @@ def scan(docs, text="text", keep=("doc_id",), q=0.05):
     )
     rows = rows.select(*keep, F.array_sort(F.concat(_spans("_a", 0), _spans("_k", 1), _spans("_h", 2)),
                                            lambda a, b: _before(a, b)).alias("base"), "_r")
-    mixed = F.filter("_r", lambda s: s["text"].rlike("[0-9].*[0-9]") & s["text"].rlike("[A-Za-z].*[A-Za-z]")
-                     & ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    rows = rows.select(*keep, "base", mixed.alias("_r"))
-    coded = rows.select(*keep, "base", F.filter(F.transform("_r", _tested), lambda s: s["encoding"].isNotNull()).alias("_r"))
+    apart = F.filter(F.flatten(F.transform("_r", _parts)), lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    coded = rows.select(*keep, "base", apart.alias("_r")).select(*keep, "base", F.transform("_r", _tested).alias("_r"))
     numbered = coded.select(*keep, "base", F.transform("_r", _numbered).alias("_r"))
     tests = stored(numbered.select(*keep, "base", F.transform("_r", _scored).alias("tests")))
     limits = _limits(tests, q)
@@ -170,7 +178,7 @@ def scan(docs, text="text", keep=("doc_id",), q=0.05):
 
 def _before(a, b):
     sign = lambda f: F.when(a[f] < b[f], -1).when(a[f] > b[f], 1)
-    return F.coalesce(sign("start"), sign("rank"), F.lit(0))
+    return F.coalesce(sign("start"), sign("rank"), sign("end"), F.lit(0))
 
 
 def digest(found, keep=("doc_id",)):

@@ -229,6 +229,20 @@ def test_random_tokens_are_added_and_words_are_not(spark):
     assert sum("random" in got[100 + i] for i in range(60)) <= 3
 
 
+def test_keys_behind_names_and_paths_are_redacted(spark):
+    rng = np.random.default_rng(12)
+    letters = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"))
+    plain = np.array([c for c in letters if c.isalpha()])
+    shapes = ["see STRIPE_KEY=sk_live_{} here", "see sig={}== here", "see /srv/my_app/{} here", "see /a_b/c-d/x_{} here", "see {} here"]
+    keys = ["".join(rng.choice([letters, letters, letters[:62], letters[:62], plain][i % 5], 44)) for i in range(100)]
+    rows = [(i, shapes[i % 5].format(k)) for i, k in enumerate(keys)]
+    rows += [(100 + i, "see " + "zzzzzzzzzzzzzzzzyyyyyyyyyyyyyyyy" + "zy" * i + " here") for i in range(30)]
+    got = {r.doc_id: r.text for r in secret_scan.redact(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for shape in range(5):
+        assert sum(keys[i] not in got[i] for i in range(shape, 100, 5)) >= 17, shape
+    assert sum("[secret]" in got[100 + i] for i in range(30)) <= 2
+
+
 def test_redaction(spark, odd, none):
     df = spark.createDataFrame([(1, "my token=abcdefgh1 and AKIA" + "B" * 16 + " end", "x"), (2, None, "y"), (3, "clean", "z")], "doc_id long, text string, base string")
     rows = {r.doc_id: r for r in secret_scan.redact(df).collect()}
