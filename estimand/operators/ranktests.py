@@ -104,3 +104,24 @@ def exact_quantiles(df, c, probs):
     return hits.groupBy("p", "w").agg(
         F.max(F.when(F.col("is_lo"), F.col("v"))).alias("lo"), F.max(F.when(F.col("is_hi"), F.col("v"))).alias("hi")
     ).select("p", (F.col("lo") + F.col("w") * (F.col("hi") - F.col("lo"))).alias("value"))
+
+
+def discrete_quantiles(df, columns, probs):
+    """{column: values}: the least value with a share p of the non-null values at or below it; no values where all are null.
+
+    One scan counts the values of all columns; one row per column and p reaches the driver.
+    """
+    values = F.array(*[F.struct(F.lit(i).alias("i"), as_double(c).alias("v")) for i, c in enumerate(columns)])
+    counts = df.select(F.inline(values)).where("v is not null").groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
+    placed = prefix_sum(counts, ["i", "v"], ["n"])
+    found = {c: [] for c in columns}
+    sizes = placed.groupBy("i").agg(F.min("n_before").alias("start"), F.sum("n").alias("n")).collect()
+    if not sizes:
+        return found
+    points = F.array(*[F.struct(F.lit(r["i"]).alias("i"), F.lit(k).alias("k"), F.lit(r["start"] + max(1, math.ceil(r["n"] * p)) - 1).alias("at"))
+                       for r in sizes for k, p in enumerate(probs)])
+    held = F.filter(points, lambda x: (x["i"] == F.col("i")) & (F.col("n_before") <= x["at"]) & (F.col("n_before") + F.col("n") > x["at"]))
+    hits = placed.select("i", "v", F.explode(F.transform(held, lambda x: x["k"])).alias("k")).collect()
+    for r in sorted(hits, key=lambda r: (r["i"], r["k"])):
+        found[columns[r["i"]]].append(r["v"])
+    return found

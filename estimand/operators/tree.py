@@ -17,6 +17,7 @@ from pyspark.sql import Window as W, functions as F
 from estimand.functions import dist
 from estimand.functions.columns import TREE_QUANTILES, as_column, bin_labels, cut_bins, split_random
 from estimand.operators.fdr import q_values
+from estimand.operators.ranktests import discrete_quantiles
 from estimand.plans.moments import Moments, merge_all
 
 NUMERIC = ("byte", "short", "integer", "long", "float", "double", "decimal")
@@ -243,11 +244,11 @@ class CausalTree:
         return self
 
     def _edges(self, df, needcut):
-        """De-duplicated quantiles of all numeric features in one pass."""
+        """De-duplicated exact quantiles of all numeric features, from value counts made in one scan."""
         if not needcut:
             return {}
-        row = df.agg(*[F.percentile_approx(c, list(TREE_QUANTILES), 10_000).alias(c) for c in needcut]).first()
-        return {c: sorted({float(v) for v in (row[c] or [0.0])}) for c in needcut}
+        found = discrete_quantiles(df, needcut, TREE_QUANTILES)
+        return {c: sorted(set(found[c] or [0.0])) for c in needcut}
 
     def _overall(self, work):
         """Sizes, pooled ATE, ATE of the estimation half; whether collapsing equal

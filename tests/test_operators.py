@@ -406,6 +406,16 @@ def test_tree_against_brute_force(sample, monkeypatch, collapse):
     assert scored.effect.notna().all() and set(scored.effect.round(9)) <= set(leaves.prediction.round(9))
 
 
+def test_tree_edges_are_exact(spark):
+    # 70,001 values in shuffled order: more than a sketch of 10,000 holds
+    df = spark.range(70_001).select((F.col("id") * 7919 % 70_001).cast("double").alias("a"), F.expr("if(id % 5 = 0, null, id % 7)").alias("b"), F.lit(None).cast("int").alias("c"))
+    pdf = df.toPandas()
+    want = {c: sorted(set(np.quantile(pdf[c].dropna().astype(float), tree.TREE_QUANTILES, method="inverted_cdf"))) for c in ("a", "b")}
+    for parts in (1, 5):
+        assert tree.CausalTree()._edges(df.repartition(parts), ["a", "b", "c"]) == {**want, "c": [0.0]}
+    assert tree.CausalTree()._edges(df.limit(0), ["a"]) == {"a": [0.0]}
+
+
 def test_tree_null_features_and_validation(spark, sample):
     df, _ = sample
     df = df.withColumn("a", F.when(F.col("id") % 9 != 0, F.col("x2").cast("int")))
