@@ -33,15 +33,16 @@ LEAF_MEMBERS, LEAF_ITEMS = 10_000, 4_000_000
 PIVOTS = 16
 #: Pivots whose distances to all members are kept as windows.
 WINDOWS = 4
+#: Least growth of the size classes; below 80 percent 100 / percent, so that a partner lies one class apart at most.
 GROWTH = 1.25
 _MASK = np.uint64((1 << 48) - 1)
 
 
 def _classes(limit, percent):
     """Size classes: first sizes, number of slices and allowed weak slices of each; 0 slices where no two different sets link."""
-    low, slices, weak = [1], [], []
+    low, slices, weak, growth = [1], [], [], max(GROWTH, 100 / percent)
     while low[-1] <= limit:
-        a = max(low[-1] + 1, int(np.ceil(low[-1] * GROWTH)))
+        a = max(low[-1] + 1, int(np.ceil(low[-1] * growth)))
         top = a - 1
         differ = (100 - percent) * (top + 100 * top // percent) // (100 + percent)
         spare = 0

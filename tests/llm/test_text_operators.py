@@ -93,6 +93,19 @@ def test_slices_never_miss_a_link():
                     assert set(keys[owner == 0].tolist()) & set(keys[owner == 1].tolist())
 
 
+def test_slices_meet_the_largest_partner_of_every_percent():
+    rng = np.random.default_rng(4)
+    for percent in (50, 60, 70, 79, 80, 85, 100):
+        for n in range(1, 200):
+            b = np.unique(rng.integers(0, 2**48, 100 * n // percent, dtype=np.uint64))
+            a = np.sort(rng.permutation(b)[:n])
+            if len(a) < len(b):
+                text, h = np.repeat([0, 1], [len(a), len(b)]), np.concatenate([a, b])
+                for cut in (jaccard_join._slice_keys, jaccard_join._bundle_keys):
+                    owner, keys = cut(text, h, np.array([len(a), len(b)]), percent)
+                    assert set(keys[owner == 0].tolist()) & set(keys[owner == 1].tolist()), (percent, n)
+
+
 def test_joins_on_odd_rows(spark, odd, none):
     got = sorted(((r.doc_id or -1), r.n_shingles, r.component_id) for r in jaccard_join.classes(odd, n=4, percent=85).collect())
     assert [g for g in got if g[0] in (1, 5)] == [(1, 5, 1), (5, 5, 1), (5, 5, 1)]
