@@ -2,9 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from pyspark.sql import functions as F
-
-from estimand.llm import best_fit, decontaminate, hnsw, jaccard_join, linear, packed_ids, quality, revisit, secret_scan, superkmer, toxicity
+from estimand.llm import best_fit, decontaminate, filter_audit, hnsw, jaccard_join, linear, packed_ids, quality, revisit, secret_scan, superkmer, toxicity
 
 QUERIES, ORACLES = {}, {}
 
@@ -127,3 +125,33 @@ def op5_revisit_resolution(spark, sf):
     found = revisit.resolve(captures(t(spark, sf, "pages")))
     listed = F.array_join(F.array_sort(F.transform(F.map_entries("merged"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ";")
     return found.select("record_id", "canonical", "ts", "refers_to", "status", listed.alias("headers"))
+
+OP12_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS x, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+l AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY 1),
+f AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+        CASE WHEN len(w) < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 2 ELSE 0 END
+        + CASE WHEN 100 * length(regexp_replace(x, '[^A-Z]', '', 'g')) > 5 * length(x) THEN 4 ELSE 0 END
+        + CASE WHEN regexp_matches(x, '[#$%&*|]') THEN 8 ELSE 0 END
+        + CASE WHEN d.doc_id > min(d.doc_id) OVER (PARTITION BY x) THEN 16 ELSE 0 END AS mask
+      FROM d LEFT JOIN l ON l.doc_id = d.doc_id),
+c AS (SELECT part, good, toxic, mask, count(*) AS n FROM f GROUP BY ALL),
+b(l, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+o AS (SELECT p.l || q.l || r.l || s.l || u.l AS filter_order FROM b p, b q, b r, b s, b u WHERE p.bit + q.bit + r.bit + s.bit + u.bit = 31
+      AND len(list_distinct([p.l, q.l, r.l, s.l, u.l])) = 5),
+steps AS (SELECT filter_order, step, l, bit, coalesce((SELECT sum(e.bit) FROM b e WHERE strpos(filter_order, e.l) < step), 0)::BIGINT AS before
+          FROM o, generate_series(1, 5) g(step) JOIN b ON l = substr(filter_order, step, 1)),
+found AS (SELECT part, filter_order, step, l,
+    sum(n * (mask & (before | bit) = 0)::INT)::BIGINT AS kept, sum(n * (mask & before = 0 AND mask & bit <> 0)::INT)::BIGINT AS removed,
+    sum(n * (mask & before <> 0 AND mask & bit <> 0)::INT)::BIGINT AS redundant, sum(n * (mask = bit)::INT)::BIGINT AS unique_fails,
+    sum(n * (good AND mask & before = 0 AND mask & bit <> 0)::INT)::BIGINT AS good_lost,
+    sum(n * (toxic AND mask & before = 0 AND mask & bit <> 0)::INT)::BIGINT AS toxic_lost
+  FROM c, steps GROUP BY ALL)
+SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, l))::BIGINT AS shapley FROM found
+"""
+
+
+@query("op12_filter_audit", OP12_SQL)
+def op12_filter_audit(spark, sf):
+    return filter_audit.audit(t(spark, sf, "documents"), t(spark, sf, "labels"))
