@@ -35,11 +35,43 @@ def reliable_checkpoint(df):
     return df.checkpoint(eager=True)
 
 
+#: Paths of tables that ``stored`` wrote and nothing has released.
+_STORED = []
+
+
 def stored(df):
-    """Parquet copy in the shared folder: later reads prune columns."""
+    """Parquet copy in the shared folder: later reads prune columns.  It stays until it is released."""
     path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _STORED.append(path)
+    copy = df.sparkSession.read.schema(df.schema).parquet(path)
+    copy.stored_path = path
+    return copy
+
+
+def release(*tables):
+    """Delete tables that ``stored`` returned, after their last reader has been written."""
+    for table in tables:
+        _delete(table.sparkSession, table.stored_path)
+
+
+def stored_paths():
+    """Paths of the tables in the shared folder that nothing has released."""
+    return list(_STORED)
+
+
+def release_all(spark, but=()):
+    """Delete every table that ``stored`` wrote, except the paths ``but``: results that read them must have been written."""
+    for path in stored_paths():
+        if path not in but:
+            _delete(spark, path)
+
+
+def _delete(spark, path):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    if path in _STORED:
+        _STORED.remove(path)
 
 
 def global_position(df, order, keep=None, name="position"):
