@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from estimand.llm import best_fit, decontaminate, filter_audit, hnsw, jaccard_join, linear, packed_ids, quality, revisit, secret_scan, superkmer, toxicity
+from estimand.llm import best_fit, decontaminate, filter_audit, hnsw, jaccard_join, linear, packed_ids, pair_bitmaps, quality, revisit, secret_scan, suffix_buckets, superkmer, toxicity
 
 QUERIES, ORACLES = {}, {}
 
@@ -155,3 +155,14 @@ SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_f
 @query("op12_filter_audit", OP12_SQL)
 def op12_filter_audit(spark, sf):
     return filter_audit.audit(t(spark, sf, "documents"), t(spark, sf, "labels"))
+
+
+@query("op13_suffix_buckets")
+def op13_suffix_buckets(spark, sf):
+    kept = suffix_buckets.remove_repeats(t(spark, sf, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op11_pair_bitmaps")
+def op11_pair_bitmaps(spark, sf):
+    return pair_bitmaps.align(t(spark, sf, "documents"))
