@@ -7,17 +7,21 @@
    more elements (a pigeonhole count of the elements in which they may differ).  A family holds
    the classes that are connected by agreeing slices, linked or not; a family too
    large for a task is cut again by pairs of agreeing slices.
-3. Pivots.  A family that fits a task is joined there: a pivot's distances to all
-   members give its links, the distances to the first pivots give windows outside
-   which no link is possible, and connected members are never compared again.
-4. Regions.  A larger family gets pivots by an ordinary join.  Its members fall to
-   the Voronoi regions of their nearest pivots; pairs of regions whose distances
-   to some pivot differ by more than the radius are dropped, the members of the
-   largest connected part are compared with the others only, and each remaining
-   pair of regions is joined as in 3.
-Nothing is capped: what pivots can't separate is compared in full, in pairs of regions.
+3. Regions.  A family's members fall to the Voronoi regions of their nearest
+   pivots.  A member is copied into an earlier region too if its distances to all
+   pivots lie within the region's own, widened by the radius (the triangle
+   inequality lets no other member link into it).  Regions are joined in the same
+   way with pivots of their own, as long as that makes them smaller.
+4. Links.  What remains is joined by inverted lists of each set's rarest elements
+   (two linked sets share one of them); a candidate's intersection is counted in
+   full, and connected members are never compared again.
+A family that fits a task is divided there; a larger one is first divided by an
+ordinary join, and the members of its largest connected part are then compared
+with the others only.  Nothing is capped.
 """
 
+import heapq
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Window as W, functions as F
@@ -25,14 +29,15 @@ from pyspark.sql import Window as W, functions as F
 from estimand.llm import words
 from estimand.llm.bitmap import bitmap, inside
 from estimand.llm.components import components
-from estimand.plans.prefix import stored
+from estimand.plans.prefix import release, stored
 
 #: A family up to this many members and set elements is joined in one task (some 30 MB); regions hold half of it.
 LEAF_MEMBERS, LEAF_ITEMS = 10_000, 4_000_000
 #: Pivots of a larger family.
 PIVOTS = 16
-#: Pivots whose distances to all members are kept as windows.
-WINDOWS = 4
+#: Inside a task: groups above REGION sets fall to the regions of LEAF_PIVOTS pivots, sets further than FAR from all of
+#: them to one more, as long as the largest region has at most SHRINK of the group and all of them twice its sets.
+REGION, LEAF_PIVOTS, FAR, SHRINK = 256, 8, 0.8, 0.7
 #: Least growth of the size classes; below 80 percent 100 / percent, so that a partner lies one class apart at most.
 GROWTH = 1.25
 _MASK = np.uint64((1 << 48) - 1)
@@ -232,7 +237,7 @@ def _wanted_sets(docs, text, n, wanted):
 
 
 def _refined(docs, text, n, percent, members):
-    """(cid, family) after cutting the families of stored ``members`` (cid, s1, s2, family) again by pairs of slices."""
+    """Stored (node, comp): families after cutting those of stored ``members`` (cid, s1, s2, family) again by pairs of slices."""
     filled, shift = bitmap(members, "s1")
 
     def run(batches):
@@ -253,7 +258,10 @@ def _refined(docs, text, n, percent, members):
     keyed = docs.select(F.col(text)).mapInArrow(run, "s1 long, s2 long, key long").join(members, ["s1", "s2"])
     over = W.partitionBy("key", "family")
     near = keyed.select("key", "family", "cid").withColumn("_lo", F.min("cid").over(over)).where("_lo < cid").select(F.col("_lo").alias("a"), F.col("cid").alias("b"))
-    return components(stored(near.distinct())).select(F.col("node").alias("cid"), F.col("comp").alias("family"))
+    near = stored(near.distinct())
+    label = components(near)
+    release(near)
+    return label
 
 
 def _unpacked(raw):
@@ -271,50 +279,162 @@ def _as_arrays(batches):
                                          names=["family", "cid", "n", "elements", "items"])
 
 
-def _linked(sets, label, percent):
-    """Index pairs that connect what links connect; ``label`` tells which members are connected already."""
-    m = len(sets)
-    size = np.array([len(x) for x in sets])
-    start = np.cumsum(size) - size
-    flat = np.unique(np.concatenate(sets), return_inverse=True)[1]
-    mark = np.zeros(int(flat.max()) + 1, bool)
-    label, alive = np.unique(label, return_inverse=True)[1], np.ones(m, bool)
-    radius = 1 - percent / 100 + 1e-9
-    known, out = [], []
-    while True:
-        count = np.bincount(label[alive], minlength=m)
-        if (count > 0).sum() < 2:
-            return out
-        p = int(np.flatnonzero(alive & (label == np.where(count > 0, count, m + 1).argmin()))[0])
-        near = alive & (label != label[p])
-        for d in known:
-            near &= np.abs(d - d[p]) <= radius
-        alive[p] = False
-        if len(known) >= WINDOWS and not near.any():
+class _Leaf:
+    """Sets of a task as flat arrays; elements are numbered from the rarest on, so that the first ones of a set tell most."""
+
+    def __init__(self, sets, label, inner, percent):
+        self.size = np.array([len(x) for x in sets])
+        self.start = np.cumsum(self.size) - self.size
+        _, number, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        rank = np.empty(len(count), np.int64)
+        rank[np.argsort(count, kind="stable")] = np.arange(len(count))
+        owner = np.repeat(np.arange(len(sets)), self.size)
+        flat = rank[number]
+        self.flat = flat[np.lexsort((flat, owner))]
+        self.mark = np.zeros(len(count), bool)
+        self.label = np.unique(label, return_inverse=True)[1]
+        self.members = {}
+        for i, x in enumerate(self.label.tolist()):
+            self.members.setdefault(x, []).append(i)
+        self.inner, self.percent, self.radius, self.out = np.asarray(inner, bool), percent, 1 - percent / 100 + 1e-9, []
+
+    def common(self, p, rows):
+        """Sizes of the intersections of set p with the given sets."""
+        own = self.flat[self.start[p] : self.start[p] + self.size[p]]
+        self.mark[own] = True
+        n = self.size[rows]
+        end = np.cumsum(n)
+        hit = self.mark[self.flat[np.repeat(self.start[rows] - (end - n), n) + np.arange(end[-1])]]
+        self.mark[own] = False
+        return np.add.reduceat(hit, end - n, dtype=np.int64)
+
+    def link(self, p, rows, common):
+        """Connect p with those of the given sets that are similar enough."""
+        for x in rows[100 * common >= self.percent * (self.size[rows] + self.size[p] - common)].tolist():
+            a, b = int(self.label[p]), int(self.label[x])
+            if a != b:
+                self.out.append((p, x))
+                a, b = (a, b) if len(self.members[a]) >= len(self.members[b]) else (b, a)
+                gone = self.members.pop(b)
+                self.label[gone] = a
+                self.members[a] += gone
+
+    def regions(self, inner, outer):
+        """Voronoi regions (inner, outer) of the inner sets, with the outer sets that the windows let in; None where they save little.
+
+        Sets further than ``FAR`` from all pivots share the last region.  A set
+        of another region comes in only if its distance to the region's pivot is
+        at most the radius beyond the distances of the sets inside; of two
+        regions only the first takes in sets of the other.
+        """
+        both = np.concatenate([inner, outer])
+        n = len(inner)
+        pivots = inner[np.linspace(0, n - 1, LEAF_PIVOTS).astype(np.int64)]
+        far = np.empty((LEAF_PIVOTS, len(both)))
+        for j, p in enumerate(pivots.tolist()):
+            common = self.common(p, both)
+            self.link(p, both, common)
+            far[j] = 1 - common / (self.size[both] + self.size[p] - common)
+        near, home = far.min(axis=0), far.argmin(axis=0)
+        home[near > FAR] = LEAF_PIVOTS
+        out = []
+        for j in range(LEAF_PIVOTS + 1):
+            own = np.flatnonzero(home[:n] == j)
+            if len(own):
+                others = np.flatnonzero((home > j) | (np.arange(len(both)) >= n))
+                fits = np.ones(len(others), bool)
+                for d in far:
+                    fits &= (d[others] >= d[own].min() - self.radius) & (d[others] <= d[own].max() + self.radius)
+                out.append((inner[own], both[others[fits]]))
+        held = [len(x) + len(y) for x, y in out]
+        return out if max(held) <= SHRINK * len(both) and sum(held) <= 2 * len(both) else None
+
+    def join(self, inner, outer):
+        """Links between inner sets and any others, by inverted lists of the sets' rarest elements (linked sets share one of them)."""
+        rows = np.concatenate([inner, outer])
+        prefix = self.size[rows] - -(-self.percent * self.size[rows] // 100) + 1
+        end = np.cumsum(prefix)
+        begin = end - prefix
+        element = self.flat[np.repeat(self.start[rows] - begin, prefix) + np.arange(end[-1])]
+        order = np.argsort(element, kind="stable")
+        held, holder = element[order], np.repeat(rows, prefix)[order]
+        lo, hi = np.searchsorted(held, element), np.searchsorted(held, element, "right")
+        place = dict(zip(rows.tolist(), range(len(rows))))
+        alive, inside = np.zeros(len(self.size), bool), np.zeros(len(self.size), bool)
+        alive[rows], inside[inner] = True, True
+        left = dict(zip(*(x.tolist() for x in np.unique(self.label[rows], return_counts=True))))
+        heap = sorted((n, x) for x, n in left.items())
+        todo = {}
+        for i in rows.tolist():
+            todo.setdefault(int(self.label[i]), []).append(i)
+        while len(todo) > 1:
+            n, x = heapq.heappop(heap)
+            if x not in todo:
+                continue
+            if n != len(todo[x]):
+                heapq.heappush(heap, (len(todo[x]), x))
+                continue
+            p = todo[x].pop()
+            alive[p] = False
+            i = place[p]
+            a, b = lo[begin[i] : end[i]], hi[begin[i] : end[i]]
+            more = b - a > 1
+            if more.any():
+                a, n = a[more], b[more] - a[more]
+                upto = np.cumsum(n)
+                found = holder[np.repeat(a - (upto - n), n) + np.arange(upto[-1])]
+                found = np.unique(found[alive[found] & (self.label[found] != self.label[p]) & (inside[found] | inside[p])])
+                small, large = np.minimum(self.size[found], self.size[p]), np.maximum(self.size[found], self.size[p])
+                found = found[100 * small >= self.percent * large]
+                if len(found):
+                    before = self.label[found]
+                    self.link(p, found, self.common(p, found))
+                    for old in set(before.tolist()) | {x}:
+                        now = int(self.label[todo[old][0]]) if todo.get(old) else old
+                        if now != old:
+                            todo.setdefault(now, []).extend(todo.pop(old))
+                            heapq.heappush(heap, (len(todo[now]), now))
+                        elif old in todo and not todo[old]:
+                            del todo[old]
+            if todo.get(x):
+                heapq.heappush(heap, (len(todo[x]), x))
+            else:
+                todo.pop(x, None)
+
+
+def _linked(sets, label, percent, inner=None):
+    """Index pairs that connect what links connect; ``label`` tells which members are connected already.
+
+    Only pairs with an inner set count.  Large groups fall to Voronoi regions
+    again and again, as long as regions are much smaller than the group; what
+    remains is joined by inverted lists.
+    """
+    leaf = _Leaf(sets, label, np.ones(len(sets), bool) if inner is None else inner, percent)
+    todo = [(np.flatnonzero(leaf.inner), np.flatnonzero(~leaf.inner))]
+    while todo:
+        own, others = todo.pop()
+        if len(own) == 0 or (leaf.label[own] == leaf.label[own[0]]).all() and (leaf.label[others] == leaf.label[own[0]]).all():
             continue
-        own = flat[start[p] : start[p] + size[p]]
-        mark[own] = True
-        common = np.add.reduceat(mark[flat], start)
-        mark[own] = False
-        union = size + size[p] - common
-        if len(known) < WINDOWS:
-            known.append(1 - common / union)
-        for x in np.flatnonzero(near & (100 * common >= percent * union)).tolist():
-            if label[x] != label[p]:
-                out.append((p, x))
-                label[label == label[x]] = label[p]
+        parts = leaf.regions(own, others) if len(own) + len(others) > REGION and len(own) >= LEAF_PIVOTS else None
+        if parts is None:
+            leaf.join(own, others)
+        else:
+            todo += parts
+    return leaf.out
 
 
 def _joined(percent):
-    """Links (a, b) of sorted rows (leaf, cid, comp, items); a class met twice counts once."""
+    """Links (a, b) of sorted rows (leaf, cid, comp, inner, items); a class met twice counts once, as an inner one if it is one anywhere."""
 
     def solve(table):
-        cid, first = np.unique(table.column("cid").to_numpy(), return_index=True)
+        own = table.column("inner").to_numpy()
+        order = np.argsort(~own, kind="stable")
+        cid, first = np.unique(table.column("cid").to_numpy()[order], return_index=True)
         if len(cid) < 2:
             return []
-        table = table.take(pa.array(first))
+        table = table.take(pa.array(order[first]))
         sets = [_unpacked(x) for x in table.column("items").to_pylist()]
-        return [(int(cid[a]), int(cid[b])) for a, b in _linked(sets, table.column("comp").to_numpy(), percent)]
+        return [(int(cid[a]), int(cid[b])) for a, b in _linked(sets, table.column("comp").to_numpy(), percent, table.column("inner").to_numpy())]
 
     def run(batches):
         held, last, out = [], None, []
@@ -335,7 +455,7 @@ def _joined(percent):
 
 
 def _leaf_links(rows, percent):
-    dealt = rows.select("leaf", "cid", "comp", "items").repartition("leaf").sortWithinPartitions("leaf")
+    dealt = rows.select("leaf", "cid", "comp", "inner", "items").repartition("leaf").sortWithinPartitions("leaf")
     return dealt.mapInArrow(_joined(percent), "a long, b long")
 
 
@@ -350,6 +470,7 @@ def _region_links(members, percent):
     far = members.join(pivots, "family").select("family", "cid", "j", "pivot", common.alias("common"), (F.col("n") + F.col("pn") - common).alias("union"))
     far = stored(far.withColumn("d", 1 - F.col("common") / F.col("union")))
     stars = far.where((F.col("cid") != F.col("pivot")) & (100 * F.col("common") >= percent * F.col("union"))).select(F.col("cid").alias("a"), F.col("pivot").alias("b")).distinct()
+    stars = stored(stars)
     label = components(stars)
     place = far.groupBy("family", "cid").agg(F.min(F.struct("d", "j")).alias("home"), F.array_sort(F.collect_list(F.struct("j", "d"))).alias("ds"))
     place = place.join(label.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
@@ -365,21 +486,28 @@ def _region_links(members, percent):
     place = place.join(full, ["family", "main", "home"])
     place = stored(place.withColumn("region", F.xxhash64("family", "main", "home", F.pmod(F.xxhash64("cid"), "parts"))))
     bounds = [f(F.element_at("ds", j + 1)["d"]).alias(f"{a}{j}") for j in range(PIVOTS) for a, f in (("lo", F.min), ("hi", F.max))]
-    regions = place.groupBy("family", "region", "main").agg(*bounds)
-    other = regions.select("family", *[F.col(c).alias(f"o_{c}") for c in regions.columns if c != "family"])
-    apart = " or ".join(f"lo{j} > o_hi{j} + {radius} or o_lo{j} > hi{j} + {radius}" for j in range(PIVOTS))
-    pairs = regions.join(other, "family").where("region <= o_region and not (main and o_main)").where(f"not ({apart})")
-    pairs = pairs.select(F.xxhash64("region", "o_region").alias("leaf"), F.explode(F.array_distinct(F.array("region", "o_region"))).alias("region"))
-    rows = pairs.join(place.select("region", "cid", "comp"), "region").join(members.select("cid", "items"), "cid")
-    return stars.unionByName(stored(_leaf_links(rows, percent)))
-
-
-def _sized(groups, family):
-    """Stored classes (cid, s1, s2, n, family, large) of the given families."""
-    wanted = groups.join(family, "cid")
+    regions = place.groupBy("family", "region", "main").agg(*bounds)  # at most a few for each task's worth of members
+    first = regions.select("family", F.col("region").alias("leaf"), F.col("main").alias("o_main"), *[F.col(f"{a}{j}") for j in range(PIVOTS) for a in ("lo", "hi")])
+    # a member goes to each earlier region in whose windows it lies: it is at most the radius nearer or farther than the region's own
+    let_in = " and ".join(f"ds[{j}].d between lo{j} - {radius} and hi{j} + {radius}" for j in range(PIVOTS))
+    outer = place.join(first, "family").where("leaf < region and not (main and o_main)").where(let_in)
+    outer = stored(outer.select("leaf", "cid", "comp", F.lit(False).alias("inner")))
+    used = outer.select("leaf").distinct().withColumn("_used", F.lit(True))
+    own = place.select(F.col("region").alias("leaf"), "cid", "comp", F.lit(True).alias("inner"), "main").join(used, "leaf", "left").where("not main or _used")
+    rows = own.select("leaf", "cid", "comp", "inner").unionByName(outer).join(members.select("cid", "items"), "cid")
+    links = stored(_leaf_links(rows, percent))
+    release(outer, place, far, label)
+    return stars, links
+
+
+def _sized(groups, label):
+    """Stored classes (cid, s1, s2, n, family, large) of the components ``label``, which is released."""
+    wanted = groups.join(label.select(F.col("node").alias("cid"), F.col("comp").alias("family")), "cid")
     sizes = wanted.groupBy("family").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("items"))
     large = (F.col("m") > LEAF_MEMBERS) | (F.col("items") > LEAF_ITEMS)
-    return stored(wanted.join(sizes, "family").select("cid", "s1", "s2", "n", "family", large.alias("large")))
+    out = stored(wanted.join(sizes, "family").select("cid", "s1", "s2", "n", "family", large.alias("large")))
+    release(label)
+    return out
 
 
 def classes(docs, text="text", key="doc_id", n=5, percent=80):
@@ -392,31 +520,39 @@ def classes(docs, text="text", key="doc_id", n=5, percent=80):
     linked; a null key takes part but never names a component that has another.
     """
     signed = stored(_signatures(docs, text, key, n, percent))
-    rows = signed.select("rid", key, "n_shingles", "s1", "s2")
-    full = rows.where("n_shingles > 0")
-    groups = stored(full.groupBy("s1", "s2").agg(F.min("rid").alias("cid"), F.min(key).alias("low"), F.first("n_shingles").alias("n")))
+    rows = stored(signed.select("rid", key, "n_shingles", "s1", "s2"))
     over = W.partitionBy("key")
     keyed = signed.where(F.size("keys") > 0).select(F.explode("keys").alias("key"), "rid")
     keyed = keyed.withColumns({"_lo": F.min("rid").over(over), "_hi": F.max("rid").over(over)}).where("_lo < _hi")
-    near = stored(keyed.select(F.col("_lo").alias("a"), F.col("rid").alias("b")).where("a <> b").distinct())
+    agreed = stored(keyed.select(F.col("_lo").alias("a"), F.col("rid").alias("b")).where("a <> b").distinct())
+    release(signed)
+    full = rows.where("n_shingles > 0")
+    groups = stored(full.groupBy("s1", "s2").agg(F.min("rid").alias("cid"), F.min(key).alias("low"), F.first("n_shingles").alias("n")))
     cid = full.join(groups, ["s1", "s2"]).select("rid", "cid")
-    near = near.join(cid.select(F.col("rid").alias("a"), F.col("cid").alias("ca")), "a").join(cid.select(F.col("rid").alias("b"), F.col("cid").alias("cb")), "b")
-    family = components(near.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-    wanted = _sized(groups, family.select(F.col("node").alias("cid"), F.col("comp").alias("family")))
+    near = agreed.join(cid.select(F.col("rid").alias("a"), F.col("cid").alias("ca")), "a").join(cid.select(F.col("rid").alias("b"), F.col("cid").alias("cb")), "b")
+    label = components(near.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    release(agreed)
+    wanted = _sized(groups, label)
     members = wanted.where("large").select("cid", "s1", "s2", "family")
     if members.head(1):
         finer = _refined(docs, text, n, percent, members)
-        wanted = stored(wanted.where("not large").unionByName(_sized(groups, finer)))
+        first, second = wanted, _sized(groups, finer)
+        wanted = stored(first.where("not large").unionByName(second))
+        release(first, second)
     found = _wanted_sets(docs, text, n, wanted).join(wanted, ["s1", "s2"])
     beyond = bool(wanted.where("large").head(1))
     found = stored(found) if beyond else found
-    usual = found.where("not large").select(F.col("family").alias("leaf"), "cid", F.col("cid").alias("comp"), "items")
+    usual = found.where("not large").select(F.col("family").alias("leaf"), "cid", F.col("cid").alias("comp"), F.lit(True).alias("inner"), "items")
     links = stored(_leaf_links(usual, percent))
+    done = [links, wanted]
     if beyond:
         members = found.where("large").groupBy("family", "cid", "n").agg(F.first("items").alias("items"))
         members = stored(members.mapInArrow(_as_arrays, "family long, cid long, n long, elements array<long>, items binary"))
-        links = links.unionByName(_region_links(members, percent))
+        stars, more = _region_links(members, percent)
+        links = links.unionByName(stars).unionByName(more)
+        done += [found, members, stars, more]
     label = components(links)
+    release(*done)
     named = groups.join(label.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     lowest = named.groupBy("comp").agg(F.min("low").alias("component_id"))
     by_set = named.join(lowest, "comp").select("s1", "s2", "component_id")
