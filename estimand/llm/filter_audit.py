@@ -17,6 +17,8 @@ from fractions import Fraction
 
 from pyspark.sql import functions as F
 
+from estimand.plans.prefix import release, stored
+
 #: The five filters of the registered audit, in the order of their bits.
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 CAPITALS, SIGNS = "[^A-Z]", "[#$%&*|]"
@@ -64,7 +66,7 @@ def shapley_weights(m):
 
 
 def failures(docs, labels, text="text", key="doc_id", part="source", filters=text_filters, repeated="E"):
-    """(part, mask, good, toxic, n), counts of documents by the filters they fail, and the names of all filters.
+    """Stored (part, mask, good, toxic, n), counts of documents by the filters they fail, and the names of all filters.
 
     ``filters`` gives conditions of one text; the last bit is ``repeated``: the
     same text has a smaller key somewhere in the table.  Texts are compared by
@@ -75,16 +77,17 @@ def failures(docs, labels, text="text", key="doc_id", part="source", filters=tex
     conditions = filters(body)
     mask = sum((F.when(c, F.lit(1 << i)).otherwise(F.lit(0)) for i, c in enumerate(conditions.values())), F.lit(0))
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(part).cast("string"), F.lit("")).alias("part"), F.unhex(F.sha2(body, 256)).alias("digest"), mask.alias("mask"))
-    rows = rows.groupBy("key", "part", "digest", "mask").agg(F.count(F.lit(1)).alias("n"))
-    # n is read on both sides of the join, so that both use one shuffle of the rows
-    first = rows.groupBy("digest").agg(F.min(F.when(F.col("n") > 0, F.col("key"))).alias("lo"), F.max("key").alias("hi")).where("lo < hi").select("digest", "lo")
-    rows = rows.join(first, "digest", "left")
+    own = stored(rows.groupBy("key", "part", "digest", "mask").agg(F.count(F.lit(1)).alias("n")))
+    first = own.groupBy("digest").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo < hi").select("digest", "lo")
+    rows = own.join(first, "digest", "left")
     again = F.coalesce(F.col("lo") < F.col("key"), F.lit(False))
     rows = rows.withColumn("mask", F.col("mask") + F.when(again, F.lit(1 << len(conditions))).otherwise(F.lit(0))).groupBy("key", "part", "mask").agg(F.sum("n").alias("n"))
     marked = labels.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(
         F.max(F.coalesce(F.col("quality") == 1, F.lit(False))).alias("good"), F.max(F.coalesce(F.col("toxic") == 1, F.lit(False))).alias("toxic")).where("good or toxic")
     rows = rows.join(marked, "key", "left").select("part", "mask", F.coalesce("good", F.lit(False)).alias("good"), F.coalesce("toxic", F.lit(False)).alias("toxic"), "n")
-    return rows.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n")), [*conditions, repeated]
+    counts = stored(rows.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n")))
+    release(own)
+    return counts, [*conditions, repeated]
 
 
 def coalitions(counts, m):
