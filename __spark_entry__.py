@@ -1524,6 +1524,95 @@ def _(spark, sf):
     return series.interval_length_sum(t(spark, sf, "events"), "event_id", "event_id + 1 + floor(value)")
 
 
+# Statistics of every group.  The keys lie above 2^53, where neighbours are one double, and one group's key is null.
+
+BIG_LINE = "CASE WHEN l_linenumber < 7 THEN 9007199254740992 + l_linenumber END"
+
+
+def big_line(spark, sf):
+    return line(spark, sf).withColumn("k", F.expr(BIG_LINE))
+
+
+def ks_grouped_sql(value, second, key, table, digits):
+    z = "(SQRT(n1 * n2 / (n1 + n2)) * d)"
+    return f"""
+WITH c AS (SELECT {key} AS k, {value} AS v, SUM(({second} = 0)::INT) AS c1, SUM(({second} <> 0)::INT) AS c2 FROM {table} GROUP BY ALL),
+n AS (SELECT k, CAST(SUM(c1) AS DOUBLE) AS n1, CAST(SUM(c2) AS DOUBLE) AS n2 FROM c GROUP BY k),
+g AS (SELECT c.k, SUM(c1) OVER (PARTITION BY c.k ORDER BY v) / n1 - SUM(c2) OVER (PARTITION BY c.k ORDER BY v) / n2 AS gap, n1, n2
+      FROM c JOIN n ON c.k IS NOT DISTINCT FROM n.k WHERE n1 > 0 AND n2 > 0),
+x AS (SELECT k, MAX(ABS(gap)) AS d, MAX(n1) AS n1, MAX(n2) AS n2 FROM g GROUP BY k)
+SELECT n.k, ROUND(d, 10) AS d_statistic, ROUND(LEAST(1.0, GREATEST(0.0,
+  2 * list_sum(list_transform(range(1, 201), lambda j: (CASE WHEN j % 2 = 1 THEN 1 ELSE -1 END) * exp(-2.0*j*j*{z.replace('n1', 'x.n1').replace('n2', 'x.n2')}*{z.replace('n1', 'x.n1').replace('n2', 'x.n2')}))))), {digits}) AS p_value
+FROM n LEFT JOIN x ON x.k IS NOT DISTINCT FROM n.k"""
+
+
+@query("ks_grouped", ks_grouped_sql("l_extendedprice", "l_orderkey % 2", BIG_LINE, "lineitem", 8))
+def _(spark, sf):
+    return rounded(ks.ks_grouped(big_line(spark, sf), "l_extendedprice", "arm", ["k"], method="asymptotic"), k=None, d_statistic=10, p_value=8)
+
+
+@query("ks_grouped_user", ks_grouped_sql("value", "event_id % 2", "user_id", "events", 6))
+def _(spark, sf):
+    df = ks.ks_grouped(t(spark, sf, "events").withColumnRenamed("user_id", "k"), "value", "event_id % 2", ["k"], method="asymptotic")
+    return rounded(df, k=None, d_statistic=10, p_value=6)
+
+
+@query("mann_whitney_grouped", f"""
+WITH r AS (SELECT {BIG_LINE} AS k, l_orderkey % 2 AS g, RANK() OVER (PARTITION BY {BIG_LINE} ORDER BY l_quantity)
+  + (COUNT(*) OVER (PARTITION BY {BIG_LINE}, l_quantity) - 1) / 2.0 AS rk FROM lineitem),
+s AS (SELECT k, SUM(rk) FILTER (WHERE g = 0) AS r1, COUNT(*) FILTER (WHERE g = 0)::DOUBLE AS n1, COUNT(*) FILTER (WHERE g = 1)::DOUBLE AS n2 FROM r GROUP BY k),
+ti AS (SELECT k, SUM(power(c, 3) - c) AS ties FROM (SELECT {BIG_LINE} AS k, COUNT(*)::DOUBLE AS c FROM lineitem GROUP BY 1, l_quantity) GROUP BY k),
+u AS (SELECT s.k, r1 - n1*(n1+1)/2 AS u1, n1*n2 - r1 + n1*(n1+1)/2 AS u2, n1*n2/2 AS mu,
+  SQRT(n1*n2/12*((n1+n2+1) - ties/((n1+n2)*(n1+n2-1)))) AS sd FROM s JOIN ti ON s.k IS NOT DISTINCT FROM ti.k)
+SELECT k, u1, u2, ROUND(LEAST(1.0, 2*(1 - {norm_cdf('((GREATEST(u1, u2) - mu - 0.5)/sd)')})), 9) AS p_value FROM u""")
+def _(spark, sf):
+    return rounded(ranktests.mann_whitney_grouped(big_line(spark, sf), "l_quantity", "arm", ["k"]), k=None, u1=None, u2=None, p_value=9)
+
+
+@query("quantiles_grouped", f"""
+WITH q AS (SELECT {BIG_LINE} AS k, l_returnflag, quantile_cont(l_extendedprice, [0.25, 0.5, 0.75, 0.9, 0.95, 0.99]) AS v FROM lineitem GROUP BY 1, 2)
+SELECT k, l_returnflag, UNNEST([0.25, 0.5, 0.75, 0.9, 0.95, 0.99])::DOUBLE AS p, ROUND(UNNEST(v), 4) AS value FROM q""")
+def _(spark, sf):
+    found = ranktests.quantiles_grouped(big_line(spark, sf), "l_extendedprice", fx.TREE_QUANTILES, ["k", "l_returnflag"])
+    return rounded(found, k=None, l_returnflag=None, p=None, value=4)
+
+
+@query("quantiles_weighted", f"""
+WITH c AS (SELECT {BIG_LINE} AS k, l_extendedprice AS v, SUM(l_quantity) AS w FROM lineitem GROUP BY 1, 2),
+r AS (SELECT k, v, SUM(w) OVER (PARTITION BY k ORDER BY v) AS upto, SUM(w) OVER (PARTITION BY k) AS total FROM c),
+p AS (SELECT UNNEST([0.1, 0.5, 0.9])::DOUBLE AS p)
+SELECT k, p, MIN(v) AS value FROM r, p WHERE upto >= p * total GROUP BY k, p""")
+def _(spark, sf):
+    return ranktests.quantiles_grouped(big_line(spark, sf), "l_extendedprice", [0.1, 0.5, 0.9], ["k"], weight="l_quantity")
+
+
+@query("intervals_grouped", """
+WITH spans AS (SELECT user_id, CAST(event_id AS DOUBLE) AS s, event_id + 1 + FLOOR(value) * 40 AS e FROM events),
+b AS (SELECT user_id, pos, SUM(d) AS d FROM (SELECT user_id, s AS pos, 1 AS d FROM spans UNION ALL SELECT user_id, e, -1 FROM spans) GROUP BY ALL),
+r AS (SELECT user_id, pos, SUM(d) OVER (PARTITION BY user_id ORDER BY pos) AS depth FROM b),
+m AS (SELECT user_id, MAX(depth) AS top FROM r GROUP BY 1),
+o AS (SELECT user_id, s, e, MAX(e) OVER (PARTITION BY user_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM spans),
+u AS (SELECT user_id, SUM(GREATEST(0.0, e - GREATEST(s, COALESCE(reach, s)))) AS interval_length_sum FROM o GROUP BY 1)
+SELECT user_id, MAX(top)::BIGINT AS max_intersections, MIN(pos) FILTER (WHERE depth = top) AS position, MAX(interval_length_sum) AS interval_length_sum
+FROM r JOIN m USING (user_id) JOIN u USING (user_id) GROUP BY user_id""")
+def _(spark, sf):
+    return series.intervals_grouped(t(spark, sf, "events"), "event_id", "event_id + 1 + floor(value) * 40", ["user_id"])
+
+
+@query("lift_gain_grouped", f"""
+WITH r AS (SELECT {BIG_LINE} AS k, l_extendedprice AS y, l_orderkey % 2 AS a, COUNT(*) OVER (PARTITION BY {BIG_LINE}) AS n,
+  ROW_NUMBER() OVER (PARTITION BY {BIG_LINE} ORDER BY l_quantity DESC, l_orderkey, l_partkey, l_suppkey, l_linenumber) - 1 AS i FROM lineitem),
+c AS (SELECT k, i * 20 // n AS bucket, MAX(n)::DOUBLE AS n, COUNT(*) AS cnt, SUM(a) AS c1, SUM(1 - a) AS c0, SUM(a * y) AS y1, SUM((1 - a) * y) AS y0 FROM r GROUP BY 1, 2),
+s AS (SELECT k, bucket, n, SUM(cnt) OVER w AS cnt, SUM(c1) OVER w AS c1, SUM(c0) OVER w AS c0, SUM(y1) OVER w AS y1, SUM(y0) OVER w AS y0 FROM c
+  WINDOW w AS (PARTITION BY k ORDER BY bucket)),
+v AS (SELECT k, bucket, cnt / n AS ratio, y1 / c1 - y0 / c0 AS lift, y1 - y0 / c0 * c1 AS gain FROM s)
+SELECT k, ROUND(ratio, 9) AS ratio, ROUND(lift, 5) AS lift, ROUND(gain, 3) AS gain, ROUND(LAST(lift) OVER w, 5) AS ate, ROUND(ratio * LAST(gain) OVER w, 3) AS random_gain
+FROM v WINDOW w AS (PARTITION BY k ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""")
+def _(spark, sf):
+    curve = uplift.lift_gain_grouped(big_line(spark, sf), "l_quantity", "l_extendedprice", "arm", LINE_KEY, ["k"], k=20)
+    return rounded(curve, k=None, ratio=9, lift=5, gain=3, ate=5, random_gain=3)
+
+
 # Stock aggregates that Spark has built in.
 
 

@@ -9,6 +9,7 @@ from estimand.functions.columns import as_column, as_double
 from estimand.operators.ttest import check_alternative
 from estimand.plans.finalize import finalize
 from estimand.plans.prefix import partial_frame, sorted_partials
+from estimand.plans.segments import Groups, segmented_prefix, with_totals
 
 METHODS = ("exact", "asymp", "asymptotic")
 #: Cells of the lattice that the exact method may walk (n1 * n2); beyond it raises.
@@ -123,3 +124,35 @@ def ks_test(df, value, is_second, alternative="two-sided", method="asymptotic"):
         yield {"d_statistic": d, "p_value": ks_p_value(d, n1, n2, alternative, method)}
 
     return finalize(packed, fn, "d_statistic double, p_value double")
+
+
+def ks_grouped(df, value, is_second, by, alternative="two-sided", method="asymptotic"):
+    """(by.., d_statistic, p_value): ``ks_test`` in every group of ``by``, all in one order of (group, value).
+
+    A group with an empty sample gets nulls; ``exact`` gives a null p-value
+    where its work is too large.  Group keys stay exact and may be null.
+    """
+    check_alternative(alternative)
+    if method not in METHODS:
+        raise ValueError(f"method must be one of {METHODS}, not {method!r}")
+    groups = Groups(by)
+    second = as_column(is_second).cast("bigint") != 0
+    rows = df.select(*groups.columns(), as_double(value).alias("_v"), second.alias("_s")).dropna(subset=["_v", "_s"])
+    counts = rows.groupBy(*groups.names, "_v").agg(F.count_if(~F.col("_s")).alias("_c1"), F.count_if("_s").alias("_c2"))
+    placed = segmented_prefix(counts, groups.names, ["_v"], ["_c1", "_c2"])
+    placed = with_totals(placed, groups.names, n1=F.sum("_c1"), n2=F.sum("_c2"))
+    gap = F.try_divide(F.col("_c1_before") + F.col("_c1"), F.col("n1")) - F.try_divide(F.col("_c2_before") + F.col("_c2"), F.col("n2"))
+    ends = placed.groupBy(*groups.names).agg(F.max("n1").alias("n1"), F.max("n2").alias("n2"), F.max(gap).alias("high"), F.min(gap).alias("low"))
+
+    def fn(row):
+        n1, n2 = row["n1"], row["n2"]
+        own = {k: row[k] for k in groups.names}
+        if n1 and n2:
+            high, low = max(0.0, row["high"]), min(0.0, row["low"])
+            own["d_statistic"] = d = {"two-sided": max(high, -low), "less": -low, "greater": high}[alternative]
+            if method != "exact" or n1 * n2 <= EXACT_CELLS:
+                own["p_value"] = ks_p_value(d, n1, n2, alternative, method)
+        yield own
+
+    found = finalize(ends, fn, groups.schema(ends) + "d_statistic double, p_value double")
+    return found.select(*groups.restored(), "d_statistic", "p_value")

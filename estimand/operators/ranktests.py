@@ -10,6 +10,7 @@ from estimand.functions.columns import as_column, as_double
 from estimand.operators.ttest import check_alternative
 from estimand.plans.finalize import finalize
 from estimand.plans.prefix import partial_frame, prefix_sum, sorted_partials
+from estimand.plans.segments import Groups, segmented_prefix, with_totals
 
 
 def _rank_partials(batches):
@@ -125,3 +126,61 @@ def discrete_quantiles(df, columns, probs):
     for r in sorted(hits, key=lambda r: (r["i"], r["k"])):
         found[columns[r["i"]]].append(r["v"])
     return found
+
+
+def mann_whitney_grouped(df, value, is_second, by, alternative="two-sided", continuity=True):
+    """(by.., u1, u2, p_value): ``mann_whitney`` in every group of ``by``, all in one order of (group, value); nulls where a sample is empty."""
+    check_alternative(alternative)
+    groups = Groups(by)
+    second = as_column(is_second).cast("bigint") != 0
+    rows = df.select(*groups.columns(), as_double(value).alias("_v"), second.alias("_s")).dropna(subset=["_v", "_s"])
+    counts = rows.groupBy(*groups.names, "_v").agg(F.count_if(~F.col("_s")).alias("_c1"), F.count(F.lit(1)).alias("_c"))
+    placed = segmented_prefix(counts, groups.names, ["_v"], ["_c"], keep=["_c1"])
+    c = F.col("_c").cast("double")
+    sums = placed.groupBy(*groups.names).agg(
+        F.sum("_c1").cast("double").alias("n1"), F.sum(c).alias("n"), F.sum(F.col("_c1") * (F.col("_c_before") + (c + 1) / 2)).alias("ranks"), F.sum(c * c * c - c).alias("ties"))
+
+    def fn(row):
+        own = {k: row[k] for k in groups.names}
+        n1, n = row["n1"], row["n"]
+        n2 = n - n1
+        if n1 and n2:
+            own["u1"] = u1 = row["ranks"] - n1 * (n1 + 1) / 2
+            own["u2"] = u2 = n1 * n2 - u1
+            sd = math.sqrt(n1 * n2 / 12 * ((n + 1) - row["ties"] / (n * (n - 1))))
+            u = {"two-sided": max(u1, u2), "greater": u1, "less": u2}[alternative]
+            z = (u - n1 * n2 / 2 - (0.5 if continuity else 0.0)) / sd if sd > 0 else math.nan
+            own["p_value"] = min(1.0, dist.norm_sf(z) * (2 if alternative == "two-sided" else 1))
+        yield own
+
+    found = finalize(sums, fn, groups.schema(sums) + "u1 double, u2 double, p_value double")
+    return found.select(*groups.restored(), "u1", "u2", "p_value")
+
+
+def quantiles_grouped(df, c, probs, by, weight=None):
+    """(by.., p, value): exact quantiles of every group, all in one order of (group, value).
+
+    Without ``weight`` values are interpolated between order statistics, as in
+    ``exact_quantiles``.  With it the value is the least one with a share p of
+    the group's weight at or below it; rows whose weight is null or not
+    positive do not count.
+    """
+    groups = Groups(by)
+    own = F.lit(1.0) if weight is None else as_double(weight)
+    rows = df.select(*groups.columns(), as_double(c).alias("_v"), own.alias("_w")).dropna(subset=["_v", "_w"]).where("_w > 0")
+    counts = rows.groupBy(*groups.names, "_v").agg(F.sum("_w").alias("_n"))
+    placed = with_totals(segmented_prefix(counts, groups.names, ["_v"], ["_n"]), groups.names, total=F.sum("_n"), least=F.min("_v"))
+    n, before, total = F.col("_n"), F.col("_n_before"), F.col("total")
+    keys = [*groups.names, "p"]
+    points = F.array(*[F.lit(float(p)) for p in probs])
+    if weight is not None:
+        # sums of weights may differ from the total in their last digits: a share of all is the largest value
+        reached = placed.select(*groups.names, "_v", F.explode(F.filter(points, lambda p: (before + n >= p * total * (1 - 1e-12)))).alias("p"))
+        return reached.groupBy(*keys).agg(F.min("_v").alias("value")).select(*groups.restored(), "p", "value")
+    holds = F.transform(points, lambda p: F.struct(
+        p.alias("p"), ((total - 1) * p - F.floor((total - 1) * p)).alias("w"),
+        ((before <= F.floor((total - 1) * p)) & (before + n > F.floor((total - 1) * p))).alias("lo"),
+        ((before <= F.ceil((total - 1) * p)) & (before + n > F.ceil((total - 1) * p))).alias("hi")))
+    hits = placed.select(*groups.names, "_v", F.inline(F.filter(holds, lambda h: h["lo"] | h["hi"])))
+    ends = hits.groupBy(*keys).agg(F.max("w").alias("w"), F.max(F.when(F.col("lo"), F.col("_v"))).alias("a"), F.max(F.when(F.col("hi"), F.col("_v"))).alias("b"))
+    return ends.select(*groups.restored(), "p", (F.col("a") + F.col("w") * (F.col("b") - F.col("a"))).alias("value"))

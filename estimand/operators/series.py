@@ -10,6 +10,7 @@ from estimand.functions.columns import as_column, as_double
 from estimand.plans.finalize import finalize
 from estimand.plans.prefix import partial_frame, prefix_sum, sorted_partials
 from estimand.plans.ranks import HOT_ROWS, ranked
+from estimand.plans.segments import Groups, segmented_prefix
 
 
 def _segments(keys):
@@ -165,3 +166,17 @@ def interval_length_sum(df, start, end):
     after = F.col("d_before") + F.col("d")
     sign = F.when((F.col("d_before") == 0) & (after > 0), -1.0).when((F.col("d_before") > 0) & (after == 0), 1.0)
     return covered.agg(F.coalesce(F.sum(sign * F.col("pos")), F.lit(0.0)).alias("interval_length_sum"))
+
+
+def intervals_grouped(df, start, end, by):
+    """(by.., max_intersections, position, interval_length_sum) of the half-open intervals of every group, from one order of (group, position)."""
+    groups = Groups(by)
+    rows = df.select(*groups.columns(), as_double(start).alias("_s"), as_double(end).alias("_e")).dropna(subset=["_s", "_e"]).where("_s < _e")
+    ends = F.array(F.struct(F.col("_s").alias("_pos"), F.lit(1).alias("_d")), F.struct(F.col("_e").alias("_pos"), F.lit(-1).alias("_d")))
+    borders = rows.select(*groups.names, F.inline(ends)).groupBy(*groups.names, "_pos").agg(F.sum("_d").alias("_d"))
+    placed = segmented_prefix(borders, groups.names, ["_pos"], ["_d"])
+    after = F.col("_d_before") + F.col("_d")
+    sign = F.when((F.col("_d_before") == 0) & (after > 0), -1.0).when((F.col("_d_before") > 0) & (after == 0), 1.0)
+    found = placed.groupBy(*groups.names).agg(
+        F.max(F.struct(after.cast("bigint").alias("n"), (-F.col("_pos")).alias("at"))).alias("top"), F.coalesce(F.sum(sign * F.col("_pos")), F.lit(0.0)).alias("interval_length_sum"))
+    return found.select(*groups.restored(), F.col("top.n").alias("max_intersections"), (-F.col("top.at")).alias("position"), "interval_length_sum")
