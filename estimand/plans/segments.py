@@ -26,15 +26,39 @@ def _starts(columns, before):
     return new
 
 
-def _scan(by, values, names):
-    """Sums before each row in its segment of the partition; then the totals of the first and of the last segment."""
+def _sums(x, new, first, carry):
+    """Sums in front of each row and up to it; segments begin at the rows ``first``, the open one continues with ``carry``."""
+    ahead = np.cumsum(x, axis=1) - x
+    base = np.concatenate([-carry[:, None], ahead[:, first]], axis=1)
+    local = ahead - base[:, np.cumsum(new)]
+    return local, local + x
+
+
+def _maxima(x, new, first, carry):
+    """As ``_sums``, for maxima; nulls do not count."""
+    x = np.where(np.isnan(x), -np.inf, x)
+    upto = x.copy()
+    edges = [0, *first[first > 0].tolist(), x.shape[1]]
+    for a, b in zip(edges, edges[1:]):
+        upto[:, a:b] = np.maximum.accumulate(x[:, a:b], axis=1)
+    open_end = first[0] if len(first) else x.shape[1]
+    upto[:, :open_end] = np.maximum(upto[:, :open_end], carry[:, None])
+    local = np.concatenate([carry[:, None], upto[:, :-1]], axis=1)
+    local[:, first] = -np.inf
+    return local, upto
+
+
+def _scan(by, values, names, kind="sum"):
+    """Sums (or maxima) before each row in its segment of the partition; then the totals of the first and of the last segment."""
+    fold = _sums if kind == "sum" else _maxima
+    zero = 0.0 if kind == "sum" else -np.inf
 
     def run(batches):
         from pyspark import TaskContext
 
         pid = TaskContext.get().partitionId()
         held, schema, number, head = None, None, -1, None  # keys of the open segment, its number, total of the first segment
-        carry = np.zeros(len(values))
+        carry = np.full(len(values), zero)
         for batch in batches:
             n, schema = batch.num_rows, batch.schema
             if not n:
@@ -43,15 +67,13 @@ def _scan(by, values, names):
             new = _starts(keys, held) if by else np.arange(n) < (held is None)
             first = np.flatnonzero(new)
             x = np.array([np.asarray(batch.column(v).to_numpy(zero_copy_only=False), float) for v in values])
-            ahead = np.cumsum(x, axis=1) - x
-            base = np.concatenate([-carry[:, None], ahead[:, first]], axis=1)
-            local = ahead - base[:, np.cumsum(new)]
+            local, upto = fold(x, new, first, carry)
             ends = first[1 if held is None else 0 :]
             if head is None and len(ends):
                 at = ends[0]
-                head = (held if held is not None else [c[0] for c in keys], local[:, at - 1] + x[:, at - 1] if at else carry)
+                head = (held if held is not None else [c[0] for c in keys], upto[:, at - 1] if at else carry)
             place = number + np.cumsum(new)
-            number, carry, held = int(place[-1]), local[:, -1] + x[:, -1], [c[n - 1] for c in keys]
+            number, carry, held = int(place[-1]), upto[:, -1], [c[n - 1] for c in keys]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, *(pa.array(v) for v in local), pa.array(place == 0), pa.array(np.full(n, pid, np.int32)), pa.array(np.zeros(n, np.int32))], names=names)
         for kind, (own, total) in enumerate([head, (held, carry)] if head is not None else [(held, carry)] if held is not None else [], 1):
@@ -71,23 +93,34 @@ def segmented_prefix(df, by, order, values, keep=()):
     ``df``'s rows are shuffled once and stored; the scan result is a stored
     table joined with one row for each partition.
     """
+    return _scanned(df, by, order, values, keep, "sum")
+
+
+def segmented_max(df, by, order, values, keep=()):
+    """As ``segmented_prefix``, for the largest value (null: none) of earlier rows; meant for few large groups."""
+    return _scanned(df, by, order, values, keep, "max")
+
+
+def _scanned(df, by, order, values, keep, kind):
     kept = list(dict.fromkeys([*by, *order, *keep, *values]))
     rows = df.select(*[F.col(f"`{c}`") for c in kept])
     ranged = rows.repartitionByRange(*[F.col(f"`{c}`") for c in [*by, *order]]).sortWithinPartitions(*[F.col(f"`{c}`") for c in [*by, *order]])
     local = [f"_l_{v}" for v in values]
-    names = [*kept, *local, "_head", "_pid", "_kind"]
+    names = [*kept, *local, "_head", "_pid", "_kind_"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    schema += "".join(f", `{c}` double" for c in local) + ", _head boolean, _pid int, _kind int"
-    fixed = stored(ranged.mapInArrow(_scan(list(by), list(values), names), schema))
+    schema += "".join(f", `{c}` double" for c in local) + ", _head boolean, _pid int, _kind_ int"
+    fixed = stored(ranged.mapInArrow(_scan(list(by), list(values), names, kind), schema))
     # at most two rows for each partition: its first segment (kind 1), which may have rows before it, and its last (kind 2)
-    totals = fixed.where("_kind > 0").select(*[F.col(f"`{c}`") for c in by], "_pid", "_kind", *[F.col(f"`{c}`") for c in local])
+    totals = fixed.where("_kind_ > 0").select(*[F.col(f"`{c}`") for c in by], "_pid", "_kind_", *[F.col(f"`{c}`") for c in local])
     earlier = W.partitionBy(*[F.col(f"`{c}`") for c in by] or [F.lit(0)]).orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)
-    carried = totals.select(F.col("_pid").alias("_to"), "_kind", *[F.coalesce(F.sum(F.col(f"`{c}`")).over(earlier), F.lit(0.0)).alias(f"_carry{i}") for i, c in enumerate(local)])
-    carried = carried.where("_kind = 1").drop("_kind")
-    joined = fixed.where("_kind = 0").join(F.broadcast(carried), F.col("_pid") == F.col("_to"), "left")
-    before = [
-        (F.col(f"`{c}`") + F.when(F.col("_head"), F.coalesce(F.col(f"_carry{i}"), F.lit(0.0))).otherwise(F.lit(0.0))).alias(f"{v}_before")
-        for i, (c, v) in enumerate(zip(local, values))]
+    fold, zero = (F.sum, 0.0) if kind == "sum" else (F.max, float("-inf"))
+    carried = totals.select(F.col("_pid").alias("_to"), "_kind_", *[F.coalesce(fold(F.col(f"`{c}`")).over(earlier), F.lit(zero)).alias(f"_carry{i}") for i, c in enumerate(local)])
+    carried = carried.where("_kind_ = 1").drop("_kind_")
+    joined = fixed.where("_kind_ = 0").join(F.broadcast(carried), F.col("_pid") == F.col("_to"), "left")
+    before = []
+    for i, (c, v) in enumerate(zip(local, values)):
+        own, carry = F.col(f"`{c}`"), F.when(F.col("_head"), F.coalesce(F.col(f"_carry{i}"), F.lit(zero))).otherwise(F.lit(zero))
+        before.append((own + carry if kind == "sum" else F.nullif(F.greatest(own, carry), F.lit(zero))).alias(f"{v}_before"))
     return joined.select(*[F.col(f"`{c}`") for c in kept], *before)
 
 
