@@ -34,7 +34,7 @@ WINDOW, QGRAM = 400, 32
 #: Windows of a piece in each round.
 PIECES = (64, 8, 1)
 #: Bytes handled together; a longer text goes on in a further block that overlaps by a window.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 512 << 10
 _PLACE = (1 << 24) - 1
 _BASE2 = 0x8CB92BA72F3D8DD7
 
@@ -204,29 +204,30 @@ def repeated_windows(rows, window=WINDOW, q=QGRAM, pieces=PIECES):
 def _cut(window):
     def run(batches):
         for batch in batches:
-            texts, spans = batch.column("text").cast(pa.large_binary()).fill_null(b""), batch.column("spans").to_pylist()
+            texts, spans = batch.column("text").cast(pa.large_binary()).fill_null(b""), batch.column("spans")
+            cut = np.asarray(spans.offsets, np.int64) - spans.offsets[0].as_py()
+            found = spans.flatten()
+            starts, counts = found.field("start").to_numpy(), found.field("n").to_numpy()
             size, removed, runs, kept = [], [], [], []
-            for i, found in enumerate(spans):
+            for i, (x, y) in enumerate(zip(cut.tolist(), cut[1:].tolist())):
                 text = texts[i].as_buffer()
                 size.append(text.size)
-                if not found:
+                if x == y:
                     removed.append(0)
                     runs.append(0)
                     kept.append(text.to_pybytes())
                     continue
-                start = np.array([x["start"] for x in found])
-                end = start + np.array([x["n"] for x in found]) - 1 + window
-                order = np.argsort(start, kind="stable")
-                start, end = start[order], np.maximum.accumulate(end[order])
+                order = x + np.argsort(starts[x:y], kind="stable")
+                start = starts[order]
+                end = np.maximum.accumulate(start + counts[order] - 1 + window)
                 new = np.flatnonzero(np.append(True, start[1:] > end[:-1]))
                 a, b = start[new], end[np.append(new[1:], len(start)) - 1]
                 removed.append(int((b - a).sum()))
                 runs.append(len(a))
                 view = memoryview(text)
-                kept.append(b"".join([view[x:y] for x, y in zip([0, *b.tolist()], [*a.tolist(), text.size])]))
+                kept.append(b"".join([view[p:q] for p, q in zip([0, *b.tolist()], [*a.tolist(), text.size])]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), pa.array(size, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.binary())],
-                names=["key", "n_bytes", "n_removed", "n_spans", "kept"])
+                [batch.column("key"), *(pa.array(x, pa.int64()) for x in (size, removed, runs)), pa.array(kept, pa.binary())], names=["key", "n_bytes", "n_removed", "n_spans", "kept"])
 
     return run
 
