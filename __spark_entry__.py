@@ -1046,6 +1046,45 @@ def _(spark, sf):
     return bs.bootstrap(t(spark, sf, "lineitem"), "avg", 1.0, 20, args=["l_extendedprice"], seed=1, where="l_returnflag = 'A'")
 
 
+# Resamples whose statistics have a closed form: constants, and values that no resample of this size misses.
+
+
+def resampled_sql(result, share, where="TRUE", bs_num=7):
+    return f"""
+SELECT replicate::INT AS replicate, (SELECT FLOOR(COUNT(*) * {share})::BIGINT FROM lineitem) AS n, CAST({result} AS DOUBLE) AS result
+FROM range(0, {bs_num}) r(replicate)"""
+
+
+@query("bootstrap_quantile_constant", resampled_sql("7", 0.7))
+def _(spark, sf):
+    return bs.bootstrap(t(spark, sf, "lineitem"), "quantile", 0.7, 7, args=["7 * l_quantity / l_quantity", 0.3], seed=5)
+
+
+@query("bootstrap_extremes", """
+WITH e AS (SELECT MIN(l_linenumber) AS lo, MAX(l_linenumber) AS hi, COUNT(DISTINCT l_linenumber) AS d, COUNT(*) AS n FROM lineitem)
+SELECT statistic, replicate::INT AS replicate, n, CAST(CASE statistic WHEN 'min' THEN lo WHEN 'max' THEN hi ELSE d END AS DOUBLE) AS result
+FROM e, range(0, 5) r(replicate), (VALUES ('min'), ('max'), ('distinct')) s(statistic)""")
+def _(spark, sf):
+    df = t(spark, sf, "lineitem")
+    found = [bs.bootstrap(df, s, 1.0, 5, args=["l_linenumber"], seed=2).select(F.lit(s).alias("statistic"), "replicate", "n", "result") for s in ("min", "max", "distinct")]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+@query("bootstrap_quantile", """
+SELECT COUNT(*) AS n, 20 AS replicates, TRUE AS near, TRUE AS varies FROM lineitem""")
+def _(spark, sf):
+    # replicates scatter around the sample's own quartile, within six standard errors of a proportion
+    df = t(spark, sf, "lineitem")
+    own = bs.bootstrap(df, "quantile", 1.0, 20, args=["l_extendedprice", 0.25], seed=4)
+    ends = own.agg(F.min("result").alias("lo"), F.max("result").alias("hi")).first()
+    price = F.col("l_extendedprice")
+    shares = df.agg(F.avg((price < ends["lo"]).cast("double")).alias("below"), F.avg((price <= ends["hi"]).cast("double")).alias("upto"), F.count(F.lit(1)).alias("n"))
+    tested = own.agg(F.max("n").alias("n"), F.count(F.lit(1)).cast("int").alias("replicates"), (F.countDistinct("result") > 1).alias("varies"))
+    width = 6 * F.sqrt(F.lit(0.1875) / F.col("n"))
+    near = shares.select((F.abs(F.col("below") - 0.25) <= width) & (F.abs(F.col("upto") - 0.25) <= width + 1e-3)).first()[0]
+    return tested.select("n", "replicates", F.lit(bool(near)).alias("near"), "varies")
+
+
 @query("bootstrap_predict", "SELECT COUNT(*) AS n, TRUE AS close FROM lineitem")
 def _(spark, sf):
     # noiseless outcome: every replicate must recover the line exactly

@@ -18,6 +18,7 @@ from estimand.operators.regress import LinearModel, ols_from_moments, read_model
 from estimand.operators.ttest import TTEST_SCHEMA, MetricStats, t_tail, ttest_2samp_from_moments
 from estimand.plans.finalize import finalize
 from estimand.plans.moments import Moments
+from estimand.plans.segments import segmented_prefix
 
 ROWS_PER_BUCKET = 250_000
 SUPER = 1024
@@ -149,8 +150,11 @@ def bootstrap(df, statistic, sample, bs_num, args=None, seed=0, where=None, is_s
     """(replicate, n, result) of an inner aggregate.
 
     ``statistic`` is ``count``, ``sum`` or ``avg`` over ``args[0]``, or
-    ``deltamethod`` with ``args`` = [metric formula].
+    ``deltamethod`` with ``args`` = [metric formula], or one of
+    ``bootstrap_values`` (``quantile`` with ``args`` = [column, p]).
     """
+    if statistic in (*ORDERED, "distinct"):
+        return bootstrap_values(df, statistic, args[0], sample, bs_num, *args[1:], seed=seed, where=where)
     if statistic == "deltamethod":
         cols, metrics = read_metric(args[0], args[1:] or None)
     elif statistic in ("count", "sum", "avg"):
@@ -203,3 +207,89 @@ def bootstrap_ttest_table(df, g, sample, bs_num, index=None, alternative="two-si
         yield {**row, **t_tail(float(s.values[0]) - mu, stderr, moments.n, alternative, alpha)}
 
     return finalize(m, fn, "replicate int, " + TTEST_SCHEMA)
+
+
+# ---- statistics of order and of distinct values --------------------------------
+
+ORDERED = ("min", "max", "quantile")
+
+
+def _targets(statistic, p, drawn):
+    """[(place, share)] of the order statistics that make the result of a resample of ``drawn`` rows."""
+    if statistic == "min":
+        return [(0, 1.0)]
+    if statistic == "max":
+        return [(drawn - 1, 1.0)]
+    at = (drawn - 1) * p
+    low = int(np.floor(at))
+    return [(low, 1.0)] if at == low else [(low, 1.0 - (at - low)), (low + 1, at - low)]
+
+
+def bootstrap_values(df, statistic, column, sample, bs_num, p=0.5, seed=0, where=None, rows_per_block=ROWS_PER_BUCKET):
+    """(replicate, n, result) of ``min``, ``max``, ``quantile`` (at ``p``, interpolated) or ``distinct`` of ``column`` in resamples of exact size.
+
+    The input is read once, into counts per value in their order.  Blocks of
+    values draw nested multinomials (super-block on the driver, block, value).
+    A replicate's order statistics lie in one or two blocks, and only those draw
+    its values; distinct values are counted in every block and added.  Blocks
+    follow from the data alone, so neither the cluster nor a retry changes a draw.
+
+    ``where`` restricts the statistic after resampling; n counts the rows that
+    are left.  A replicate without such rows has no row.
+    """
+    if statistic not in (*ORDERED, "distinct"):
+        raise ValueError(f"unknown statistic {statistic!r}")
+    if bs_num < 1 or not 0.0 <= p <= 1.0:
+        raise ValueError("bs_num must be at least 1 and p in [0, 1]")
+    value = as_column(column) if statistic == "distinct" else as_double(column)
+    flag = as_column(where).cast("boolean") if where is not None else F.lit(True)
+    rows = df.select(value.alias("_v"), F.coalesce(flag, F.lit(False)).alias("_flag")).where("_v is not null")
+    counts = rows.groupBy("_v").agg(F.count_if("_flag").alias("_n"), F.count_if(~F.col("_flag")).alias("_out"))
+    placed = segmented_prefix(counts, [], ["_v"], ["_n"], keep=["_out"])
+    whole = placed.agg(F.sum("_n").alias("n"), F.sum("_out").alias("out")).first()
+    inside, outside = int(whole["n"] or 0), int(whole["out"] or 0)
+    if not inside + outside:
+        raise ValueError("nothing to resample")
+    size = _sample_size(sample, inside + outside)
+    per_super = -(-max(1, -(-inside // rows_per_block)) // SUPER)
+    block = F.floor(F.col("_n_before") / rows_per_block)
+    placed = placed.where("_n > 0").select("_v", "_n", block.alias("_block"), F.floor(block / per_super).alias("_super"))
+    blocks = placed.groupBy("_super", "_block").agg(F.sum("_n").alias("rows"))
+    supers = sorted((r["_super"], r["rows"]) for r in blocks.groupBy("_super").agg(F.sum("rows").alias("rows")).collect())
+    weights = np.array([outside, *(w for _, w in supers)], float)
+    drawn = np.array([np.random.default_rng([seed, r]).multinomial(size, weights / weights.sum())[1:] for r in range(bs_num)])
+    totals = {r: int(n) for r, n in enumerate(drawn.sum(axis=1)) if n}
+    ordered = statistic in ORDERED
+    wanted = {}  # by super-block: (replicate, rows drawn there, place in it, share of the result)
+    for r, n in totals.items():
+        upto = np.cumsum(drawn[r])
+        for place, share in _targets(statistic, p, n) if ordered else [(None, 1.0)]:
+            at = [int(np.searchsorted(upto, place, "right"))] if ordered else np.flatnonzero(drawn[r]).tolist()
+            for s in at:
+                wanted.setdefault(supers[s][0], []).append((r, int(drawn[r][s]), place - int(upto[s] - drawn[r][s]) if ordered else 0, share))
+    plan_schema = "_block bigint, replicate int, draws bigint, place bigint, share double"
+
+    def allocate(key, pdf):
+        pdf = pdf.sort_values("_block")
+        inner = pdf["rows"].to_numpy(float)
+        numbers, out = pdf["_block"].tolist(), []
+        for r, n, place, share in wanted.get(int(key[0]), []):
+            own = np.random.default_rng([seed, r, int(key[0]), 1]).multinomial(n, inner / inner.sum())
+            upto = np.cumsum(own)
+            for b in [int(np.searchsorted(upto, place, "right"))] if ordered else np.flatnonzero(own).tolist():
+                out.append((numbers[b], r, int(own[b]), place - int(upto[b] - own[b]) if ordered else 0, share))
+        return pd.DataFrame(out, columns=["_block", "replicate", "draws", "place", "share"])
+
+    def draw(key, data, plan):
+        data = data.sort_values("_v", kind="stable")
+        copies, values = data["_n"].to_numpy(np.int64), data["_v"].to_numpy()
+        out = []
+        for r, n, place, share in zip(*(plan[c].tolist() for c in ("replicate", "draws", "place", "share"))):
+            own = np.random.default_rng([seed, r, int(key[0]), 2]).multinomial(n, copies / copies.sum())
+            out.append((r, share * float(values[np.searchsorted(np.cumsum(own), place, "right")]) if ordered else float((own > 0).sum())))
+        return pd.DataFrame(out, columns=["replicate", "part"])
+
+    plan = blocks.groupBy("_super").applyInPandas(allocate, plan_schema)
+    parts = placed.groupBy("_block").cogroup(plan.groupBy("_block")).applyInPandas(draw, "replicate int, part double")
+    sizes = F.create_map(*[x for r, n in totals.items() for x in (F.lit(r), F.lit(n).cast("bigint"))]) if totals else F.lit(None).cast("map<int,bigint>")
+    return parts.groupBy("replicate").agg(F.sum("part").alias("result")).select("replicate", F.element_at(sizes, F.col("replicate")).alias("n"), "result")
