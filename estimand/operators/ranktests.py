@@ -107,25 +107,69 @@ def exact_quantiles(df, c, probs):
     ).select("p", (F.col("lo") + F.col("w") * (F.col("hi") - F.col("lo"))).alias("value"))
 
 
+#: Accuracy of the sketches that bracket a quantile, and values of a bracket that are counted one by one.
+SKETCH, BRACKET_ROWS = 10_000, 50_000
+
+
 def discrete_quantiles(df, columns, probs):
     """{column: values}: the least value with a share p of the non-null values at or below it; no values where all are null.
 
-    One scan counts the values of all columns; one row per column and p reaches the driver.
+    A bounded sketch of every column brackets each quantile, and counts of the
+    rows below and inside the bracket make it exact.  A bracket that still holds
+    many values is narrowed by a sketch of its own rows, a few thousand times a
+    scan, so no order of all values is ever made.  One row a scan and the value
+    counts of small brackets reach the driver.  NaN is larger than any number.
     """
-    values = F.array(*[F.struct(F.lit(i).alias("i"), as_double(c).alias("v")) for i, c in enumerate(columns)])
-    counts = df.select(F.inline(values)).where("v is not null").groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
-    placed = prefix_sum(counts, ["i", "v"], ["n"])
-    found = {c: [] for c in columns}
-    sizes = placed.groupBy("i").agg(F.min("n_before").alias("start"), F.sum("n").alias("n")).collect()
-    if not sizes:
-        return found
-    points = F.array(*[F.struct(F.lit(r["i"]).alias("i"), F.lit(k).alias("k"), F.lit(r["start"] + max(1, math.ceil(r["n"] * p)) - 1).alias("at"))
-                       for r in sizes for k, p in enumerate(probs)])
-    held = F.filter(points, lambda x: (x["i"] == F.col("i")) & (F.col("n_before") <= x["at"]) & (F.col("n_before") + F.col("n") > x["at"]))
-    hits = placed.select("i", "v", F.explode(F.transform(held, lambda x: x["k"])).alias("k")).collect()
-    for r in sorted(hits, key=lambda r: (r["i"], r["k"])):
-        found[columns[r["i"]]].append(r["v"])
-    return found
+    spans = {(i, k): (None, None, p) for i in range(len(columns)) for k, p in enumerate(probs)}  # bracket and the share looked for in it
+    values, found = [as_double(c) for c in columns], {}
+    sizes = None
+    while spans:
+        keys = list(spans)
+
+        def inside(key):
+            lo, hi, _ = spans[key]
+            v = values[key[0]]
+            return v if lo is None else F.when((v > F.lit(lo)) & (v < F.lit(hi)), v)
+
+        margin = 2.0 / SKETCH
+        asked = []
+        for j, key in enumerate(keys):
+            p = spans[key][2]
+            asked.append(F.percentile_approx(inside(key), [max(0.0, p - margin), min(1.0, p + margin)], SKETCH).alias(f"q{j}"))
+        row = df.agg(*[F.count(v).alias(f"n{i}") for i, v in enumerate(values)], *asked).first()
+        sizes = sizes or [row[f"n{i}"] for i in range(len(columns))]
+        brackets = {key: row[f"q{j}"] for j, key in enumerate(keys) if row[f"q{j}"]}
+        counted = [x for j, (key, (lo, hi)) in enumerate(brackets.items()) for v in [values[key[0]]] for x in (
+            F.count_if(v < F.lit(lo)).alias(f"b{j}"), F.count_if(v == F.lit(lo)).alias(f"l{j}"), F.count_if(v == F.lit(hi)).alias(f"h{j}"),
+            F.count_if((v > F.lit(lo)) & (v < F.lit(hi))).alias(f"m{j}"))]
+        if not counted:
+            break
+        counts, spans, small = df.agg(*counted).first(), {}, {}
+        for j, (key, (lo, hi)) in enumerate(brackets.items()):
+            # the ends are counted by themselves, so that a frequent value never keeps a bracket from shrinking
+            place, below, low, many = max(1, math.ceil(sizes[key[0]] * probs[key[1]])), counts[f"b{j}"], counts[f"l{j}"], counts[f"m{j}"]
+            place -= below + low
+            if not -low < place <= many + (counts[f"h{j}"] if hi > lo else 0):
+                raise ArithmeticError("a quantile sketch missed its bracket")
+            if place <= 0:
+                found[key] = lo
+            elif place > many:
+                found[key] = hi
+            elif many <= BRACKET_ROWS:
+                small[key] = (lo, hi, place)
+            else:
+                spans[key] = (lo, hi, place / many)
+        if small:
+            held = F.array(*[F.when((values[i] > F.lit(lo)) & (values[i] < F.lit(hi)), F.struct(F.lit(i).alias("i"), F.lit(k).alias("k"), values[i].alias("v"))) for (i, k), (lo, hi, _) in small.items()])
+            rows = df.select(F.inline(F.filter(held, lambda x: x.isNotNull()))).groupBy("i", "k", "v").agg(F.count(F.lit(1)).alias("n")).collect()
+            for key, (_, _, place) in small.items():
+                upto = 0
+                for r in sorted((r for r in rows if (r["i"], r["k"]) == key), key=lambda r: r["v"]):
+                    upto += r["n"]
+                    if upto >= place:
+                        found[key] = r["v"]
+                        break
+    return {c: [found[i, k] for k in range(len(probs)) if (i, k) in found] for i, c in enumerate(columns)}
 
 
 def mann_whitney_grouped(df, value, is_second, by, alternative="two-sided", continuity=True):

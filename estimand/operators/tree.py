@@ -4,9 +4,10 @@ Features are categories or quantile bins, so rows with equal features and arm
 are first collapsed to (n, sum, sum of squares) whenever that shrinks the table
 a lot; all levels then work on the collapsed rows.  Per level one aggregation
 counts every (node, feature, value) cell of all open nodes together, windows
-over the cells find the splits, and one row per node and feature reaches the
-driver.  Node membership is a CASE expression over the features, so no row is
-rewritten between levels.
+over the cells (range partitions, where a feature has very many values) find the
+splits, and one row per node and feature reaches the driver.  Node membership is
+a CASE expression over the features, so no row is rewritten between levels;
+splits of very many values stay tables that the rows are joined with.
 """
 
 import math
@@ -19,12 +20,18 @@ from estimand.functions.columns import TREE_QUANTILES, as_column, bin_labels, cu
 from estimand.operators.fdr import q_values
 from estimand.operators.ranktests import discrete_quantiles
 from estimand.plans.moments import Moments, merge_all
+from estimand.plans.prefix import stored
+from estimand.plans.segments import segmented_prefix, with_totals
 
 NUMERIC = ("byte", "short", "integer", "long", "float", "double", "decimal")
 # Smallest left arm of a split, normal quantile of node intervals.
 MIN_ARM = 100
 Z_INTERVAL = 1.96
 COLLAPSE_FACTOR = 20  # collapse when it leaves at most 1/20 of the rows
+#: Values of a (node, feature) that one window task walks; more are walked over range partitions.
+WALKED_VALUES = 200_000
+#: Values of a split that become a list on the driver; more stay a table that rows are joined with.
+LISTED_VALUES = 1_000
 SUMS = ("y1", "y1_sq", "n1", "y0", "y0_sq", "n0")
 
 
@@ -98,6 +105,26 @@ def node_totals(cells):
     return {r["node"]: r for r in cells.where("feature = ''").selectExpr("node", *SUMS, both).collect()}
 
 
+def _walked(usable):
+    """Sums of all values up to each one (l_) and of all (a_), by effect: one window for each (node, feature)."""
+    part = "PARTITION BY node, feature"
+    upto = f"({part} ORDER BY tau DESC, value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    return usable.selectExpr(
+        "node", "feature", "value", "tau", f"row_number() OVER ({part} ORDER BY tau DESC, value) AS rank",
+        f"count(1) OVER ({part}) AS values",
+        *[f"sum({c}) OVER {upto} AS l_{c}" for c in SUMS], *[f"sum({c}) OVER ({part}) AS a_{c}" for c in SUMS])
+
+
+def _walked_apart(usable):
+    """As ``_walked``, over range partitions of (node, feature, effect): a feature of any number of values is many tasks."""
+    rows = usable.withColumns({"_down": -F.col("tau"), "_one": F.lit(1)})
+    placed = segmented_prefix(rows, ["node", "feature"], ["_down", "value"], ["_one", *SUMS], keep=["tau"])
+    placed = with_totals(placed, ["node", "feature"], values=F.sum("_one"), **{f"a_{c}": F.sum(c) for c in SUMS})
+    return placed.select(
+        "node", "feature", "value", "tau", (F.col("_one_before") + 1).cast("int").alias("rank"), "values",
+        *[(F.col(f"{c}_before") + F.col(c)).alias(f"l_{c}") for c in SUMS], *[f"a_{c}" for c in SUMS])
+
+
 def split_candidates(cells, parents, total, min_ratio, min_arm=MIN_ARM):
     """Prefixes of the values ordered by effect, with their gain.
 
@@ -110,13 +137,8 @@ def split_candidates(cells, parents, total, min_ratio, min_arm=MIN_ARM):
         f"{node}, named_struct('n', {n}L, 'e', double('{float(e)!r}'))" for node, (n, e) in parents.items()) + ")"
     usable = cells.where("feature <> '' and n1 > 0 and n0 > 0").where(F.col("node").isin(list(parents))).selectExpr(
         "*", "y1 / n1 - y0 / n0 AS tau")
-    part = "PARTITION BY node, feature"
-    upto = f"({part} ORDER BY tau DESC, value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    walked = usable.selectExpr(
-        "node", "feature", "value", "tau", f"row_number() OVER ({part} ORDER BY tau DESC, value) AS rank",
-        f"count(1) OVER ({part}) AS values",
-        *[f"sum({c}) OVER {upto} AS l_{c}" for c in SUMS], *[f"sum({c}) OVER ({part}) AS a_{c}" for c in SUMS],
-    ).selectExpr("*", f"{table}[node] AS parent")
+    most = usable.groupBy("node", "feature").count().agg(F.max("count")).first()[0] or 0
+    walked = (_walked if most <= WALKED_VALUES else _walked_apart)(usable).selectExpr("*", f"{table}[node] AS parent")
     floor = float(min_ratio * total)
     allowed = (
         f"rank < values and l_n0 > {min_arm} and l_n1 > {min_arm} and l_n1 + l_n0 > {floor}D "
@@ -152,6 +174,8 @@ class Node:
     left_values: list = field(default_factory=list)
     right_values: list = field(default_factory=list)
     gain: float = None
+    sides: object = None  # table (node, value, left) of a split of many values; then there are no lists
+    size: int = 0  # its values on the left
 
     @property
     def is_leaf(self):
@@ -272,12 +296,40 @@ class CausalTree:
         self.center = (arm[0][1] + arm[1][1]) / (arm[0][0] + arm[1][0])
         return row["distinct"] * COLLAPSE_FACTOR <= self.train_n + self.test_n
 
-    def _membership(self, nodes):
+    def _placed(self, rows, nodes, cols=None):
+        """``rows`` with ``_node``, the deepest node of each: a CASE over the features; splits of many values are joined, one join a level."""
+        cols = cols or self._cols
+        if not any(n.sides is not None for n in nodes.values()):
+            return rows.withColumn("_node", self._membership(nodes, cols))
+        rows = rows.withColumn("_node", F.lit(1))
+        for level in range(max(n.level for n in nodes.values())):
+            split = [n for n in nodes.values() if n.level == level and not n.is_leaf]
+            value = F.lit(None).cast("string")
+            for n in split:
+                value = F.when(F.col("_node") == n.node_id, cols[n.feature].cast("string")).otherwise(value)
+            left = F.lit(False)
+            for n in split:
+                if n.sides is None:
+                    left = F.when(F.col("_node") == n.node_id, F.col("_value").isin(n.left_values)).otherwise(left)
+            rows = rows.withColumn("_value", value)
+            wide = [n.sides for n in split if n.sides is not None]
+            if wide:
+                table = wide[0]
+                for more in wide[1:]:
+                    table = table.unionByName(more)
+                table = table.where("left").select(F.col("node").alias("_of"), F.col("value").alias("_is"), F.lit(True).alias("_left"))
+                rows = rows.join(table, (F.col("_node") == F.col("_of")) & (F.col("_value") == F.col("_is")), "left").drop("_of", "_is")
+                left = left | F.coalesce("_left", F.lit(False))
+            rows = rows.withColumn("_node", F.when(F.col("_value").isNull(), F.col("_node")).otherwise(2 * F.col("_node") + F.when(left, 0).otherwise(1)))
+            rows = rows.drop("_value", "_left")
+        return rows
+
+    def _membership(self, nodes, cols):
         """Deepest node of a row as a CASE expression over the features."""
         def walk(node):
             if node.is_leaf:
                 return F.lit(node.node_id)
-            value = self._cols[node.feature].cast("string")
+            value = cols[node.feature].cast("string")
             left, right = nodes[2 * node.node_id], nodes[2 * node.node_id + 1]
             return (
                 F.when(value.isin(node.left_values), walk(left))
@@ -290,8 +342,8 @@ class CausalTree:
         nodes = {1: Node(1, 0, ())}
         open_nodes, gains, totals = [1], {}, None
         for _ in range(self.depth):
-            member = self._membership(nodes)
-            cells = cell_sums(train, F.when(member.isin(open_nodes), member), self._cols).persist()
+            member = F.col("_node")
+            cells = cell_sums(self._placed(train, nodes), F.when(member.isin(open_nodes), member), self._cols).persist()
             splits, totals = self._split_level(cells, {n: nodes[n].impurity for n in open_nodes}, gains, totals)
             cells.unpersist()
             open_nodes = []
@@ -299,11 +351,12 @@ class CausalTree:
                 node = nodes[s["node"]]
                 node.feature, node.gain = s["feature"], s["gain"]
                 node.left_values, node.right_values = sorted(s["left"]), sorted(s["right"])
+                node.sides, node.size = s["sides"], s["size"]
                 if node.impurity is None:
                     node.impurity = s["left_effect"] + s["right_effect"] - s["gain"]
                 for child, op, effect in ((2 * node.node_id, "in", s["left_effect"]),
                                           (2 * node.node_id + 1, "not in", s["right_effect"])):
-                    rule = (node.feature, op, node.left_values)
+                    rule = (node.feature, op, node.left_values if node.sides is None else node.size)
                     nodes[child] = Node(child, node.level + 1, (*node.path, rule), effect)
                     open_nodes.append(child)
             if not open_nodes:
@@ -353,25 +406,30 @@ class CausalTree:
             is_left = F.when(mine, (tau > cut) | ((tau == cut) & (F.col("value") <= b["value"]))).otherwise(is_left)
         # values seen in one arm only have no effect: they go right, but are no category
         one_arm = (F.col("n1") == 0) | (F.col("n0") == 0)
-        values = cells.where(won).select("node", "value", one_arm.alias("one_arm"), *SUMS,
-                                         F.when(one_arm, F.lit(False)).otherwise(is_left).alias("left")).collect()
-        out, below = [], {}
+        chosen = cells.where(won).select("node", "value", one_arm.alias("one_arm"), *SUMS, F.when(one_arm, F.lit(False)).otherwise(is_left).alias("left"))
+        sums = chosen.groupBy("node", "left").agg(F.count(F.lit(1)).alias("size"), *[F.sum(c).alias(c) for c in SUMS]).collect()
+        below = {2 * r["node"] + (not r["left"]): {c: r[c] for c in SUMS} for r in sums}
+        size = {node: sum(r["size"] for r in sums if r["node"] == node) for node in best}
+        listed = [n for n in best if size[n] <= LISTED_VALUES]
+        values = chosen.where(F.col("node").isin(listed)).select("node", "value", "one_arm", "left").collect() if listed else []
+        out = []
         for node, r in sorted(best.items()):
-            sides = {side: [v for v in values if v["node"] == node and v["left"] == side] for side in (True, False)}
-            for child, side in ((2 * node, True), (2 * node + 1, False)):
-                below[child] = {c: sum(v[c] for v in sides[side]) for c in SUMS}
             b = r["best"]
+            for child in (2 * node, 2 * node + 1):
+                below.setdefault(child, dict.fromkeys(SUMS, 0))
             out.append({
                 "node": node, "feature": r["feature"], "gain": b["gain"],
                 "left_effect": b["left_effect"], "right_effect": b["right_effect"],
-                "left": [v["value"] for v in sides[True]],
-                "right": [v["value"] for v in sides[False] if not v["one_arm"]],
+                "left": [v["value"] for v in values if v["node"] == node and v["left"]],
+                "right": [v["value"] for v in values if v["node"] == node and not v["left"] and not v["one_arm"]],
+                "sides": None if node in listed else stored(chosen.where(F.col("node") == node).select("node", "value", "left", "one_arm")),
+                "size": sum(x["size"] for x in sums if x["node"] == node and x["left"]),
             })
         return out, below
 
     def _estimate(self, test):
         """Arm moments per deepest node, merged upwards on the driver."""
-        rows = test.groupBy(self._membership(self.nodes_by_id).alias("node"), "_t").agg(
+        rows = self._placed(test, self.nodes_by_id).groupBy(F.col("_node").alias("node"), "_t").agg(
             F.sum("_n").alias("n"), F.sum("_s").alias("s"), F.sum("_q").alias("q")).collect()
         parts = {}
         for r in rows:
@@ -412,11 +470,25 @@ class CausalTree:
         if node.node_id == 1:
             return None, None
         parent = self.nodes_by_id[node.node_id // 2]
+        if parent.sides is not None:
+            return parent.feature, None
         values = parent.left_values if node.node_id % 2 == 0 else parent.right_values
         return parent.feature, self._labels(parent.feature, values)
 
     def _rule(self, node):
-        return " and ".join(f"{f} {op} ({', '.join(self._labels(f, v))})" for f, op, v in node.path)
+        told = lambda f, v: f"{v} values" if isinstance(v, int) else ", ".join(self._labels(f, v))
+        return " and ".join(f"{f} {op} ({told(f, v)})" for f, op, v in node.path)
+
+    def wide_splits(self):
+        """(node_id, feature, value, is_left) of the splits of more values than a node's row lists; values of one arm only are left out."""
+        tables = [n.sides.where("not one_arm").select(F.col("node").alias("node_id"), F.lit(n.feature).alias("feature"), "value", F.col("left").alias("is_left"))
+                  for n in self.nodes_by_id.values() if n.sides is not None]
+        if not tables:
+            return self.spark.createDataFrame([], "node_id int, feature string, value string, is_left boolean")
+        out = tables[0]
+        for more in tables[1:]:
+            out = out.unionByName(more)
+        return out
 
     def nodes(self):
         """One row per node: split, sizes, four effect scales, q-values."""
@@ -431,6 +503,14 @@ class CausalTree:
         """Append the estimated effect of the leaf a row falls into."""
         leaves = {r["node_id"]: r.get("prediction") for r in self._rows if r["is_leaf"]}
         nodes = self.nodes_by_id
+        if any(n.sides is not None for n in nodes.values()):
+            # the user's row travels as one column, so that no name of it can clash
+            names = [f"_f{i}" for i in range(len(self.features))]
+            whole = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), *[e.alias(n) for e, n in zip(self.features.values(), names)])
+            placed = self._placed(whole, nodes, {f: F.col(n) for f, n in zip(self.features, names)})
+            score = F.element_at(F.create_map(*[x for n, v in leaves.items() for x in (F.lit(n), F.lit(v).cast("double"))]), F.col("_node"))
+            score = F.when(F.col("_node").isin(list(leaves)), score)
+            return placed.select("_row.*", (score if default is None else F.coalesce(score, F.lit(float(default)))).alias(name))
         cols = {n: e.cast("string") for n, e in self.features.items()}
 
         def walk(node):
