@@ -8,6 +8,7 @@ Every joined diagonal is then verified word by word, mismatches allowed.
 """
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -32,14 +33,18 @@ def _seed_hashes(w, mask, salt):
     return first, words.mix(h ^ np.uint64(salt + 1))
 
 
-def _item_seeds(items, text, masks):
-    """(seed, item, at): whole short texts have the seed of all their words, at 0."""
+def _item_seeds(items, text, masks, least):
+    """(seed, item, at) of every mask; those after the first ``least`` masks are for the texts that have just so many words."""
 
     def run(batches):
         for batch in batches:
             for part in words.blocks(batch, text):
                 w = words.Words(part.column(text), lower=True)
-                out = [_seed_hashes(w, m, i) for i, m in enumerate(masks)]
+                size, out = np.diff(w.bounds), []
+                for i, m in enumerate(masks):
+                    first, h = _seed_hashes(w, m, i)
+                    own = np.ones(len(first), bool) if i < least else size[w.text[first]] == len(m)
+                    out.append((first[own], h[own]))
                 first, h = (np.concatenate([o[k] for o in out]) for k in (0, 1))
                 owner = w.text[first]
                 yield pa.RecordBatch.from_arrays(
@@ -129,12 +134,17 @@ def overlaps(docs, items, text="text", key="doc_id", item_text="text", item_key=
     An overlap is an ungapped run of words (ASCII letters lower-cased) in which
     at most ``tolerance`` differ and at least ``least`` match; of a shorter item
     ``share`` of its words must match.  It is looked at up to ``context`` words
-    before and after a seed.  Items shorter than the shortest mask, empty or null
-    texts have no seed.  Repeated rows of one key give one row.
+    before and after a seed.  An item shorter than the shortest mask is found
+    where all its words stand in a row; empty or null texts have no seed.
+    Repeated rows of one key give one row; a null key is a key.
     """
     test = stored(items.select(F.col(item_key).alias("item_key"), F.col(item_text).alias("item_text")).where("item_text is not null")
                   .withColumn("_item", F.xxhash64("item_key", "item_text")).dropDuplicates(["_item"]))
-    seeds = stored(_item_seeds(test, "item_text", masks))
+    shortest = min(map(len, masks))
+    size = F.size(F.filter(F.split("item_text", r"[\x20\x09-\x0D]+", -1), lambda x: x != ""))
+    short = sorted(r["n"] for r in test.select(size.alias("n")).where(F.col("n").between(1, shortest - 1)).distinct().collect())  # at most the shortest mask's length
+    masks, full = [*masks, *("1" * n for n in short)], len(masks)
+    seeds = stored(_item_seeds(test, "item_text", masks, full))
     filled, shift = bitmap(seeds.select("seed").distinct(), "seed", per_hash=4096)
     found = stored(_stretches(docs, text, key, masks, filled, shift, context))
     hits = found.select("sid", F.explode("seeds").alias("s")).select("sid", "s.seed", F.col("s.at").alias("d_at"))
@@ -151,6 +161,21 @@ def overlaps(docs, items, text="text", key="doc_id", item_text="text", item_key=
 
 
 def clean(docs, items, text="text", key="doc_id", **options):
-    """Rows of ``docs`` whose key has no verified overlap; rows with a null key stay."""
-    bad = overlaps(docs, items, text, key, **options).select(F.col(key).alias("_bad")).distinct()
-    return docs.join(bad, F.col(key) == F.col("_bad"), "left_anti")
+    """Rows of ``docs`` whose text has no verified overlap, with their columns as they are.
+
+    Texts are told apart by two 64-bit hashes, so a null or repeated key (and any
+    column name) is no matter.  Bad texts fill a bitmap: only rows that it passes
+    enter the exact join, clean texts are not shuffled.
+    """
+    one, two = (lambda c: F.xxhash64(c)), (lambda c: F.xxhash64(F.lit(1), c))
+    named = docs.select(F.struct(one(docs[text]).alias("a"), two(docs[text]).alias("b")).alias("key"), docs[text].alias("text"))
+    bad = stored(overlaps(named, items, "text", "key", **options).select(F.col("key.a").alias("a"), F.col("key.b").alias("b")).distinct())
+    filled, shift = bitmap(bad, "a")
+
+    @F.pandas_udf("boolean")
+    def maybe(hashes: pd.Series) -> pd.Series:
+        return pd.Series(inside(filled.value, shift, hashes.to_numpy(np.int64).view(np.uint64)))
+
+    passed = maybe(one(docs[text]))
+    asked = docs.where(passed)
+    return docs.where(~passed).unionByName(asked.join(bad, (one(asked[text]) == bad["a"]) & (two(asked[text]) == bad["b"]), "left_anti"))

@@ -127,3 +127,15 @@ def test_pipeline_stages_against_brute_force(spark):
         elif "secret" in name:
             assert not gone and all((after[d] == before[d]) == (not base_spans(before[d])) or "[secret]" in after[d] for d in after)
             assert not any(base_spans(t) for t in after.values())
+
+
+def test_pipeline_leaves_only_the_tables_of_its_last_stage(spark):
+    from estimand.plans.prefix import release_all, stored_paths
+
+    sf = "/root/testdata/sf0.001"
+    release_all(spark)
+    result = corpus_pipeline.run(spark, sf)
+    assert result.count() > 0
+    assert set(stored_paths()) >= set(corpus_pipeline._LEFT[sf]) and len(stored_paths()) <= len(corpus_pipeline._LEFT[sf]) + 1
+    release_all(spark)
+    assert stored_paths() == []

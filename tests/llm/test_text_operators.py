@@ -328,3 +328,17 @@ def test_ordinal_step_recovers_order():
         toxicity.ordinal_step(state, at[1] - 1, at, np.ones(2))
     w = state.weights()
     assert (np.diff(w[1:5]) > 0).all() and (np.diff(state.extra) > 0).all()
+
+
+def test_clean_goes_by_texts(spark):
+    """Null and repeated keys, items of fewer words than a mask, and columns of any name."""
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"
+    items = spark.createDataFrame([(1, item), (2, "Rare Trio here"), (3, None), (4, "")], "item_id long, text string")
+    rows = [(1, f"before {item} after"), (None, f"x {item}"), (2, "clean words only"), (2, f"{item} y"), (None, "clean too"), (3, "a rare trio HERE it is"), (4, "rare trio only"), (5, None), (6, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("own") for c in ("_bad", "key", "a", "b", "item", "seed")})
+    kept = decontaminate.clean(docs, items)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
+        [(2, "clean words only"), (None, "clean too"), (4, "rare trio only"), (5, None), (6, "")], key=str)
+    found = {(r.doc_id, r.item_id): (r.start, r.matched) for r in decontaminate.overlaps(docs, items).collect()}
+    assert found[3, 2] == (1, 3) and found[None, 1] == (1, 12) and found[2, 1] == (0, 12)
