@@ -16,7 +16,10 @@ def _match(df, arm, labels, order, key, hot_rows):
     a rank per (stratum, arm) and the pair count per stratum decide everything.
     """
     names = [f"_l{i}" for i in range(len(labels))]
-    base = df.withColumns({"_arm": arm, **dict(zip(names, labels))})
+    orders, keys = [f"_o{i}" for i in range(len(order))], [f"_k{i}" for i in range(len(key))]
+    # the user's row travels as one column, so that no name of it can clash
+    base = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns if c != "match_index"]).alias("_row"), arm.alias("_arm"), *[c.alias(n) for c, n in zip(labels, names)],
+                     *[c.alias(n) for c, n in zip(order, orders)], *[F.col(c).alias(n) for c, n in zip(key, keys)])
     usable = F.col("_arm").isin(1, -1)
     for n in names:
         usable = usable & F.col(n).isNotNull()
@@ -41,10 +44,10 @@ def _match(df, arm, labels, order, key, hot_rows):
         .drop("_slice")
     )
     # joined on the columns the ranks are partitioned by: the rows are not shuffled again
-    placed = ranked(rows, [*names, "_arm"], order, key, hot_rows, name="_rank").join(strata, [*names, "_arm"], "left")
+    placed = ranked(rows, [*names, "_arm"], orders, keys, hot_rows, name="_rank").join(strata, [*names, "_arm"], "left")
     index = F.when(F.col("_rank") <= F.col("_pairs"), F.col("_arm") * (F.col("_start") + F.col("_rank")))
-    matched = placed.select(*df.columns, F.coalesce(index, F.lit(0)).cast("bigint").alias("match_index"))
-    rest = base.where(~usable).select(*df.columns, F.lit(0).cast("bigint").alias("match_index"))
+    matched = placed.select("_row.*", F.coalesce(index, F.lit(0)).cast("bigint").alias("match_index"))
+    rest = base.where(~usable).select("_row.*", F.lit(0).cast("bigint").alias("match_index"))
     return matched.unionByName(rest)
 
 

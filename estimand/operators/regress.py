@@ -13,6 +13,7 @@ from estimand.plans.finalize import by_schema, finalize
 from estimand.plans.moments import (
     NATIVE_PRODUCTS, Moments, collect_moments, invert, moments, select_by, weighted,
 )
+from estimand.plans.segments import Groups
 
 INTERCEPT = "(Intercept)"
 OLS_SCHEMA = (
@@ -240,3 +241,59 @@ def ols_sandwich(df, formula, bias=True):
     middle = score_products(df, design, as_double(y) - model.column())
     a = model.fit.xx_inv
     return fit_frame(df.sparkSession, model.fit.with_covariance(a @ middle @ a))
+
+
+def model_table(df, formula, by, bias=True, weight=None, level=0.95):
+    """One row for each group of ``by``: its keys and the fitted state, coef (terms, then the constant), v (upper triangle of
+    their covariances), sigma2 and t, the Student quantile of two-sided intervals at ``level``.  Singular groups have nulls.
+    """
+    _, xs, columns = _design(formula, weight)
+    groups = Groups(by)
+    rows = df.select(*groups.columns(), *[as_double(c).alias(f"_x{i}") for i, c in enumerate(columns)])
+    agg = moments(rows, [f"_x{i}" for i in range(len(columns))], groups.names)
+
+    def fn(row):
+        own = {k: row[k] for k in groups.names}
+        try:
+            fit = solve(Moments.of(row), xs, bias, weight is not None)
+        except ValueError:
+            yield own
+            return
+        v = fit.sigma2 * fit.xx_inv
+        own |= {"coef": [float(x) for x in fit.coef], "v": [float(x) for x in v[np.triu_indices(len(v))]], "sigma2": float(fit.sigma2)}
+        yield own | ({"t": float(dist.t_ppf(1 - (1 - level) / 2, fit.df))} if fit.df > 0 else {})
+
+    return finalize(agg, fn, groups.schema(agg) + "coef array<double>, v array<double>, sigma2 double, t double")
+
+
+def predict_grouped(df, formula, by, train=None, interval=None, level=0.95, bias=True, weight=None):
+    """Rows of ``df`` scored by the model of their group: adds ``predict``, or fit, lower and upper of an interval ("confidence" or "prediction").
+
+    Models are fitted on ``train`` (default: ``df``) in one aggregation and
+    joined by the group's keys (null-safe), so they are a table of any size.
+    Rows of a group without a model, and intervals without degrees of freedom, get nulls.
+    """
+    if interval not in (None, "confidence", "prediction"):
+        raise ValueError("interval must be 'confidence' or 'prediction'")
+    groups = Groups(by)
+    _, xs = read_model(formula)
+    added = ["predict"] if interval is None else ["fit", "lower", "upper"]
+    names = [f"_d{i}" for i in range(len(xs))]
+    # the user's row travels as one column, so that no name of it can clash
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in added]).alias("_row"), *groups.columns(), *[as_double(x).alias(n) for x, n in zip(xs, names)])
+    models = model_table(df if train is None else train, formula, by, bias, weight, level)
+    keys = [f"_g{i}" for i in range(len(groups.names))]
+    models = models.withColumnsRenamed(dict(zip(groups.names, keys)))
+    joined = rows.join(models, [F.col(b).eqNullSafe(F.col(k)) for b, k in zip(groups.names, keys)], "left")
+    design = [F.col(n) for n in names] + ([F.lit(1.0)] if bias else [])
+    center = sum((F.col("coef")[i] * x for i, x in enumerate(design)), F.lit(0.0))
+    if interval is None:
+        return joined.select("_row.*", center.alias("predict"))
+    se2, at = F.lit(0.0), 0
+    for i, a in enumerate(design):
+        for j in range(i, len(design)):
+            se2 = se2 + F.col("v")[at] * (1 if i == j else 2) * a * design[j]
+            at += 1
+    se2 = F.greatest(se2, F.lit(0.0)) + (F.col("sigma2") if interval == "prediction" else F.lit(0.0))
+    half = F.col("t") * F.sqrt(se2)
+    return joined.select("_row.*", center.alias("fit"), (center - half).alias("lower"), (center + half).alias("upper"))

@@ -3,24 +3,54 @@
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Window as W, functions as F
 
 from estimand.functions.columns import as_column, as_double
 from estimand.plans.finalize import finalize
 from estimand.plans.prefix import partial_frame, prefix_sum, sorted_partials
 from estimand.plans.ranks import HOT_ROWS, ranked
-from estimand.plans.segments import Groups, segmented_prefix
+from estimand.plans.segments import Groups, _starts, segmented_prefix
 
 
-def _segments(keys):
-    """Start offsets of equal runs in a sorted key frame."""
-    change = np.zeros(len(keys), dtype=bool)
-    change[0] = True
-    for c in keys.columns:
-        v = keys[c].to_numpy()
-        change[1:] |= (v[1:] != v[:-1]) & ~(pd.isna(v[1:]) & pd.isna(v[:-1]))
-    return np.flatnonzero(change)
+def _steps(by, keys):
+    """(keys and order of the first row, first, last, total) of the segments of sorted rows; keys stay Arrow columns."""
+
+    def run(batches):
+        held = None  # the open segment: its first row, first value, last value, total
+        names = [*by, *keys, "first", "last", "total"]
+
+        def closed(row, first, last, total):
+            return pa.RecordBatch.from_arrays([*row.columns, pa.array([first]), pa.array([last]), pa.array([total])], names=names)
+
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            columns = [batch.column(b) for b in by]
+            v = np.asarray(batch.column("_v").to_numpy(zero_copy_only=False), float)
+            new = _starts(columns, [held[0].column(b)[0] for b in by] if held else None)
+            starts = np.flatnonzero(new)
+            step = np.maximum(0.0, np.diff(v, prepend=held[2] if held else v[0]))
+            step[starts] = 0.0
+            open_end = int(starts[0]) if len(starts) else n
+            if held and open_end:
+                held = (held[0], held[1], float(v[open_end - 1]), held[3] + float(step[:open_end].sum()))
+            if not len(starts):
+                continue
+            if held:
+                yield closed(*held)
+            ends = np.append(starts[1:], n)
+            rows = batch.select([*by, *keys]).take(pa.array(starts))
+            total = np.add.reduceat(step, starts)
+            done = len(starts) - 1
+            if done:
+                yield pa.RecordBatch.from_arrays([*rows.slice(0, done).columns, pa.array(v[starts[:-1]]), pa.array(v[ends[:-1] - 1]), pa.array(total[:-1])], names=names)
+            held = (rows.slice(done), float(v[starts[-1]]), float(v[-1]), float(total[-1]))
+        if held:
+            yield closed(*held)
+
+    return run
 
 
 def delta_sum(df, value, order, by):
@@ -28,53 +58,25 @@ def delta_sum(df, value, order, by):
 
     Range partitions of (by, order) report first, last and local sum per group;
     a group cut by partition borders contributes the steps across the cuts.
-    ``order`` columns must identify rows inside a group.
+    ``order`` columns must identify rows inside a group.  Group keys stay exact.
     """
-    rows = df.select(*by, *[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)],
-                     as_double(value).alias("_v")).dropna(subset=["_v", *[f"_o{i}" for i in range(len(order))]])
+    groups = Groups(by)
     keys = [f"_o{i}" for i in range(len(order))]
+    rows = df.select(*groups.columns(), *[F.col(o).alias(k) for o, k in zip(order, keys)], as_double(value).alias("_v")).dropna(subset=["_v", *keys])
     types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-
-    def run(batches):
-        held = None  # the open last segment of the previous batch
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            starts = _segments(pdf[by])
-            ends = np.append(starts[1:], len(pdf))
-            v = pdf["_v"].to_numpy(float)
-            step = np.zeros(len(v))
-            step[1:] = np.maximum(0.0, v[1:] - v[:-1])
-            step[starts] = 0.0
-            out = pdf.iloc[starts][by + keys].reset_index(drop=True)
-            out["first"], out["last"] = v[starts], v[ends - 1]
-            out["total"] = np.add.reduceat(step, starts)
-            if held is not None:
-                if (held[by].iloc[0] == out[by].iloc[0]).all():
-                    prior = held.iloc[0]
-                    cut = max(0.0, out.at[0, "first"] - prior["last"])
-                    out.at[0, "total"] += prior["total"] + cut
-                    out.loc[0, keys] = prior[keys]
-                    out.at[0, "first"] = prior["first"]
-                else:
-                    yield held
-            held = out.iloc[-1:].reset_index(drop=True)
-            if len(out) > 1:
-                yield out.iloc[:-1]
-        if held is not None:
-            yield held
-
-    schema = ", ".join([f"`{c}` {types[c]}" for c in by + keys] + ["first double", "last double", "total double"])
-    parts = sorted_partials(rows, by + keys, run, schema)
-    cells = parts.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(*keys, "first", "last", "total"))).alias("p"))
+    names = groups.names
+    schema = ", ".join([f"`{c}` {types[c]}" for c in names + keys] + ["first double", "last double", "total double"])
+    ranged = rows.repartitionByRange(*names, *keys).sortWithinPartitions(*names, *keys)
+    parts = ranged.mapInArrow(_steps(names, keys), schema)
+    cells = parts.groupBy(*names).agg(F.sort_array(F.collect_list(F.struct(*keys, "first", "last", "total"))).alias("p"))
     cuts = F.zip_with(
         F.slice("p", F.lit(2), F.greatest(F.size("p") - 1, F.lit(0))), F.slice("p", F.lit(1), F.greatest(F.size("p") - 1, F.lit(0))),
         lambda nxt, cur: F.greatest(F.lit(0.0), nxt["first"] - cur["last"]),
     )
     add = lambda acc, x: acc + x
     return cells.select(
-        *by, (F.aggregate(F.transform("p", lambda c: c["total"]), F.lit(0.0), add)
-              + F.aggregate(cuts, F.lit(0.0), add)).alias("delta_sum"),
+        *groups.restored(), (F.aggregate(F.transform("p", lambda c: c["total"]), F.lit(0.0), add)
+                             + F.aggregate(cuts, F.lit(0.0), add)).alias("delta_sum"),
     )
 
 
@@ -87,16 +89,22 @@ def moving(df, value, size, order, by, key=(), kind="sum", hot_rows=HOT_ROWS):
     """
     if kind not in ("sum", "avg"):
         raise ValueError("kind must be 'sum' or 'avg'")
-    placed = ranked(df, by, order, list(key), hot_rows, name="_rank")
+    kept = [c for c in df.columns if c != f"moving_{kind}"]
+    groups = Groups(by)
+    names, keys = [f"_o{i}" for i in range(len(order))], [f"_k{i}" for i in range(len(key))]
+    # the user's row travels as one column, so that no name of it can clash
+    inner = df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"), *groups.columns(), as_double(value).alias("_v"),
+                      *[as_column(o).alias(n) for o, n in zip(order, names)], *[F.col(c).alias(n) for c, n in zip(key, keys)])
+    placed = ranked(inner, groups.names, names, keys, hot_rows, name="_rank")
     block = max(hot_rows, 2 * size)
     home = F.floor((F.col("_rank") - 1) / F.lit(block))
     spill = F.col("_rank") - home * F.lit(block) > F.lit(block - size + 1)
     blocks = F.when(spill, F.array(home, home + 1)).otherwise(F.array(home))
     halo = placed.withColumn("_home", home).withColumn("_block", F.explode(blocks))
-    w = W.partitionBy(*by, "_block").orderBy("_rank").rowsBetween(-(size - 1), 0)
-    total = F.sum(as_double(value)).over(w)
-    out = halo.withColumn(f"moving_{kind}", total if kind == "sum" else total / F.lit(float(size)))
-    return out.where(F.col("_home") == F.col("_block")).drop("_home", "_block", "_rank")
+    w = W.partitionBy(*groups.names, "_block").orderBy("_rank").rowsBetween(-(size - 1), 0)
+    total = F.sum("_v").over(w)
+    out = halo.withColumn("_out", total if kind == "sum" else total / F.lit(float(size)))
+    return out.where(F.col("_home") == F.col("_block")).select("_row.*", F.col("_out").alias(f"moving_{kind}"))
 
 
 def exponential_moving_average(df, value, time, half_life, by):

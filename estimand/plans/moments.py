@@ -7,10 +7,11 @@ where raw sums of squares would cancel.
 """
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from estimand.functions.columns import as_column, as_double
+from estimand.plans.segments import _starts
 
 MOMENT_FIELDS = "n bigint, mean array<double>, comoment array<double>"
 
@@ -20,7 +21,6 @@ NATIVE_COLUMNS = 6
 # Plain sums of products hold one field per pair: twelve columns.
 NATIVE_PRODUCTS = 12
 MERGE_SLOTS = 64
-MAX_HELD_GROUPS = 10_000
 
 
 def moment_columns(k):
@@ -46,51 +46,100 @@ def moments(df, cols, by=(), required=()):
     return _block_moments(picked, by, k)
 
 
+def _runs(columns, n):
+    """First rows of the runs of equal keys among ``n`` rows."""
+    return np.flatnonzero(_starts(columns, None)) if columns else np.zeros(min(n, 1), np.int64)
+
+
+def _order(columns, n):
+    """An order of ``n`` rows that puts equal keys together."""
+    codes = []
+    for c in columns:
+        code = c.dictionary_encode().indices
+        codes.append(np.where(np.asarray(code.is_null()), -1, np.asarray(code.fill_null(0))))
+    return np.lexsort(codes) if codes else np.arange(n)
+
+
+def _as_batch(keys, n, mean, comoment, names):
+    lists = [pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64())) for x in (mean, comoment)]
+    return pa.RecordBatch.from_arrays([*keys, pa.array(n.astype(np.int64)), *lists], names=names)
+
+
+def _reduced(by, k):
+    """One row of moments for each group of an Arrow batch, all groups at once."""
+    i, j = np.triu_indices(k)
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            batch = batch.take(pa.array(_order([batch.column(b) for b in by], batch.num_rows)))
+            keys = [batch.column(b) for b in by]
+            first = _runs(keys, batch.num_rows)
+            n = np.diff(np.append(first, batch.num_rows))
+            x = np.column_stack([np.asarray(batch.column(f"_m{c}").to_numpy(zero_copy_only=False), float) for c in range(k)])
+            mean = np.add.reduceat(x, first) / n[:, None]
+            d = x - np.repeat(mean, n, axis=0)
+            co = np.column_stack([np.add.reduceat(d[:, a] * d[:, b], first) for a, b in zip(i, j)])
+            yield _as_batch([c.take(pa.array(first)) for c in keys], n, mean, co, [*by, "n", "mean", "comoment"])
+
+    return run
+
+
+def _merged(by, k):
+    """Rows of moments, sorted by key, merged to one row a group; the last group of a batch stays open for the next one."""
+    i, j = np.triu_indices(k)
+    names = [*by, "n", "mean", "comoment"]
+
+    def merge(batch):
+        keys = [batch.column(b) for b in by]
+        first = _runs(keys, batch.num_rows)
+        size = np.diff(np.append(first, batch.num_rows))
+        n = batch.column("n").to_numpy().astype(float)
+        mean = np.asarray(batch.column("mean").flatten()).reshape(-1, k)
+        co = np.asarray(batch.column("comoment").flatten()).reshape(-1, len(i))
+        total = np.add.reduceat(n, first)
+        # centred at the first mean of the group, so that no digits are lost
+        base = np.repeat(mean[first], size, axis=0)
+        center = mean[first] + np.add.reduceat((mean - base) * n[:, None], first) / total[:, None]
+        d = mean - np.repeat(center, size, axis=0)
+        return _as_batch([c.take(pa.array(first)) for c in keys], total, center, np.add.reduceat(co + n[:, None] * d[:, i] * d[:, j], first), names)
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            batch = batch.select(names)
+            if held is not None:
+                both = pa.concat_tables([pa.Table.from_batches([held]), pa.Table.from_batches([batch]).cast(held.schema)])
+                batch = both.combine_chunks().to_batches()[0]
+            out = merge(batch)
+            if out.num_rows > 1:
+                yield out.slice(0, out.num_rows - 1)
+            held = out.slice(out.num_rows - 1)
+        if held is not None:
+            yield held
+
+    return run
+
+
 def _block_moments(picked, by, k):
     """Moments of many columns: k^2 / 2 aggregate buffers exceed the field limit
     of whole-stage code generation, so each task reduces its Arrow batches to
-    centred moments with matrix products and only moment rows are shuffled.
+    centred moments of all their groups and only moment rows are shuffled.
 
-    The rows of one group (one per task) are merged in two steps.
+    The rows of one group are merged in two steps, the first one in up to
+    ``MERGE_SLOTS`` tasks.  Keys stay Arrow columns, so they stay exact.
     """
     types = {f.name: f.dataType.simpleString() for f in picked.schema.fields}
-    keys = "".join(f"`{b}` {types[b]}, " for b in by)
-    xs, upper = [f"_m{i}" for i in range(k)], np.triu_indices(k)
-
-    def as_rows(found):
-        return pd.DataFrame(
-            [[*key, m.n, m.mean.tolist(), m.comoment[upper].tolist()] for key, m in found.items()],
-            columns=[*by, "n", "mean", "comoment"])
-
-    def reduce_batches(batches):
-        found = {}
-        for pdf in batches:
-            groups = pdf.groupby(by, dropna=False, sort=False) if by else [((), pdf)]
-            for key, part in groups:
-                x = part[xs].to_numpy(dtype=float)
-                center = x.mean(axis=0)
-                d = x - center
-                m = Moments(len(x), center, d.T @ d)
-                key = tuple(None if v is None or v != v else v for v in key)
-                found[key] = found[key].merge(m) if key in found else m
-            if len(found) > MAX_HELD_GROUPS:
-                yield as_rows(found)
-                found = {}
-        if found:
-            yield as_rows(found)
-
-    def combine(pdf):
-        out = pdf.iloc[:1].copy()
-        m = merge_all([Moments(n, a, c) for n, a, c in zip(pdf["n"], pdf["mean"], pdf["comoment"])])
-        out["n"], out["mean"] = m.n, [m.mean.tolist()]
-        out["comoment"] = [m.comoment[upper].tolist()]
-        return out
-
-    partial = picked.mapInPandas(reduce_batches, keys + MOMENT_FIELDS).withColumn(
-        "_slot", F.pmod(F.spark_partition_id(), F.lit(MERGE_SLOTS)))
-    once = partial.groupBy(*by, "_slot").applyInPandas(
-        lambda pdf: combine(pdf), keys + MOMENT_FIELDS + ", _slot int")
-    return once.groupBy(*by).applyInPandas(lambda pdf: combine(pdf.drop(columns="_slot")), keys + MOMENT_FIELDS)
+    schema = "".join(f"`{b}` {types[b]}, " for b in by) + MOMENT_FIELDS
+    keys = [F.col(f"`{b}`") for b in by]
+    partial = picked.mapInArrow(_reduced(by, k), schema).withColumn("_slot", F.pmod(F.spark_partition_id(), F.lit(MERGE_SLOTS)))
+    in_order = lambda rows: rows.sortWithinPartitions(*keys) if keys else rows
+    once = in_order(partial.repartition(*keys, "_slot")).drop("_slot").mapInArrow(_merged(by, k), schema)
+    last = in_order(once.repartition(*keys)) if keys else once.coalesce(1)
+    return last.mapInArrow(_merged(by, k), schema)
 
 
 def weighted(cols, weight):

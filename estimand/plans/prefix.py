@@ -12,6 +12,7 @@ import uuid
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Window as W, functions as F
 
 
@@ -125,7 +126,7 @@ def prefix_sum(df, order, values, keep=None):
     )
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fixed.schema.fields)
     schema += "".join(f", `_l_{v}` double" for v in values)
-    local = fixed.mapInPandas(_running(values), schema)
+    local = fixed.mapInArrow(_running(values), schema)
     joined = local.join(F.broadcast(offsets), "_pid")
     return joined.select(
         *kept, *[(F.col(f"_l_{v}") + F.col(f"_o_{v}")).alias(f"{v}_before") for v in values]
@@ -133,14 +134,17 @@ def prefix_sum(df, order, values, keep=None):
 
 
 def _running(values):
+    """Arrow batches, so that the columns carried along stay as they are."""
+
     def run(batches):
         carry = dict.fromkeys(values, 0.0)
-        for pdf in batches:
+        for batch in batches:
+            local = []
             for v in values:
-                x = pdf[v].to_numpy(dtype=float)
-                pdf[f"_l_{v}"] = carry[v] + np.cumsum(x) - x
+                x = np.asarray(batch.column(v).to_numpy(zero_copy_only=False), float)
+                local.append(pa.array(carry[v] + np.cumsum(x) - x))
                 carry[v] += float(x.sum())
-            yield pdf
+            yield pa.RecordBatch.from_arrays([*batch.columns, *local], names=[*batch.schema.names, *(f"_l_{v}" for v in values)])
 
     return run
 
