@@ -187,7 +187,8 @@ def repeated_windows(rows, window=WINDOW, q=QGRAM, pieces=PIECES):
     for size in pieces:
         made = stored(_pieces(rows, window, q, size, filters))
         own = F.struct("d1", "d2", "start")
-        twice = made.groupBy("h1", "h2").agg(F.sum("c").alias("m"), F.min(own).alias("one")).where("m > 1").select("h1", "h2", "one")
+        # a table of its own, so that the join may split the rows of a range that many texts share
+        twice = stored(made.groupBy("h1", "h2").agg(F.sum("c").alias("m"), F.min(own).alias("one")).where("m > 1").select("h1", "h2", "one"))
         told = made.join(twice, ["h1", "h2"], "left").withColumns({"again": F.col("one").isNotNull(), "one": F.coalesce(F.col("one") == own, F.lit(True))})
         told = stored(told.select("d1", "d2", "start", "n", "core", "h1", "c", "again", "one"))
         found.append(told)
@@ -197,7 +198,7 @@ def repeated_windows(rows, window=WINDOW, q=QGRAM, pieces=PIECES):
             wanted = told.where("one").select(F.col("h1").bitwiseXOR(F.col("d1")).bitwiseXOR(F.col("start")).alias("piece"))
             filters.append((size, bitmap(wanted, "piece"), bitmap(cores, "core")))
             release(cores)
-        release(made)
+        release(made, twice)
     return [x.where("again").select("d1", "d2", "start", "n") for x in found]
 
 
