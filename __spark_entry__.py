@@ -1790,6 +1790,33 @@ def _(spark, sf):
     return ev.sequence_pattern(t(spark, sf, "events"), "user_id", "ts", f"(?1)(?t>{3 * 86400})(?3)", PATTERN_EVENTS, ["event_id"])
 
 
+# Logistic models whose cells are saturated have closed forms.
+
+
+@query("logistic_lasso", """
+WITH c AS (SELECT (l_linenumber <= 2)::INT AS x, COUNT(*)::DOUBLE AS n, AVG((l_quantity > 20 + 10 * (l_linenumber <= 2)::INT)::INT) AS y FROM lineitem GROUP BY 1),
+s AS (SELECT SUM(n) AS n, MAX(n) FILTER (WHERE x = 1) AS n1, MAX(n) FILTER (WHERE x = 0) AS n0, MAX(y) FILTER (WHERE x = 1) AS y1, MAX(y) FILTER (WHERE x = 0) AS y0 FROM c),
+p AS (SELECT *, y1 - 0.01 * n * sign(y1 - y0) / n1 AS p1, y0 + 0.01 * n * sign(y1 - y0) / n0 AS p0 FROM s),
+e AS (SELECT ln(p0 / (1 - p0)) AS bias, ln(p1 / (1 - p1)) - ln(p0 / (1 - p0)) AS b FROM p)
+SELECT UNNEST(['x1', 'x2', 'bias']) AS term, ROUND(UNNEST([b, 0.0, bias]), 6) AS estimate FROM e""")
+def _(spark, sf):
+    df = t(spark, sf, "lineitem").selectExpr("cast(l_linenumber <= 2 as int) AS x1", "0.0001 * (l_orderkey % 2) AS x2", "cast(l_quantity > 20 + 10 * cast(l_linenumber <= 2 as int) as int) AS y")
+    return penalized.logistic_lasso(df, "y ~ x1 + x2", 0.01).coefficients(spark).select("term", F.round("estimate", 6).alias("estimate"))
+
+
+@query("dml_logistic", """
+WITH d AS (SELECT l_extendedprice AS y, CAST(l_orderkey % 2 AS DOUBLE) AS t, (l_quantity > 25)::INT AS x, l_partkey % 3 AS fold FROM lineitem),
+f AS (SELECT k.fold, x, AVG(y) AS my, AVG(t) AS mt FROM d JOIN (SELECT UNNEST([0, 1, 2]) AS fold) k ON d.fold <> k.fold GROUP BY ALL),
+r AS (SELECT d.x, y - my AS ry, t - mt AS rt FROM d JOIN f USING (fold, x)),
+g AS (SELECT SUM(rt*rt*x) AS a, SUM(rt*rt*x) AS b, SUM(rt*rt) AS c, SUM(rt*x*ry) AS u, SUM(rt*ry) AS v FROM r)
+SELECT UNNEST(['x', 'cate_intercept']) AS term, ROUND(UNNEST([(u*c - v*b)/(a*c - b*b), (v*a - u*b)/(a*c - b*b)]), 4) AS estimate FROM g""")
+def _(spark, sf):
+    # one control of two values: the logistic propensity is the cells' share, whatever the number of Newton steps
+    df = line(spark, sf).withColumn("x", (F.col("l_quantity") > 25).cast("int"))
+    model = dml.LinearDML("l_extendedprice", "arm", ["x"], model_t="logistic", fold="l_partkey % 3").fit(df)
+    return rounded(model.summary(), term=None, estimate=4)
+
+
 # Stock aggregates that Spark has built in.
 
 

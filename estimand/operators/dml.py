@@ -11,8 +11,11 @@ from estimand.functions.columns import as_column, as_double, stable_bucket
 from estimand.operators.penalized import lasso_fit
 from estimand.operators.regress import LinearModel, fit_frame, solve
 from estimand.plans.moments import collect_moments, merge_all
+from estimand.plans.prefix import release, stored
 
-NUISANCES = ("ols", "lasso")
+NUISANCES = ("ols", "lasso", "logistic")
+#: Newton steps of a logistic propensity, and the move at which they end.
+STEPS, SETTLED = 40, 1e-10
 
 
 def _nuisance(m, terms, kind, penalty):
@@ -29,6 +32,46 @@ def _fold_moments(df, columns, fold):
     return parts
 
 
+def _propensities(df, fold, t, controls, folds, mean, sd):
+    """{fold: logistic coefficients (controls, constant)} of ``t``, each fitted on the other folds.
+
+    All folds take their Newton steps together: a row counts in the sums of
+    every fold but its own, so a step is one aggregation over a stored table of
+    few columns.
+    """
+    k = len(controls)
+    sd = np.where(sd > 0, sd, 1.0)
+    z = [(c - F.lit(float(m))) / F.lit(float(s)) for c, m, s in zip(controls, mean, sd)]
+    rows = stored(df.select(fold.alias("_fold"), t.alias("_t"), *[c.alias(f"_z{i}") for i, c in enumerate(z)]).dropna().withColumn(f"_z{k}", F.lit(1.0)))
+    if rows.where("_t not in (0, 1)").head(1):
+        raise ValueError("a logistic nuisance is for a treatment of 0 and 1")
+    names = [f"_z{i}" for i in range(k + 1)]
+    pairs = [(i, j) for i in range(k + 1) for j in range(i, k + 1)]
+    w = {f: np.zeros(k + 1) for f in folds}
+    for _ in range(STEPS):
+        table = F.create_map(*[x for f in folds for x in (F.lit(f), F.array(*[F.lit(float(c)) for c in w[f]]))])
+        long = rows.withColumn("_of", F.explode(F.array(*[F.lit(f) for f in folds]))).where("_of <> _fold").withColumn("_w", F.element_at(table, F.col("_of")))
+        eta = sum((F.col("_w")[i] * F.col(c) for i, c in enumerate(names)), F.lit(0.0))
+        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-eta))
+        work = long.select("_of", *names, (F.col("_t") - p).alias("_r"), (p * (1 - p)).alias("_v"))
+        sums = work.groupBy("_of").agg(F.count(F.lit(1)).alias("n"), F.array(*[F.sum(F.col("_r") * F.col(c)) for c in names]).alias("g"),
+                                       F.array(*[F.sum(F.col("_v") * F.col(names[i]) * F.col(names[j])) for i, j in pairs]).alias("h")).collect()
+        far = 0.0
+        for r in sums:  # a row for each fold
+            h = np.zeros((k + 1, k + 1))
+            for (i, j), x in zip(pairs, r["h"]):
+                h[i, j] = h[j, i] = x / r["n"]
+            move = np.linalg.solve(h + 1e-12 * np.eye(k + 1), np.array(r["g"]) / r["n"])
+            w[r["_of"]] = w[r["_of"]] + move * min(1.0, 5.0 / max(1e-300, np.max(np.abs(move))))
+            far = max(far, np.max(np.abs(move)))
+        if far < SETTLED:
+            break
+    else:
+        raise ValueError(f"the propensity has not converged in {STEPS} steps")
+    release(rows)
+    return {f: np.append(c[:-1] / sd, c[-1] - (c[:-1] / sd) @ mean) for f, c in w.items()}
+
+
 def residualize(df, y, treatments, controls, fold, model_y="ols", model_t="ols", penalty=0.0):
     """Add out-of-fold residuals ``_ry`` and ``_rt0.._rtk``.
 
@@ -38,15 +81,27 @@ def residualize(df, y, treatments, controls, fold, model_y="ols", model_t="ols",
     for kind in (model_y, model_t):
         if kind.lower() not in NUISANCES:
             raise ValueError(f"nuisance models are {NUISANCES}")
+    if model_y.lower() == "logistic":
+        raise ValueError("a logistic nuisance is for a treatment of 0 and 1")
     columns = [y, *treatments, *controls]
     parts = _fold_moments(df, columns, fold)
     p, c = len(treatments), len(controls)
     xs = list(range(1 + p, 1 + p + c))
     doubles = [as_double(col) for col in columns]
     residuals = {f"_r{i}": F.lit(None).cast("double") for i in range(1 + p)}
+    logistic = {}
+    if model_t.lower() == "logistic":
+        scale = merge_all(list(parts.values()))
+        for i in range(1, 1 + p):
+            own = scale.take([i, *xs])
+            logistic[i] = _propensities(df, fold, doubles[i], [doubles[x] for x in xs], sorted(parts), own.mean[1:], np.sqrt(np.diag(own.comoment)[1:] / own.n))
     for f in sorted(parts):
         train = merge_all([m for g, m in parts.items() if g != f])
         for i in range(1 + p):
+            if i in logistic:
+                eta = sum((F.lit(float(b)) * doubles[x] for b, x in zip(logistic[i][f], xs)), F.lit(float(logistic[i][f][-1])))
+                residuals[f"_r{i}"] = F.when(F.col("_fold") == f, doubles[i] - F.lit(1.0) / (F.lit(1.0) + F.exp(-eta))).otherwise(residuals[f"_r{i}"])
+                continue
             coef = _nuisance(train.take([i, *xs]), list(controls), (model_y if i == 0 else model_t).lower(), penalty)
             pred = F.lit(float(coef[-1]))
             for b, x in zip(coef[:-1], xs):

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from estimand.functions.columns import as_double
 from estimand.functions.formula import read_model
 from estimand.plans.moments import NATIVE_PRODUCTS, collect_moments, invert
+from estimand.plans.prefix import release, stored
 
 OPTIMIZERS = ("SGD", "Momentum", "Nesterov", "Adam", "Lasso")
 
@@ -176,7 +177,7 @@ def sgd_logistic(df, formula, l2=0.5, optimizer=None, lr=1.0, iterations=25, pos
     """Logistic fit of ``y == positive`` (the targets +1/-1 of the reference).
 
     Newton steps on the mean log-loss + l2 * |b|^2; every step is one
-    aggregation of k gradient and k^2/2 curvature sums.  ``optimizer`` runs its
+    aggregation of k gradient and k^2/2 curvature sums over the stored design.  ``optimizer`` runs its
     update rule on the aggregated gradient instead; "Lasso" shrinks by ``l2``.
     Newton's method raises if it has not converged; with an update rule the
     result's ``converged`` tells.
@@ -184,13 +185,7 @@ def sgd_logistic(df, formula, l2=0.5, optimizer=None, lr=1.0, iterations=25, pos
     _check_optimizer(optimizer)
     y, xs = read_model(formula)
     k = len(xs)
-    rows = df.select(
-        F.when(as_double(y) == float(positive), 1.0).otherwise(0.0).alias("_y"),
-        *[as_double(x).alias(f"_x{i}") for i, x in enumerate(xs)],
-    ).dropna()
-    stats = rows.agg(F.count(F.lit(1)).alias("n"), *[
-        f for i in range(k) for f in (F.avg(f"_x{i}").alias(f"m{i}"), F.stddev_pop(f"_x{i}").alias(f"s{i}"))
-    ]).first()
+    rows, stats = _design_table(df, F.when(as_double(y) == float(positive), 1.0).otherwise(0.0), xs)
     n = stats["n"]
     if not n:
         raise ValueError("no complete rows to fit on")
@@ -205,8 +200,8 @@ def sgd_logistic(df, formula, l2=0.5, optimizer=None, lr=1.0, iterations=25, pos
         for c, col in zip(w, z):
             eta = eta + F.lit(float(c)) * col
         p = F.lit(1.0) / (F.lit(1.0) + F.exp(-eta))
-        work = rows.select(*[col.alias(f"z{i}") for i, col in enumerate(z)], (F.col("_y") - p).alias("r"),
-                           (p * (1 - p)).alias("v"))
+        work = rows.select(*[col.alias(f"z{i}") for i, col in enumerate(z)], (F.col("_n") * (F.col("_y") - p)).alias("r"),
+                           (F.col("_n") * p * (1 - p)).alias("v"))
         names = [f"z{i}" for i in range(k + 1)]
         sums = [F.sum(F.col("r") * F.col(c)) for c in names]
         wide = k + 1 > NATIVE_PRODUCTS - 2
@@ -232,8 +227,9 @@ def sgd_logistic(df, formula, l2=0.5, optimizer=None, lr=1.0, iterations=25, pos
             g, _h = aggregate(at, False)
             w = rule.apply(w, g - decay * at)
             if _settled(w, before, tol):
-                return PenalizedModel(xs, w, "logistic")
-        return PenalizedModel(xs, w, "logistic", converged=False)
+                break
+        release(rows)
+        return PenalizedModel(xs, w, "logistic", converged=_settled(w, before, tol))
     for _ in range(iterations):
         g, h = aggregate(w, True)
         move = np.linalg.solve(h + np.diag(penalty) + 1e-12 * np.eye(k + 1), g - penalty * w)
@@ -242,5 +238,82 @@ def sgd_logistic(df, formula, l2=0.5, optimizer=None, lr=1.0, iterations=25, pos
             break
     else:
         raise ValueError(f"Newton's method has not converged in {iterations} iterations")
+    release(rows)
+    slope = w[:-1] / scale
+    return PenalizedModel(xs, np.append(slope, w[-1] - slope @ mean), "logistic")
+
+
+#: Equal rows are counted when they are at most one in so many.
+COLLAPSE_FACTOR = 20
+
+
+def _design_table(df, y, xs):
+    """Stored complete rows (_y, _x0.., _n) and their totals; equal rows are one where that shrinks the table a lot.
+
+    Two scans of the input; every later step reads these few columns only.
+    """
+    names = [f"_x{i}" for i in range(len(xs))]
+    rows = df.select(y.alias("_y"), *[as_double(x).alias(n) for x, n in zip(xs, names)]).dropna()
+    stats = rows.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64("_y", *names)).alias("distinct"), *[
+        f for i, n in enumerate(names) for f in (F.avg(n).alias(f"m{i}"), F.stddev_pop(n).alias(f"s{i}"))]).first()
+    if stats["distinct"] * COLLAPSE_FACTOR <= stats["n"]:
+        return stored(rows.groupBy("_y", *names).agg(F.count(F.lit(1)).cast("double").alias("_n"))), stats
+    return stored(rows.withColumn("_n", F.lit(1.0))), stats
+
+
+def logistic_lasso(df, formula, penalty, positive=1, iterations=60, tol=1e-9):
+    """Minimise mean log-loss of ``y == positive`` + penalty * sum |b|; the bias is not shrunk.
+
+    Proximal Newton: a step aggregates loss, gradient and curvature over the
+    stored design, the L1 problem of that quadratic is solved by coordinate
+    descent over k numbers, and a step that does not lower the objective is halved.
+    """
+    y, xs = read_model(formula)
+    k = len(xs)
+    rows, stats = _design_table(df, F.when(as_double(y) == float(positive), 1.0).otherwise(0.0), xs)
+    n = stats["n"]
+    if not n:
+        raise ValueError("no complete rows to fit on")
+    mean, scale = np.array([stats[f"m{i}"] for i in range(k)]), np.array([stats[f"s{i}"] or 1.0 for i in range(k)])
+    z = [(F.col(f"_x{i}") - float(mean[i])) / float(scale[i]) for i in range(k)] + [F.lit(1.0)]
+    weight = np.append(penalty / scale, 0.0)  # of the coefficients of the scaled columns
+
+    def look(w):
+        eta = sum((F.lit(float(c)) * col for c, col in zip(w, z)), F.lit(0.0))
+        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-eta))
+        work = rows.select("_n", (F.greatest(eta, F.lit(0.0)) + F.log1p(F.exp(-F.abs(eta))) - F.col("_y") * eta).alias("loss"),
+                           (p - F.col("_y")).alias("r"), (p * (1 - p)).alias("v"), *[c.alias(f"z{i}") for i, c in enumerate(z)])
+        pairs = [(i, j) for i in range(k + 1) for j in range(i, k + 1)]
+        sums = [F.sum(F.col("_n") * F.col("loss")), *[F.sum(F.col("_n") * F.col("r") * F.col(f"z{i}")) for i in range(k + 1)],
+                *[F.sum(F.col("_n") * F.col("v") * F.col(f"z{i}") * F.col(f"z{j}")) for i, j in pairs]]
+        got = np.array(work.agg(F.array(*sums).alias("a")).first()["a"], float) / n
+        h = np.zeros((k + 1, k + 1))
+        for (i, j), x in zip(pairs, got[k + 2 :]):
+            h[i, j] = h[j, i] = x
+        return got[0] + float(weight @ np.abs(w)), got[1 : k + 2], h
+
+    w = np.zeros(k + 1)
+    best, g, h = look(w)
+    for _ in range(iterations):
+        target, diagonal = w.copy(), np.diag(h) + 1e-12
+        for _sweep in range(10_000):
+            before = target.copy()
+            for i in range(k + 1):
+                slope = g[i] + h[i] @ (target - w)
+                target[i] = soft(target[i] - slope / diagonal[i], weight[i] / diagonal[i])
+            if _settled(target, before, tol * 1e-3):
+                break
+        move, share = target - w, 1.0
+        if np.max(np.abs(move)) <= tol * max(1.0, np.max(np.abs(w))):
+            break
+        while True:
+            value, g2, h2 = look(w + share * move)
+            if value <= best + 1e-15 * abs(best) or share < 1e-6:
+                break
+            share /= 2
+        w, best, g, h = w + share * move, value, g2, h2
+    else:
+        raise ValueError(f"the proximal steps have not converged in {iterations} iterations")
+    release(rows)
     slope = w[:-1] / scale
     return PenalizedModel(xs, np.append(slope, w[-1] - slope @ mean), "logistic")
