@@ -444,12 +444,12 @@ def _(spark, sf):
 @query("join_colocated", """
 SELECT o_orderstatus, COUNT(*) AS n, ROUND(SUM(l_quantity), 2) AS qty FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1""")
 def _(spark, sf):
-    # both sides partitioned by the key once; the join and any later grouping by it reuse that
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    o = t(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), "o_orderstatus").repartition(n, "k")
-    li = t(spark, sf, "lineitem").select(F.col("l_orderkey").alias("k"), "l_quantity").repartition(n, "k")
-    return o.join(li, "k").groupBy("o_orderstatus").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.sum("l_quantity"), 2).alias("qty"))
+    # both sides lie in buckets of the key, so that the join (and any later one on it) has nothing to shuffle
+    o = t(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), "o_orderstatus")
+    li = t(spark, sf, "lineitem").select(F.col("l_orderkey").alias("k"), "l_quantity")
+    names = [_table(spark, f"estimand_{side}_{uuid.uuid4().hex}") for side in ("orders", "lines")]
+    left, right = (tables.colocated(df, name, "k", 8) for df, name in zip((o, li), names))
+    return left.join(right, "k").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("l_quantity"), 2).alias("qty"))
 
 
 @query("join_small_stats", """
@@ -1817,6 +1817,18 @@ def _(spark, sf):
     return rounded(model.summary(), term=None, estimate=4)
 
 
+@query("quantile_sketch", f"""
+SELECT DISTINCT {BIG_LINE} AS k, UNNEST([0.05, 0.5, 0.99])::DOUBLE AS p, TRUE AS near FROM lineitem""")
+def _(spark, sf):
+    # the share of rows below and up to each sketched value encloses p within the stated error
+    df, error = big_line(spark, sf), 0.01
+    found = ranktests.quantile_sketch(df, "l_extendedprice", [0.05, 0.5, 0.99], ["k"], error)
+    price = F.col("l_extendedprice")
+    both = df.select("k", "l_extendedprice").join(found.withColumnRenamed("k", "g"), F.col("k").eqNullSafe(F.col("g")))
+    shares = both.groupBy("k", "p").agg(F.avg((price < F.col("value")).cast("double")).alias("below"), F.avg((price <= F.col("value")).cast("double")).alias("upto"))
+    return shares.select("k", "p", ((F.col("below") <= F.col("p") + error) & (F.col("upto") >= F.col("p") - error)).alias("near"))
+
+
 # Stock aggregates that Spark has built in.
 
 

@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from estimand.functions import dist
@@ -10,7 +11,7 @@ from estimand.functions.columns import as_column, as_double
 from estimand.operators.ttest import check_alternative
 from estimand.plans.finalize import finalize
 from estimand.plans.prefix import partial_frame, prefix_sum, sorted_partials
-from estimand.plans.segments import Groups, segmented_prefix, with_totals
+from estimand.plans.segments import Groups, _starts, segmented_prefix, with_totals
 
 
 def _rank_partials(batches):
@@ -228,3 +229,110 @@ def quantiles_grouped(df, c, probs, by, weight=None):
     hits = placed.select(*groups.names, "_v", F.inline(F.filter(holds, lambda h: h["lo"] | h["hi"])))
     ends = hits.groupBy(*keys).agg(F.max("w").alias("w"), F.max(F.when(F.col("lo"), F.col("_v"))).alias("a"), F.max(F.when(F.col("hi"), F.col("_v"))).alias("b"))
     return ends.select(*groups.restored(), "p", (F.col("a") + F.col("w") * (F.col("b") - F.col("a"))).alias("value"))
+
+
+# ---- bounded sketches ------------------------------------------------------------
+
+#: Halvings that any table is allowed (2^40 buffers of rows).
+HALVINGS = 40
+#: Tasks that merge the sketches of a group first.
+SKETCH_SLOTS = 64
+
+
+class Sketch:
+    """Mergeable summary of numbers: buffers of at most ``size`` sorted values, those of level h standing for 2^h rows each.
+
+    Two full buffers of a level become one of the next by keeping every other
+    value, from the first and from the second one in turn.  That moves no rank by
+    more than 2^h, so after all halvings ranks are off by at most
+    n * HALVINGS / (2 * size), whatever the order of rows and merges.
+    """
+
+    def __init__(self, size):
+        self.size, self.levels = size, {}
+
+    def add(self, values, level=0):
+        held, turn = self.levels.get(level, (np.zeros(0), 0))
+        held = np.concatenate([held, values])
+        if len(held) >= 2 * self.size:
+            held = np.sort(held)
+            even = len(held) // 2 * 2
+            self.levels[level] = (held[even:], 1 - turn)
+            self.add(held[turn:even:2], level + 1)
+        else:
+            self.levels[level] = (held, turn)
+
+    def rows(self):
+        return [(h, v.tolist()) for h, (v, _) in sorted(self.levels.items()) if len(v)]
+
+    def quantiles(self, probs):
+        """The least value with a share p of the weight at or below it."""
+        values = np.concatenate([v for v, _ in self.levels.values()])
+        weights = np.concatenate([np.full(len(v), float(1 << h)) for h, (v, _) in self.levels.items()])
+        order = np.argsort(values, kind="stable")
+        upto = np.cumsum(weights[order])
+        return [float(values[order][min(len(order) - 1, int(np.searchsorted(upto, p * upto[-1] * (1 - 1e-12))))]) for p in probs]
+
+
+def quantile_sketch(df, c, probs, by=(), error=0.01):
+    """(by.., p, value): quantiles whose rank is off by at most ``error`` of the group's rows, from one scan and bounded memory.
+
+    Tasks reduce their rows to sketches, which alone are shuffled and merged in
+    two steps.  Keys stay exact; null values do not count.
+    """
+    if not 0 < error < 1:
+        raise ValueError("error must be in (0, 1)")
+    size = math.ceil(HALVINGS / (2 * error))
+    groups = Groups(by)
+    names = groups.names
+    rows = df.select(*groups.columns(), as_double(c).alias("_v")).where("_v is not null")
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    schema = ", ".join(f"`{n}` {kinds[n]}" for n in names) + ", level int, items array<double>"
+
+    def batch_of(keys, sketch):
+        found = sketch.rows()
+        cells = [pa.array([k.as_py()] * len(found), k.type) for k in keys]
+        return pa.RecordBatch.from_arrays([*cells, pa.array([h for h, _ in found], pa.int32()), pa.array([v for _, v in found], pa.list_(pa.float64()))], names=[*names, "level", "items"])
+
+    def folded(batches, add):
+        """One sketch for each run of equal keys; only the open run's is held."""
+        held, sketch = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [batch.column(n) for n in names]
+            starts = np.flatnonzero(_starts(columns, held))
+            edges = [0, *starts[starts > 0].tolist(), batch.num_rows]
+            fresh = set(starts.tolist())
+            for a, b in zip(edges, edges[1:]):
+                if a in fresh:
+                    if sketch is not None:
+                        yield batch_of(held, sketch)
+                    sketch = Sketch(size)
+                held = [x[a] for x in columns]
+                add(sketch, batch.slice(a, b - a))
+        if sketch is not None:
+            yield batch_of(held, sketch)
+
+    def add_rows(sketch, part):
+        sketch.add(part.column("_v").to_numpy())
+
+    def add_sketches(sketch, part):
+        for h, v in zip(part.column("level").to_pylist(), part.column("items")):
+            sketch.add(np.asarray(v.values), h)
+
+    keys = [F.col(n) for n in names]
+    parts = rows.sortWithinPartitions(*keys).mapInArrow(lambda x: folded(x, add_rows), schema) if groups.by else rows.mapInArrow(lambda x: folded(x, add_rows), schema)
+    slot = F.pmod(F.spark_partition_id(), F.lit(SKETCH_SLOTS)).alias("_slot")
+    some = parts.select("*", slot).repartition(*keys, "_slot").sortWithinPartitions(*keys, "_slot").drop("_slot").mapInArrow(lambda x: folded(x, add_sketches), schema)
+    whole = some.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lambda x: folded(x, add_sketches), schema)
+    packed = whole.groupBy(*names).agg(F.collect_list(F.struct("level", "items")).alias("parts"))  # at most HALVINGS buffers of a group
+
+    def fn(row):
+        sketch = Sketch(size)
+        sketch.levels = {p["level"]: (np.asarray(p["items"], float), 0) for p in row["parts"]}
+        for p, v in zip(probs, sketch.quantiles(probs)):
+            yield {**{n: row[n] for n in names}, "p": float(p), "value": v}
+
+    found = finalize(packed, fn, groups.schema(packed) + "p double, value double")
+    return found.select(*groups.restored(), "p", "value")

@@ -15,6 +15,13 @@ def write_bucketed(df, table, bucket_column, num_buckets, partition_column=None,
     writer.saveAsTable(table)
 
 
+def colocated(df, table, key, num_buckets, columns=None):
+    """``df`` kept as a table hashed and sorted by ``key``; two of them with one number of buckets join without a shuffle."""
+    names = [c for c in (columns or df.columns) if c != key]
+    write_bucketed(df.select(key, *names), table, key, num_buckets, sort_column=key, mode="overwrite")
+    return df.sparkSession.table(table)
+
+
 def export_table(df, path):
     """Parquet export that refuses an existing target."""
     df.write.mode("errorifexists").parquet(path)
