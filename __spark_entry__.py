@@ -1829,6 +1829,39 @@ def _(spark, sf):
     return shares.select("k", "p", ((F.col("below") <= F.col("p") + error) & (F.col("upto") >= F.col("p") - error)).alias("near"))
 
 
+@query("srm_grouped", f"""
+WITH g AS (SELECT {BIG_LINE} AS k, l_returnflag AS groupname, CAST(COUNT(*) AS DOUBLE) AS f_obs FROM lineitem GROUP BY 1, 2),
+r AS (SELECT 'A' AS groupname, 1.0 AS ratio UNION ALL SELECT 'N', 2.0 UNION ALL SELECT 'R', 1.1),
+e AS (SELECT g.*, CAST(ratio AS DOUBLE) AS ratio, ratio / 4.1 * SUM(f_obs) OVER (PARTITION BY k) AS f_exp FROM g JOIN r USING (groupname)),
+x AS (SELECT *, SUM(power(f_obs - f_exp, 2) / f_exp) OVER (PARTITION BY k) AS chi FROM e)
+SELECT k, groupname, f_obs, ratio, ROUND(chi, 6) AS chisquare, ROUND(EXP(-chi/2), 9) AS p_value FROM x""")
+def _(spark, sf):
+    df = srm_op.srm_grouped(big_line(spark, sf), "1", "l_returnflag", {"A": 1.0, "N": 2.0, "R": 1.1}, ["k"])
+    return rounded(df, k=None, groupname=None, f_obs=None, ratio=None, chisquare=6, p_value=9)
+
+
+@query("group_set_grouped", f"""
+WITH d AS (SELECT {BIG_LINE} AS k, l_quantity AS y, l_orderkey % 2 AS t, l_returnflag, l_linestatus FROM lineitem),
+l AS (SELECT k, y, t, 'flag' AS name, l_returnflag AS group_key FROM d UNION ALL SELECT k, y, t, 'status', l_linestatus FROM d),
+a AS (SELECT k, name, group_key, COUNT(*) FILTER (WHERE t = 0) AS c0, SUM(y) FILTER (WHERE t = 0) AS s0, SUM(y*y) FILTER (WHERE t = 0) AS q0,
+  COUNT(*) FILTER (WHERE t = 1) AS c1, SUM(y) FILTER (WHERE t = 1) AS s1, SUM(y*y) FILTER (WHERE t = 1) AS q1 FROM l GROUP BY ALL)
+SELECT k, name, 0 AS treatment, group_key, c0 AS cnt, ROUND(COALESCE(s0, 0), 2) AS sum, ROUND(COALESCE(q0, 0), 2) AS sum2 FROM a
+UNION ALL SELECT k, name, 1, group_key, c1, ROUND(COALESCE(s1, 0), 2), ROUND(COALESCE(q1, 0), 2) FROM a""")
+def _(spark, sf):
+    df = group_set(big_line(spark, sf), "l_quantity", "arm", ["l_returnflag", "l_linestatus"], ["flag", "status"], by=["k"])
+    return rounded(df, k=None, name=None, treatment=None, group_key=None, cnt=None, sum=2, sum2=2)
+
+
+@query("ols_sandwich_grouped", f"""
+WITH d AS (SELECT {BIG_LINE} AS k, l_quantity AS x, l_extendedprice AS y FROM lineitem),
+s AS (SELECT k, COUNT(*)::DOUBLE AS n, AVG(x) AS mx, REGR_SLOPE(y, x) AS b, REGR_INTERCEPT(y, x) AS a, REGR_SXX(y, x) AS sxx FROM d GROUP BY k),
+e AS (SELECT d.k, n, mx, a, b, sxx, x - mx AS dx, power(y - a - b*x, 2) AS e2 FROM d JOIN s ON d.k IS NOT DISTINCT FROM s.k),
+v AS (SELECT k, MAX(a) AS a, MAX(b) AS b, SUM(e2*dx*dx) / power(MAX(sxx), 2) AS vb, SUM(e2 * power(1/n - mx*dx/sxx, 2)) AS va FROM e GROUP BY k)
+SELECT k, UNNEST(['l_quantity', '(Intercept)']) AS term, ROUND(UNNEST([b, a]), 5) AS estimate, ROUND(UNNEST([sqrt(vb), sqrt(va)]), 6) AS std_error FROM v""")
+def _(spark, sf):
+    return rounded(regress.ols_sandwich_grouped(big_line(spark, sf), "l_extendedprice ~ l_quantity", ["k"]), k=None, term=None, estimate=5, std_error=6)
+
+
 # Stock aggregates that Spark has built in.
 
 

@@ -297,3 +297,46 @@ def predict_grouped(df, formula, by, train=None, interval=None, level=0.95, bias
     se2 = F.greatest(se2, F.lit(0.0)) + (F.col("sigma2") if interval == "prediction" else F.lit(0.0))
     half = F.col("t") * F.sqrt(se2)
     return joined.select("_row.*", center.alias("fit"), (center - half).alias("lower"), (center + half).alias("upper"))
+
+
+def ols_sandwich_grouped(df, formula, by, bias=True):
+    """(by.., coefficient rows): ``ols_sandwich`` in every group: residuals from the table of models, then the middle of each sandwich in one aggregation.
+
+    Singular groups have one row of nulls.
+    """
+    y, xs = read_model(formula)
+    groups = Groups(by)
+    names = [f"_d{i}" for i in range(len(xs))]
+    rows = df.select(*groups.columns(), as_double(y).alias("_y"), *[as_double(x).alias(n) for x, n in zip(xs, names)]).dropna(subset=["_y", *names])
+    keys = [f"_g{i}" for i in range(len(groups.names))]
+    plain = ["_y", *names]
+    agg = moments(rows, plain, groups.names)
+    inner = " + ".join(names)
+    models = model_table(rows, f"_y ~ {inner}", groups.names, bias).withColumnsRenamed(dict(zip(groups.names, keys)))
+    same = [F.col(b).eqNullSafe(F.col(k)) for b, k in zip(groups.names, keys)]
+    design = [F.col(n) for n in names] + ([F.lit(1.0)] if bias else [])
+    fitted = sum((F.col("coef")[i] * x for i, x in enumerate(design)), F.lit(0.0))
+    e2 = F.pow(F.col("_y") - fitted, F.lit(2.0))
+    k = len(design)
+    middle = rows.join(models.where("coef is not null").select(*keys, "coef"), same).groupBy(*keys).agg(
+        F.array(*[F.sum(e2 * design[i] * design[j]) for i in range(k) for j in range(i, k)]).alias("middle"))
+    joined = agg.join(middle, same, "left").drop(*keys)
+
+    def fn(row):
+        own = {b: row[b] for b in groups.names}
+        try:
+            fit = solve(Moments.of(row), xs, bias)
+        except ValueError:
+            yield own
+            return
+        if row["middle"] is None:
+            yield own
+            return
+        b = np.zeros((k, k))
+        b[np.triu_indices(k)] = row["middle"]
+        b = b + np.triu(b, 1).T
+        for r in fit.with_covariance(fit.xx_inv @ b @ fit.xx_inv).rows():
+            yield {**own, **r}
+
+    found = finalize(joined, fn, groups.schema(agg) + OLS_SCHEMA)
+    return found.select(*groups.restored(), *[c for c in found.columns if c not in groups.names])

@@ -6,6 +6,7 @@ from estimand.functions import dist
 from estimand.functions.columns import as_column, as_double
 from estimand.plans.finalize import finalize
 from estimand.plans.prefix import stored
+from estimand.plans.segments import Groups, with_totals
 
 # Fixed value: the smallest usable total, expectation, statistic.
 TINY = 1e-6
@@ -50,6 +51,14 @@ def srm(df, value, group, ratios):
                            none.alias("p_value"), F.lit(reason).alias("message"))
     # as many cells at most as the caller has ratios
     packed = sums.agg(F.sort_array(F.collect_list(F.struct("groupname", "f_obs"))).alias("cells"))
+    return finalize(packed, _judged(ratios), SRM_SCHEMA)
+
+
+SRM_SCHEMA = "groupname string, f_obs double, ratio double, chisquare double, p_value double, message string"
+
+
+def _judged(ratios, keys=()):
+    """Rows of one test from its cells; ``keys`` are carried along."""
 
     def fn(row):
         cells = list(row["cells"])
@@ -62,11 +71,30 @@ def srm(df, value, group, ratios):
         chi2, p, message = chi_square([c["f_obs"] for c in cells], wanted)
         for i, c in enumerate(cells):
             yield {
-                "groupname": str(c["groupname"]), "f_obs": c["f_obs"],
+                **{k: row[k] for k in keys}, "groupname": str(c["groupname"]), "f_obs": c["f_obs"],
                 "ratio": wanted[i] if i < len(wanted) else None,
                 "chisquare": chi2, "p_value": p, "message": message,
             }
 
-    return finalize(
-        packed, fn, "groupname string, f_obs double, ratio double, chisquare double, p_value double, message string"
-    )
+    return fn
+
+
+def srm_grouped(df, value, group, ratios, by):
+    """(by.., groupname, f_obs, ratio, chisquare, p_value, message): ``srm`` in every group of ``by``.
+
+    A group with more cells than ratios has the message alone, its cells are not put together.
+    """
+    groups = Groups(by)
+    rows = df.select(*groups.columns(), as_column(group).alias("groupname"), as_double(value).alias("_v")).dropna(subset=["groupname", "_v"])
+    sums = rows.groupBy(*groups.names, "groupname").agg(F.sum("_v").alias("f_obs"))
+    sums = stored(sums)
+    sized = with_totals(sums, groups.names, cells_=F.count(F.lit(1)))
+    fit = sized.where(F.col("cells_") <= len(ratios))
+    packed = fit.groupBy(*groups.names).agg(F.sort_array(F.collect_list(F.struct("groupname", "f_obs"))).alias("cells"))
+    schema = groups.schema(packed) + SRM_SCHEMA
+    found = finalize(packed, _judged(ratios, groups.names), schema)
+    none = F.lit(None).cast("double")
+    reason = chi_square([1.0] * (len(ratios) + 1), list(range(len(ratios))))[2]
+    many = sized.where(F.col("cells_") > len(ratios)).select(
+        *groups.names, F.col("groupname").cast("string").alias("groupname"), "f_obs", none.alias("ratio"), none.alias("chisquare"), none.alias("p_value"), F.lit(reason).alias("message"))
+    return found.unionByName(many).select(*groups.restored(), "groupname", "f_obs", "ratio", "chisquare", "p_value", "message")
