@@ -1862,6 +1862,15 @@ def _(spark, sf):
     return rounded(regress.ols_sandwich_grouped(big_line(spark, sf), "l_extendedprice ~ l_quantity", ["k"]), k=None, term=None, estimate=5, std_error=6)
 
 
+@query("histogram_grouped", f"""
+WITH d AS (SELECT {BIG_LINE} AS k, l_extendedprice AS v FROM lineitem),
+w AS (SELECT k, MIN(e) AS e FROM (SELECT k, e, COUNT(DISTINCT FLOOR(v / power(2, e))) AS n FROM d, range(-20, 30) r(e) GROUP BY ALL) WHERE n <= 40 GROUP BY k)
+SELECT d.k, FLOOR(v / power(2, e)) * power(2, e) AS low, (FLOOR(v / power(2, e)) + 1) * power(2, e) AS high, COUNT(*) AS rows
+FROM d JOIN w ON d.k IS NOT DISTINCT FROM w.k GROUP BY ALL""")
+def _(spark, sf):
+    return ranktests.histogram(big_line(spark, sf), "l_extendedprice", 40, ["k"])
+
+
 # Stock aggregates that Spark has built in.
 
 

@@ -5,6 +5,8 @@ import math
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from estimand.functions import dist
 from estimand.functions.columns import as_column, as_double
@@ -262,6 +264,9 @@ class Sketch:
         else:
             self.levels[level] = (held, turn)
 
+    def take(self, level, values):
+        self.add(values, level)
+
     def rows(self):
         return [(h, v.tolist()) for h, (v, _) in sorted(self.levels.items()) if len(v)]
 
@@ -274,65 +279,138 @@ class Sketch:
         return [float(values[order][min(len(order) - 1, int(np.searchsorted(upto, p * upto[-1] * (1 - 1e-12))))]) for p in probs]
 
 
-def quantile_sketch(df, c, probs, by=(), error=0.01):
-    """(by.., p, value): quantiles whose rank is off by at most ``error`` of the group's rows, from one scan and bounded memory.
+def _sketched(df, c, groups, make, fields):
+    """One row for each group of ``groups``: its keys and ``parts``, the rows of its merged sketch.
 
-    Tasks reduce their rows to sketches, which alone are shuffled and merged in
-    two steps.  Keys stay exact; null values do not count.
+    ``make()`` is an empty sketch with ``add(values)``, ``take(*row)`` and
+    ``rows()``; ``fields`` is the DDL of its rows.  Tasks reduce their values to
+    sketches, which alone are shuffled and merged in two steps.
     """
-    if not 0 < error < 1:
-        raise ValueError("error must be in (0, 1)")
-    size = math.ceil(HALVINGS / (2 * error))
-    groups = Groups(by)
     names = groups.names
     rows = df.select(*groups.columns(), as_double(c).alias("_v")).where("_v is not null")
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    schema = ", ".join(f"`{n}` {kinds[n]}" for n in names) + ", level int, items array<double>"
+    schema = ", ".join(f"`{n}` {kinds[n]}" for n in names) + ", " + fields
+    own = [f.split()[0] for f in fields.split(", ")]
+    types = [f.type for f in to_arrow_schema(StructType.fromDDL(fields))]
 
     def batch_of(keys, sketch):
         found = sketch.rows()
         cells = [pa.array([k.as_py()] * len(found), k.type) for k in keys]
-        return pa.RecordBatch.from_arrays([*cells, pa.array([h for h, _ in found], pa.int32()), pa.array([v for _, v in found], pa.list_(pa.float64()))], names=[*names, "level", "items"])
+        return pa.RecordBatch.from_arrays([*cells, *(pa.array([r[i] for r in found], t) for i, t in enumerate(types))], names=[*names, *own])
 
-    def folded(batches, add):
+    def folded(add):
         """One sketch for each run of equal keys; only the open run's is held."""
-        held, sketch = None, None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            columns = [batch.column(n) for n in names]
-            starts = np.flatnonzero(_starts(columns, held))
-            edges = [0, *starts[starts > 0].tolist(), batch.num_rows]
-            fresh = set(starts.tolist())
-            for a, b in zip(edges, edges[1:]):
-                if a in fresh:
-                    if sketch is not None:
-                        yield batch_of(held, sketch)
-                    sketch = Sketch(size)
-                held = [x[a] for x in columns]
-                add(sketch, batch.slice(a, b - a))
-        if sketch is not None:
-            yield batch_of(held, sketch)
 
-    def add_rows(sketch, part):
+        def run(batches):
+            held, sketch = None, None
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                columns = [batch.column(n) for n in names]
+                starts = np.flatnonzero(_starts(columns, held))
+                edges = [0, *starts[starts > 0].tolist(), batch.num_rows]
+                fresh = set(starts.tolist())
+                for a, b in zip(edges, edges[1:]):
+                    if a in fresh:
+                        if sketch is not None:
+                            yield batch_of(held, sketch)
+                        sketch = make()
+                    held = [x[a] for x in columns]
+                    add(sketch, batch.slice(a, b - a))
+            if sketch is not None:
+                yield batch_of(held, sketch)
+
+        return run
+
+    def add_values(sketch, part):
         sketch.add(part.column("_v").to_numpy())
 
-    def add_sketches(sketch, part):
-        for h, v in zip(part.column("level").to_pylist(), part.column("items")):
-            sketch.add(np.asarray(v.values), h)
+    def add_rows(sketch, part):
+        for row in zip(*(part.column(f) for f in own)):
+            sketch.take(*(np.asarray(x.values) if hasattr(x, "values") else x.as_py() for x in row))
 
     keys = [F.col(n) for n in names]
-    parts = rows.sortWithinPartitions(*keys).mapInArrow(lambda x: folded(x, add_rows), schema) if groups.by else rows.mapInArrow(lambda x: folded(x, add_rows), schema)
+    parts = (rows.sortWithinPartitions(*keys) if groups.by else rows).mapInArrow(folded(add_values), schema)
     slot = F.pmod(F.spark_partition_id(), F.lit(SKETCH_SLOTS)).alias("_slot")
-    some = parts.select("*", slot).repartition(*keys, "_slot").sortWithinPartitions(*keys, "_slot").drop("_slot").mapInArrow(lambda x: folded(x, add_sketches), schema)
-    whole = some.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lambda x: folded(x, add_sketches), schema)
-    packed = whole.groupBy(*names).agg(F.collect_list(F.struct("level", "items")).alias("parts"))  # at most HALVINGS buffers of a group
+    some = parts.select("*", slot).repartition(*keys, "_slot").sortWithinPartitions(*keys, "_slot").drop("_slot").mapInArrow(folded(add_rows), schema)
+    whole = some.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(folded(add_rows), schema)
+    return whole.groupBy(*names).agg(F.collect_list(F.struct(*own)).alias("parts"))  # the rows of one sketch
+
+
+def quantile_sketch(df, c, probs, by=(), error=0.01):
+    """(by.., p, value): quantiles whose rank is off by at most ``error`` of the group's rows, from one scan and bounded memory.
+
+    Keys stay exact; null values do not count.
+    """
+    if not 0 < error < 1:
+        raise ValueError("error must be in (0, 1)")
+    size = math.ceil(HALVINGS / (2 * error))
+    groups = Groups(by)
+    packed = _sketched(df, c, groups, lambda: Sketch(size), "level int, items array<double>")
 
     def fn(row):
         sketch = Sketch(size)
         sketch.levels = {p["level"]: (np.asarray(p["items"], float), 0) for p in row["parts"]}
         for p, v in zip(probs, sketch.quantiles(probs)):
-            yield {**{n: row[n] for n in names}, "p": float(p), "value": v}
+            yield {**{n: row[n] for n in groups.names}, "p": float(p), "value": v}
 
     found = finalize(packed, fn, groups.schema(packed) + "p double, value double")
     return found.select(*groups.restored(), "p", "value")
+
+
+class DyadicBins:
+    """Mergeable histogram of at most ``most`` bins [i 2^e, (i + 1) 2^e), e as small as that allows.
+
+    A coarser grid puts two neighbouring bins together, so the bins depend on the
+    values alone and not on the order of rows or merges.  e is never below the
+    last binary digit of the largest value.
+    """
+
+    def __init__(self, most):
+        self.most, self.e, self.index, self.count = most, None, np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _fit(self, e, index, count):
+        if self.e is None:
+            self.e = e
+        top = max(self.e, e)
+        index = np.concatenate([self.index >> min(62, top - self.e), index >> min(62, top - e)])
+        count = np.concatenate([self.count, count])
+        while True:
+            index, at = np.unique(index, return_inverse=True)
+            count = np.bincount(at, count).astype(np.int64)
+            if len(index) <= self.most:
+                break
+            index, top = index >> 1, top + 1
+        self.e, self.index, self.count = top, index, count
+
+    def add(self, values):
+        values = values[np.isfinite(values)]
+        if len(values):
+            e = int(np.frexp(np.abs(values).max())[1]) - 53
+            self._fit(e, np.floor(np.ldexp(values, -e)).astype(np.int64), np.ones(len(values), np.int64))
+
+    def take(self, e, index, count):
+        self._fit(e, index, count)
+
+    def rows(self):
+        return [(self.e, self.index.tolist(), self.count.tolist())] if self.e is not None else []
+
+
+def histogram(df, c, bins, by=()):
+    """(by.., low, high, rows) of the non-empty bins [low, high) of an adaptive histogram: at most ``bins`` of one width, a power of two.
+
+    The width is the least that needs no more bins, so the result follows from
+    the values alone.  Null, infinite and NaN values do not count.
+    """
+    if bins < 2:
+        raise ValueError("needs two bins at least")
+    groups = Groups(by)
+    packed = _sketched(df, c, groups, lambda: DyadicBins(bins), "e int, index array<bigint>, count array<bigint>")
+
+    def fn(row):
+        for p in row["parts"]:
+            for i, n in zip(p["index"], p["count"]):
+                yield {**{k: row[k] for k in groups.names}, "low": math.ldexp(float(i), p["e"]), "high": math.ldexp(float(i + 1), p["e"]), "rows": int(n)}
+
+    found = finalize(packed, fn, groups.schema(packed) + "low double, high double, rows bigint")
+    return found.select(*groups.restored(), "low", "high", "rows")

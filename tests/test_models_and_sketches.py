@@ -96,3 +96,35 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 10 << 20)
         for name in ("estimand_left_test", "estimand_right_test"):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+@pytest.mark.parametrize("parts", [1, 60])
+def test_histograms_do_not_depend_on_partitions(spark, parts):
+    rng = np.random.default_rng(9)
+    v = np.concatenate([rng.normal(0, 100, 20_000), np.full(5_000, -3.5), [1e6, np.inf, np.nan]])
+    df = spark.createDataFrame(pd.DataFrame({"k": "a", "v": v})).unionByName(spark.createDataFrame([(None, 2.0), (None, 2.0), ("z", None)], "k string, v double")).repartition(parts)
+    got = ranktests.histogram(df, "v", 50, ["k"]).collect()
+    own = sorted((r.low, r.high, r.rows) for r in got if r.k == "a")
+    fin = v[np.isfinite(v)]
+    width = next(w for w in (2.0**e for e in range(-40, 40)) if len(np.unique(np.floor(fin / w))) <= 50)
+    index, count = np.unique(np.floor(fin / width), return_counts=True)
+    assert own == [(i * width, (i + 1) * width, c) for i, c in zip(index, count)]
+    assert [(r.low, r.rows) for r in got if r.k is None] == [(2.0, 2)] and {r.k for r in got} == {"a", None}
+    assert sum(r.rows for r in ranktests.histogram(df, "v", 2).collect()) == len(fin) + 2
+
+
+def test_grouped_statistics_at_their_edges(spark):
+    from estimand.operators import srm
+    from estimand.operators.groupset import group_set
+
+    df = spark.createDataFrame([("a", "x", 1.0), ("a", "y", 2.0), (None, "x", 1.0), (None, "y", 3.0), (None, "z", 1.0)], "k string, g string, v double")
+    out = {(r.k, r.groupname): r for r in srm.srm_grouped(df, "v", "g", [1, 1], ["k"]).collect()}
+    assert out["a", "x"].chisquare == pytest.approx(1 / 3) and out[None, "z"].chisquare is None and out[None, "x"].message
+    sets = {(r.k, r.group_key, r.treatment): r.cnt for r in group_set(df.withColumn("t", F.lit(1)), "v", "t", ["g"], by=["k"]).collect()}
+    assert sets["a", "x", 1] == 1 and sets[None, "z", 0] == 0 and len(sets) == 10
+    rows = spark.createDataFrame([("s", 1.0, 1.0), ("s", 1.0, 2.0), *[("f", float(i % 7), float(i)) for i in range(30)]], "k string, x double, y double")
+    fits = regress.ols_sandwich_grouped(rows, "y ~ x", ["k"])
+    one = regress.ols_sandwich(rows.where("k = 'f'"), "y ~ x").select("term", "estimate", "std_error").collect()
+    for a, b in zip(fits.where("k = 'f'").collect(), one):
+        assert a.term == b.term and a.estimate == pytest.approx(b.estimate) and a.std_error == pytest.approx(b.std_error)
+    assert [r.estimate for r in fits.where("k = 's'").collect()] == [None]
