@@ -31,6 +31,8 @@ from estimand.llm.bitmap import bitmap, inside
 from estimand.llm.components import components
 from estimand.plans.prefix import release, stored
 
+#: Bytes of text whose sets are made together.
+SET_BYTES = 1 << 20
 #: A family up to this many members and set elements is joined in one task (some 30 MB); regions hold half of it.
 LEAF_MEMBERS, LEAF_ITEMS = 10_000, 4_000_000
 #: Pivots of a larger family.
@@ -191,7 +193,7 @@ def _signatures(docs, text, key, n, percent):
 
         rid, seen = TaskContext.get().partitionId() << 36, set()
         for batch in batches:
-            for part in words.blocks(batch, text):
+            for part in words.blocks(batch, text, SET_BYTES):
                 rows = part.num_rows
                 t, h = _sets(part.column(text), n)
                 size, s1, s2 = _signed(t, h, rows)
@@ -217,7 +219,7 @@ def _wanted_sets(docs, text, n, wanted):
     def run(batches):
         seen = set()
         for batch in batches:
-            for part in words.blocks(batch, text):
+            for part in words.blocks(batch, text, SET_BYTES):
                 t, h = _sets(part.column(text), n)
                 size, s1, s2 = _signed(t, h, part.num_rows)
                 hit = np.flatnonzero((size > 0) & inside(filled.value, shift, s1)) if part.num_rows else np.zeros(0, np.int64)
@@ -243,7 +245,7 @@ def _refined(docs, text, n, percent, members):
     def run(batches):
         seen = set()
         for batch in batches:
-            for part in words.blocks(batch, text):
+            for part in words.blocks(batch, text, SET_BYTES):
                 t, h = _sets(part.column(text), n)
                 size, s1, s2 = _signed(t, h, part.num_rows)
                 new = np.zeros(part.num_rows, bool)

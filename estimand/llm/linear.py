@@ -15,6 +15,8 @@ from estimand.plans.prefix import stored
 
 BITS = 18
 SHARD_ROWS = 5_000
+#: Bytes of text whose features are made together (some 200 bytes of working memory each).
+FEATURE_BYTES = 512 << 10
 
 
 def hashed(h, salt, bits=BITS):
@@ -132,7 +134,7 @@ def featurised(sample, features):
 
     def run(batches):
         for batch in batches:
-            for part in words.blocks(batch):
+            for part in words.blocks(batch, limit=FEATURE_BYTES):
                 cut, at, x = features(part.column("text"))
                 at, x = at.astype(np.int32), x.astype(np.float32)
                 yield pa.RecordBatch.from_arrays(
