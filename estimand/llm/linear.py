@@ -163,7 +163,7 @@ def scored(docs, text, keep, features, weights, outputs, finish):
 
     def run(batches):
         for batch in batches:
-            for part in words.blocks(batch, "_text"):
+            for part in words.blocks(batch, "_text", FEATURE_BYTES):
                 cut, at, x = features(part.column("_text"))
                 dot = np.add.reduceat(sent.value[at] * x, cut[:-1]) if part.num_rows else np.zeros(0)
                 made = finish(dot)
