@@ -40,21 +40,32 @@ SPAN = "array<struct<start:int,end:int,rank:int>>"
 TOKEN_ROW = "array<struct<start:int,end:int,text:string>>"
 
 
+#: Matches that a running sum appends one by one; longer lists go by blocks, so that the work does not grow with their square.
+BLOCK = 256
+
+
+def running(values, fold):
+    """For every number of an array (from 0 on) the fold of those before it: ``fold`` is the sum or the larger of two."""
+    none = F.array().cast("array<int>")
+    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
+    append = lambda acc, v: F.struct(fold(acc["at"], v).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+    last = F.floor((F.size(values) - 1) / BLOCK).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), last), lambda b: F.aggregate(F.slice(values, b * BLOCK + 1, F.lit(BLOCK)), start, append))
+    bases = F.aggregate(blocks, start, lambda acc, x: append(acc, x["at"]), lambda acc: acc["out"])
+    whole = F.flatten(F.zip_with(blocks, bases, lambda x, base: F.transform(x["out"], lambda v: fold(base, v))))
+    return F.when(F.size(values) > 0, whole).otherwise(none)
+
+
 def placed(text, pattern, found, keep=None):
     """Structs (start, end, text) of the matches ``found``; the gaps between matches come from splitting at the same pattern.
 
     ``keep`` is an array of the same length: a match stays where it is true.
     """
-    gaps = F.split(text, pattern, -1)
-    parts = F.zip_with(found, F.slice(gaps, 1, F.size(found)), lambda m, g: F.struct(m.alias("m"), F.length(g).alias("g"), F.length(m).alias("n")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(TOKEN_ROW).alias("out"))
-
-    def step(acc, x):
-        begin = acc["at"] + x["g"]
-        span = F.struct(begin.alias("start"), (begin + x["n"]).alias("end"), x["m"].alias("text"))
-        return F.struct((begin + x["n"]).alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
-
-    spans = F.aggregate(parts, start, step, lambda acc: acc["out"])
+    gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
+    before = running(F.zip_with(found, gaps, lambda m, g: F.length(m) + F.length(g)), lambda a, b: a + b)
+    parts = F.zip_with(found, gaps, lambda m, g: F.struct(m.alias("m"), F.length(g).alias("g")))
+    spans = F.zip_with(parts, before, lambda x, at: F.struct(
+        (at + x["g"]).alias("start"), (at + x["g"] + F.length(x["m"])).alias("end"), x["m"].alias("text")))
     if keep is not None:
         spans = F.transform(F.filter(F.arrays_zip(spans.alias("span"), keep.alias("keep")), lambda x: x["keep"]), lambda x: x["span"])
     return F.when(F.size(found) > 0, spans).otherwise(F.array().cast(TOKEN_ROW))
@@ -165,7 +176,14 @@ def scan(docs, text="text", keep=("doc_id",), q=0.05):
     )
     rows = rows.select(*keep, F.array_sort(F.concat(_spans("_a", 0), _spans("_k", 1), _spans("_h", 2)),
                                            lambda a, b: _before(a, b)).alias("base"), "_r")
-    apart = F.filter(F.flatten(F.transform("_r", _parts)), lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    # base spans by blocks in order of their starts: a part looks only into blocks that it meets
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size("base") - 1) / BLOCK).cast("int")), lambda b: F.slice("base", b * BLOCK + 1, F.lit(BLOCK)))
+    blocks = F.transform(blocks, lambda x: F.struct(x.alias("spans"), F.element_at(x, 1)["start"].alias("lo"), F.array_max(F.transform(x, lambda s: s["end"])).alias("hi")))
+    meets = lambda s, lo, hi: (lo < s["end"]) & (s["start"] < hi)
+    inside = lambda s: F.exists("_blocks", lambda x: meets(s, x["lo"], x["hi"]) & F.exists(x["spans"], lambda b: meets(s, b["start"], b["end"])))
+    rows = rows.select(*keep, "base", "_r", F.when(F.size("base") > 0, blocks).alias("_blocks"))
+    every = F.flatten(F.transform("_r", _parts))
+    apart = F.when(F.col("_blocks").isNull(), every).otherwise(F.filter(every, lambda s: ~inside(s)))
     coded = rows.select(*keep, "base", apart.alias("_r")).select(*keep, "base", F.transform("_r", _tested).alias("_r"))
     numbered = coded.select(*keep, "base", F.transform("_r", _numbered).alias("_r"))
     tests = stored(numbered.select(*keep, "base", F.transform("_r", _scored).alias("tests")))
@@ -198,13 +216,10 @@ def redact(docs, text="text", key="doc_id", mask="[secret]", q=0.05):
     inner = "_own_text"
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(text).alias(inner))
     found = scan(rows, inner, keep=("_row",), q=q)
-    state = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     own = F.col("_row")[text]
-
-    def step(acc, s):
-        gap = F.when(s["start"] >= acc["at"], F.concat(F.substring(own, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask))).otherwise(F.lit(""))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], gap).alias("out"))
-
-    clean = F.aggregate("spans", state, step, lambda acc: F.concat(acc["out"], F.substring(own, acc["at"] + 1, F.length(own))))
+    at = running(F.transform("spans", lambda s: s["end"]), lambda a, b: F.greatest(a, b))
+    pieces = F.zip_with("spans", at, lambda s, a: F.when(s["start"] >= a, F.concat(F.substring(own, a + 1, s["start"] - a), F.lit(mask))).otherwise(F.lit("")))
+    rest = F.array_max(F.transform("spans", lambda s: s["end"]))
+    clean = F.concat(F.array_join(pieces, ""), F.substring(own, rest + 1, F.length(own)))
     return found.select(*[(F.when(own.isNull(), own).when(F.size("spans") == 0, own).otherwise(clean) if c == text else F.col("_row")[c]).alias(c)
                           for c in docs.columns])

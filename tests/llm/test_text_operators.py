@@ -342,3 +342,19 @@ def test_clean_goes_by_texts(spark):
         [(2, "clean words only"), (None, "clean too"), (4, "rare trio only"), (5, None), (6, "")], key=str)
     found = {(r.doc_id, r.item_id): (r.start, r.matched) for r in decontaminate.overlaps(docs, items).collect()}
     assert found[3, 2] == (1, 3) and found[None, 1] == (1, 12) and found[2, 1] == (0, 12)
+
+
+def test_secrets_of_a_text_with_many_matches(spark):
+    """Hundreds of times the matches that a block holds, in one row; the work does not grow with their square."""
+    import time
+
+    rng = np.random.default_rng(3)
+    runs = ["".join(rng.choice(list("0123456789abcdef"), 26)) for _ in range(60_000)]
+    text = " é ".join(runs)
+    df = spark.createDataFrame([(1, text), (2, "no match"), (3, None)], "doc_id long, text string")
+    start = time.time()
+    found = {r.doc_id: r.base for r in secret_scan.scan(df).select("doc_id", "base").collect()}
+    assert [(s.start, s.end) for s in found[1]] == [(29 * i, 29 * i + 26) for i in range(60_000)] and found[2] == found[3] == []
+    assert time.time() - start < 120
+    clean = {r.doc_id: r.text for r in secret_scan.redact(df.withColumn("text", F.substring("text", 1, 29 * 2000))).collect()}
+    assert clean[1] == " é ".join(["[secret]"] * 2000) + " é " and clean[3] is None
