@@ -40,6 +40,8 @@ PIVOTS = 16
 #: Inside a task: groups above REGION sets fall to the regions of LEAF_PIVOTS pivots, sets further than FAR from all of
 #: them to one more, as long as the largest region has at most SHRINK of the group and all of them twice its sets.
 REGION, LEAF_PIVOTS, FAR, SHRINK = 256, 8, 0.8, 0.7
+#: Elements that are looked up, or intersections that are counted, at a time.
+LOOKUP = 1 << 18
 #: Least growth of the size classes; below 80 percent 100 / percent, so that a partner lies one class apart at most.
 GROWTH = 1.25
 _MASK = np.uint64((1 << 48) - 1)
@@ -284,15 +286,23 @@ def _as_arrays(batches):
 class _Leaf:
     """Sets of a task as flat arrays; elements are numbered from the rarest on, so that the first ones of a set tell most."""
 
-    def __init__(self, sets, label, inner, percent):
-        self.size = np.array([len(x) for x in sets])
-        self.start = np.cumsum(self.size) - self.size
-        _, number, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-        rank = np.empty(len(count), np.int64)
-        rank[np.argsort(count, kind="stable")] = np.arange(len(count))
-        owner = np.repeat(np.arange(len(sets)), self.size)
-        flat = rank[number]
-        self.flat = flat[np.lexsort((flat, owner))]
+    def __init__(self, size, elements, label, inner, percent):
+        self.size = size
+        self.start = np.cumsum(size) - size
+        # element numbers take four bytes, and sorting happens in place: a task of the largest size holds some 100 MB
+        known = np.sort(elements)
+        first = np.flatnonzero(np.append(True, known[1:] != known[:-1]))
+        count = np.diff(np.append(first, len(known)))
+        known = known[first]
+        rank = np.empty(len(count), np.int32)
+        rank[np.argsort(count, kind="stable")] = np.arange(len(count), dtype=np.int32)
+        both = np.empty(len(elements), np.uint64)
+        for a in range(0, len(elements), LOOKUP):
+            both[a : a + LOOKUP] = rank[np.searchsorted(known, elements[a : a + LOOKUP])]
+        del known, first, rank
+        both |= np.repeat(np.arange(len(size), dtype=np.uint64) << np.uint64(32), size)
+        both.sort()
+        self.flat = (both & np.uint64(0xFFFFFFFF)).astype(np.int32)
         self.mark = np.zeros(len(count), bool)
         self.label = np.unique(label, return_inverse=True)[1]
         self.members = {}
@@ -305,10 +315,16 @@ class _Leaf:
         own = self.flat[self.start[p] : self.start[p] + self.size[p]]
         self.mark[own] = True
         n = self.size[rows]
-        end = np.cumsum(n)
-        hit = self.mark[self.flat[np.repeat(self.start[rows] - (end - n), n) + np.arange(end[-1])]]
+        upto, out, a = np.cumsum(n), [], 0
+        while a < len(rows):
+            b = max(a + 1, int(np.searchsorted(upto, upto[a] - n[a] + LOOKUP, "right")))
+            part = n[a:b]
+            end = np.cumsum(part)
+            hit = self.mark[self.flat[np.repeat(self.start[rows[a:b]] - (end - part), part) + np.arange(end[-1])]]
+            out.append(np.add.reduceat(hit, end - part, dtype=np.int64))
+            a = b
         self.mark[own] = False
-        return np.add.reduceat(hit, end - n, dtype=np.int64)
+        return np.concatenate(out) if out else np.zeros(0, np.int64)
 
     def link(self, p, rows, common):
         """Connect p with those of the given sets that are similar enough."""
@@ -404,14 +420,16 @@ class _Leaf:
                 todo.pop(x, None)
 
 
-def _linked(sets, label, percent, inner=None):
-    """Index pairs that connect what links connect; ``label`` tells which members are connected already.
+def _linked(size, elements, label, percent, inner=None):
+    """Index pairs that connect what links connect: sets of the given sizes, whose ``elements`` stand one after the other.
+
+    ``label`` tells which members are connected already.
 
     Only pairs with an inner set count.  Large groups fall to Voronoi regions
     again and again, as long as regions are much smaller than the group; what
     remains is joined by inverted lists.
     """
-    leaf = _Leaf(sets, label, np.ones(len(sets), bool) if inner is None else inner, percent)
+    leaf = _Leaf(size, elements, label, np.ones(len(size), bool) if inner is None else inner, percent)
     todo = [(np.flatnonzero(leaf.inner), np.flatnonzero(~leaf.inner))]
     while todo:
         own, others = todo.pop()
@@ -434,9 +452,14 @@ def _joined(percent):
         cid, first = np.unique(table.column("cid").to_numpy()[order], return_index=True)
         if len(cid) < 2:
             return []
-        table = table.take(pa.array(order[first]))
-        sets = [_unpacked(x) for x in table.column("items").to_pylist()]
-        return [(int(cid[a]), int(cid[b])) for a, b in _linked(sets, table.column("comp").to_numpy(), percent, table.column("inner").to_numpy())]
+        chosen = order[first]
+        comp, own = table.column("comp").to_numpy()[chosen], own[chosen]
+        items = table.column("items").combine_chunks().cast(pa.large_binary()).take(pa.array(chosen))
+        at = np.frombuffer(items.buffers()[1], np.int64, len(items) + 1, items.offset * 8)
+        elements = _unpacked(np.frombuffer(items.buffers()[2], np.uint8)[at[0] : at[-1]])
+        size = np.diff(at) // 6
+        del items, table
+        return [(int(cid[a]), int(cid[b])) for a, b in _linked(size, elements, comp, percent, own)]
 
     def run(batches):
         held, last, out = [], None, []

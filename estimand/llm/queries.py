@@ -36,12 +36,38 @@ def op10_packed_ids(spark, sf):
     return packed_ids.pack_ids(t(spark, sf, "documents")).withColumnRenamed("keys", "doc_ids")
 
 
-@query("op6_jaccard_join")
+OP6_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(list_slice(w, i, i + 3), ' ')) END)) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * m >= 85 * (x.n + y.n - m)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(doc_id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id AND r.c < e.b)
+SELECT d.doc_id, coalesce(max(n.n), 0)::BIGINT AS n_shingles, min(r.c) AS component_id FROM documents d LEFT JOIN n USING (doc_id) JOIN r ON r.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
+@query("op6_jaccard_join", OP6_SQL)
 def op6_jaccard_join(spark, sf):
     return jaccard_join.classes(t(spark, sf, "documents"), n=4, percent=85)
 
 
-@query("op8_superkmer_dedup")
+OP8_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, unnest(range(1, len(w) - 48)) AS i, unnest(list_transform(range(1, len(w) - 48), lambda i: md5(array_to_string(list_slice(w, i, i + 49), ' ')))) AS h FROM w WHERE len(w) >= 50),
+f AS (SELECT h, min(doc_id) AS low FROM s GROUP BY h HAVING count(DISTINCT doc_id) > 1),
+g AS (SELECT s.doc_id, unnest(range(s.i, s.i + 50)) AS pos FROM s JOIN f ON f.h = s.h AND low < doc_id),
+c AS (SELECT doc_id, list(DISTINCT pos) AS gone FROM g GROUP BY 1),
+k AS (SELECT w.doc_id, w, coalesce(gone, []) AS gone FROM w LEFT JOIN c USING (doc_id)),
+m AS (SELECT k.doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM k),
+t AS (SELECT m.doc_id, string_agg(word, ' ' ORDER BY m.pos) AS kept FROM m LEFT JOIN (SELECT DISTINCT doc_id, pos FROM g) x ON x.doc_id = m.doc_id AND x.pos = m.pos WHERE x.pos IS NULL GROUP BY 1)
+SELECT k.doc_id, len(w)::BIGINT AS n_words, len(gone)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM k LEFT JOIN t USING (doc_id)
+"""
+
+
+@query("op8_superkmer_dedup", OP8_SQL)
 def op8_superkmer_dedup(spark, sf):
     kept = superkmer.remove_repeats(t(spark, sf, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
