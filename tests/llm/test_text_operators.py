@@ -358,3 +358,34 @@ def test_secrets_of_a_text_with_many_matches(spark):
     assert time.time() - start < 120
     clean = {r.doc_id: r.text for r in secret_scan.redact(df.withColumn("text", F.substring("text", 1, 29 * 2000))).collect()}
     assert clean[1] == " é ".join(["[secret]"] * 2000) + " é " and clean[3] is None
+
+
+def test_quality_scores_match_a_word_by_word_sum(spark):
+    """Features of every word and pair put together in plain Python, with the same weights."""
+    import math
+
+    one = lambda values, step: int(words.mix(words.Sums(words._VALUES[np.array(values, np.uint8)], step).of(0, len(values))))
+    number = lambda h, salt: int(linear.hashed(np.array([h], np.uint64), salt)[0])
+
+    def kinds(word):
+        found = [1 if c >= 128 or 97 <= c <= 122 else 2 if 65 <= c <= 90 else 3 if 48 <= c <= 57 else c for c in word]
+        return [k for i, k in enumerate(found) if i == 0 or k != found[i - 1]]
+
+    def plain(text, weights):
+        own = [w.encode() for w in words_of(text)]
+        form = [one(kinds(w), words.STEPS[1]) for w in own]
+        total = weights[0]
+        for w, f in zip(own, form):
+            total += quality.SCALE / len(own) * (weights[number(one(list(w.lower() if w.isascii() else bytes(c + 32 if 65 <= c <= 90 else c for c in w)), words.STEPS[0]), 1)] + weights[number(f, 2)])
+        for i in range(len(own) - 1):
+            pair = int(words.mix(np.array([(form[i] * 3 + form[i + 1]) % 2**64], np.uint64))[0])
+            total += quality.SCALE / (len(own) - 1) * (weights[number(pair, 3)] + weights[number(int(own[i] == own[i + 1]), 4)])
+        return 1 / (1 + math.exp(-max(-35, min(35, total))))
+
+    weights = np.random.default_rng(4).normal(0, 0.3, 1 << linear.BITS)
+    texts = ["The Road goes on, and ON 2024 times!", "same same same", "one", "É漢字 mixed É漢字 42nd", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.score, r.predicted) for r in quality.score(docs, weights).collect()}
+    for i, text in enumerate(texts):
+        p = plain(text, weights)
+        assert got[i][0] == pytest.approx(p, rel=1e-5) and got[i][1] == (p >= quality.THRESHOLD)
