@@ -23,6 +23,7 @@ with the others only.  Nothing is capped.
 import heapq
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Window as W, functions as F
 
@@ -35,8 +36,8 @@ from estimand.plans.prefix import release, stored
 SET_BYTES = 1 << 20
 #: A family up to this many members and set elements is joined in one task (some 30 MB); regions hold half of it.
 LEAF_MEMBERS, LEAF_ITEMS = 10_000, 4_000_000
-#: Pivots of a larger family.
-PIVOTS = 16
+#: Pivots of a larger family, and the elements of all of them up to which they are sent to the members (8 MB), not the members to them.
+PIVOTS, PIVOT_ITEMS = 16, 1_000_000
 #: Inside a task: groups above REGION sets fall to the regions of LEAF_PIVOTS pivots, sets further than FAR from all of
 #: them to one more, as long as the largest region has at most SHRINK of the group and all of them twice its sets.
 REGION, LEAF_PIVOTS, FAR, SHRINK = 256, 8, 0.8, 0.7
@@ -240,28 +241,22 @@ def _wanted_sets(docs, text, n, wanted):
     return docs.select(F.col(text)).mapInArrow(run, "s1 long, s2 long, items binary")
 
 
-def _refined(docs, text, n, percent, members):
-    """Stored (node, comp): families after cutting those of stored ``members`` (cid, s1, s2, family) again by pairs of slices."""
-    filled, shift = bitmap(members, "s1")
+def _refined(members, percent):
+    """Stored (node, comp): families after cutting those of stored ``members`` (cid, family, items), a class once, again by pairs of slices."""
 
     def run(batches):
-        seen = set()
         for batch in batches:
-            for part in words.blocks(batch, text, SET_BYTES):
-                t, h = _sets(part.column(text), n)
-                size, s1, s2 = _signed(t, h, part.num_rows)
-                new = np.zeros(part.num_rows, bool)
-                for i in np.flatnonzero((size > 0) & inside(filled.value, shift, s1)).tolist() if part.num_rows else []:
-                    new[i] = s1[i] not in seen
-                    seen.add(s1[i])
-                owner, keys = _bundle_keys(t[new[t]], h[new[t]], np.where(new, size, 0), percent)
+            for part in words.blocks(batch, "items", SET_BYTES):
+                raw = part.column("items").to_pylist()
+                size = np.array([len(x) // 6 for x in raw], np.int64)
+                owner, keys = _bundle_keys(np.repeat(np.arange(len(raw)), size), _unpacked(b"".join(raw)), size, percent)
                 take = pa.array(owner)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(s1.view(np.int64)).take(take), pa.array(s2.view(np.int64)).take(take), pa.array(keys.view(np.int64))], names=["s1", "s2", "key"])
+                    [part.column("family").take(take), part.column("cid").take(take), pa.array(keys.view(np.int64))], names=["family", "cid", "key"])
 
-    keyed = docs.select(F.col(text)).mapInArrow(run, "s1 long, s2 long, key long").join(members, ["s1", "s2"])
+    keyed = members.select("family", "cid", "items").mapInArrow(run, "family long, cid long, key long")
     over = W.partitionBy("key", "family")
-    near = keyed.select("key", "family", "cid").withColumn("_lo", F.min("cid").over(over)).where("_lo < cid").select(F.col("_lo").alias("a"), F.col("cid").alias("b"))
+    near = keyed.withColumn("_lo", F.min("cid").over(over)).where("_lo < cid").select(F.col("_lo").alias("a"), F.col("cid").alias("b"))
     near = stored(near.distinct())
     label = components(near)
     release(near)
@@ -490,10 +485,12 @@ def _region_links(members, percent):
     draw = [F.min_by("cid", F.xxhash64("cid", F.lit(j))).alias(f"p{j}") for j in range(PIVOTS)]
     chosen = members.groupBy("family").agg(*draw).select("family", F.posexplode(F.array(*[f"p{j}" for j in range(PIVOTS)])).alias("j", "pivot"))
     sets = members.select(F.col("cid").alias("pivot"), F.col("n").alias("pn"), F.col("elements").alias("pitems"))
-    pivots = chosen.join(sets, "pivot")
+    pivots = stored(sets.join(F.broadcast(chosen), "pivot"))  # a few for each task's worth of members
+    held = pivots.agg(F.sum("pn")).first()[0] or 0
     common = F.size(F.array_intersect("elements", "pitems")).cast("long")
-    far = members.join(pivots, "family").select("family", "cid", "j", "pivot", common.alias("common"), (F.col("n") + F.col("pn") - common).alias("union"))
+    far = members.join(F.broadcast(pivots) if held <= PIVOT_ITEMS else pivots, "family").select("family", "cid", "j", "pivot", common.alias("common"), (F.col("n") + F.col("pn") - common).alias("union"))
     far = stored(far.withColumn("d", 1 - F.col("common") / F.col("union")))
+    release(pivots)
     stars = far.where((F.col("cid") != F.col("pivot")) & (100 * F.col("common") >= percent * F.col("union"))).select(F.col("cid").alias("a"), F.col("pivot").alias("b")).distinct()
     stars = stored(stars)
     label = components(stars)
@@ -558,24 +555,24 @@ def classes(docs, text="text", key="doc_id", n=5, percent=80):
     label = components(near.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
     release(agreed)
     wanted = _sized(groups, label)
-    members = wanted.where("large").select("cid", "s1", "s2", "family")
-    if members.head(1):
-        finer = _refined(docs, text, n, percent, members)
-        first, second = wanted, _sized(groups, finer)
-        wanted = stored(first.where("not large").unionByName(second))
-        release(first, second)
-    found = _wanted_sets(docs, text, n, wanted).join(wanted, ["s1", "s2"])
-    beyond = bool(wanted.where("large").head(1))
-    found = stored(found) if beyond else found
+    found, done = _wanted_sets(docs, text, n, wanted).join(wanted, ["s1", "s2"]), [wanted]
+    beyond = False
+    if wanted.where("large").head(1):
+        # the sets come from the texts once; each class's is kept once
+        first = [F.first(c).alias(c) for c in ("cid", "n", "family", "large", "items")]
+        sets = stored(found.groupBy("s1", "s2").agg(*first).drop("s1", "s2"))
+        finer = _sized(groups, _refined(sets.where("large"), percent))
+        again = stored(sets.where("large").select("cid", "items").join(finer.select("cid", "n", "family", "large"), "cid"))
+        found, beyond = sets.where("not large").unionByName(again), bool(finer.where("large").head(1))
+        done += [sets, finer, again]
     usual = found.where("not large").select(F.col("family").alias("leaf"), "cid", F.col("cid").alias("comp"), F.lit(True).alias("inner"), "items")
     links = stored(_leaf_links(usual, percent))
-    done = [links, wanted]
+    done.append(links)
     if beyond:
-        members = found.where("large").groupBy("family", "cid", "n").agg(F.first("items").alias("items"))
-        members = stored(members.mapInArrow(_as_arrays, "family long, cid long, n long, elements array<long>, items binary"))
+        members = stored(again.where("large").mapInArrow(_as_arrays, "family long, cid long, n long, elements array<long>, items binary"))
         stars, more = _region_links(members, percent)
         links = links.unionByName(stars).unionByName(more)
-        done += [found, members, stars, more]
+        done += [members, stars, more]
     label = components(links)
     release(*done)
     named = groups.join(label.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
@@ -592,7 +589,18 @@ def keep_one(docs, text="text", key="doc_id", n=5, percent=80):
     nothing, so all different ones stay.  The columns keep their names and order.
     """
     own = F.struct(F.col(key).isNull().alias("n"), F.col(key).alias("k"), F.xxhash64(text).alias("h"))
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), own.alias("_key"), F.col(text).alias("_text"))
-    kept = classes(whole.select("_key", "_text"), "_text", "_key", n, percent).where("_key = component_id").select("_key").distinct()
-    rows = whole.select("_row", "_key").join(kept, "_key").groupBy("_key").agg(F.first("_row").alias("_row"))
-    return rows.select(*[F.col("_row")[c].alias(c) for c in docs.columns])
+    named = classes(docs.select(own.alias("_key"), F.col(text).alias("_text")), "_text", "_key", n, percent)
+    by_key = named.groupBy("_key").agg(F.count(F.lit(1)).alias("_rows"), F.bool_or(F.col("_key") == F.col("component_id")).alias("_kept"))
+    # only rows that may go, or come again, are shuffled
+    asked = stored(by_key.where("_rows > 1 or not _kept").select("_key", "_kept", F.xxhash64("_key").alias("_hash")))
+    filled, shift = bitmap(asked, "_hash")
+
+    @F.pandas_udf("boolean")
+    def maybe(hashes: pd.Series) -> pd.Series:
+        return pd.Series(inside(filled.value, shift, hashes.to_numpy(np.int64).view(np.uint64)))
+
+    passed = maybe(F.xxhash64(own))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    whole = docs.where(passed).select(F.struct(*columns).alias("_row"), own.alias("_key"))
+    rows = whole.join(asked.select("_key", "_kept"), "_key", "left").where("_kept is null or _kept").groupBy("_key").agg(F.first("_row").alias("_row"))
+    return docs.where(~passed).select(*columns).union(rows.select(*[F.col("_row")[c].alias(c) for c in docs.columns]))

@@ -116,6 +116,28 @@ def test_joins_on_odd_rows(spark, odd, none):
     assert sorted((r.doc_id or -1) for r in kept.collect()) == [-1, 1, 2, 3, 4, 7, 8]
 
 
+def test_rows_that_stay_are_not_shuffled(spark):
+    rows = variants(3, 10, 4, 3) + [(900, "a b c d e f g"), (900, "a b c d e f g"), (901, "a b c d e f g"), (None, "h i"), (None, "h i"), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    low = {key: c for key, (_, c) in brute_components([r for r in rows if r[0] is not None and r[0] < 900], 5, 80).items()}
+    kept = jaccard_join.keep_one(df)
+    want = sorted(key for key, c in low.items() if key == c)
+    assert sorted((-1 if r.doc_id is None else r.doc_id) for r in kept.collect()) == [-1, -1, *want, 900]
+    plan = kept._jdf.queryExecution().optimizedPlan()
+    assert plan.nodeName() == "Union"
+    stay, asked = plan.children().apply(0).toString(), plan.children().apply(1).toString()
+    assert "Aggregate" not in stay and "Join" not in stay and "Join" in asked
+
+
+def test_large_families_are_cut_from_their_sets(spark):
+    rng = np.random.default_rng(5)
+    one, two = (np.unique(rng.integers(0, 2**48, 60, dtype=np.uint64)) for _ in range(2))
+    packed = lambda x: bytearray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes())
+    rows = [(1, 9, packed(one)), (2, 9, packed(one[1:])), (3, 9, packed(two)), (4, 9, packed(two[:-1])), (5, 8, packed(one[:-1]))]
+    label = jaccard_join._refined(spark.createDataFrame(rows, "cid long, family long, items binary"), 80)
+    assert sorted((r.node, r.comp) for r in label.collect()) == [(1, 1), (2, 1), (3, 3), (4, 3)]
+
+
 # ---- repeated windows --------------------------------------------------------
 
 
