@@ -16,7 +16,7 @@ from estimand.plans.prefix import stored
 BITS = 18
 SHARD_ROWS = 5_000
 #: Bytes of text whose features are made together (some 200 bytes of working memory each).
-FEATURE_BYTES = 512 << 10
+FEATURE_BYTES = 256 << 10
 
 
 def hashed(h, salt, bits=BITS):
@@ -155,18 +155,20 @@ def featurised(sample, features):
 def scored(docs, text, keep, features, weights, outputs, finish):
     """``keep`` columns and the columns that ``finish(scores)`` makes from the sparse dot products of all rows.
 
-    ``outputs`` is their schema; the weights are broadcast (fixed size).
+    ``outputs`` is their schema; the weights are broadcast (fixed size).  A text among ``keep`` is sent once.
     """
     sent = docs.sparkSession.sparkContext.broadcast(weights)
     fields = {f.name: f for f in docs.schema.fields}
+    own = text if text in keep else "_text"
     schema = ", ".join(f"`{c}` {fields[c].dataType.simpleString()}" for c in keep) + ", " + outputs
 
     def run(batches):
         for batch in batches:
-            for part in words.blocks(batch, "_text", FEATURE_BYTES):
-                cut, at, x = features(part.column("_text"))
+            for part in words.blocks(batch, own, FEATURE_BYTES):
+                cut, at, x = features(part.column(own))
                 dot = np.add.reduceat(sent.value[at] * x, cut[:-1]) if part.num_rows else np.zeros(0)
                 made = finish(dot)
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *(pa.array(v) for v in made.values())], names=[*keep, *made])
 
-    return docs.select(*[F.col(c) for c in keep], F.col(text).alias("_text")).mapInArrow(run, schema)
+    sources = [F.col(c) for c in keep] + [F.col(text).alias("_text")] * (text not in keep)
+    return docs.select(*sources).mapInArrow(run, schema)

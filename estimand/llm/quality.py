@@ -74,10 +74,9 @@ def keep_good(docs, labels, text="text", key="doc_id", threshold=0.5):
 
     The threshold is lower than that of a report: only a text that is more likely bad than good goes.
     """
-    from pyspark.sql import types as T
-
     weights = fit(docs, labels, text, key)
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(text).alias("_own"))
-    assert isinstance(whole.schema["_row"].dataType, T.StructType)
-    found = score(whole, weights, "_own", ("_row",), threshold)
-    return found.where("predicted = 1").select(*[F.col("_row")[c].alias(c) for c in docs.columns])
+    # by place, so that no column is taken for a score, and each text is sent to Python once
+    place = {c: f"_{i}" for i, c in enumerate(docs.columns)}
+    rows = docs.select(*[F.col(f"`{c}`").alias(x) for c, x in place.items()], *([] if text in place else [F.col(text).alias("_text")]))
+    found = score(rows, weights, place.get(text, "_text"), tuple(place.values()), threshold)
+    return found.where("predicted = 1").select(*[F.col(x).alias(c) for c, x in place.items()])

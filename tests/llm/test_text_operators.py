@@ -342,6 +342,16 @@ def test_classifiers_on_odd_rows(spark, odd, none):
     assert kept.columns == odd.columns
 
 
+def test_pipeline_sends_each_text_to_python_once(spark):
+    docs = spark.createDataFrame([("a b c", 1, 0.25, "x"), (None, None, 0.5, None), ("A b", 7, None, "y")], "text string, doc_id long, score double, `a column` string")
+    kept = quality.keep_good(docs, spark.createDataFrame([], "doc_id long, quality int"), threshold=0.0)
+    assert kept.columns == docs.columns and sorted(map(str, kept.collect())) == sorted(map(str, docs.collect()))
+    node = kept._jdf.queryExecution().analyzed()
+    while node.nodeName() != "MapInArrow":
+        node = node.children().head()
+    assert node.children().head().output().size() == len(docs.columns)
+
+
 def test_ordinal_step_recovers_order():
     rng = np.random.default_rng(2)
     state = linear.Ftrl(8, extra=np.arange(3.0), alpha=0.5)
