@@ -2,12 +2,14 @@ import collections
 import hashlib
 import itertools
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from estimand.llm import filter_audit, pair_bitmaps, queries, suffix_buckets
+from estimand.llm import filter_audit, pair_bitmaps, queries, suffix_buckets, words
 from llm_tables import words_of
 
 SF = "/root/testdata/sf0.001"
@@ -128,6 +130,30 @@ def test_no_repeats_in_an_empty_table(spark):
     assert suffix_buckets.remove_repeats(spark.createDataFrame([], "doc_id string, text string")).count() == 0
 
 
+def test_a_block_of_suffixes_takes_bounded_memory():
+    rng = np.random.default_rng(4)
+    texts = [bytes(rng.integers(97, 123, n, dtype=np.uint8)).decode() for n in (0, 399, 400, 2_000, 900_000)]
+    batch = pa.RecordBatch.from_pydict({"text": [None, *texts]})
+    list(suffix_buckets._blocks(batch, 400)), words.powers(words._BASE, 1 << 20)
+    tracemalloc.start()
+    windows = sum(len(suffix_buckets.Suffixes(data, at, 400, 32).start) for data, at, _, _ in suffix_buckets._blocks(batch, 400))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert windows == sum(max(0, len(x) - 399) for x in texts) and peak < 16e6
+
+
+@pytest.mark.parametrize("window, q", [(20, 5), (20, 20), (8, 1), (33, 2)])
+def test_anchor_is_the_least_q_gram_of_a_window(window, q):
+    data = np.random.default_rng(window).integers(97, 100, 500, dtype=np.uint8)
+    at = np.array([0, 0, 200, 210, 500])
+    s = suffix_buckets.Suffixes(data, at, window, q)
+    place = np.arange(len(data) - q + 1)
+    key = words.mix(s.one.of(place, place + q)) & ~np.uint64(suffix_buckets._PLACE)
+    starts = [i for a, b in zip(at, at[1:]) for i in range(a, b - window + 1)]
+    assert s.start.tolist() == starts
+    assert s.anchor.tolist() == [i + int(np.argmin(key[i : i + window - q + 1])) for i in starts]
+
+
 # ---- alignment of two tokenizers -----------------------------------------------
 
 
