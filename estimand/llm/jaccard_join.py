@@ -6,7 +6,8 @@
    is sliced so finely that two linked sets must agree on a whole slice of two or
    more elements (a pigeonhole count of the elements in which they may differ).  A family holds
    the classes that are connected by agreeing slices, linked or not; a family too
-   large for a task is cut again by pairs of agreeing slices.
+   large for a task is cut again by shared rare elements (two linked sets share
+   one of each other's rarest), and then by pairs of agreeing slices.
 3. Regions.  A family's members fall to the Voronoi regions of their nearest
    pivots.  A member is copied into an earlier region too if its distances to all
    pivots lie within the region's own, widened by the radius (the triangle
@@ -20,12 +21,14 @@ ordinary join, and the members of its largest connected part are then compared
 with the others only.  Nothing is capped.
 """
 
+import functools
 import heapq
+import zlib
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from estimand.llm import words
 from estimand.llm.bitmap import bitmap, inside
@@ -41,6 +44,13 @@ PIVOTS, PIVOT_ITEMS = 16, 1_000_000
 #: Inside a task: groups above REGION sets fall to the regions of LEAF_PIVOTS pivots, sets further than FAR from all of
 #: them to one more, as long as the largest region has at most SHRINK of the group and all of them twice its sets.
 REGION, LEAF_PIVOTS, FAR, SHRINK = 256, 8, 0.8, 0.7
+#: Counters of how often elements occur (a task holds 16 MB of them), and how many of them travel in a row.
+COUNTERS, COUNTER_ROW = 1 << 22, 1 << 12
+#: Ways in which large families are cut again, as long as there are any: by rare elements, counted anew each time, or by pairs of slices.
+CUTS = (True, True, False)
+#: Slice keys are compared in so many rounds, and the copies of a large family's sets are dealt in rounds of so many times
+#: its own elements: the disk holds the shuffle of one round.
+KEY_ROUNDS, ROUND_COPIES = 3, 2
 #: Elements that are looked up, or intersections that are counted, at a time.
 LOOKUP = 1 << 18
 #: Least growth of the size classes; below 80 percent 100 / percent, so that a partner lies one class apart at most.
@@ -120,7 +130,7 @@ def _slice_keys(text, h, size, percent):
 
 
 def _prefixes(text, h, size, percent, loose):
-    """(text, key) of the smallest elements of the loose sets: linked sets share one of them."""
+    """(text, key) of the first elements, in the order given, of the loose sets: linked sets share one of them if all have the same order."""
     use = loose[text]
     t, x = text[use], h[use]
     begin = np.flatnonzero(np.diff(t, prepend=-1))
@@ -241,15 +251,67 @@ def _wanted_sets(docs, text, n, wanted):
     return docs.select(F.col(text)).mapInArrow(run, "s1 long, s2 long, items binary")
 
 
-def _refined(members, percent):
-    """Stored (node, comp): families after cutting those of stored ``members`` (cid, family, items), a class once, again by pairs of slices."""
+def _counter(h):
+    return (h & np.uint64(COUNTERS - 1)).astype(np.int64)
+
+
+def _often(members):
+    """Broadcast levels (16 to each doubling) of how many of the stored ``members`` hold an element; elements that share a counter only look more frequent."""
+
+    def rows(held):
+        counts = [zlib.compress(x.astype("<u4").tobytes(), 1) for x in held.values()]
+        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array(counts, pa.binary())], names=["block", "counts"])
+
+    def count(batches):
+        held = np.zeros(COUNTERS, np.uint32)
+        for batch in batches:
+            for part in words.blocks(batch, "items", SET_BYTES):
+                np.add.at(held, _counter(_unpacked(b"".join(part.column("items").to_pylist()))), 1)
+        held = held.reshape(-1, COUNTER_ROW)
+        yield rows({int(i): held[i] for i in np.flatnonzero(held.any(axis=1))})
+
+    def total(batches):
+        held = {}
+        for batch in batches:
+            for block, raw in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist()):
+                held[block] = held.get(block, np.uint32(0)) + np.frombuffer(zlib.decompress(raw), "<u4")
+        yield rows(held)
+
+    schema = "block int, counts binary"
+    table = members.select("items").mapInArrow(count, schema).repartition("block").mapInArrow(total, schema).toArrow()
+    out = np.zeros((COUNTERS // COUNTER_ROW, COUNTER_ROW), np.uint8)
+    for block, raw in zip(table.column("block").to_pylist(), table.column("counts").to_pylist()):
+        out[block] = np.minimum(16 * np.log2(1.0 + np.frombuffer(zlib.decompress(raw), "<u4")), 255)
+    return members.sparkSession.sparkContext.broadcast(out.ravel())
+
+
+def _rare_keys(text, h, size, percent, often):
+    """(text, key) of each set's rarest elements by the levels ``often``, in the size classes a set may meet a partner in.
+
+    Linked sets share one of them, whatever the levels are.  What many texts have
+    in common, such as a repeated line, is no one's rarest unless a text holds
+    little else.
+    """
+    low, _, _ = _classes(int(size.max(initial=1)), percent)
+    own = np.searchsorted(low, size, "right") - 1
+    order = np.lexsort((often[_counter(h)], text))
+    t, key = _prefixes(text[order], h[order], size, percent, np.ones(len(size), bool))
+    lower = (own > 0) & (percent * size <= 100 * (low[np.maximum(own, 0)] - 1))
+    out = [(t[use], words.mix(key[use] ^ scheme[t[use]].astype(np.uint64))) for scheme, use in ((own, slice(None)), (own - 1, lower[t]))]
+    return _by_text(out)
+
+
+def _refined(members, percent, rare=False):
+    """Stored (node, comp): families after cutting those of stored ``members`` (cid, family, items), a class once, again by pairs of slices, or by rare elements."""
+    often = _often(members) if rare else None
 
     def run(batches):
         for batch in batches:
             for part in words.blocks(batch, "items", SET_BYTES):
                 raw = part.column("items").to_pylist()
                 size = np.array([len(x) // 6 for x in raw], np.int64)
-                owner, keys = _bundle_keys(np.repeat(np.arange(len(raw)), size), _unpacked(b"".join(raw)), size, percent)
+                text, h = np.repeat(np.arange(len(raw)), size), _unpacked(b"".join(raw))
+                owner, keys = _rare_keys(text, h, size, percent, often.value) if rare else _bundle_keys(text, h, size, percent)
                 take = pa.array(owner)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("family").take(take), part.column("cid").take(take), pa.array(keys.view(np.int64))], names=["family", "cid", "key"])
@@ -480,7 +542,7 @@ def _leaf_links(rows, percent):
 
 
 def _region_links(members, percent):
-    """Links of the families too large for a task; ``members`` (family, cid, n, elements, items) are stored, a class once."""
+    """Stored tables of links of the families too large for a task; ``members`` (family, cid, n, elements, items) are stored, a class once."""
     radius = 1 - percent / 100 + 1e-9
     draw = [F.min_by("cid", F.xxhash64("cid", F.lit(j))).alias(f"p{j}") for j in range(PIVOTS)]
     chosen = members.groupBy("family").agg(*draw).select("family", F.posexplode(F.array(*[f"p{j}" for j in range(PIVOTS)])).alias("j", "pivot"))
@@ -516,10 +578,17 @@ def _region_links(members, percent):
     outer = stored(outer.select("leaf", "cid", "comp", F.lit(False).alias("inner")))
     used = outer.select("leaf").distinct().withColumn("_used", F.lit(True))
     own = place.select(F.col("region").alias("leaf"), "cid", "comp", F.lit(True).alias("inner"), "main").join(used, "leaf", "left").where("not main or _used")
-    rows = own.select("leaf", "cid", "comp", "inner").unionByName(outer).join(members.select("cid", "items"), "cid")
-    links = stored(_leaf_links(rows, percent))
-    release(outer, place, far, label)
-    return stars, links
+    rows = own.select("leaf", "cid", "comp", "inner").unionByName(outer)
+    whole = members.agg(F.sum("n")).first()[0] or 1
+    before = F.sum("items").over(W.partitionBy(F.lit(0)).orderBy("leaf").rowsBetween(W.unboundedPreceding, -1))
+    dealt = rows.join(members.select("cid", "n"), "cid").groupBy("leaf").agg(F.sum("n").alias("items"))  # a row for each region
+    dealt = stored(dealt.select("leaf", F.floor(F.coalesce(before, F.lit(0)) / (ROUND_COPIES * whole)).alias("round")))
+    links = []
+    for i in sorted(r[0] for r in dealt.select("round").distinct().collect()):
+        part = rows.join(F.broadcast(dealt.where(F.col("round") == i).select("leaf")), "leaf")
+        links.append(stored(_leaf_links(part.join(members.select("cid", "items"), "cid"), percent)))
+    release(outer, place, far, label, dealt)
+    return stars, *links
 
 
 def _sized(groups, label):
@@ -544,16 +613,18 @@ def classes(docs, text="text", key="doc_id", n=5, percent=80):
     signed = stored(_signatures(docs, text, key, n, percent))
     rows = stored(signed.select("rid", key, "n_shingles", "s1", "s2"))
     over = W.partitionBy("key")
-    keyed = signed.where(F.size("keys") > 0).select(F.explode("keys").alias("key"), "rid")
-    keyed = keyed.withColumns({"_lo": F.min("rid").over(over), "_hi": F.max("rid").over(over)}).where("_lo < _hi")
-    agreed = stored(keyed.select(F.col("_lo").alias("a"), F.col("rid").alias("b")).where("a <> b").distinct())
+    agreed = []
+    for i in range(KEY_ROUNDS):
+        keyed = signed.where(F.size("keys") > 0).select(F.explode("keys").alias("key"), "rid").where(F.pmod("key", F.lit(KEY_ROUNDS)) == i)
+        keyed = keyed.withColumns({"_lo": F.min("rid").over(over), "_hi": F.max("rid").over(over)}).where("_lo < _hi")
+        agreed.append(stored(keyed.select(F.col("_lo").alias("a"), F.col("rid").alias("b")).where("a <> b").distinct()))
     release(signed)
     full = rows.where("n_shingles > 0")
     groups = stored(full.groupBy("s1", "s2").agg(F.min("rid").alias("cid"), F.min(key).alias("low"), F.first("n_shingles").alias("n")))
     cid = full.join(groups, ["s1", "s2"]).select("rid", "cid")
-    near = agreed.join(cid.select(F.col("rid").alias("a"), F.col("cid").alias("ca")), "a").join(cid.select(F.col("rid").alias("b"), F.col("cid").alias("cb")), "b")
+    near = functools.reduce(DataFrame.unionByName, agreed).join(cid.select(F.col("rid").alias("a"), F.col("cid").alias("ca")), "a").join(cid.select(F.col("rid").alias("b"), F.col("cid").alias("cb")), "b")
     label = components(near.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-    release(agreed)
+    release(*agreed)
     wanted = _sized(groups, label)
     found, done = _wanted_sets(docs, text, n, wanted).join(wanted, ["s1", "s2"]), [wanted]
     beyond = False
@@ -561,18 +632,24 @@ def classes(docs, text="text", key="doc_id", n=5, percent=80):
         # the sets come from the texts once; each class's is kept once
         first = [F.first(c).alias(c) for c in ("cid", "n", "family", "large", "items")]
         sets = stored(found.groupBy("s1", "s2").agg(*first).drop("s1", "s2"))
-        finer = _sized(groups, _refined(sets.where("large"), percent))
-        again = stored(sets.where("large").select("cid", "items").join(finer.select("cid", "n", "family", "large"), "cid"))
-        found, beyond = sets.where("not large").unionByName(again), bool(finer.where("large").head(1))
-        done += [sets, finer, again]
+        done, cut = [*done, sets], [sets]
+        for rare in CUTS:
+            finer = _sized(groups, _refined(cut[-1].where("large"), percent, rare))
+            cut.append(stored(cut[-1].where("large").select("cid", "items").join(finer.select("cid", "n", "family", "large"), "cid")))
+            done.append(cut[-1])
+            beyond = bool(finer.where("large").head(1))
+            release(finer)
+            if not beyond:
+                break
+        found = functools.reduce(DataFrame.unionByName, [x.where("not large") for x in cut])
     usual = found.where("not large").select(F.col("family").alias("leaf"), "cid", F.col("cid").alias("comp"), F.lit(True).alias("inner"), "items")
     links = stored(_leaf_links(usual, percent))
     done.append(links)
     if beyond:
-        members = stored(again.where("large").mapInArrow(_as_arrays, "family long, cid long, n long, elements array<long>, items binary"))
-        stars, more = _region_links(members, percent)
-        links = links.unionByName(stars).unionByName(more)
-        done += [members, stars, more]
+        members = stored(cut[-1].where("large").mapInArrow(_as_arrays, "family long, cid long, n long, elements array<long>, items binary"))
+        more = _region_links(members, percent)
+        links = functools.reduce(DataFrame.unionByName, more, links)
+        done += [members, *more]
     label = components(links)
     release(*done)
     named = groups.join(label.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))

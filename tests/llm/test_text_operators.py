@@ -138,6 +138,77 @@ def test_large_families_are_cut_from_their_sets(spark):
     assert sorted((r.node, r.comp) for r in label.collect()) == [(1, 1), (2, 1), (3, 3), (4, 3)]
 
 
+def repeated_lines(n, length):
+    """Sets that all hold some of a few repeated lines besides elements of their own; each tenth one is linked to the one before."""
+    rng = np.random.default_rng(8)
+    lines = rng.integers(0, 2**48, (6, 9), dtype=np.uint64)
+    sets = []
+    for i in range(n):
+        if i % 10 == 9:
+            sets.append(sets[-1][: len(sets[-1]) - 1])
+        else:
+            sets.append(np.unique(np.concatenate([rng.integers(0, 2**48, length, dtype=np.uint64), *lines[rng.permutation(6)[:3]]])))
+    return sets
+
+
+def packed(x):
+    return bytearray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes())
+
+
+def test_repeated_lines_do_not_keep_a_family_together(spark):
+    sets = repeated_lines(200, 30)
+    rows = [(i, 0, packed(x)) for i, x in enumerate(sets)]
+    members = spark.createDataFrame(rows, "cid long, family long, items binary").repartition(3)
+    label = jaccard_join._refined(members, 80, rare=True)
+    assert sorted((r.node, r.comp) for r in label.collect()) == [(i, i - i % 10 + 8) for i in range(200) if i % 10 >= 8]
+
+
+def test_rare_elements_never_miss_a_link():
+    rng = np.random.default_rng(6)
+    for often in (np.zeros(jaccard_join.COUNTERS, np.uint8), rng.integers(0, 256, jaccard_join.COUNTERS).astype(np.uint8)):
+        for _ in range(300):
+            n = int(rng.integers(1, 200))
+            b = np.unique(rng.integers(0, 2**48, n, dtype=np.uint64))
+            drop, add = int(rng.integers(0, len(b) // 5 + 1)), int(rng.integers(0, len(b) // 5 + 1))
+            a = np.unique(np.concatenate([rng.permutation(b)[drop:], rng.integers(0, 2**48, add, dtype=np.uint64)]))
+            common = len(np.intersect1d(a, b))
+            for percent in (50, 80, 85):
+                if 100 * common >= percent * (len(a) + len(b) - common):
+                    text, h = np.repeat([0, 1], [len(a), len(b)]), np.concatenate([a, b])
+                    owner, keys = jaccard_join._rare_keys(text, h, np.array([len(a), len(b)]), percent, often)
+                    assert set(keys[owner == 0].tolist()) & set(keys[owner == 1].tolist())
+
+
+def test_copies_of_a_large_family_are_dealt_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "LEAF_MEMBERS", 20)
+    dealt = []
+
+    def leaf_links(rows, percent, deal=jaccard_join._leaf_links):
+        dealt.append(rows.agg(F.sum(F.length("items") / 6)).first()[0])
+        return deal(rows, percent)
+
+    monkeypatch.setattr(jaccard_join, "_leaf_links", leaf_links)
+    sets = repeated_lines(200, 30)
+    rows = [(0, i, len(x), packed(x)) for i, x in enumerate(sets)]
+    items = spark.createDataFrame(rows, "family long, cid long, n long, items binary")
+    members = jaccard_join.stored(items.mapInArrow(jaccard_join._as_arrays, "family long, cid long, n long, elements array<long>, items binary"))
+    stars, *links = jaccard_join._region_links(members, 80)
+    found = {tuple(sorted(r)) for table in (stars, *links) for r in table.collect()}
+    assert found == {(i - 1, i) for i in range(9, 200, 10)}
+    whole = sum(len(x) for x in sets)
+    most = (jaccard_join.ROUND_COPIES + 1) * whole  # a round ends with the region that fills it
+    assert sum(dealt) > most and max(dealt) <= most
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    shuffles = lambda: spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().toString().count("shuffle_")
+    before, setting = shuffles(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    table = jaccard_join.stored(spark.range(1000).repartition(7, "id").groupBy((F.col("id") % 10).alias("k")).count())
+    assert shuffles() <= before and table.count() == 10
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
+    jaccard_join.release(table)
+
+
 # ---- repeated windows --------------------------------------------------------
 
 
